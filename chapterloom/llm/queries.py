@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chapterloom.llm import bpe, language_id
+from chapterloom.llm import bpe, decontamination, language_id, quality_rules
 from chapterloom.llm.common import id_hash
 
 
@@ -31,12 +31,30 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(cases, profiles).select("doc_id", "held_out", "lang_pred", "score", "fit")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.scan(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "longest_match",
+    )
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer()
     encoded = bpe.encode_texts(read(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern)
     return bpe.digests(bpe.decode_ids(encoded.select("doc_id", "ids"), path, pattern))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op8_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op8_byte_bpe, op9_quality_rules)}
 
 SQL: dict[str, str] = {}
