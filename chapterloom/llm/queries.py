@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chapterloom.llm import bpe, decontamination, language_id, quality_rules
+from chapterloom.llm import bpe, decontamination, language_id, quality_rules, signature_join
 from chapterloom.llm.common import id_hash
 
 
@@ -44,6 +44,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.components(read(spark, sf_dir, "documents"), words=5, percent=75)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judge(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
@@ -55,6 +59,6 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_ids(encoded.select("doc_id", "ids"), path, pattern))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op8_byte_bpe, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_ngram_jaccard_join, op8_byte_bpe, op9_quality_rules)}
 
 SQL: dict[str, str] = {}
