@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chapterloom.llm import bpe, language_id
+from chapterloom.llm import bpe, decontamination, language_id, quality_rules, signature_join
 from chapterloom.llm.common import store
-from chapterloom.llm.queries import held_out, tokenizer
+from chapterloom.llm.queries import held_out, read, tokenizer
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +14,21 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language_id.accepted(docs, language_id.learn_profiles(docs.where(~held_out(3, 1))))
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that fail a base rule or are outliers of their language and source."""
+    return quality_rules.accepted(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the least id of each group of near duplicates."""
+    return signature_join.one_of_each(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a passage of the benchmark."""
+    return decontamination.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, checked by decoding."""
     path, pattern = tokenizer()
@@ -21,7 +36,13 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_ids(encoded.select("doc_id", "ids"), path, pattern))
 
 
-STAGES = [("language ID", language_stage), ("byte-level BPE", bpe_stage)]
+STAGES = [
+    ("language ID", language_stage),
+    ("quality rules", quality_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("byte-level BPE", bpe_stage),
+]
 
 #: The learned stages have no SQL form; tests hold run() against a brute-force version.
 ORACLE_SQL = None
