@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chapterloom.llm import bpe, decontamination, language_id, quality_rules, signature_join
-from chapterloom.llm.common import id_hash
+from chapterloom.llm import bpe, decontamination, language_id, quality_rules, signature_join, warc
+from chapterloom.llm.common import id_hash, scratch_dir
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -53,12 +55,36 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_dir(spark)}/archives-{uuid.uuid4().hex}"
+    warc.write(read(spark, sf_dir, "pages"), path)
+    return warc.resolved(warc.read(spark, path))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer()
     encoded = bpe.encode_texts(read(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern)
     return bpe.digests(bpe.decode_ids(encoded.select("doc_id", "ids"), path, pattern))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_ngram_jaccard_join, op8_byte_bpe, op9_quality_rules)}
-
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_ngram_jaccard_join, op6_warc, op8_byte_bpe, op9_quality_rules)}
+
+SQL: dict[str, str] = {
+    "op6_warc": """
+WITH d AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS x FROM pages
+), b AS (
+  SELECT page_id, payload_bytes, x, list_transform(range(0, 8), lambda k: CAST('0x' || substr(x, CAST(1 + 5 * k AS INT), 5) AS INT)) AS c FROM d
+), t AS (
+  SELECT page_id, payload_bytes,
+    array_to_string(list_transform(c, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v >> 15), 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> 10) & 31), 1)
+      || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> 5) & 31), 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v & 31), 1)), '') AS payload_digest,
+    min(page_id) OVER (PARTITION BY x, payload_bytes) AS first
+  FROM b
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM t
+""",
+}
