@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chapterloom.llm import bpe, decontamination, language_id, quality_rules, signature_join, warc
+from chapterloom.llm import bpe, decontamination, language_id, ppm, quality_rules, signature_join, warc
 from chapterloom.llm.common import id_hash, scratch_dir
 
 
@@ -55,6 +55,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", held_out(5, 1).alias("held_out"))
+    train = docs.where(~F.col("held_out"))
+    scored = ppm.with_scores(docs, ppm.learn(train))
+    return ppm.with_baseline(scored, train).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/archives-{uuid.uuid4().hex}"
     warc.write(read(spark, sf_dir, "pages"), path)
@@ -67,7 +74,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_ids(encoded.select("doc_id", "ids"), path, pattern))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_ngram_jaccard_join, op6_warc, op8_byte_bpe, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_ngram_jaccard_join, op5_lm_scoring, op6_warc, op8_byte_bpe, op9_quality_rules)}
 
 SQL: dict[str, str] = {
     "op6_warc": """
