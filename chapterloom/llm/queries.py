@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chapterloom.llm import bpe, decontamination, language_id, ppm, quality_rules, signature_join, warc
-from chapterloom.llm.common import id_hash, scratch_dir
+from chapterloom.llm import bpe, decontamination, language_id, ppm, quality_rules, rule_ensemble, signature_join, warc
+from chapterloom.llm.common import id_hash, scratch_dir, store
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -74,7 +74,15 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_ids(encoded.select("doc_id", "ids"), path, pattern))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_ngram_jaccard_join, op5_lm_scoring, op6_warc, op8_byte_bpe, op9_quality_rules)}
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", held_out(4, 2).alias("held_out"), "text")
+    statistics = store(rule_ensemble.with_statistics(docs).drop("text"), "statistics")
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    ensemble = rule_ensemble.fit(statistics.where(~F.col("held_out")).join(labels, "doc_id"))
+    return rule_ensemble.score(statistics, ensemble).select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_ngram_jaccard_join, op5_lm_scoring, op6_warc, op8_byte_bpe, op9_quality_rules, op10_quality_classifier)}
 
 SQL: dict[str, str] = {
     "op6_warc": """
