@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chapterloom.llm import bpe, decontamination, language_id, ppm, quality_rules, rule_ensemble, signature_join, warc
+from chapterloom.llm import bpe, chat_format, decontamination, language_id, licenses, ppm, quality_rules, rule_ensemble, signature_join, warc
 from chapterloom.llm.common import id_hash, scratch_dir, store
 
 
@@ -55,6 +55,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.formatted(read(spark, sf_dir, "conversations"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", held_out(5, 1).alias("held_out"))
     train = docs.where(~F.col("held_out"))
@@ -68,6 +72,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved(warc.read(spark, path))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "license", "dice", "unit", "n_units", F.array_join("licenses", ",").alias("licenses"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer()
     encoded = bpe.encode_texts(read(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern)
@@ -82,9 +91,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.score(statistics, ensemble).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_ngram_jaccard_join, op5_lm_scoring, op6_warc, op8_byte_bpe, op9_quality_rules, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_ngram_jaccard_join, op4_chat_formatting, op5_lm_scoring, op6_warc, op7_license_scan, op8_byte_bpe, op9_quality_rules, op10_quality_classifier)}
 
 SQL: dict[str, str] = {
+    "op4_chat_formatting": chat_format.SQL,
+    "op7_license_scan": licenses.sql(),
     "op6_warc": """
 WITH d AS (
   SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS x FROM pages
