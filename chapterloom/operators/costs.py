@@ -46,7 +46,7 @@ def cache_hits(calls: DataFrame, order: list[str] = ["chapter", "seq"]) -> DataF
 
     The first call is found by a minimum, not by numbering a run's calls.
     """
-    firsts = calls.groupBy("slug").agg(F.min_by("cache_read_tokens", F.struct(*order)).alias("first"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("cache_read_tokens") > 0).alias("hits"))
+    firsts = calls.groupBy("slug").agg(F.min_by("cache_read_tokens", F.struct(*order, "cache_read_tokens")).alias("first"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("cache_read_tokens") > 0).alias("hits"))
     hits = F.col("hits") - (F.col("first") > 0).cast("int")
     rows = firsts.select("slug", (F.col("n") - 1).alias("later"), hits.alias("hits"))
     return rows.withColumn("rate", F.when(F.col("later") > 0, F.col("hits") / F.col("later")).otherwise(0.0))
@@ -56,8 +56,9 @@ def retry_resolution(attempts: DataFrame, most: int = 2) -> DataFrame:
     """(slug, chapter, attempts, used, last_cost, logged_cost) from (slug, chapter, attempt, parse_ok, cost_usd).
 
     The first of ``most`` attempts that parses is used; the result carries the last attempt's cost, the log all of them.
+    Attempts of one number are ordered by parse_ok, then cost.
     """
-    rows = attempts.withColumn("k", F.row_number().over(Window.partitionBy("slug", "chapter").orderBy("attempt"))).where(F.col("k") <= most)
+    rows = attempts.withColumn("k", F.row_number().over(Window.partitionBy("slug", "chapter").orderBy("attempt", F.col("parse_ok").desc(), "cost_usd"))).where(F.col("k") <= most)
     good = rows.groupBy("slug", "chapter").agg(F.min(F.when(F.col("parse_ok"), F.col("k"))).alias("used"))
     rows = rows.join(good, ["slug", "chapter"]).where(F.col("used").isNull() | (F.col("k") <= F.col("used")))
     return rows.groupBy("slug", "chapter").agg(F.count(F.lit(1)).alias("attempts"), F.first("used").alias("used"), F.max_by("cost_usd", "k").alias("last_cost"), F.sum("cost_usd").alias("logged_cost"))

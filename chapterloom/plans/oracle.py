@@ -308,12 +308,12 @@ SQL: dict[str, str] = {
         "costed",
     ),
     "cache_hits": sql(
-        "SELECT slug, count(*) - 1 AS later, count(*) FILTER (k > 1 AND cache_read_tokens > 0) AS hits, CASE WHEN count(*) > 1 THEN count(*) FILTER (k > 1 AND cache_read_tokens > 0) / (count(*) - 1) ELSE 0 END AS rate FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY chapter, seq) AS k FROM calls) GROUP BY slug",
+        "SELECT slug, count(*) - 1 AS later, count(*) FILTER (k > 1 AND cache_read_tokens > 0) AS hits, CASE WHEN count(*) > 1 THEN count(*) FILTER (k > 1 AND cache_read_tokens > 0) / (count(*) - 1) ELSE 0 END AS rate FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY chapter, seq, cache_read_tokens) AS k FROM calls) GROUP BY slug",
         "calls",
     ),
     "retry_resolution": sql(
         """SELECT slug, chapter, count(*) AS attempts, CAST(coalesce(any_value(used), 0) AS INT) AS used, round(arg_max(cost_usd, k), 6) AS last_cost, round(sum(cost_usd), 6) AS logged_cost FROM (
-          SELECT *, min(k) FILTER (parse_ok) OVER (PARTITION BY slug, chapter) AS used FROM (SELECT *, row_number() OVER (PARTITION BY slug, chapter ORDER BY seq) AS k FROM costed) WHERE k <= 2
+          SELECT *, min(k) FILTER (parse_ok) OVER (PARTITION BY slug, chapter) AS used FROM (SELECT *, row_number() OVER (PARTITION BY slug, chapter ORDER BY seq, parse_ok DESC, cost_usd) AS k FROM costed) WHERE k <= 2
         ) WHERE used IS NULL OR k <= used GROUP BY slug, chapter""",
         "costed",
     ),
@@ -334,3 +334,5 @@ SQL: dict[str, str] = {
     ),
 }
 
+# The gate gives the same rows whether replies come at once or over time.
+SQL["stream_gate"] = SQL["fail_closed_gate"]

@@ -10,6 +10,7 @@ from chapterloom.functions.text import normalize_key
 from chapterloom.plans import derived as D
 from chapterloom.sources import books
 from chapterloom.sources.scratch import new_path, store
+from chapterloom.streaming import incremental
 
 TERM = ["korean", "english", "category", "note", "enforce"]
 
@@ -456,12 +457,34 @@ def cost_projection(spark, d):
     return costs.cost_projection(_costed(spark, d)).withColumns({"per_chapter": F.round("per_chapter", 6), "corpus": F.round("corpus", 0)})
 
 
+# ---------------------------------------------------------------- streaming
+
+
+def _stream(spark, d, rows):
+    """Replies as files that arrive one after the other, four of them by chapter number."""
+    path = new_path(spark, "arrivals")
+    rows.select("slug", "chapter", "raw").repartitionByRange(4, "chapter").sortWithinPartitions("chapter").write.parquet(path)
+    return incremental.read_replies(spark, path, 2)
+
+
+def stream_glossary(spark, d):
+    path = new_path(spark, "stream-glossary")
+    incremental.grow_glossary(_stream(spark, d, D.replies(spark, d)), path, new_path(spark, "checkpoint")).awaitTermination()
+    return incremental.last_version(spark, path, incremental.GLOSSARY)
+
+
+def stream_gate(spark, d):
+    path = new_path(spark, "stream-gate")
+    incremental.gate_replies(_stream(spark, d, D.tokened(spark, d)), D.glossary(spark, d), path, new_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(path).select("slug", "chapter", "status", joined("leaks").alias("leaks"), F.md5("body").alias("body"))
+
+
 _NAMES = """slice_chapters short_novels validate_chapters load_glossary load_context ingest_results token_map call_log deliverable review_outputs
 extract_sections parse_term_lines parse_terms_block parse_translations parse_mining parse_single_section parse_json_replies parse_consolidated parse_judge validate_terms
 normalize_keys clean_terms merge_terms append_terms fold_new_entities fold_reported_terms fold_back glossary_stats glossary_growth
 terms_in_source check_adherence adherence_rollup run_consistency violations_by_term adherence_by_repeat markup_integrity
 apply_tokens invalid_tokens new_entities untokenized_terms defect_table defect_totals repair_bounds repair_retry choose_translation fail_closed_gate run_report
 context_window last_k_summaries glossary_table placeholder_block user_message mining_requests consolidation_requests translation_requests repair_requests arc_requests token_estimate
-call_cost unpriced_calls cost_rollup parse_failure_rate variant_compare cache_hits retry_resolution judge_pairs judge_tally cost_projection""".split()
+call_cost unpriced_calls cost_rollup parse_failure_rate variant_compare cache_hits retry_resolution judge_pairs judge_tally cost_projection stream_glossary stream_gate""".split()
 
 QUERIES = {name: globals()[name] for name in _NAMES}
