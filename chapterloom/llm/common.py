@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 
 import pyarrow as pa
@@ -24,9 +27,9 @@ def scratch_dir(spark: SparkSession) -> str:
     if app not in _scratch:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            import tempfile
-
-            base = "file://" + tempfile.mkdtemp(prefix="chapterloom-")
+            own = tempfile.mkdtemp(prefix="chapterloom-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            base = f"file://{own}"
         _scratch[app] = f"{base.rstrip('/')}/chapterloom-{uuid.uuid4().hex}"
     return _scratch[app]
 
@@ -53,6 +56,11 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
 
 
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The whole row as one struct, and copies of some columns to work on; so columns of docs never clash with new ones."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
+
+
 def with_text_columns(docs: DataFrame, make, fields: list[T.StructField], text_col: str = "text", keep=None, chunk_chars: int = 4_000_000) -> DataFrame:
     """Adds columns that are computed from the text column in Arrow batches.
 

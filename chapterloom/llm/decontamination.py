@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chapterloom.llm.common import with_text_columns, without
+from chapterloom.llm.common import packed, with_text_columns
 
 #: Bytes of words (digits, letters, everything beyond ASCII) stay, A-Z become a-z, the rest becomes a space.
 _WORD_BYTES = bytes((b + 32 if 65 <= b <= 90 else b) if 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -146,9 +146,10 @@ class Shard:
 
 
 def search(shard: Shard, test: Suffixes):
-    """(covered words, pairs of document and item, longest match of each document) in one shard."""
+    """In one shard: covered words, pairs of document and item, and each document's longest match (length, first word, item)."""
     n, docs = len(shard.word), len(shard.n_words)
-    covered, longest = np.zeros(n + 1, np.int64), np.zeros(docs, np.int64)
+    covered, longest = np.zeros(n + 1, np.int64), np.zeros((docs, 3), np.int64)
+    begins = np.cumsum(shard.n_words + 1) - shard.n_words - 1
     if not n or not len(test.windows):
         return covered[:n] > 0, np.empty((0, 2), np.int64), longest
     own = np.array([shard.ids.get(w, -1) for w in test.words] + [-1], np.int64)
@@ -170,14 +171,18 @@ def search(shard: Shard, test: Suffixes):
         many = test.first_suffix[w + 1] - test.first_suffix[w]
         suffix = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(test.first_suffix[w], many)
         length = np.repeat(test.lengths[w], many)
-        x = np.repeat(a, many) + length
-        y = test.line_start[test.suffix_item[suffix]] + test.suffix_at[suffix] + length
-        doc_of = np.repeat(shard.doc[a], many)
-        np.maximum.at(longest, doc_of, length)
-        while x.size:
-            on = (line[y] > 0) & (shard.word[np.minimum(x, n - 1)] == line[y]) & (x < n)
-            x, y, doc_of, length = x[on] + 1, y[on] + 1, doc_of[on], length[on] + 1
-            np.maximum.at(longest, doc_of, length)
+        start, item = np.repeat(a, many), test.suffix_item[suffix]
+        line_at = test.line_start[item] + test.suffix_at[suffix]
+        on = np.arange(len(start))
+        while on.size:
+            x, y = start[on] + length[on], line_at[on] + length[on]
+            on = on[(line[y] > 0) & (x < n) & (shard.word[np.minimum(x, n - 1)] == line[y])]
+            length[on] += 1
+        doc_of = shard.doc[start]
+        by = np.lexsort((item, start, -length, doc_of))
+        by = by[np.append(True, doc_of[by][1:] != doc_of[by][:-1])]
+        by = by[length[by] > longest[doc_of[by], 0]]
+        longest[doc_of[by]] = np.stack([length[by], start[by] - begins[doc_of[by]], item[by]], 1)
     return np.cumsum(covered[:n]) > 0, found_pairs, longest
 
 
@@ -198,6 +203,8 @@ FIELDS = [
     T.StructField("n_hit", T.LongType()),
     T.StructField("item_ids", T.ArrayType(T.StringType())),
     T.StructField("longest_match", T.LongType()),
+    T.StructField("longest_at", T.LongType()),
+    T.StructField("longest_item", T.StringType()),
 ]
 
 
@@ -212,16 +219,18 @@ def _scan(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_
             shard = Shard(texts, depth)
             hit = np.zeros(len(shard.word), bool)
             items: list[set] = [set() for _ in texts]
-            longest = np.zeros(len(texts), np.int64)
+            longest = np.zeros((len(texts), 2), np.int64)
+            best: list = [None] * len(texts)
             for part in parts:
                 test = one or Suffixes(part.value, window)
                 covered, pairs, far = search(shard, test)
                 hit |= covered
-                longest = np.maximum(longest, far)
+                for d in np.flatnonzero(far[:, 0] > longest[:, 0]).tolist():
+                    longest[d], best[d] = far[d, :2], test.items[far[d, 2]]
                 for d, i in pairs.tolist():
                     items[d].add(test.items[i])
             n_hit = np.bincount(shard.doc[hit & (shard.word > 0)], minlength=len(texts))
-            return [shard.n_words, n_hit, [sorted(x for x in s if x is not None) for s in items], longest]
+            return [shard.n_words, n_hit, [sorted(x for x in s if x is not None) for s in items], longest[:, 0], [a if n else None for n, a in longest.tolist()], best]
 
         return find
 
@@ -229,13 +238,10 @@ def _scan(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text", block_chars: int = 16_000_000, shard_chars: int = 4_000_000) -> DataFrame:
-    """Adds n_words, n_hit (words in a window's occurrence), item_ids (items with an occurring window) and longest_match (words) to every document."""
+    """Adds n_words, n_hit (words in a window's occurrence), item_ids (items with an occurring window) and the longest verbatim match (longest_match words from word longest_at on, of longest_item) to every document."""
     return _scan(docs, benchmark, window, id_col, text_col, block_chars, shard_chars)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text", block_chars: int = 16_000_000, shard_chars: int = 4_000_000) -> DataFrame:
     """The documents, unchanged, in which no window occurs."""
-    own = [f.name for f in FIELDS]
-    if {c.lower() for c in docs.columns} & {*own}:
-        raise ValueError(f"columns {own} are taken; rename them first")
-    return without(_scan(docs, benchmark, window, id_col, text_col, block_chars, shard_chars, lambda new: [n == 0 for n in new[1]]), own)
+    return _scan(packed(docs, text_col), benchmark, window, id_col, text_col, block_chars, shard_chars, lambda new: [n == 0 for n in new[1]]).select("row.*")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chapterloom.llm.common import with_text_columns, without
+from chapterloom.llm.common import packed, with_text_columns
 
 #: The label of texts that have no letter.
 UNKNOWN = "und"
@@ -150,8 +150,5 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "te
 
 def accepted(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "text", top: int = 300, min_fit: float = 0.05) -> DataFrame:
     """The rows, unchanged, whose text has a letter and fits a learned language by min_fit at least."""
-    kept = with_text_columns(docs, lambda: ranker(profiles, top), FIELDS, text_col, keep=lambda new: [a != UNKNOWN and fit >= min_fit for a, _, fit in zip(*new)])
-    own = {f.name.lower() for f in FIELDS}
-    if any(c.lower() in own for c in docs.columns):
-        raise ValueError("columns lang_pred, score and fit are taken; rename them first")
-    return without(kept, list(own))
+    rows = packed(docs, text_col)
+    return with_text_columns(rows, lambda: ranker(profiles, top), FIELDS, text_col, keep=lambda new: [a != UNKNOWN and fit >= min_fit for a, _, fit in zip(*new)]).select("row.*")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chapterloom.llm.common import store, with_text_columns
+from chapterloom.llm.common import packed, store, with_text_columns
 
 _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(65, 91))
@@ -240,11 +240,8 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, share: float = 0.75, steps: i
 
 def accepted(docs: DataFrame, cutoff: float = CUTOFF, share: float = 0.75, steps: int = 4, min_rows: int = 200) -> DataFrame:
     """The rows, unchanged, that the rules keep. Texts are read twice and, up to BROADCAST_GROUPS groups, not shuffled."""
-    own = [*COUNTS, "g_lang", "g_source", "mean", "precision", *(v[0] for v in VECTOR)]
-    if taken := {c.lower() for c in docs.columns} & {*own}:
-        raise ValueError(f"columns {sorted(taken)} are taken; rename them first")
     vectors = store(with_groups(with_vector(with_counts(docs.select("text", "lang", "source")).drop("text"))), "mcd-vectors")
     groups, n = pools(vectors, min_rows)
     estimates = fit(vectors.where(~base_failed()), groups, n, share, steps, min_rows)
-    measured = attach(with_vector(with_groups(with_counts(docs))), estimates, ["g_lang", "g_source"], n)
-    return measured.where(verdict(chi2_quantile(cutoff, D))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    measured = attach(with_vector(with_groups(with_counts(packed(docs, "text", "lang", "source")))), estimates, ["g_lang", "g_source"], n)
+    return measured.where(verdict(chi2_quantile(cutoff, D))).select("row.*")
