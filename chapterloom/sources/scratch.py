@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -14,7 +16,11 @@ def scratch_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir, or a folder of our own where that is unset."""
     app = spark.sparkContext.applicationId
     if app not in _folders:
-        base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="chapterloom-")
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            own = tempfile.mkdtemp(prefix="chapterloom-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            base = f"file://{own}"
         _folders[app] = f"{base.rstrip('/')}/books-{uuid.uuid4().hex}"
     return _folders[app]
 
