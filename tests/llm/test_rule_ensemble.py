@@ -25,12 +25,12 @@ DUMP = """RandomForestClassificationModel: uid=x, numTrees=2, numClasses=2, numF
 def test_paths_become_rules():
     rules = R.tree_rules(DUMP, list(R.STATISTICS))
     a, c = "s_words", "s_symbols"
-    assert set(rules) == {
+    assert {tuple(sorted(r)) for r in rules} == {
         ((c, "<=", 0.5),),
-        ((a, "<=", 3.25), (c, "<=", 0.5)),
-        ((a, ">", 3.25), (c, "<=", 0.5)),
-        ((a, ">", 3.25), (c, "<=", 0.25)),
-        ((a, ">", 3.25), (c, "<=", 0.5), (c, ">", 0.25)),
+        ((c, "<=", 0.5), (a, "<=", 3.25)),
+        ((c, "<=", 0.5), (a, ">", 3.25)),
+        ((c, "<=", 0.25), (a, ">", 3.25)),
+        ((c, "<=", 0.5), (c, ">", 0.25), (a, ">", 3.25)),
         ((c, ">", 0.5),),
     }
 
