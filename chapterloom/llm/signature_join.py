@@ -6,15 +6,17 @@ A text's set holds its distinct word shingles (64-bit hashes). Two texts link wh
 1. Equal sets collapse to one representative.
 2. A link needs a shared shingle among both sets' first ones in one global order
    (prefix filter). Shingles that many texts share come last in that order, which only
-   affects speed. Representatives without a shared prefix shingle have no link.
+   affects speed. Representatives without a shared prefix shingle have no link, and the
+   prefixes of a link share more the closer the sets' sizes are.
 3. Rounds: representatives with the same minimum hash, in chunks of bounded size, form
    a signature tree. Its nodes hold the OR of their texts' token bitmaps and a size
    range; a dual traversal drops node pairs whose greatest possible overlap is too
    small, or which are connected already. What is left is compared exactly.
 4. Sweep: texts that share a prefix shingle but are in different components go
-   through a tree of that shingle (chunk pairs, if it is a frequent one), first for the
-   most promising pair of two components, then for all. Survivors are compared exactly,
-   so no link between different components is lost.
+   through a tree of that shingle (chunk pairs, if it is a frequent one). Survivors among large
+   sets are held against wider bitmaps, and what is left is compared exactly. A shingle with very many survivors first gives one pair for each two
+   components, and a second sweep takes all that are still apart, so no link between
+   different components is lost.
 
 Defined results: null and empty texts, and texts without a word, have an empty set, no
 link and their own id as component. Fewer words than a shingle make one shingle of the
@@ -34,7 +36,9 @@ from pyspark.sql import functions as F
 from chapterloom.llm.common import runs, store
 
 #: Bits of a token bitmap.
-BITS = 2048
+BITS = 1024
+#: Texts of a key up to which a tree isn't worth while.
+SMALL = 8
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _EMPTY = np.empty(0, np.uint64)
 
@@ -43,7 +47,7 @@ class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -89,7 +93,7 @@ def digest(tokens: np.ndarray) -> bytes | None:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
 
 
-def _per_text(docs: DataFrame, make, schema: str, chunk_chars: int = 4_000_000) -> DataFrame:
+def _per_text(docs: DataFrame, make, schema: str, chunk_chars: int = 1_500_000) -> DataFrame:
     """docs has an id and a text. make() gives a function from ids and texts to record batches."""
 
     def run(batches):
@@ -127,15 +131,15 @@ def describe(docs: DataFrame, words: int, repeated: int = 3) -> DataFrame:
 
 def frequent(described: DataFrame, least: int = 48, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shared tokens (most at most, which is what is broadcast) and their counts, by token."""
-    rows = described.where("token is not null").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= least).orderBy(F.col("times").desc(), "token").limit(most).toPandas()
-    token, times = rows.token.to_numpy(np.int64).view(np.uint64), rows.times.to_numpy(np.int64)
+    rows = described.where("token is not null").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= least).orderBy(F.col("times").desc(), "token").limit(most).toArrow()
+    token, times = rows.column("token").to_numpy().view(np.uint64), rows.column("times").to_numpy()
     by = np.argsort(token)
     return token[by], times[by]
 
 
-def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
-    """How many first tokens suffice as the smaller and as the larger set of a link."""
-    return n - -(-2 * percent * n // (100 + percent)) + 1, n - -(-percent * n // 100) + 1
+def prefix_length(n: int, percent: int) -> int:
+    """Of how many first tokens a set shares one at least with each set that it links with."""
+    return n - -(-percent * n // 100) + 1
 
 
 def prefixes(docs: DataFrame, words: int, percent: int, heavy) -> DataFrame:
@@ -151,7 +155,7 @@ def prefixes(docs: DataFrame, words: int, percent: int, heavy) -> DataFrame:
                 if i is None or d is None or (d, i) in seen:
                     continue
                 seen.add((d, i))
-                long = prefix_lengths(len(x), percent)[1]
+                long = prefix_length(len(x), percent)
                 if len(token):
                     at = np.searchsorted(token, x)
                     at[at == len(token)] = 0
@@ -192,8 +196,8 @@ def full_sets(docs: DataFrame, words: int, functions: int) -> DataFrame:
 
         def one(ids, texts):
             found = [(i, x) for i, x in zip(ids, shingles(texts)) if len(x)]
-            for lo in range(0, len(found), 512):
-                reps, sets = zip(*found[lo : lo + 512])
+            for lo in range(0, len(found), 128):
+                reps, sets = zip(*found[lo : lo + 128])
                 marks, n = bitmaps(sets), np.array([len(x) for x in sets])
                 starts = np.cumsum([0, *n[:-1]])
                 flat = np.concatenate(sets)
@@ -208,33 +212,45 @@ def full_sets(docs: DataFrame, words: int, functions: int) -> DataFrame:
 # ---------------------------------------------------------------- the tree
 
 
+def common_prefix(total, larger, percent: int):
+    """How many shingles the prefixes of two linked sets share at least, from both sizes' sum and the larger size.
+
+    The set whose prefix ends first in the global order has in it at most n - overlap shingles
+    that the other set lacks; the others are in the other's prefix as well.
+    """
+    return 1 - (-percent * total // (100 + percent)) + (-percent * larger // 100)
+
+
+def may_link(level: list[np.ndarray], i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of a level's nodes (or texts) may hold a link between different components."""
+    bits, least, most, extra, low, high, firsts = level
+    ok = (low[i] != high[i]) | (low[j] != high[j]) | (low[i] != low[j])
+    ok &= (100 * most[i] >= percent * least[j]) & (100 * most[j] >= percent * least[i])
+    ok &= np.minimum(firsts[i], firsts[j]) >= common_prefix(least[i] + least[j], np.maximum(most[i], most[j]), percent)
+    at = np.flatnonzero(ok)
+    for lo in range(0, len(at), 50_000):
+        a = at[lo : lo + 50_000]
+        shared = np.bitwise_count(bits[i[a]] & bits[j[a]]).sum(1, dtype=np.int64) + np.minimum(extra[i[a]], extra[j[a]])
+        shared = np.minimum(shared, np.minimum(most[i[a]], most[j[a]]))
+        ok[a] = (100 + percent) * shared >= percent * (least[i[a]] + least[j[a]])
+    return ok
+
+
 class SignatureTree:
     """Texts in order of size under nodes of FAN children each; see the module's text."""
 
     FAN = 8
 
-    def __init__(self, bits: np.ndarray, n: np.ndarray, extra: np.ndarray, comp: np.ndarray, percent: int):
+    def __init__(self, bits: np.ndarray, n: np.ndarray, extra: np.ndarray, comp: np.ndarray, percent: int, shared: np.ndarray | None = None):
+        """shared: how many of each set's prefix shingles are in another set's prefix."""
         self.percent, self.order = percent, np.argsort(n, kind="stable")
-        level = [bits[self.order], n[self.order], n[self.order], extra[self.order], comp[self.order], comp[self.order]]
+        level = [x[self.order] for x in (bits, n, n, extra, comp, comp, n if shared is None else shared)]
         self.levels = [level]
         while len(level[0]) > self.FAN:
             starts = np.arange(0, len(level[0]), self.FAN)
-            level = [f.reduceat(x, starts) for f, x in zip((np.bitwise_or, np.minimum, np.maximum, np.maximum, np.minimum, np.maximum), level)]
+            level = [f.reduceat(x, starts) for f, x in zip((np.bitwise_or, np.minimum, np.maximum, np.maximum, np.minimum, np.maximum, np.maximum), level)]
             self.levels.append(level)
 
-    def possible(self, depth: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Which node pairs may hold a link between different components."""
-        bits, least, most, extra, low, high = self.levels[depth]
-        ok = (low[i] != high[i]) | (low[j] != high[j]) | (low[i] != low[j])
-        ok &= (100 * most[i] >= self.percent * least[j]) & (100 * most[j] >= self.percent * least[i])
-        at = np.flatnonzero(ok)
-        for lo in range(0, len(at), 50_000):
-            a = at[lo : lo + 50_000]
-            shared = np.bitwise_count(bits[i[a]] & bits[j[a]]).sum(1, dtype=np.int64) + np.minimum(extra[i[a]], extra[j[a]])
-            shared = np.minimum(shared, np.minimum(most[i[a]], most[j[a]]))
-            ok[a] = (100 + self.percent) * shared >= self.percent * (least[i[a]] + least[j[a]])
-        return ok
-
     def pairs(self, limit: int = 200_000):
         """Pairs (i, j) of texts that may link, in runs of bounded length; depth first."""
         i, j = np.triu_indices(len(self.levels[-1][0]))
@@ -246,7 +262,7 @@ class SignatureTree:
                 continue
             if depth == 0:
                 i, j = i[i < j], j[i < j]
-            ok = self.possible(depth, i, j)
+            ok = may_link(self.levels[depth], i, j, self.percent)
             i, j = i[ok], j[ok]
             if not len(i):
                 continue
@@ -347,8 +363,11 @@ def labelled(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
 # ---------------------------------------------------------------- the sweep
 
 
-def shared_key_pairs(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Pairs (a, b) of different components that may link, from rows (key, part, rep, n, extra, comp, bits)."""
+def shared_key_pairs(rows: DataFrame, percent: int, limit: int | None) -> DataFrame:
+    """Pairs (key, part, a, b, m, n, more) of different components that may link, from rows (key, part, rep, n, extra, firsts, comp, bits); m and n are the sets' sizes.
+
+    A key with more than ``limit`` such pairs gives one pair for each two components instead, with more = true.
+    """
 
     def run(batches):
         held = None
@@ -357,30 +376,47 @@ def shared_key_pairs(rows: DataFrame, percent: int, best_only: bool) -> DataFram
             key = table.column("key").to_numpy()
             part = table.column("part").to_numpy()
             new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])))
-            rep, n, extra, comp = (table.column(c).to_numpy() for c in ("rep", "n", "extra", "comp"))
+            rep, n, extra, comp, firsts = (table.column(c).to_numpy() for c in ("rep", "n", "extra", "comp", "firsts"))
             bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(rep), BITS // 64)
-            for lo, hi in zip(new.tolist(), [*new[1:].tolist(), len(rep)]):
-                if hi - lo < 2 or (comp[lo:hi] == comp[lo]).all():
+            ends = np.append(new[1:], len(rep))
+            end_of = np.repeat(ends, ends - new)
+            few = end_of - np.repeat(new, ends - new) <= SMALL
+            whole = [bits, n, n, extra, comp, comp, firsts]
+            for d in range(1, SMALL):
+                i = np.flatnonzero(few[:-d] & (np.arange(d, len(rep)) < end_of[:-d])) if len(rep) > d else np.empty(0, np.int64)
+                i = i[may_link(whole, i, i + d, percent)]
+                if len(i):
+                    yield key[i], part[i], rep[i], rep[i + d], n[i], n[i + d], False
+            large = ends - new > SMALL
+            for lo, hi in zip(new[large].tolist(), ends[large].tolist()):
+                if (comp[lo:hi] == comp[lo]).all():
                     continue
                 s = slice(lo, hi)
-                best: dict = {}
-                for i, j in SignatureTree(bits[s], n[s], extra[s], comp[s], percent).pairs():
+                found, count, best = [], 0, {}
+                for i, j in SignatureTree(bits[s], n[s], extra[s], comp[s], percent, firsts[s]).pairs():
                     i, j = i + lo, j + lo
-                    if not best_only:
-                        yield np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
+                    count += len(i)
+                    if limit is None:
+                        yield key[lo], part[lo], rep[i], rep[j], n[i], n[j], False
                         continue
-                    for a, b, x, y in zip(i.tolist(), j.tolist(), comp[i].tolist(), comp[j].tolist()):
-                        best.setdefault((min(x, y), max(x, y)), (a, b))
-                if best:
-                    a, b = (rep[list(x)] for x in zip(*best.values()))
-                    yield np.minimum(a, b), np.maximum(a, b)
+                    if count <= limit:
+                        found.append((i, j))
+                    low, high = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
+                    for at in np.unique(np.stack([low, high], 1), axis=0, return_index=True)[1].tolist():
+                        best.setdefault((int(low[at]), int(high[at])), (int(i[at]), int(j[at])))
+                if limit is None or not count:
+                    continue
+                i, j = (np.concatenate(x) for x in zip(*found)) if count <= limit else (np.array(x) for x in zip(*best.values()))
+                yield key[lo], part[lo], rep[i], rep[j], n[i], n[j], count > limit
 
         def out(table: pa.Table):
             found = list(pairs_of(table))
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
-                pairs = np.unique(np.stack([a, b], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                size = [len(x[2]) for x in found]
+                columns = [np.concatenate([np.broadcast_to(x[k], len(x[2])) for x in found]) for k in (0, 1)]
+                a, b, m, n = (np.concatenate([x[k] for x in found]) for k in (2, 3, 4, 5))
+                columns += [np.minimum(a, b), np.maximum(a, b), m, n, np.repeat([x[6] for x in found], size)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "part", "a", "b", "m", "n", "more"])
 
         for batch in batches:
             table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
@@ -395,20 +431,79 @@ def shared_key_pairs(rows: DataFrame, percent: int, best_only: bool) -> DataFram
         if held is not None and held.num_rows:
             yield from out(held)
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "key long, part long, a long, b long, m long, n long, more boolean")
+
+
+def sliced(batches, rows: int = 64):
+    """Pieces of Arrow batches, so that a task copies few sets at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
+def wide_bitmap(tokens: np.ndarray) -> np.ndarray:
+    """A bitmap of eight bits a token or more (up to 2**20), a power of two."""
+    width = 1 << min(20, max(9, (8 * len(tokens) - 1).bit_length()))
+    marks = np.zeros(width, bool)
+    marks[(tokens & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap as if its tokens had set bits in one of so many words."""
+    return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
+
+
+def narrowed(pairs: DataFrame, sets: DataFrame, percent: int, bucket_tokens: int = 4_000_000) -> DataFrame:
+    """The pairs of large sets (stored: key, part, a, b) that wide bitmaps don't rule out.
+
+    A pair belongs to one of the keys it shares; a bucket of keys gets each of its sets' bitmaps once, not once a pair.
+    """
+    members = pairs.select("key", "part", F.col("a").alias("rep"), "size").union(pairs.select("key", "part", F.col("b").alias("rep"), "size"))
+    total = members.groupBy("key", "part", "rep").agg(F.max("size").alias("size")).agg(F.sum("size")).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("key", "part"), F.lit(max(1, -(-total // bucket_tokens)))).alias("bucket")
+    wanted = store(members.select(bucket, "rep").distinct(), "members")
+
+    def widen(batches):
+        for batch in sliced(batches):
+            tokens = [np.frombuffer(x, np.uint64) for x in batch.column("tokens").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("bucket"), batch.column("rep"), pa.array([len(x) for x in tokens], pa.int64()), pa.array([wide_bitmap(x).tobytes() for x in tokens], pa.binary())], names=["bucket", "rep", "n", "bits"])
+
+    wide = with_sets(wanted, sets, "rep").select("bucket", "rep", "tokens").mapInArrow(widen, "bucket long, rep long, n long, bits binary")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        n = dict(zip(right.column("rep").to_pylist(), right.column("n").to_pylist()))
+        bits = {r: np.frombuffer(x, np.uint64) for r, x in zip(right.column("rep").to_pylist(), right.column("bits").to_pylist())}
+        keep = []
+        for a, b in zip(left.column("a").to_pylist(), left.column("b").to_pylist()):
+            words = min(len(bits[a]), len(bits[b]))
+            x, y = folded(bits[a], words), folded(bits[b], words)
+            extra = min(n[a] - int(np.bitwise_count(x).sum()), n[b] - int(np.bitwise_count(y).sum()))
+            shared = min(int(np.bitwise_count(x & y).sum()) + extra, n[a], n[b])
+            keep.append((100 + percent) * shared >= percent * (n[a] + n[b]))
+        return left.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select(bucket, "a", "b").groupBy("bucket").cogroup(wide.groupBy("bucket")).applyInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
             ok = [linked(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), percent) for p, q in zip(x, y)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    one = pairs.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("x")), "a")
-    return one.join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    left = with_sets(pairs, sets, "a").select("a", "b", F.col("tokens").alias("x"))
+    right = with_sets(pairs, sets, "b").select("a", "b", F.col("tokens").alias("y"))
+    return left.join(right, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def with_sets(rows: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """Stored rows with the set of the representative in a column. Few rows are broadcast, so that only their sets move."""
+    few = F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
+    return sets.select(F.col("rep").alias(column), "tokens").join(few, column)
 
 
 # ---------------------------------------------------------------- the join
@@ -419,10 +514,10 @@ BROADCAST_IDS = 400_000
 
 def by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """docs joined (left_semi or left_anti) with a stored table of ids, which is broadcast only if it is small."""
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int = 3, chunk_tokens: int = 1_000_000, chunk_rows: int = 4096) -> DataFrame:
+def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int = 3, chunk_tokens: int = 1_000_000, chunk_rows: int = 4096, key_pairs: int = 256) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
@@ -430,11 +525,11 @@ def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int =
     heavy = spark.sparkContext.broadcast(frequent(described))
     firsts = prefixes(docs, words, percent, heavy).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     nodes = store(firsts, "nodes")
-    small = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)) + 1
-    keys = nodes.select("rep", small.alias("small"), F.posexplode("prefix").alias("pos", "key")).select("key", "rep", (F.col("pos") < F.col("small")).alias("small"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("times"), F.max("small").alias("any")).where("times > 1 and any").select("key")
-    keys = store(keys.select("key", "rep").join(shared, "key", "left_semi"), "keys")
-    wanted = store(keys.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+    keys = nodes.select("rep", F.explode("prefix").alias("key"))
+    common = keys.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
+    keys = store(keys.join(common, "key", "left_semi"), "keys")
+    firsts = store(keys.groupBy("rep").agg(F.count(F.lit(1)).alias("firsts")), "firsts")
+    wanted = firsts.select(F.col("rep").alias("doc_id"))
     names = [f"h{j}" for j in range(rounds)]
     sets = store(full_sets(by_id(docs, wanted, "left_semi"), words, rounds), "sets")
 
@@ -443,11 +538,11 @@ def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int =
         known = labelled(sets.select("rep", "n", F.col(h).alias("part")), comps)
         groups = known.groupBy("part").agg(F.sum("n").alias("total"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("part", F.ceil(F.col("total") / chunk_tokens).alias("chunks"))
         chosen = known.join(groups, "part").select("rep", "comp", "part", F.pmod(F.xxhash64("rep", F.lit(j)), F.col("chunks")).alias("chunk"))
-        members = sets.select("rep", "tokens").join(chosen, "rep").select("part", "chunk", "rep", "comp", "tokens")
+        members = with_sets(store(chosen, "chosen"), sets, "rep").select("part", "chunk", "rep", "comp", "tokens")
         comps = relabel(tree_round(members, percent), comps)
 
-    narrow = sets.select("rep", "n", "extra", "bits")
-    for best_only in (True, False):
+    narrow = sets.select("rep", "n", "extra", "bits").join(firsts, "rep")
+    for limit in (key_pairs, None):
         now = labelled(keys, comps)
         open_ = now.groupBy("key").agg(F.count(F.lit(1)).alias("times"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
         open_ = open_.select("key", F.ceil(F.col("times") / chunk_rows).alias("chunks"))
@@ -457,8 +552,16 @@ def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int =
         rows = now.join(open_, "key").select("key", "rep", "comp", "chunks", own.alias("own"), other.alias("other"))
         rows = rows.select("key", "rep", "comp", (F.least("own", "other") * F.col("chunks") + F.greatest("own", "other")).alias("part"))
         rows = rows.join(narrow, "rep").repartition("key", "part").sortWithinPartitions("key", "part")
-        pairs = shared_key_pairs(rows, percent, best_only).distinct()
-        comps = relabel(verified(pairs, sets, percent), comps)
+        pairs = shared_key_pairs(rows, percent, limit).groupBy("a", "b").agg(F.min(F.struct("key", "part")).alias("k"), F.count(F.lit(1)).alias("times"), F.max("m").alias("m"), F.max("n").alias("n"), F.max("more").alias("more"))
+        # A pair comes once for each shingle that its prefixes share, unless a key gave only some pairs.
+        least = F.expr(f"1 + ceil({percent} * (m + n) / {100 + percent}) - ceil({percent} * greatest(m, n) / 100)")
+        pairs = pairs.where(F.col("more") | (F.col("times") >= least))
+        pairs = store(pairs.select("a", "b", "k.key", "k.part", F.greatest("m", "n").alias("size"), "more"), "pairs")
+        large = F.col("size") > BITS // 2
+        likely = pairs.where(~large).select("a", "b").unionByName(narrowed(pairs.where(large), sets, percent))
+        comps = relabel(verified(store(likely, "likely"), sets, percent), comps)
+        if pairs.where("more").isEmpty():
+            break
 
     of_digest = labelled(nodes.select("digest", "rep"), comps).groupBy("digest").agg(F.min("comp").alias("comp"))
     found = described.where("n is not null").join(of_digest, "digest", "left")
