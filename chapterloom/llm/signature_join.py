@@ -30,6 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,12 +45,14 @@ _EMPTY = np.empty(0, np.uint64)
 
 
 class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+    """64-bit hashes of words. The first words seen are kept, which are the frequent ones, and no more than LIMIT."""
+
+    LIMIT = 200_000
 
-        if len(self) > 150_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(self) < self.LIMIT:
+            self[word] = h
         return h
 
 
@@ -563,7 +566,8 @@ def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int =
         if pairs.where("more").isEmpty():
             break
 
-    of_digest = labelled(nodes.select("digest", "rep"), comps).groupBy("digest").agg(F.min("comp").alias("comp"))
+    # Stored, so that Spark may split a digest that very many copies share.
+    of_digest = store(labelled(nodes.select("digest", "rep"), comps).groupBy("digest").agg(F.min("comp").alias("comp")), "digests")
     found = described.where("n is not null").join(of_digest, "digest", "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
 
