@@ -61,7 +61,7 @@ def packed(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
 
 
-def with_text_columns(docs: DataFrame, make, fields: list[T.StructField], text_col: str = "text", keep=None, chunk_chars: int = 4_000_000) -> DataFrame:
+def with_text_columns(docs: DataFrame, make, fields: list[T.StructField], text_col: str = "text", keep=None, chunk_chars: int = 1_000_000) -> DataFrame:
     """Adds columns that are computed from the text column in Arrow batches.
 
     make() runs once for each task and gives a function from a list of texts (None for

@@ -237,11 +237,11 @@ def _scan(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_
     return with_text_columns(docs, make, FIELDS, text_col, keep, shard_chars)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text", block_chars: int = 16_000_000, shard_chars: int = 4_000_000) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text", block_chars: int = 16_000_000, shard_chars: int = 2_000_000) -> DataFrame:
     """Adds n_words, n_hit (words in a window's occurrence), item_ids (items with an occurring window) and the longest verbatim match (longest_match words from word longest_at on, of longest_item) to every document."""
     return _scan(docs, benchmark, window, id_col, text_col, block_chars, shard_chars)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text", block_chars: int = 16_000_000, shard_chars: int = 4_000_000) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text", block_chars: int = 16_000_000, shard_chars: int = 2_000_000) -> DataFrame:
     """The documents, unchanged, in which no window occurs."""
     return _scan(packed(docs, text_col), benchmark, window, id_col, text_col, block_chars, shard_chars, lambda new: [n == 0 for n in new[1]]).select("row.*")

@@ -47,7 +47,7 @@ def gram_codes(y: np.ndarray) -> np.ndarray:
     return np.concatenate([y[y != 32], two, three])
 
 
-def count_grams(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", hold: int = 2_000_000) -> DataFrame:
+def count_grams(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", hold: int = 1_000_000) -> DataFrame:
     """(lang, gram, n) over all texts. Each task sums its own rows first and holds about ``hold`` entries at most."""
 
     def run(batches):
