@@ -1,13 +1,14 @@
 """LM scoring: prediction by partial matching over bytes, and a unigram baseline.
 
 Training counts byte contexts of up to ORDER symbols with their successors, over all
-training texts: a distributed byte-context trie. The most frequent contexts (at most
-max_contexts, a model size; suffixes of a kept context are kept too) with all their
-successors make the model. A context gives a symbol that it has seen c of T times
+training texts: a distributed byte-context trie. Every context counts, however rare. A context gives a symbol that it has seen c of T times
 (2c - 1) / 2T, and escapes to its suffix with D / 2T, where D is its number of distinct
 successors (method D). After an escape, the symbols that the longer context knows are excluded from the shorter one's
-counts. All of this depends on the context alone, so the model is one table of
-log-probabilities and a text's code length is a sum of look-ups.
+counts. All of this depends on the context and the symbol alone, so a text's code length is a sum of look-ups.
+
+The most frequent contexts (max_contexts, which bounds memory and changes no result; suffixes of a kept context are kept too) are
+broadcast as a table of log-probabilities. A symbol after any other context is left to joins with the tables of
+counts: its distinct contexts are resolved order by order, from the empty context upwards.
 
 The baseline looks frequent tokens up in a broadcast of bounded size and joins the rest.
 
@@ -182,11 +183,28 @@ class Model:
         self.table = np.concatenate(tables)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        """log10 probability of each text and its end."""
+        """log10 probability of each text and its end by the kept contexts alone."""
         if not texts:
             return np.empty(0)
         codes, starts = codes_of(texts)
         codes, place = np.unique(codes, return_inverse=True)  # a text repeats most of its contexts
+        return np.add.reduceat(self.table[self._rows(codes), self.symbols[codes % SYMBOLS]].astype(np.float64)[place], starts)
+
+    def parts(self, texts: list[str | None]) -> tuple[np.ndarray, pa.ListArray]:
+        """log10 probability of the symbols of each text whose whole context is kept; the distinct codes of the others and how often each occurs."""
+        codes, starts = codes_of(texts)
+        codes, place = np.unique(codes, return_inverse=True)
+        row = self._rows(codes)
+        kept = row >= self.offsets[ORDER]
+        logs = np.where(kept, self.table[row, self.symbols[codes % SYMBOLS]], 0).astype(np.float64)
+        at = np.flatnonzero(~kept[place])
+        pairs, n = np.unique((np.searchsorted(starts, at, "right") - 1) * len(codes) + place[at], return_counts=True)
+        text, code = np.divmod(pairs, len(codes))
+        rest = pa.StructArray.from_arrays([pa.array(codes[code], pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
+        return np.add.reduceat(logs[place], starts), pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(texts) + 1)), pa.int32()), rest)
+
+    def _rows(self, codes: np.ndarray) -> np.ndarray:
+        """The table's row of the longest kept context of each code."""
         row, context = np.zeros(len(codes), np.int64), codes // SYMBOLS
         left = np.arange(len(codes))
         for j in range(1, len(self.levels)):
@@ -199,17 +217,21 @@ class Model:
             found = level[at] == own
             left = left[found]
             row[left] = at[found] + self.offsets[j]
-        return np.add.reduceat(self.table[row, self.symbols[codes % SYMBOLS]].astype(np.float64)[place], starts)
+        return row
 
 
-def learn(train: DataFrame, max_contexts: int = 100_000, text_col: str = "text") -> Model:
-    """The model from all training texts. The driver gets the kept contexts' successors: max_contexts * SYMBOLS rows at most."""
-    counts = store(count_contexts(train, text_col), "contexts")
-    grams = [counts]
+def count_levels(train: DataFrame, text_col: str = "text") -> list[DataFrame]:
+    """For each order (key, times) of all contexts with a successor, as stored tables."""
+    grams = [store(count_contexts(train, text_col), "contexts")]
     for j in range(ORDER, 0, -1):
         lower = grams[-1].groupBy((F.col("key") % SYMBOLS**j).alias("key")).agg(F.sum("times").alias("times"))
         grams.append(store(lower, f"contexts{j}"))
-    grams.reverse()
+    return grams[::-1]
+
+
+def learn(train: DataFrame, max_contexts: int = 100_000, text_col: str = "text", grams: list[DataFrame] | None = None) -> Model:
+    """The most frequent contexts' rows of the model of all training texts. The driver gets their successors: max_contexts * SYMBOLS rows at most."""
+    grams = grams or count_levels(train, text_col)
     totals = None
     for j, g in enumerate(grams):
         own = g.groupBy(F.expr(f"key div {SYMBOLS}").alias("context")).agg(F.sum("times").alias("times")).select(F.lit(j).alias("order"), "context", "times")
@@ -224,10 +246,60 @@ def learn(train: DataFrame, max_contexts: int = 100_000, text_col: str = "text")
     return Model(successors)
 
 
-def with_scores(docs: DataFrame, model: Model, out_col: str = "score", text_col: str = "text") -> DataFrame:
-    """Adds the model's log10 probability of each text."""
+def with_kept(docs: DataFrame, model: Model, out_col: str = "score", text_col: str = "text") -> DataFrame:
+    """Adds the log10 probability of what follows the model's contexts in each text, and <out_col>_rest: codes of all else, for with_rest()."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return with_text_columns(docs, lambda: lambda texts: [shared.value.scores(texts)], [T.StructField(out_col, T.DoubleType())], text_col, chunk_chars=1_000_000)
+    rest = T.ArrayType(T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType())]))
+    return with_text_columns(docs, lambda: lambda texts: list(shared.value.parts(texts)), [T.StructField(out_col, T.DoubleType()), T.StructField(f"{out_col}_rest", rest)], text_col, chunk_chars=1_000_000)
+
+
+def with_rest(rows: DataFrame, grams: list[DataFrame], out_col: str = "score") -> DataFrame:
+    """Completes the scores of with_kept(). rows are stored once, so long columns had better be dropped before."""
+    first = store(without(rows, ["score_row"]).withColumn("score_row", F.monotonically_increasing_id()), "scored")
+    rest = first.select("score_row", F.explode(f"{out_col}_rest").alias("r")).select("score_row", "r.key", "r.n")
+    logs = resolved(store(rest.select("key").distinct(), "rest"), grams)
+    more = rest.join(logs, "key").groupBy("score_row").agg(F.sum(F.col("n") * F.col("log")).alias("more"))
+    added = (F.col(f"`{out_col}`") + F.coalesce("more", F.lit(0.0))).alias(out_col)
+    names = [c for c in first.columns if c not in ("score_row", f"{out_col}_rest")]
+    return first.join(more, "score_row", "left").select(*[added if c == out_col else F.col(f"`{c}`") for c in names])
+
+
+def resolved(codes: DataFrame, grams: list[DataFrame]) -> DataFrame:
+    """(key, log): log10 probability by all contexts of each of the distinct codes.
+
+    Each order's distinct codes are joined to their counts, to their context's sums and to
+    what the order below has found, so no key has more than SYMBOLS rows. Of a
+    context, weight sums 2c - 1 and kinds counts its successors; rest and rest_kinds are the same of
+    its suffix without the excluded symbols.
+    """
+    weight = F.lit(2) * F.col("times") - 1
+    top = grams[0].agg(F.coalesce(F.sum(weight), F.lit(0)).alias("weight"), F.count(F.lit(1)).alias("kinds")).first()
+    never = -float(np.log10(max(1, SYMBOLS - top.kinds)))
+    away = never + (float(np.log10(top.kinds / (top.weight + top.kinds))) if top.kinds else 0.0)
+    log = F.when(F.col("times") > 0, F.log10(weight) - F.log10(F.lit(float(max(1, top.weight + top.kinds))))).otherwise(F.lit(away))
+    below = codes.select((F.col("key") % SYMBOLS).alias("key")).distinct().join(grams[0], "key", "left")
+    below = store(below.select("key", F.coalesce("times", F.lit(0)).alias("times"), log.alias("log"), F.lit(never).alias("escaped")), "resolved0")
+    sums = None
+    for j in range(1, ORDER + 1):
+        suffix, context = F.col("key") % SYMBOLS**j, F.expr(f"key div {SYMBOLS}")
+        both = grams[j].withColumn("suffix", suffix).join(grams[j - 1].select(F.col("key").alias("suffix"), (2 * F.col("times") - 1).alias("lower")), "suffix")
+        own = both.groupBy(context.alias("context")).agg(F.sum(weight).alias("weight"), F.count(F.lit(1)).alias("kinds"), F.sum("lower").alias("known"))
+        if j == 1:
+            own = own.withColumns({"rest": F.lit(top.weight) - F.col("known"), "rest_kinds": F.lit(top.kinds) - F.col("kinds")})
+        else:
+            lower = sums.select(F.col("context").alias("parent"), F.col("weight").alias("w"), F.col("kinds").alias("k"))
+            own = own.withColumn("parent", F.col("context") % SYMBOLS ** (j - 1)).join(lower, "parent").withColumns({"rest": F.col("w") - F.col("known"), "rest_kinds": F.col("k") - F.col("kinds")})
+        sums = store(own.select("context", "weight", "kinds", "rest", "rest_kinds"), f"sums{j}")
+        asked = codes.select((F.col("key") % SYMBOLS ** (j + 1)).alias("key")).distinct() if j < ORDER else codes
+        found = asked.join(grams[j], "key", "left").withColumns({"context": context, "suffix": suffix}).join(sums, "context", "left")
+        found = found.join(below.select(F.col("key").alias("suffix"), F.col("times").alias("times_below"), F.col("log").alias("log_below"), F.col("escaped").alias("escaped_below")), "suffix")
+        whole = F.log10(F.col("rest") + F.col("rest_kinds"))
+        # Where the longer context knows the symbol, this is null and not used.
+        escaped = F.when(F.col("times_below") > 0, F.log10(2 * F.col("times_below") - 1) - whole).otherwise(F.when(F.col("rest_kinds") > 0, F.log10("rest_kinds") - whole).otherwise(0.0) + F.col("escaped_below"))
+        total = F.log10(F.col("weight") + F.col("kinds"))
+        log = F.when(F.col("weight").isNull(), F.col("log_below")).when(F.col("times") > 0, F.log10(weight) - total).otherwise(F.log10("kinds") - total + escaped)
+        below = store(found.select("key", F.coalesce("times", F.lit(0)).alias("times"), log.alias("log"), escaped.alias("escaped")), f"resolved{j}")
+    return below.select("key", "log")
 
 
 # ---------------------------------------------------------------- the baseline

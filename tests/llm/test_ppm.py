@@ -73,6 +73,24 @@ def test_baseline_by_brute_force_and_edges(spark):
     assert ppm.with_baseline(docs.limit(0), train).count() == 0
 
 
+def test_rare_contexts_count_whatever_is_kept(spark):
+    rows = [(i, t) for i, t in enumerate([*TEXTS, "the bra", "zzz", "cat\nand", "é" * 40, "the hat and a cab", "the bra"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    train = docs.where("doc_id < 6")
+    grams, counts = ppm.count_levels(train), table(TEXTS, ppm.ORDER)
+    for kept in (1, 12, 100_000):
+        scored = ppm.with_kept(docs, ppm.learn(train, kept, grams=grams))
+        got = {r.doc_id: r.score for r in ppm.with_rest(scored, grams).collect()}
+        assert len(got) == len(rows)
+        for i, text in rows:
+            s = [ppm.END] * ppm.ORDER + list((text or "").encode().translate(ppm._LOWER)) + [ppm.END]
+            want = sum(math.log10(probability(counts, s[k - ppm.ORDER : k], s[k], ppm.ORDER)) for k in range(ppm.ORDER, len(s)))
+            assert got[i] == pytest.approx(want, rel=1e-6)
+    none = ppm.count_levels(docs.limit(0))
+    nothing = ppm.with_rest(ppm.with_kept(docs, ppm.learn(train, grams=none)), none).where("doc_id = 0").first()
+    assert nothing.score == pytest.approx(-12 * math.log10(ppm.SYMBOLS))
+
+
 def test_query_beats_nothing_learned(spark):
     rows = queries.op5_lm_scoring(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and all(r.score < 0 and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 1) for r in rows)
