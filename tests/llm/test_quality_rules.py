@@ -97,6 +97,26 @@ def test_outliers_go_and_edges(spark):
     assert Q.accepted(docs.limit(0)).count() == 0 and Q.judge(docs.limit(0)).count() == 0
 
 
+def test_moderate_outliers_go(spark):
+    rng = np.random.default_rng(8)
+    v = [a + b for a in ("alpha", "beta", "gamma", "delta", "omega", "sigma", "rho", "tau") for b in ("", "ne", "st", "ing", "or", "um")]
+    prose = [(i, " ".join(rng.choice(v, 120)) + "\n" + " ".join(rng.choice(v, 60)) + f" w{i}", "en", "a") for i in range(300)]
+    lines = [" ".join(rng.choice(v, 2, False)) for _ in range(60)]
+    repeated = (1000, "\n".join(x for _ in range(4) for x in rng.permutation(lines)), "en", "a")  # three quarters of the lines
+    symbols = (1001, " ".join(w + "|" * (k % 4 == 0) for k, w in enumerate(rng.choice(v, 200))), "en", "a")  # about 4 %
+    docs = spark.createDataFrame([*prose, repeated, symbols], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in Q.judge(docs).collect()}
+    assert all(got[r[0]].kept for r in prose)
+    assert not any(got[i].base_failed or got[i].kept for i in (1000, 1001))
+
+
+def test_labelled_texts(spark):
+    d = "/root/testdata/sf0.01"
+    rows = queries.op9_quality_rules(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("not base_failed").collect()
+    good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert len(good) > 200 and sum(good) >= 0.98 * len(good) and bad and not any(bad)
+
+
 def test_estimate_by_brute_force(spark):
     rng = np.random.default_rng(9)
     docs = [(i, " ".join(rng.choice([a + b for a in ("a", "bb", "Ccc", "d|d", "eeee", "f") for b in "uvwxyz"], 80)) + "\n" + " ".join(rng.choice(["a", "bb"], 8)), "en", "s") for i in range(400)]
