@@ -7,6 +7,10 @@ sets' sizes. A template can only reach the threshold t with a unit whose size is
 t / (2 - t) and (2 - t) / t times its own, so units outside all bounds are dropped by
 their word count, and an index from pairs to templates finds the few others to compare.
 
+A template that neither a line nor the whole text resembles is also compared with every run of
+consecutive lines, as licences are often wrapped; its best run, the first of equal ones, counts as a unit by the
+number of its first line. A run can only reach the threshold where the whole text has t / (2 - t) of the template's pairs.
+
 Defined results: null and empty texts, and units of fewer than two words, match nothing.
 Of equal Dice the template that sorts first wins, then the first unit. Repeated rows match alike.
 """
@@ -85,6 +89,49 @@ class Matcher:
                     found.append((dice, name))
         return found
 
+    def wrapped(self, lines: list[list[bytes]], whole: list[bytes], done: set[str]) -> list[tuple[float, str, int]]:
+        """(Dice, template, first line) of the best run of lines of each template that isn't done yet."""
+        if sum(map(bool, lines)) < 2:
+            return []
+        hits = Counter(name for p in {p for p in zip(whole, whole[1:]) if p in self.index} for name in self.index[p])
+        found, follow, first = [], [], None
+        for words in reversed(lines):
+            follow.append(first)
+            first = words[0] if words else first
+        follow.reverse()
+        for name, n in hits.items():
+            size = self.sizes[name]
+            if name in done or n < size / self.bound - 1e-9:
+                continue
+            best = (0.0, 0)
+            for lo in range(len(lines)):
+                # A run that is best begins with a line that shares a pair, by itself or with the next word.
+                if not lines[lo] or not any(name in self.index.get(p, ()) for p in zip(lines[lo], [*lines[lo][1:], follow[lo]])):
+                    continue
+                own, shared, last, since, end = set(), 0, None, set(), None
+                for hi in range(lo, len(lines)):
+                    words, before = lines[hi], len(own)
+                    for w in words:
+                        if last is not None and (last, w) not in own:
+                            own.add((last, w))
+                            shared += name in self.index.get((last, w), ())
+                        last = w
+                    if len(own) > size * self.bound + 1e-9:
+                        break
+                    if own and 2 * shared / (size + len(own)) > best[0]:
+                        best = 2 * shared / (size + len(own)), lo + 1
+                    # Lines that repeat all of the run are a run of their own, so that a text that repeats itself takes no quadratic time.
+                    if len(own) > before:
+                        since, end = set(), None
+                    elif words:
+                        since |= pairs(words if end is None else [end, *words])
+                        end = last
+                        if own and len(since) == len(own):
+                            break
+            if best[0] >= self.threshold:
+                found.append((best[0], name, best[1]))
+        return found
+
     def text(self, text: str | None):
         """(best template, its Dice, its unit, matching units, all templates)."""
         if not text:
@@ -96,6 +143,7 @@ class Matcher:
             whole = [w for x in lines for w in x]
             if len(whole) <= 4 * self.high or len(pairs(whole)) <= self.high:
                 found += [(dice, name, 0) for dice, name in self.unit(whole)]
+            found += self.wrapped(lines, whole, {x[1] for x in found})
         if not found:
             return None, None, None, 0, []
         dice, name, k = min(found, key=lambda x: (-x[0], x[1], x[2]))

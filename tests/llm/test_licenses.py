@@ -1,3 +1,5 @@
+import textwrap
+
 from chapterloom.llm import licenses as L
 
 
@@ -25,6 +27,23 @@ def test_bounds_lose_nothing():
         assert not want or abs(dice + want[0]) < 1e-12 and n >= 1 and name in names
 
 
+def test_wrapped_in_longer_texts():
+    m, prose = L.Matcher(), [f"line {k} of some other text, number {k * 7}, and more of it" for k in range(40)]
+    warranty = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'
+    for name in ("MIT-notice", "Apache-2.0-notice", "GPL-3.0-notice", "ISC", "MPL-2.0"):
+        for mark in ("", "# ", " * "):
+            body = [mark + x for x in textwrap.wrap(L.TEMPLATES[name], 70) + [""] + textwrap.wrap(warranty, 70)]
+            lines = [*prose, "", *body, "", *prose]
+            got = m.text("\n".join(lines))
+            assert (got[0], got[2]) == (name, 42) and got[1] > 0.9 and got[3] >= 1
+            runs = [(lo, L.pairs(L.normalised(" ".join(lines[lo:hi])))) for lo in range(36, 60) for hi in range(lo + 1, 62)]
+            own = L.pairs(L.normalised(L.TEMPLATES[name]))
+            assert abs(got[1] - max(2 * len(r & own) / (len(r) + len(own)) for _, r in runs)) < 1e-12
+    assert m.text("\n".join(prose))[0] is None
+    often = [*prose, *(textwrap.wrap(L.TEMPLATES["ISC"], 70) + ["in short"]) * 3000]
+    assert m.text("\n".join(often))[0] == "ISC"
+
+
 def test_operator_edges(spark):
     df = spark.createDataFrame([(1, None, 3), (2, "", 3), (3, "w " * 100_000 + "\nReleased under the MIT License.", 3), (3, "a", 3)], "doc_id long, text string, dice int")
     rows = L.scan(df).collect()
