@@ -50,6 +50,23 @@ def drop_scratch(spark: SparkSession) -> None:
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def most_frequent(counts: DataFrame, limit: int, column: str = "times") -> DataFrame:
+    """The rows of a stored table with the largest counts, limit rows at most.
+
+    Counts fall into some hundred classes, of which the highest that fit stay whole; nothing is sorted, so no
+    task gets limit rows of every other.
+    """
+    kind = F.floor(8 * F.log2(F.col(column)))
+    sizes = counts.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n")).collect()
+    left, least = limit, None
+    for row in sorted(sizes, key=lambda r: -r.kind):
+        left -= row.n
+        if left < 0:
+            break
+        least = row.kind
+    return counts.where(F.lit(False)) if least is None else counts.where(kind >= least)
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """df without the columns of these names, whatever their case."""
     low = {n.lower() for n in names}

@@ -3,7 +3,7 @@
 A text's set holds its distinct word shingles (64-bit hashes). Two texts link where
 100 * |intersection| >= percent * |union|; the result is each text's component.
 
-1. Equal sets collapse to one representative.
+1. Equal sets collapse to one node.
 2. A link needs a shared shingle among both sets' first ones in one global order
    (prefix filter). Shingles that many texts share come last in that order, which only
    affects speed. Representatives without a shared prefix shingle have no link, and the
@@ -20,8 +20,8 @@ A text's set holds its distinct word shingles (64-bit hashes). Two texts link wh
 
 Defined results: null and empty texts, and texts without a word, have an empty set, no
 link and their own id as component. Fewer words than a shingle make one shingle of the
-whole sequence. A null doc_id is never a component's id; a text linked with none but
-null ids has a null component. Rows that repeat a doc_id with other text are one node.
+whole sequence. A row without a doc_id takes part in no link; its component is that of rows with an
+equal set, else null. Texts of one doc_id count as linked with each other, empty ones too.
 """
 
 from __future__ import annotations
@@ -30,73 +30,54 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chapterloom.llm.common import runs, store
+from chapterloom.llm.common import most_frequent, packed, runs, store
+from chapterloom.llm.words import mix, word_hashes
 
 #: Bits of a token bitmap.
 BITS = 1024
 #: Texts of a key up to which a tree isn't worth while.
 SMALL = 8
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _EMPTY = np.empty(0, np.uint64)
 
 
-class _WordHash(dict):
-    """64-bit hashes of words. The first words seen are kept, which are the frequent ones, and no more than LIMIT."""
-
-    LIMIT = 200_000
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < self.LIMIT:
-            self[word] = h
-        return h
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A bijection that scatters 64-bit integers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Shingler:
     """Texts to sorted arrays of distinct shingle hashes."""
 
     def __init__(self, words: int = 5):
-        self.k, self.hash = words, _WordHash()
+        self.k = words
         odd = [int.from_bytes(hashlib.blake2b(f"shingle {j}".encode(), digest_size=8).digest(), "little") | 1 for j in range(words + 1)]
         self.odd = np.array(odd, np.uint64)
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        lines = [x.encode("utf-8", "surrogatepass").translate(_LOWER).split() if x else [] for x in texts]
-        flat = np.fromiter(map(self.hash.__getitem__, (w for x in lines for w in x)), np.uint64, sum(map(len, lines)))
+        flat, counts = word_hashes(texts)
         n = max(0, len(flat) - self.k + 1)
         sums = np.zeros(n, np.uint64)
         for j in range(self.k):
             sums += flat[j : j + n] * self.odd[j]
-        hashes = _mix(sums)
+        hashes = mix(sums)
         out, at = [], 0
-        for x in lines:
-            if len(x) >= self.k:
-                out.append(np.unique(hashes[at : at + len(x) - self.k + 1]))
-            elif x:
-                terms = np.append(flat[at : at + len(x)] * self.odd[: len(x)], self.odd[self.k :] * np.uint64(len(x)))
-                out.append(_mix(terms.sum(keepdims=True, dtype=np.uint64)))
+        for m in counts.tolist():
+            if m >= self.k:
+                own = np.sort(hashes[at : at + m - self.k + 1])
+                out.append(own[np.append(True, own[1:] != own[:-1])])
+            elif m:
+                terms = np.append(flat[at : at + m] * self.odd[:m], self.odd[self.k :] * np.uint64(m))
+                out.append(mix(terms.sum(keepdims=True, dtype=np.uint64)))
             else:
                 out.append(_EMPTY)
-            at += len(x)
+            at += m
         return out
 
 
-def digest(tokens: np.ndarray) -> bytes | None:
-    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
+def node_of(tokens: np.ndarray) -> int | None:
+    """What names a set: 64 bits of its digest; null for an empty one."""
+    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True) if len(tokens) else None
 
 
-def _per_text(docs: DataFrame, make, schema: str, chunk_chars: int = 1_500_000) -> DataFrame:
+def _per_text(docs: DataFrame, make, schema: str, chunk_chars: int = 1_000_000) -> DataFrame:
     """docs has an id and a text. make() gives a function from ids and texts to record batches."""
 
     def run(batches):
@@ -113,28 +94,33 @@ def _per_text(docs: DataFrame, make, schema: str, chunk_chars: int = 1_500_000)
 
 
 def describe(docs: DataFrame, words: int, repeated: int = 3) -> DataFrame:
-    """A row (doc_id, n, digest) for each text, and rows (token, times) for tokens that several texts of a chunk share."""
+    """A row (doc_id, n, node) for each text, and rows (token, times) for tokens that several texts of a chunk share."""
 
     def make():
         shingles = Shingler(words)
+        names, types = ["doc_id", "n", "node", "token", "times"], [pa.int64()] * 5
+
+        def rows(*columns):
+            m = max(len(c) for c in columns if c is not None)
+            return pa.RecordBatch.from_arrays([pa.nulls(m, t) if c is None else pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
         def one(ids, texts):
             sets = shingles(texts)
-            m = len(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([digest(x) for x in sets], pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], names=["doc_id", "n", "digest", "token", "times"])
+            yield rows(ids, [len(x) for x in sets], [node_of(x) for x in sets], None, None)
             token, times = np.unique(np.concatenate(sets), return_counts=True)
-            token, times = token[times >= repeated], times[times >= repeated]
-            if m := len(token):
-                yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(token.view(np.int64)), pa.array(times.astype(np.int64))], names=["doc_id", "n", "digest", "token", "times"])
+            often = times >= repeated
+            if often.any():
+                yield rows(None, None, None, token[often].view(np.int64), times[often])
 
         return one
 
-    return _per_text(docs, make, "doc_id long, n long, digest binary, token long, times long")
+    return _per_text(docs, make, "doc_id long, n long, node long, token long, times long")
 
 
 def frequent(described: DataFrame, least: int = 48, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shared tokens (most at most, which is what is broadcast) and their counts, by token."""
-    rows = described.where("token is not null").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= least).orderBy(F.col("times").desc(), "token").limit(most).toArrow()
+    """The most frequent shared tokens (most at most, which is what is broadcast) and their counts, by token. They only order tokens."""
+    rows = store(described.where("token is not null").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= least), "frequent")
+    rows = most_frequent(rows, most).toArrow()
     token, times = rows.column("token").to_numpy().view(np.uint64), rows.column("times").to_numpy()
     by = np.argsort(token)
     return token[by], times[by]
@@ -146,7 +132,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def prefixes(docs: DataFrame, words: int, percent: int, heavy) -> DataFrame:
-    """(doc_id, n, digest, prefix) with each text's first tokens in the global order: rare ones by hash, then frequent ones by count."""
+    """(doc_id, n, node, prefix) with each text's first tokens in the global order: rare ones by hash, then frequent ones by count."""
 
     def make():
         shingles, (token, times) = Shingler(words), heavy.value
@@ -154,10 +140,10 @@ def prefixes(docs: DataFrame, words: int, percent: int, heavy) -> DataFrame:
         def one(ids, texts):
             rows, seen = [], set()
             for i, x in zip(ids, shingles(texts)):
-                d = digest(x)
-                if i is None or d is None or (d, i) in seen:
+                node = node_of(x)
+                if i is None or node is None or (node, i) in seen:
                     continue
-                seen.add((d, i))
+                seen.add((node, i))
                 long = prefix_length(len(x), percent)
                 if len(token):
                     at = np.searchsorted(token, x)
@@ -169,15 +155,15 @@ def prefixes(docs: DataFrame, words: int, percent: int, heavy) -> DataFrame:
                         first = np.concatenate([first, rest[np.lexsort((rest, count))][: long - len(first)]])
                 else:
                     first = x[:long]
-                rows.append((i, len(x), d, first.view(np.int64)))
+                rows.append((i, len(x), node, first.view(np.int64)))
             if rows:
-                ids, n, d, first = zip(*rows)
+                ids, n, nodes, first = zip(*rows)
                 offsets = np.cumsum([0, *map(len, first)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(d, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(first)))], names=["doc_id", "n", "digest", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(first)))], names=["doc_id", "n", "node", "prefix"])
 
         return one
 
-    return _per_text(docs, make, "doc_id long, n long, digest binary, prefix array<long>")
+    return _per_text(docs, make, "doc_id long, n long, node long, prefix array<long>")
 
 
 def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -195,16 +181,16 @@ def full_sets(docs: DataFrame, words: int, functions: int) -> DataFrame:
 
     def make():
         shingles = Shingler(words)
-        seeds = [_mix(np.array([j + 1], np.uint64))[0] for j in range(functions)]
+        seeds = [mix(np.array([j + 1], np.uint64))[0] for j in range(functions)]
 
         def one(ids, texts):
-            found = [(i, x) for i, x in zip(ids, shingles(texts)) if len(x)]
+            found = [(node_of(x), x) for x in shingles(texts) if len(x)]
             for lo in range(0, len(found), 128):
                 reps, sets = zip(*found[lo : lo + 128])
                 marks, n = bitmaps(sets), np.array([len(x) for x in sets])
                 starts = np.cumsum([0, *n[:-1]])
                 flat = np.concatenate(sets)
-                least = [np.minimum.reduceat(_mix(flat ^ s), starts).view(np.int64) for s in seeds]
+                least = [np.minimum.reduceat(mix(flat ^ s), starts).view(np.int64) for s in seeds]
                 yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(n), pa.array(n - np.bitwise_count(marks).sum(1, dtype=np.int64)), pa.array([x.tobytes() for x in marks], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary()), *map(pa.array, least)], names=["rep", "n", "extra", "bits", "tokens", *names])
 
         return one
@@ -520,28 +506,59 @@ def by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def repeated_ids(described: DataFrame) -> DataFrame | None:
+    """doc_id of the ids that come with several texts, stored; None if there are none."""
+    sizes = described.where("n is not null and doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("node").alias("full"), F.count(F.lit(1)).alias("times"))
+    found = store(sizes.where("low <> high or (full > 0 and full < times)").select("doc_id"), "repeated")
+    return None if found.isEmpty() else found
+
+
+def round_members(known: DataFrame, j: int, chunk_tokens: int, chunk_rows: int) -> DataFrame:
+    """(rep, comp, part, chunk) of the rows (rep, n, part, comp) whose part holds different components, in chunks of bounded size.
+
+    Parts with more than one chunk are few and are broadcast, so that no task gets all rows of one; so are all parts if
+    they are few.
+    """
+    groups = known.groupBy("part").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("rows"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    groups = store(groups.select("part", F.ceil(F.greatest(F.col("total") / chunk_tokens, F.col("rows") / chunk_rows)).alias("chunks")), "parts")
+    if groups.count() <= BROADCAST_IDS:
+        chosen = known.join(F.broadcast(groups), "part")
+    else:
+        large = groups.where("chunks > 1")
+        marked = known.join(F.broadcast(large) if large.count() <= BROADCAST_IDS else large, "part", "left")
+        one = marked.where("chunks is null").drop("chunks").join(groups.where("chunks = 1"), "part")
+        chosen = marked.where("chunks is not null").unionByName(one)
+    return chosen.select("rep", "comp", "part", F.pmod(F.xxhash64("rep", F.lit(j)), F.col("chunks")).alias("chunk"))
+
+
 def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int = 3, chunk_tokens: int = 1_000_000, chunk_rows: int = 4096, key_pairs: int = 256) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
     described = store(describe(docs, words), "described")
     heavy = spark.sparkContext.broadcast(frequent(described))
-    firsts = prefixes(docs, words, percent, heavy).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    firsts = prefixes(docs, words, percent, heavy).groupBy(F.col("node").alias("rep")).agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     nodes = store(firsts, "nodes")
+    heavy.destroy()
     keys = nodes.select("rep", F.explode("prefix").alias("key"))
     common = keys.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
     keys = store(keys.join(common, "key", "left_semi"), "keys")
     firsts = store(keys.groupBy("rep").agg(F.count(F.lit(1)).alias("firsts")), "firsts")
-    wanted = firsts.select(F.col("rep").alias("doc_id"))
     names = [f"h{j}" for j in range(rounds)]
-    sets = store(full_sets(by_id(docs, wanted, "left_semi"), words, rounds), "sets")
+    wanted = store(nodes.select("rep", "doc_id").join(firsts, "rep", "left_semi"), "wanted")
+    sets = store(full_sets(by_id(docs, wanted.select("doc_id"), "left_semi"), words, rounds), "sets")
+    repeated = repeated_ids(described)
+    if sets.count() > wanted.count():  # an id came with several texts, or with the same one again
+        sets = store(sets.join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "sets")
 
     comps = None
+    if repeated is not None:  # an id's texts are one node
+        texts = by_id(described.where("node is not null").select("doc_id", "node"), repeated, "left_semi")
+        least = texts.groupBy("doc_id").agg(F.min("node").alias("a"))
+        comps = relabel(texts.join(least, "doc_id").select("a", F.col("node").alias("b")), comps)
     for j, h in enumerate(names):
         known = labelled(sets.select("rep", "n", F.col(h).alias("part")), comps)
-        groups = known.groupBy("part").agg(F.sum("n").alias("total"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("part", F.ceil(F.col("total") / chunk_tokens).alias("chunks"))
-        chosen = known.join(groups, "part").select("rep", "comp", "part", F.pmod(F.xxhash64("rep", F.lit(j)), F.col("chunks")).alias("chunk"))
-        members = with_sets(store(chosen, "chosen"), sets, "rep").select("part", "chunk", "rep", "comp", "tokens")
+        members = with_sets(store(round_members(known, j, chunk_tokens, chunk_rows), "chosen"), sets, "rep").select("part", "chunk", "rep", "comp", "tokens")
         comps = relabel(tree_round(members, percent), comps)
 
     narrow = sets.select("rep", "n", "extra", "bits").join(firsts, "rep")
@@ -566,17 +583,28 @@ def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int =
         if pairs.where("more").isEmpty():
             break
 
-    # Stored, so that Spark may split a digest that very many copies share.
-    of_digest = store(labelled(nodes.select("digest", "rep"), comps).groupBy("digest").agg(F.min("comp").alias("comp")), "digests")
-    found = described.where("n is not null").join(of_digest, "digest", "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
+    # Stored, so that Spark may split a set that very many copies share.
+    named_nodes = labelled(nodes.select("rep", "doc_id"), comps)
+    least = named_nodes.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    of_node = store(named_nodes.join(least, "comp").select(F.col("rep").alias("node"), "component_id"), "components")
+    found = described.where("n is not null").select("doc_id", "n", "node").join(of_node, "node", "left")
+    found = found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    if repeated is None:
+        return found
+    own = by_id(found, repeated, "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("least"))
+    return found.join(own, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("least", "component_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
-    """The documents, unchanged, that have the least doc_id of their component; rows that repeat a doc_id count once."""
+    """The documents, unchanged, that have the least doc_id of their component.
+
+    Of rows that repeat a doc_id one stays, the least by its columns as JSON; rows without a doc_id all stay.
+    """
     found = store(components(docs, words, percent).select("doc_id", "component_id"), "components")
     gone = store(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     kept = by_id(docs, gone, "left_anti")
-    if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
-    return kept
+    twice = store(found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("doc_id"), "twice")
+    if twice.isEmpty():
+        return kept
+    packs = packed(by_id(kept, twice, "left_semi"), "doc_id").groupBy("doc_id").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return by_id(kept, twice, "left_anti").unionByName(packs.select("row.*"))

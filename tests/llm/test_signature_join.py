@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from chapterloom.llm import signature_join as S
 
@@ -64,6 +65,23 @@ def test_edges_and_one_of_each(spark):
     assert S.components(df.limit(0)).count() == 0
 
 
+def test_an_id_with_several_texts_is_one_node(spark):
+    a, b = " ".join(f"a{i}" for i in range(90)), " ".join(f"b{i}" for i in range(90))
+    rows = [(1, a), (5, a), (5, b), (9, b), (9, ""), (12, ""), (12, "x"), (3, "x"), (20, b), (20, b), (30, ""), (None, b), (None, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in S.components(df).collect()}
+    assert got == {(1, 1), (5, 1), (9, 1), (20, 1), (3, 3), (12, 3), (30, 30), (None, 1), (None, None)}
+    kept = S.one_of_each(df.withColumn("row", F.lit(1)))
+    assert kept.columns == ["doc_id", "text", "row"] and sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == [1, 3, 30]
+
+
+def test_parts_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(S, "BROADCAST_IDS", 0)
+    rows = noisy(6, 60)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in S.components(spark.createDataFrame(rows, "doc_id long, text string"), chunk_tokens=500).collect()}
+    assert got == brute(rows)
+
+
 def test_tree_loses_no_link():
     random.seed(2)
     universe = np.unique(np.random.default_rng(1).integers(0, 2**63, 4000).astype(np.uint64))
