@@ -10,23 +10,24 @@ The most frequent contexts (max_contexts, which bounds memory and changes no res
 broadcast as a table of log-probabilities. A symbol after any other context is left to joins with the tables of
 counts: its distinct contexts are resolved order by order, from the empty context upwards.
 
-The baseline looks frequent tokens up in a broadcast of bounded size and joins the rest.
+The baseline looks frequent tokens up in a broadcast of bounded size and joins the rest. One pass over the texts
+does both.
 
 Defined results: a null or empty text is just the end symbol. With nothing to learn from,
 every symbol has the same probability. A-Z are lower-cased. Tokens are told apart by
-64-bit hashes. Rows that repeat an id are scored each.
+64-bit hashes. Rows that repeat an id are scored each. Columns of OUTPUTS' names are replaced, the text is left out.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chapterloom.llm.common import runs, store, with_text_columns, without
+from chapterloom.llm.common import most_frequent, runs, store, with_text_columns
+from chapterloom.llm.words import word_hashes
 
 ORDER = 5
 #: 256 bytes and the end of the text, which also stands before it.
@@ -92,7 +93,7 @@ def _counted(docs: DataFrame, keys_of, text_col: str) -> DataFrame:
         function, tally = keys_of(), Tally()
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            for lo, hi in runs(texts, 2_000_000):
+            for lo, hi in runs(texts, 1_000_000):
                 if tally.add(function(texts[lo:hi])):
                     yield from tally.batches()
         yield from tally.batches()
@@ -100,26 +101,14 @@ def _counted(docs: DataFrame, keys_of, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "key long, times long").groupBy("key").agg(F.sum("times").alias("times"))
 
 
-class TokenHash(dict):
-    """64-bit hashes of words. The first words seen are kept, which are the frequent ones, and no more than LIMIT."""
-
-    LIMIT = 200_000
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < self.LIMIT:
-            self[word] = h
-        return h
-
-
-def token_hashes(texts: list[str | None], known: TokenHash) -> tuple[np.ndarray, np.ndarray]:
+def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, each text's end included, and how many each text has."""
-    lines = [x.encode("utf-8", "surrogatepass").translate(_LOWER).split() if x else [] for x in texts]
-    n = np.array([len(x) + 1 for x in lines], np.int64)
+    words, n = word_hashes(texts)
+    n = n + 1
     out = np.full(int(n.sum()), END_TOKEN, np.uint64)
-    ends = np.zeros(len(out), bool)
-    ends[np.cumsum(n) - 1] = True
-    out[~ends] = np.fromiter(map(known.__getitem__, (w for x in lines for w in x)), np.uint64, len(out) - len(lines))
+    inner = np.ones(len(out), bool)
+    inner[np.cumsum(n) - 1] = False
+    out[inner] = words
     return out.view(np.int64), n
 
 
@@ -128,11 +117,7 @@ def count_contexts(train: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def count_tokens(train: DataFrame, text_col: str = "text") -> DataFrame:
-    def keys_of():
-        known = TokenHash()
-        return lambda texts: token_hashes(texts, known)[0]
-
-    return _counted(train, keys_of, text_col)
+    return _counted(train, lambda: lambda texts: token_hashes(texts)[0], text_col)
 
 
 # ---------------------------------------------------------------- the model
@@ -230,13 +215,16 @@ def count_levels(train: DataFrame, text_col: str = "text") -> list[DataFrame]:
 
 
 def learn(train: DataFrame, max_contexts: int = 100_000, text_col: str = "text", grams: list[DataFrame] | None = None) -> Model:
-    """The most frequent contexts' rows of the model of all training texts. The driver gets their successors: max_contexts * SYMBOLS rows at most."""
+    """The most frequent contexts' rows of the model of all training texts: max_contexts at most, equally frequent ones all or none.
+
+    The driver gets their successors, max_contexts * SYMBOLS rows at most.
+    """
     grams = grams or count_levels(train, text_col)
     totals = None
     for j, g in enumerate(grams):
         own = g.groupBy(F.expr(f"key div {SYMBOLS}").alias("context")).agg(F.sum("times").alias("times")).select(F.lit(j).alias("order"), "context", "times")
         totals = own if totals is None else totals.union(own)
-    kept = store(totals.orderBy(F.col("times").desc(), "order", "context").limit(max_contexts), "kept")
+    kept = store(most_frequent(store(totals, "totals"), max_contexts), "kept")
     successors = []
     for j, g in enumerate(grams):
         rows = g.select(F.expr(f"key div {SYMBOLS}").alias("context"), (F.col("key") % SYMBOLS).alias("symbol"), "times")
@@ -246,24 +234,6 @@ def learn(train: DataFrame, max_contexts: int = 100_000, text_col: str = "text",
     return Model(successors)
 
 
-def with_kept(docs: DataFrame, model: Model, out_col: str = "score", text_col: str = "text") -> DataFrame:
-    """Adds the log10 probability of what follows the model's contexts in each text, and <out_col>_rest: codes of all else, for with_rest()."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rest = T.ArrayType(T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType())]))
-    return with_text_columns(docs, lambda: lambda texts: list(shared.value.parts(texts)), [T.StructField(out_col, T.DoubleType()), T.StructField(f"{out_col}_rest", rest)], text_col, chunk_chars=1_000_000)
-
-
-def with_rest(rows: DataFrame, grams: list[DataFrame], out_col: str = "score") -> DataFrame:
-    """Completes the scores of with_kept(). rows are stored once, so long columns had better be dropped before."""
-    first = store(without(rows, ["score_row"]).withColumn("score_row", F.monotonically_increasing_id()), "scored")
-    rest = first.select("score_row", F.explode(f"{out_col}_rest").alias("r")).select("score_row", "r.key", "r.n")
-    logs = resolved(store(rest.select("key").distinct(), "rest"), grams)
-    more = rest.join(logs, "key").groupBy("score_row").agg(F.sum(F.col("n") * F.col("log")).alias("more"))
-    added = (F.col(f"`{out_col}`") + F.coalesce("more", F.lit(0.0))).alias(out_col)
-    names = [c for c in first.columns if c not in ("score_row", f"{out_col}_rest")]
-    return first.join(more, "score_row", "left").select(*[added if c == out_col else F.col(f"`{c}`") for c in names])
-
-
 def resolved(codes: DataFrame, grams: list[DataFrame]) -> DataFrame:
     """(key, log): log10 probability by all contexts of each of the distinct codes.
 
@@ -302,49 +272,70 @@ def resolved(codes: DataFrame, grams: list[DataFrame]) -> DataFrame:
     return below.select("key", "log")
 
 
-# ---------------------------------------------------------------- the baseline
+# ---------------------------------------------------------------- scoring
+
+OUTPUTS = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+_REST = T.ArrayType(T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType())]))
+_FIELDS = [
+    T.StructField("log", T.DoubleType()),
+    T.StructField("rest", _REST),
+    T.StructField("n_tokens", T.LongType()),
+    T.StructField("n_known", T.LongType()),
+    T.StructField("base", T.DoubleType()),
+    T.StructField("rare", T.ArrayType(T.LongType())),
+]
 
 
-def with_baseline(docs: DataFrame, train: DataFrame, frequent: int = 400_000, text_col: str = "text") -> DataFrame:
-    """Adds n_tokens, n_known, train_tokens and base_score, the unigram model's log10 probability with half a count added to each token.
+def baseline_parts(texts: list[str | None], keys: np.ndarray, logs: np.ndarray) -> list:
+    """For each text the number of tokens, of those among the sorted keys, the sum of these's logs, and the others' hashes."""
+    hashes, n = token_hashes(texts)
+    doc = np.repeat(np.arange(len(texts)), n)
+    if len(keys):
+        at = np.searchsorted(keys, hashes)
+        at[at == len(keys)] = 0
+        often = keys[at] == hashes
+        base = np.bincount(doc[often], logs[at[often]], len(texts)).astype(float)
+    else:
+        often, base = np.zeros(len(hashes), bool), np.zeros(len(texts))
+    offsets = np.append(0, np.cumsum(np.bincount(doc[~often], minlength=len(texts)))).astype(np.int32)
+    return [n, np.bincount(doc[often], minlength=len(texts)), base, pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[~often]))]
 
-    The ``frequent`` most frequent tokens are broadcast; what is rarer is joined by hash.
+
+def scored(docs: DataFrame, train: DataFrame, max_contexts: int = 100_000, frequent: int = 400_000, text_col: str = "text") -> DataFrame:
+    """Every row of docs without its text, and OUTPUTS: base_score is the unigram model's log10 probability (half a count added to each token), score the contexts'.
+
+    At most max_contexts contexts and ``frequent`` tokens are broadcast; what is rarer is joined. Neither changes the result.
     """
+    spark = docs.sparkSession
+    grams = count_levels(train, text_col)
+    model = learn(train, max_contexts, text_col, grams)
     counts = store(count_tokens(train, text_col), "tokens")
     total = counts.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.col("times").desc(), "key").limit(frequent).toArrow().sort_by("key")
-    shared = docs.sparkSession.sparkContext.broadcast((top.column("key").to_numpy(), top.column("times").to_numpy()))
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("base_log", T.DoubleType()), T.StructField("rare", T.ArrayType(T.LongType()))]
+    top = most_frequent(counts, frequent).toArrow().sort_by("key")
+    shared = spark.sparkContext.broadcast((model, top.column("key").to_numpy(), np.log10(top.column("times").to_numpy() + 0.5)))
 
     def make():
-        keys, times = shared.value
-        logs, known = np.log10(times + 0.5), TokenHash()
-
         def one(texts):
-            hashes, n = token_hashes(texts, known)
-            doc = np.repeat(np.arange(len(texts)), n)
-            at = np.searchsorted(keys, hashes)
-            at[at == len(keys)] = 0
-            often = keys[at] == hashes if len(keys) else np.zeros(len(hashes), bool)
-            base = np.bincount(doc[often], logs[at[often]] if len(keys) else None, len(texts)).astype(float)
-            count = np.bincount(doc[~often], minlength=len(texts))
-            offsets = np.append(0, np.cumsum(count)).astype(np.int32)
-            rare = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[~often]))
-            return [n, np.bincount(doc[often], minlength=len(texts)), base, rare]
+            own, keys, logs = shared.value
+            return [*own.parts(texts), *baseline_parts(texts, keys, logs)]
 
         return one
 
-    if not top.num_rows:
-        shared = docs.sparkSession.sparkContext.broadcast((np.zeros(1, np.int64) - 1, np.zeros(1, np.int64)))
-    base = without(docs, ["row_id"]).withColumn("row_id", F.monotonically_increasing_id())
-    first = store(without(with_text_columns(base, make, fields, text_col, chunk_chars=1_000_000), [text_col]), "baseline")
+    # Columns go by their place, so that none clashes with those that are made on the way.
+    kept = [c for c in docs.columns if c.lower() not in {text_col.lower(), *OUTPUTS}]
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)], F.col(f"`{text_col}`").alias("text"))
+    first = store(with_text_columns(rows, make, _FIELDS, chunk_chars=500_000).drop("text"), "scored")
+    rest = first.select("row_id", F.explode("rest").alias("r")).select("row_id", "r.key", "r.n")
+    logs = resolved(store(rest.select("key").distinct(), "rest"), grams)
+    more = rest.join(logs, "key").groupBy("row_id").agg(F.sum(F.col("n") * F.col("log")).alias("more"))
     rare = first.select("row_id", F.explode("rare").alias("key")).join(counts, "key", "left")
-    more = rare.groupBy("row_id").agg(F.sum(F.log10(F.coalesce("times", F.lit(0)) + 0.5)).alias("more_log"), F.count("times").alias("more_known"))
+    rare = rare.groupBy("row_id").agg(F.sum(F.log10(F.coalesce("times", F.lit(0)) + 0.5)).alias("more_base"), F.count("times").alias("more_known"))
     scale = F.log10(F.lit(total.n) + F.lit(0.5) * (total.v + 1))
-    return first.join(more, "row_id", "left").select(
-        *[F.col(f"`{c}`") for c in first.columns if c not in ("row_id", "n_tokens", "n_known", "base_log", "rare")],
+    return first.join(more, "row_id", "left").join(rare, "row_id", "left").select(
+        *[F.col(f"c{k}").alias(c) for k, c in enumerate(kept)],
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(total.n).cast("long").alias("train_tokens"),
-        (F.col("base_log") + F.coalesce("more_log", F.lit(0.0)) - F.col("n_tokens") * scale).alias("base_score"),
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n_tokens") * scale).alias("base_score"),
+        (F.col("log") + F.coalesce("more", F.lit(0.0))).alias("score"),
     )

@@ -62,9 +62,7 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", held_out(5, 1).alias("held_out"))
     train = docs.where(~F.col("held_out"))
-    grams = ppm.count_levels(train)
-    scored = ppm.with_baseline(ppm.with_kept(docs, ppm.learn(train, grams=grams)), train)
-    return ppm.with_rest(scored, grams).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return ppm.scored(docs, train).select("doc_id", "held_out", *ppm.OUTPUTS)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
