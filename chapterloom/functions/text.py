@@ -18,6 +18,8 @@ STOP_WORDS = ["the", "of", "a", "an", "and", "s"]
 # Categories of terms.
 CATEGORIES = ["person", "place", "organization", "technique", "rank_title", "item", "creature", "other"]
 
+#: White space, all of Unicode's, as characters and as a class of a pattern.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _SPACE = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 #: A numbered token, as a Java pattern with the id in group 1.
@@ -32,11 +34,16 @@ def col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without white space at either end, all of Unicode's."""
-    return F.regexp_replace(col(c), f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(col(c), F.lit(BLANKS))
 
 
 def rstrip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), f"{_SPACE}+$", "")
+    return F.rtrim(col(c), F.lit(BLANKS))
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, also where body uses it for each element of an array."""
+    return F.transform(F.array(value), body)[0]
 
 
 def lines(c: Column | str) -> Column:
@@ -47,8 +54,8 @@ def lines(c: Column | str) -> Column:
 
 def section(c: Column | str, tag: str) -> Column:
     """What stands between the first <tag> and the next </tag>, stripped; null where there is none."""
-    pattern = f"(?s)<{tag}>(.*?)</{tag}>"
-    return F.when(col(c).rlike(pattern), strip(F.regexp_extract(col(c), pattern, 1)))
+    rest = F.split(F.try_element_at(F.split(col(c), f"<{tag}>", 2), F.lit(2)), f"</{tag}>", 2)
+    return let(rest, lambda r: F.when(F.size(r) == 2, strip(r[0])))
 
 
 def filled(c: Column) -> Column:
@@ -69,6 +76,32 @@ def occurs(key: Column, source: Column) -> Column:
     return F.contains(source, key) & F.regexp_like(source, pattern)
 
 
+def hangul_runs(c: Column | str) -> Column:
+    """The distinct runs of Hangul syllables of a text."""
+    return F.array_distinct(F.regexp_extract_all(col(c), F.lit("[가-힣]+"), F.lit(0)))
+
+
+def is_run(key: Column) -> Column:
+    """Whether a term is Hangul syllables only."""
+    return key.rlike(r"\A[가-힣]+\z")
+
+
+def standing(keys: Column, runs: Column) -> Column:
+    """Those of distinct keys (each a run of Hangul) that stand in a text on their own, from the text's runs.
+
+    Such a key begins a run, and what is left of the run is nothing or begins with a particle: the same as occurs(),
+    by one look-up of all runs' beginnings.
+    """
+    longest = F.greatest(F.coalesce(F.array_max(F.transform(keys, F.length)), F.lit(1)), F.lit(1))
+    beginnings = let(longest, lambda n: F.flatten(F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), F.least(F.length(r), n)), lambda k: F.substring(r, F.lit(1), k)))))
+    particle = "^(?:" + "|".join(PARTICLES) + ")"
+
+    def stands(key):
+        return F.exists(runs, lambda r: F.startswith(r, key) & ((F.length(r) == F.length(key)) | F.substring(r, F.length(key) + 1, F.length(r)).rlike(particle)))
+
+    return F.filter(F.array_intersect(keys, beginnings), stands)
+
+
 def word_list(c: Column) -> Column:
     """Lower-case words of 0-9, a-z and hyphens."""
     return F.filter(F.array_distinct(F.split(F.lower(c), r"[^0-9a-z\-]+")), lambda w: w != "")

@@ -105,7 +105,7 @@ def translation_requests(chapters: DataFrame, summaries: DataFrame, glossary: Da
 
 
 def repair_requests(defects: DataFrame, pairs: DataFrame, glossary: DataFrame, prompt: str = "REPAIR", max_tokens: int = 16_000) -> DataFrame:
-    """(slug, chapter, request) of the chapters that need repair."""
+    """(slug, chapter, request) of the chapters that need repair; the glossary goes along only with invalid tokens."""
     bad = defects.where("needs_repair").select("slug", "chapter", "forgotten", F.array_sort(F.array_distinct("invalid")).alias("invalid"))
     rows = bad.join(pairs.select("slug", "chapter", "source", "raw"), ["slug", "chapter"]).join(placeholder_block(glossary), "slug", "left")
     missed = F.array_join(F.transform("forgotten", lambda t: F.concat(t["korean"], F.lit(" | "), t["token"])), "\n")
@@ -116,7 +116,7 @@ def repair_requests(defects: DataFrame, pairs: DataFrame, glossary: DataFrame, p
         F.when(F.size("forgotten") > 0, F.concat(F.lit("<missed>\n"), missed, F.lit("\n</missed>"))),
         F.when(F.size("invalid") > 0, F.concat(F.lit("<invalid>\n"), F.array_join("invalid", "\n"), F.lit("\n</invalid>"))),
     )
-    return rows.select("slug", "chapter", request(_id("repair"), [F.lit(prompt), F.col("block")], message, max_tokens).alias("request"))
+    return rows.select("slug", "chapter", request(_id("repair"), [F.lit(prompt), F.when(F.size("invalid") > 0, F.col("block"))], message, max_tokens).alias("request"))
 
 
 def arc_requests(summaries: DataFrame, every: int = 5, prompt: str = "ARC") -> DataFrame:

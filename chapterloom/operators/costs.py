@@ -36,8 +36,8 @@ def parse_failure_rate(calls: DataFrame, by: str = "variant") -> DataFrame:
 
 
 def variant_compare(costed: DataFrame, variants: tuple[str, ...] = ("combined", "split")) -> DataFrame:
-    """A row for each tag with calls, parsed ones and cost of each variant side by side."""
-    sums = costed.groupBy("tag").pivot("variant", list(variants)).agg(F.count(F.lit(1)).alias("calls"), F.count_if("parse_ok").alias("ok"), F.sum("cost_usd").alias("cost"))
+    """A row for each tag with calls, parsed ones, terms and cost of each variant side by side."""
+    sums = costed.groupBy("tag").pivot("variant", list(variants)).agg(F.count(F.lit(1)).alias("calls"), F.count_if("parse_ok").alias("ok"), F.sum("terms").alias("terms"), F.sum("cost_usd").alias("cost"))
     return sums.na.fill(0)
 
 
@@ -91,6 +91,17 @@ def judge_tally(verdicts: DataFrame) -> DataFrame:
     return judge_winner(verdicts).groupBy("winner").agg(F.count(F.lit(1)).alias("times"))
 
 
+def judge_by_model(verdicts: DataFrame) -> DataFrame:
+    """(model, judged, wins, ties, unparsed): how each model fared in the pairs it was part of."""
+    rows = judge_winner(verdicts).select(F.explode(F.array("a", "b")).alias("model"), "winner")
+    return rows.groupBy("model").agg(
+        F.count(F.lit(1)).alias("judged"),
+        F.count_if(F.col("winner") == F.col("model")).alias("wins"),
+        F.count_if(F.col("winner") == "tie").alias("ties"),
+        F.count_if(F.col("winner") == "judge_parse_error").alias("unparsed"),
+    )
+
+
 def cost_projection(costed: DataFrame, chapters: int = 1_000_000, by: list[str] = ["model", "batch"]) -> DataFrame:
     """Mean cost of a chapter in each scenario, and of a corpus of so many."""
     per = costed.groupBy(*by, "chapter").agg(F.sum("cost_usd").alias("c")).groupBy(*by).agg(F.avg("c").alias("per_chapter"))

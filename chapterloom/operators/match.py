@@ -1,15 +1,16 @@
 """Finding glossary terms in chapters and scoring translations by them.
 
-A book's glossary (some hundred terms) is one array a book; a chapter's row filters it, so
-chapter texts are neither copied for each term nor exploded.
+A book's glossary (some hundred terms) is one array a book that joins each chapter's row, so
+chapter texts are neither copied for each term nor exploded. Terms of Hangul alone are found by intersecting them with the
+beginnings of the text's Hangul runs; only other terms (with blanks, Latin letters, ...) search the text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chapterloom.functions.text import adherent, occurs, word_list
+from chapterloom.functions.text import adherent, hangul_runs, is_run, let, occurs, standing, word_list
 
 
 def book_terms(glossary: DataFrame) -> DataFrame:
@@ -18,10 +19,19 @@ def book_terms(glossary: DataFrame) -> DataFrame:
     return glossary.groupBy("slug").agg(F.array_sort(F.collect_list(term)).alias("terms"), F.count(F.lit(1)).alias("n_terms"))
 
 
+def found_keys(terms: Column, text: Column) -> Column:
+    """The distinct keys of a book's terms that stand in a text on their own."""
+    keys = F.array_distinct(F.transform(terms, lambda t: t["korean"]))
+    own = let(hangul_runs(text), lambda runs: standing(F.filter(keys, is_run), runs))
+    other = F.filter(keys, lambda k: ~is_run(k) & occurs(k, text))
+    return F.coalesce(F.concat(own, other), F.array().cast("array<string>"))
+
+
 def with_present(chapters: DataFrame, glossary: DataFrame) -> DataFrame:
-    """Adds present: the terms that occur in the chapter's text."""
+    """Adds present: the terms that occur in the chapter's text, none for a book without a glossary or a chapter without text."""
     joined = chapters.join(book_terms(glossary), "slug", "left")
-    return joined.withColumn("present", F.coalesce(F.filter("terms", lambda t: occurs(t["korean"], F.col("text"))), F.array())).drop("terms", "n_terms")
+    present = let(found_keys(F.col("terms"), F.col("text")), lambda keys: F.filter("terms", lambda t: F.array_contains(keys, t["korean"])))
+    return joined.withColumn("present", F.coalesce(present, F.array())).drop("terms", "n_terms")
 
 
 def terms_in_source(chapters: DataFrame, glossary: DataFrame) -> DataFrame:
@@ -36,10 +46,11 @@ def check_adherence(chapters: DataFrame, translations: DataFrame, glossary: Data
     """
     source = with_present(chapters.select("slug", "chapter", "text"), glossary).drop("text")
     rows = source.join(translations.select("slug", "chapter", F.col("text").alias("translation")), ["slug", "chapter"], "left")
-    rows = rows.withColumns({"low": F.lower("translation"), "words": word_list(F.col("translation"))})
-    wrong = F.filter("present", lambda t: ~adherent(t["english"], F.col("low"), F.col("words")))
+    read = F.struct(F.lower("translation").alias("low"), word_list(F.col("translation")).alias("words"))
+    wrong = let(read, lambda r: F.filter("present", lambda t: ~adherent(t["english"], r["low"], r["words"])))
     there = F.col("translation").isNotNull()
-    return rows.select("slug", "chapter", F.when(there, F.size("present")).alias("present"), F.when(there, wrong).alias("violations"), (~there).alias("missing"))
+    rows = rows.withColumn("violations", F.when(there, wrong))
+    return rows.select("slug", "chapter", F.when(there, F.size("present")).alias("present"), "violations", (~there).alias("missing"))
 
 
 def percent(ok: str, present: str):
@@ -73,12 +84,17 @@ def violations_by_term(checked: DataFrame, top: int | None = None) -> DataFrame:
 
 
 def adherence_by_repeat(checked: DataFrame) -> DataFrame:
-    """(experiment, repeat, chapters, failed, present, violations): repeats whose reply didn't parse are counted, not scored."""
+    """(experiment, repeat, chapters, failed, present, violations, missed): repeats whose reply didn't parse are counted, not scored.
+
+    missed: ko→en of each violation, by chapter, then id.
+    """
+    each = F.struct("chapter", F.transform("violations", lambda t: F.concat(t["korean"], F.lit("→"), t["english"])).alias("v"))
     return checked.groupBy("experiment", "repeat").agg(
         F.count(F.lit(1)).alias("chapters"),
         F.count_if(F.col("missing")).alias("failed"),
         F.coalesce(F.sum("present"), F.lit(0)).alias("present"),
         F.coalesce(F.sum(F.when(~F.col("missing"), F.size("violations"))), F.lit(0)).alias("violations"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.when(~F.col("missing"), each))), lambda c: c["v"])).alias("missed"),
     )
 
 

@@ -81,6 +81,12 @@ def parse_consolidated(replies: DataFrame) -> DataFrame:
     return rows.select("slug", "pos", *[F.col(f"t.{c}") for c in ("korean", "english", "category", "note", "enforce")])
 
 
+def consolidated_drops(replies: DataFrame) -> DataFrame:
+    """(slug, lines, dropped): how many of a consolidated glossary's lines are faulty."""
+    found = F.transform(F.filter(_bare_lines(section("raw", "glossary")), lambda x: F.contains(x, F.lit("|"))), term_line)
+    return replies.select("slug", found.alias("t")).select("slug", F.size("t").alias("lines"), F.size(F.filter("t", lambda t: t["error"].isNotNull())).alias("dropped"))
+
+
 def json_reply(replies: DataFrame) -> DataFrame:
     """(…, translation, chapter_summary, terms, parse_error) of a JSON reply, in a code fence or not; types are checked."""
     text = strip("raw")

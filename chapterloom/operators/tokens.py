@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chapterloom.functions import text as X
-from chapterloom.operators.match import book_terms
+from chapterloom.operators.match import book_terms, found_keys, percent
 
 
 def substitute(replies: DataFrame, ids: DataFrame, col: str = "raw") -> DataFrame:
@@ -28,7 +28,8 @@ def invalid_tokens(replies: DataFrame, sizes: DataFrame, col: str = "raw") -> Da
 
 def _invalid(c, n):
     pairs = F.arrays_zip(X.token_texts(c).alias("t"), X.token_ids(c).alias("i"))
-    return F.transform(F.filter(pairs, lambda p: ~F.coalesce(p["i"].between(1, n), F.lit(False))), lambda p: p["t"])
+    found = F.transform(F.filter(pairs, lambda p: ~F.coalesce(p["i"].between(1, n), F.lit(False))), lambda p: p["t"])
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def new_entities(replies: DataFrame, col: str = "raw") -> DataFrame:
@@ -49,9 +50,12 @@ def masked_terms(glossary: DataFrame) -> DataFrame:
 
 
 def _forgotten(terms, source, raw):
-    ids = X.token_ids(raw)
     masked = lambda t: F.aggregate(t["over"], source, lambda acc, o: F.replace(acc, o, F.lit("")))
-    missed = F.filter(terms, lambda t: t["enforce"] & ~F.coalesce(F.array_contains(ids, t["token_id"]), F.lit(False)) & F.contains(source, t["korean"]) & X.occurs(t["korean"], masked(t)))
+    # Only where a longer term hides a term is the text searched; else the keys found once are looked up.
+    hidden = lambda t: F.exists(t["over"], lambda o: F.contains(source, o))
+    alone = lambda t, keys: F.when(hidden(t), F.contains(source, t["korean"]) & X.occurs(t["korean"], masked(t))).otherwise(F.array_contains(keys, t["korean"]))
+    wanted = X.let(X.token_ids(raw), lambda ids: F.filter(terms, lambda t: t["enforce"] & ~F.coalesce(F.array_contains(ids, t["token_id"]), F.lit(False))))
+    missed = X.let(found_keys(terms, source), lambda keys: F.filter(wanted, lambda t: alone(t, keys)))
     return F.transform(missed, lambda t: F.struct(t["korean"].alias("korean"), F.concat(F.lit("[[G"), t["token_id"].cast("string"), F.lit("]]")).alias("token")))
 
 
@@ -62,14 +66,14 @@ def untokenized_terms(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
 
 
 def defect_table(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
-    """(slug, chapter, forgotten, invalid, new, needs_repair); new entities alone need no repair."""
+    """(slug, chapter, forgotten, invalid, new, needs_repair); new entities alone need no repair, nor does a null source or reply."""
     rows = pairs.join(masked_terms(glossary), "slug", "left")
     rows = rows.select(
         "slug",
         "chapter",
         F.coalesce(_forgotten(F.col("terms"), F.col("source"), F.col("raw")), F.array()).alias("forgotten"),
         _invalid(F.col("raw"), F.coalesce("n_terms", F.lit(0))).alias("invalid"),
-        X.new_entities(F.col("raw")).alias("new"),
+        F.coalesce(X.new_entities(F.col("raw")), F.array()).alias("new"),
     )
     return rows.withColumn("needs_repair", (F.size("forgotten") > 0) | (F.size("invalid") > 0))
 
@@ -79,12 +83,17 @@ def defect_totals(defects: DataFrame) -> DataFrame:
     return defects.rollup("slug").agg(F.sum(F.size("forgotten")).alias("forgotten"), F.sum(F.size("invalid")).alias("invalid"), F.sum(F.size("new")).alias("new"), F.count_if("needs_repair").alias("need_repair"))
 
 
+def ratio_of(x: str, y: str, autojunk: bool = True) -> float:
+    """difflib's ratio; equal texts need no comparison."""
+    return 1.0 if x == y else difflib.SequenceMatcher(None, x, y, autojunk).ratio()
+
+
 def similarity(autojunk: bool = True):
     """difflib's ratio of two text columns as a pandas UDF; autojunk drops characters that are frequent in long texts."""
 
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y, autojunk).ratio() for x, y in zip(a, b)], dtype="float64")
+        return pd.Series([None if x is None or y is None else ratio_of(x, y, autojunk) for x, y in zip(a, b)], dtype="float64")
 
     return ratio
 
@@ -118,31 +127,53 @@ def fail_closed_gate(substituted: DataFrame) -> DataFrame:
     leaks = F.array_sort(F.array_distinct("leaked"))
     bad = F.size("leaked") > 0
     return substituted.withColumns({
-        "status": F.when(bad, "needs_human").otherwise("ok"),
+        "status": F.when(bad, "NEEDS_HUMAN").otherwise("ok"),
         "leaks": leaks,
         "body": F.when(bad, F.concat(F.lit("[withheld: "), F.array_join(leaks, ", "), F.lit("]"))).otherwise(F.col("body")),
     })
 
 
-def run_report(gated: DataFrame, checked: DataFrame, chosen: DataFrame, defects: DataFrame) -> DataFrame:
-    """One row a book: chapters, withheld and rejected ones, leaks, adherence over what was not withheld, and defects before repair."""
-    rows = gated.select("slug", "chapter", "status", F.size("leaked").alias("n_leaks"))
-    rows = rows.join(checked.select("slug", "chapter", "present", F.size("violations").alias("missed")), ["slug", "chapter"], "left")
-    rows = rows.join(chosen.select("slug", "chapter", "rejected"), ["slug", "chapter"], "left")
-    rows = rows.join(defects.select("slug", "chapter", F.size("forgotten").alias("f"), F.size("invalid").alias("i"), F.size("new").alias("n")), ["slug", "chapter"], "left")
+def chapter_report(gated: DataFrame, checked: DataFrame, defects: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One row a chapter: status, leaks (distinct) and their number, defects before repair, whether its repair was rejected, and adherence unless withheld.
+
+    A chapter that one of the tables lacks has zeros and empty lists from it.
+    """
+    key = ["slug", "chapter"]
+    rows = gated.select(*key, "status", "leaks", F.size("leaked").alias("n_leaks"))
+    rows = rows.join(checked.select(*key, "present", "violations"), key, "left").join(chosen.select(*key, "rejected"), key, "left")
+    rows = rows.join(defects.select(*key, F.size("forgotten").alias("forgotten"), F.size("invalid").alias("invalid"), F.size("new").alias("new")), key, "left")
+    ok, none = F.col("status") == "ok", F.lit(0)
+    return rows.select(
+        *key,
+        "status",
+        "leaks",
+        "n_leaks",
+        *[F.coalesce(c, none).alias(c) for c in ("forgotten", "invalid", "new")],
+        F.coalesce("rejected", F.lit(False)).alias("rejected"),
+        F.when(ok, F.coalesce("present", none)).alias("present"),
+        F.when(ok, F.coalesce(F.transform("violations", lambda t: t["korean"]), F.array())).alias("violations"),
+    )
+
+
+def run_report(chapters: DataFrame, parsed: DataFrame, folded: DataFrame) -> DataFrame:
+    """One row a book from chapter_report's rows: its status, chapters and how many replies parsed, adherence over what was not withheld, leaks, withheld and rejected chapters, defects before repair, and the terms that fold-back added.
+
+    parsed: (slug, chapter, parse_error); folded: (slug, token_id, korean) of the added terms.
+    """
     ok = F.col("status") == "ok"
-    out = rows.groupBy("slug").agg(
+    out = chapters.groupBy("slug").agg(
         F.count(F.lit(1)).alias("chapters"),
         F.count_if(ok).alias("chapters_ok"),
-        F.coalesce(F.sum(F.when(ok, F.col("present"))), F.lit(0)).alias("present"),
-        F.coalesce(F.sum(F.when(ok, F.col("present") - F.col("missed"))), F.lit(0)).alias("ok"),
+        F.coalesce(F.sum("present"), F.lit(0)).alias("present"),
+        F.coalesce(F.sum(F.when(ok, F.col("present") - F.size("violations"))), F.lit(0)).alias("ok"),
         F.sum("n_leaks").alias("leaks"),
         F.array_sort(F.collect_list(F.when(~ok, F.col("chapter")))).alias("withheld"),
         F.array_sort(F.collect_list(F.when(F.col("rejected"), F.col("chapter")))).alias("rejected"),
-        F.sum("f").alias("forgotten"),
-        F.sum("i").alias("invalid"),
-        F.sum("n").alias("new"),
+        F.sum("forgotten").alias("forgotten"),
+        F.sum("invalid").alias("invalid"),
+        F.sum("new").alias("new"),
     )
-    from chapterloom.operators.match import percent
-
-    return out.withColumns({"status": F.when(F.size("withheld") > 0, "incomplete").otherwise("complete"), "pct": percent("ok", "present")})
+    good = parsed.groupBy("slug").agg(F.count_if(F.col("parse_error").isNull()).alias("parse_ok"))
+    added = folded.groupBy("slug").agg(F.transform(F.array_sort(F.collect_list(F.struct("token_id", "korean"))), lambda t: t["korean"]).alias("new_entities_folded"))
+    out = out.join(good, "slug", "left").join(added, "slug", "left").withColumns({"parse_ok": F.coalesce("parse_ok", F.lit(0)), "new_entities_folded": F.coalesce("new_entities_folded", F.array().cast("array<string>"))})
+    return out.withColumns({"status": F.when(F.size("withheld") > 0, "NEEDS_HUMAN").otherwise("OK"), "pct": percent("ok", "present")})

@@ -135,7 +135,7 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(tag, model, slug, chapter, batch, four token counts, parse_ok, variant, seq) of every order line."""
+    """(tag, model, slug, chapter, batch, four token counts, parse_ok, terms, variant, seq) of every order line."""
     q = F.col("l_quantity").cast("long")
     return table(spark, sf_dir, "lineitem").select(
         F.element_at(F.array(*map(F.lit, ["mine", "translate", "repair", "judge"])), F.col("l_linenumber") % 4 + 1).alias("tag"),
@@ -148,6 +148,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") % 2 == 0, q * 1000).otherwise(F.lit(0)).cast("long").alias("cache_read_tokens"),
         F.when(F.col("l_linenumber") == 1, q * 1000).otherwise(F.lit(0)).cast("long").alias("cache_write_tokens"),
         (F.col("l_partkey") % 9 != 0).alias("parse_ok"),
+        F.when(F.col("l_partkey") % 9 != 0, F.col("l_linenumber") % 5).otherwise(0).cast("long").alias("terms"),
         F.element_at(F.array(F.lit("combined"), F.lit("split")), (F.col("l_partkey") % 2 + 1).cast("int")).alias("variant"),
         F.col("l_linenumber").alias("seq"),
     )

@@ -34,7 +34,8 @@ MINED_OK = """SELECT r.*, CASE WHEN coalesce(summary, '') = '' THEN 'no chapter_
   WHEN starts_with(upper(block), 'NONE') AND NOT contains(block, '|') THEN '' ELSE coalesce(fault, '') END AS mining_error,
   CASE WHEN starts_with(upper(coalesce(block, '')), 'NONE') AND NOT contains(block, '|') THEN 0 ELSE coalesce(n, 0) END AS n
   FROM reply r LEFT JOIN fault USING (slug, chapter)"""
-REPLY_TABLES = {"lines": LINES, "parsed": PARSED, "fault": FAULT, "reply": REPLY, "mining": MINED_OK}
+TERM_TEXT = "string_agg(coalesce(korean, '') || '|' || coalesce(english, '') || '|' || coalesce(category, '') || '|' || note || '|' || CAST(enforce AS VARCHAR), ';' ORDER BY pos)"
+REPLY_TABLES = {"lines": LINES, "parsed": PARSED, "fault": FAULT, "reply": REPLY, "mining": MINED_OK, "texts": f"SELECT slug, chapter, {TERM_TEXT} AS terms FROM parsed GROUP BY slug, chapter"}
 TERMS = {**REPLY_TABLES, "terms": "SELECT p.* FROM parsed p JOIN mining m USING (slug, chapter) WHERE m.mining_error = '' AND m.n > 0"}
 ENTITIES = f"""SELECT slug, chapter, generate_subscripts(k, 1) - 1 AS pos, {strip('unnest(k)')} AS korean, {strip("coalesce(unnest(e), '')")} AS english
   FROM (SELECT slug, chapter, regexp_extract_all(raw, '{NEW}', 1) AS k, regexp_extract_all(raw, '{NEW}', 2) AS e FROM tokened)"""
@@ -162,14 +163,15 @@ SQL: dict[str, str] = {
     "load_glossary": sql("SELECT *, '' AS reason FROM glossary", "glossary"),
     "load_context": sql("SELECT slug, '' AS arc_summary, chapter, summary FROM summaries WHERE summary IS NOT NULL", "summaries"),
     "ingest_results": sql(
-        f"SELECT slug, CASE WHEN chapter % 6 = 1 THEN 'missing' WHEN chapter % 9 = 2 THEN 'error' ELSE 'ok' END AS status, count(*) AS n FROM chapters WHERE {strip('text')} <> '' GROUP BY ALL", "chapters"
+        f"SELECT c.slug, c.chapter, CASE WHEN c.chapter % 6 = 1 THEN 'missing' WHEN c.chapter % 9 = 2 THEN 'error' ELSE 'ok' END AS status, CASE WHEN c.chapter % 6 <> 1 THEN md5(r.raw) END AS raw FROM chapters c JOIN replies r USING (slug, chapter) WHERE {strip('c.text')} <> ''",
+        "chapters", "replies",
     ),
     "token_map": sql("SELECT slug, CAST(count(*) AS INT) AS n, string_agg(token_id || '=' || english, ';' ORDER BY token_id) AS ids FROM glossary GROUP BY slug", "glossary"),
     "call_log": sql("SELECT tag, model, count(*) AS calls, CAST(sum(input_tokens) AS BIGINT) AS input_tokens, round(sum(round(cost_usd, 6)), 6) AS cost_usd FROM costed GROUP BY tag, model", "costed"),
     "deliverable": sql(
         f"""SELECT name, length(text) AS n_chars, md5(text) AS digest FROM (
           SELECT slug || CASE WHEN bool_or(chapter % 50 = 7) THEN '_INCOMPLETE' ELSE '' END AS name,
-            string_agg({strip("string_split(source, chr(10))[1]")} || chr(10) || chr(10) || CASE WHEN chapter % 50 = 7 THEN '[chapter withheld: needs a human]' ELSE raw END, chr(10) || chr(10) || chr(10) ORDER BY chapter) AS text
+            string_agg(string_split(source, chr(10))[1] || chr(10) || chr(10) || CASE WHEN chapter % 50 = 7 THEN '[chapter withheld: needs a human]' ELSE {strip('raw')} END || chr(10), chr(10) || chr(10) || chr(10) ORDER BY chapter) AS text
           FROM (SELECT slug, chapter, c.text AS source, raw FROM chapters c JOIN tokened USING (slug, chapter)) GROUP BY slug)""",
         "chapters", "tokened",
     ),
@@ -182,26 +184,32 @@ SQL: dict[str, str] = {
         "term_lines", more={"lines": LINES, "parsed": PARSED},
     ),
     "parse_terms_block": sql(
-        "SELECT slug, chapter, CAST(CASE WHEN chapter % 7 = 2 THEN 0 ELSE count(*) END AS INT) AS n_terms, CAST(CASE WHEN chapter % 7 = 2 THEN 0 ELSE count(*) FILTER (error <> '') END AS INT) AS n_bad FROM parsed GROUP BY slug, chapter",
+        f"SELECT slug, chapter, CASE WHEN chapter % 7 = 2 THEN '' ELSE {TERM_TEXT} END AS terms, CAST(CASE WHEN chapter % 7 = 2 THEN 0 ELSE count(*) FILTER (error <> '') END AS INT) AS n_bad FROM parsed GROUP BY slug, chapter",
         "term_lines", more={"lines": LINES, "parsed": PARSED},
     ),
     "parse_translations": sql(
-        "SELECT slug, chapter, e AS parse_error, CASE WHEN e = '' THEN CAST(n AS INT) END AS n_terms FROM (SELECT *, CASE WHEN coalesce(translation, '') = '' THEN 'no translation' ELSE mining_error END AS e FROM mining)",
+        "SELECT slug, chapter, e AS parse_error, md5(CASE WHEN translation <> '' THEN translation END) AS translation, CASE WHEN summary <> '' THEN summary END AS chapter_summary, CASE WHEN e = '' THEN CASE WHEN n > 0 THEN terms ELSE '' END END AS terms FROM (SELECT *, CASE WHEN coalesce(translation, '') = '' THEN 'no translation' ELSE mining_error END AS e FROM mining) LEFT JOIN texts USING (slug, chapter)",
         "replies", more=REPLY_TABLES,
     ),
-    "parse_mining": sql("SELECT slug, chapter, mining_error AS parse_error, CASE WHEN summary <> '' THEN summary END AS chapter_summary FROM mining", "replies", more=REPLY_TABLES),
+    "parse_mining": sql(
+        "SELECT slug, chapter, mining_error AS parse_error, CASE WHEN summary <> '' THEN summary END AS chapter_summary, CASE WHEN mining_error = '' THEN CASE WHEN n > 0 THEN terms ELSE '' END END AS terms FROM mining LEFT JOIN texts USING (slug, chapter)",
+        "replies", more=REPLY_TABLES,
+    ),
     "parse_single_section": sql(
-        "SELECT slug, chapter, CASE WHEN translation <> '' THEN length(translation) END AS n_chars, CASE WHEN coalesce(translation, '') = '' THEN 'no translation' ELSE '' END AS parse_error FROM reply", "replies", more={"reply": REPLY}
+        "SELECT slug, chapter, md5(CASE WHEN translation <> '' THEN translation END) AS body, CASE WHEN coalesce(translation, '') = '' THEN 'no translation' ELSE '' END AS parse_error FROM reply", "replies", more={"reply": REPLY}
     ),
     "parse_json_replies": sql(
-        f"""SELECT slug, chapter, e AS parse_error, CASE WHEN e = '' THEN CAST(1 AS INT) END AS n_terms, CASE WHEN e = '' THEN 'Ch ' || chapter END AS chapter_summary FROM (
-          SELECT slug, chapter, CASE chapter % 9 WHEN 0 THEN 'bad translation' WHEN 1 THEN 'missing keys' WHEN 2 THEN 'no object' WHEN 3 THEN 'no json' WHEN 5 THEN 'too few fields' WHEN 6 THEN 'bad chapter_summary'
+        f"""SELECT slug, chapter, e AS parse_error, CASE WHEN e = '' THEN md5({strip('text')}) END AS translation, CASE WHEN e = '' THEN '검성|Sword Saint|person|n|true' END AS terms, CASE WHEN e = '' THEN 'Ch ' || chapter END AS chapter_summary FROM (
+          SELECT slug, chapter, text, CASE chapter % 9 WHEN 0 THEN 'bad translation' WHEN 1 THEN 'missing keys' WHEN 2 THEN 'no object' WHEN 3 THEN 'no json' WHEN 5 THEN 'too few fields' WHEN 6 THEN 'bad chapter_summary'
             ELSE CASE WHEN {strip('text')} = '' THEN 'bad translation' WHEN chapter % 5 = 0 THEN 'blank english' WHEN chapter % 7 = 0 THEN 'unknown category' ELSE '' END END AS e FROM docs)""",
         "docs",
     ),
     "parse_consolidated": sql(
         "SELECT slug, CAST(row_number() OVER (PARTITION BY slug ORDER BY chapter, pos) - 1 AS INT) AS pos, korean, english, category, note, enforce FROM parsed WHERE error = ''", "term_lines", more={"lines": LINES, "parsed": PARSED}
     ),
+    "consolidated_drops": sql(
+        "SELECT slug, CAST(count(*) AS INT) AS lines, CAST(count(*) FILTER (error <> '') AS INT) AS dropped FROM parsed GROUP BY slug", "term_lines", more={"lines": LINES, "parsed": PARSED}
+    ),
     "parse_judge": sql("SELECT * FROM judged", "verdict_replies", more={"judged": JUDGED}),
     "validate_terms": sql("SELECT slug, CASE WHEN chapter % 5 = 0 THEN 'blank korean' WHEN chapter % 7 = 0 THEN 'unknown category' ELSE '' END AS reason, count(*) AS n FROM mined GROUP BY ALL", "mined"),
     "normalize_keys": sql(f"SELECT slug, chapter, pos, {KEY} AS key FROM mined", "mined"),
@@ -240,7 +248,7 @@ SQL: dict[str, str] = {
         "SELECT slug, korean, english, count(*) AS times, string_agg(chapter, ';' ORDER BY chapter) AS chapters FROM scored WHERE NOT ok AND chapter % 10 <> 9 GROUP BY slug, korean, english", "scored"
     ),
     "adherence_by_repeat": sql(
-        "SELECT slug AS experiment, chapter % 3 AS repeat, count(*) AS chapters, count(*) FILTER (missing) AS failed, CAST(coalesce(sum(present), 0) AS BIGINT) AS present, CAST(coalesce(sum(present - ok), 0) AS BIGINT) AS violations FROM checked GROUP BY ALL",
+        "SELECT slug AS experiment, chapter % 3 AS repeat, count(*) AS chapters, count(*) FILTER (missing) AS failed, CAST(coalesce(sum(present), 0) AS BIGINT) AS present, CAST(coalesce(sum(present - ok), 0) AS BIGINT) AS violations, coalesce(string_agg(v, ', ' ORDER BY chapter) FILTER (v IS NOT NULL), '') AS missed FROM checked LEFT JOIN (SELECT slug, chapter, string_agg(korean || '→' || english, ', ' ORDER BY token_id) AS v FROM scored WHERE NOT ok AND chapter % 10 <> 9 GROUP BY slug, chapter) USING (slug, chapter) GROUP BY ALL",
         "scored", more={"checked": CHECKED},
     ),
     "markup_integrity": sql(
@@ -254,13 +262,36 @@ SQL: dict[str, str] = {
         "SELECT c.slug, c.chapter, coalesce(string_agg(f.korean || '|[[G' || f.token_id || ']]', ';' ORDER BY f.token_id), '') AS forgotten FROM chapters c LEFT JOIN forgot f USING (slug, chapter) GROUP BY c.slug, c.chapter",
         "tokened", "chapters", "glossary", more={"overs": FORGOTTEN["overs"], "forgot": FORGOTTEN["forgot"].replace("{0}", "tokened")},
     ),
-    "defect_table": sql("SELECT * FROM defect", "tokened", "chapters", "book", more=defects()),
+    "defect_table": sql(
+        """SELECT d.slug, d.chapter, coalesce(f, '') AS forgotten, array_to_string(b.invalid, ';') AS invalid, coalesce(e, '') AS new, needs_repair FROM defect d JOIN bad b USING (slug, chapter)
+          LEFT JOIN (SELECT slug, chapter, string_agg(korean || '|[[G' || token_id || ']]', ';' ORDER BY token_id) AS f FROM forgot GROUP BY slug, chapter) USING (slug, chapter)
+          LEFT JOIN (SELECT slug, chapter, string_agg(korean || '|' || english, ';' ORDER BY pos) AS e FROM entities GROUP BY slug, chapter) USING (slug, chapter)""",
+        "tokened", "chapters", "book", more={**defects(), "entities": ENTITIES},
+    ),
+    "defect_files": sql(
+        """SELECT d.slug, d.chapter, coalesce(f, '') AS forget, array_to_string(b.invalid, ';') AS invalid, coalesce(e, '') AS new FROM defect d JOIN bad b USING (slug, chapter)
+          LEFT JOIN (SELECT slug, chapter, string_agg(korean, ';' ORDER BY token_id) AS f FROM forgot GROUP BY slug, chapter) USING (slug, chapter)
+          LEFT JOIN (SELECT slug, chapter, string_agg(korean || '|' || english, ';' ORDER BY pos) AS e FROM entities GROUP BY slug, chapter) USING (slug, chapter)""",
+        "tokened", "chapters", "book", more={**defects(), "entities": ENTITIES},
+    ),
+    "chapter_report": sql(
+        """SELECT g.slug, g.chapter, CASE WHEN len(leaked) > 0 THEN 'NEEDS_HUMAN' ELSE 'ok' END AS status, array_to_string(list_sort(list_distinct(leaked)), ';') AS leaks, CAST(len(leaked) AS INT) AS n_leaks,
+          d.forgotten, d.invalid, d.new, g.chapter % 6 = 1 AS rejected, CASE WHEN len(leaked) = 0 THEN CAST(coalesce(n, 0) AS INT) END AS present, CASE WHEN len(leaked) = 0 THEN coalesce(v, '') END AS violations
+          FROM gate g JOIN defect d USING (slug, chapter) LEFT JOIN (SELECT slug, chapter, count(*) AS n, string_agg(korean, ';' ORDER BY token_id) FILTER (NOT ok) AS v FROM judged_terms GROUP BY slug, chapter) USING (slug, chapter)""",
+        "tokened", "chapters", "book", "present",
+        more={
+            **substituted("tokened"), **defects(),
+            "said": "SELECT slug, chapter, lower(body) AS low, list_distinct(regexp_split_to_array(lower(body), '[^0-9a-z-]+')) AS words FROM gate",
+            "judged_terms": """SELECT p.slug, p.chapter, p.token_id, p.korean, contains(low, lower(p.english)) OR (len(p.wanted) > 0 AND len(list_filter(p.wanted, lambda w: NOT list_contains(words, w))) = 0) AS ok
+              FROM (SELECT *, list_filter(list_distinct(regexp_split_to_array(lower(english), '[^0-9a-z-]+')), lambda w: w NOT IN ('', 'the', 'of', 'a', 'an', 'and', 's')) AS wanted FROM present) p JOIN said USING (slug, chapter)""",
+        },
+    ),
     "defect_totals": sql(
         "SELECT slug, CAST(sum(forgotten) AS BIGINT) AS forgotten, CAST(sum(invalid) AS BIGINT) AS invalid, CAST(sum(new) AS BIGINT) AS new, count(*) FILTER (needs_repair) AS need_repair FROM defect GROUP BY ROLLUP (slug)",
         "tokened", "chapters", "book", more=defects(),
     ),
     "fail_closed_gate": sql(
-        """SELECT slug, chapter, CASE WHEN len(leaked) > 0 THEN 'needs_human' ELSE 'ok' END AS status, l AS leaks, md5(CASE WHEN len(leaked) > 0 THEN '[withheld: ' || replace(l, ';', ', ') || ']' ELSE body END) AS body
+        """SELECT slug, chapter, CASE WHEN len(leaked) > 0 THEN 'NEEDS_HUMAN' ELSE 'ok' END AS status, l AS leaks, md5(CASE WHEN len(leaked) > 0 THEN '[withheld: ' || replace(l, ';', ', ') || ']' ELSE body END) AS body
           FROM (SELECT *, array_to_string(list_sort(list_distinct(leaked)), ';') AS l FROM gate)""",
         "tokened", "book", more=substituted("tokened"),
     ),
@@ -287,7 +318,7 @@ SQL: dict[str, str] = {
           md5('<source>' || chr(10) || c.text || chr(10) || '</source>' || chr(10) || chr(10) || '<translation>' || chr(10) || t.raw || chr(10) || '</translation>'
             || coalesce(chr(10) || chr(10) || '<missed>' || chr(10) || m || chr(10) || '</missed>', '')
             || CASE WHEN len(b.invalid) > 0 THEN chr(10) || chr(10) || '<invalid>' || chr(10) || array_to_string(list_sort(list_distinct(b.invalid)), chr(10)) || chr(10) || '</invalid>' ELSE '' END) AS user_digest,
-          md5(coalesce(block, '')) AS block_digest
+          md5(CASE WHEN len(b.invalid) > 0 THEN coalesce(block, '') ELSE '' END) AS block_digest
           FROM defect d JOIN chapters c USING (slug, chapter) JOIN tokened t USING (slug, chapter) JOIN bad b USING (slug, chapter)
           LEFT JOIN (SELECT slug, chapter, string_agg(korean || ' | [[G' || token_id || ']]', chr(10) ORDER BY token_id) AS m FROM forgot GROUP BY slug, chapter) USING (slug, chapter) LEFT JOIN block USING (slug) WHERE needs_repair""",
         "tokened", "chapters", "book", more={**defects(), "block": BLOCK},
@@ -304,7 +335,7 @@ SQL: dict[str, str] = {
     "cost_rollup": sql("SELECT tag, model, batch, count(*) AS calls, round(sum(cost_usd), 6) AS cost_usd FROM costed GROUP BY CUBE (tag, model, batch)", "costed"),
     "parse_failure_rate": sql("SELECT variant, count(*) AS runs, count(*) FILTER (NOT parse_ok) AS failures, count(*) FILTER (NOT parse_ok) / count(*) AS rate FROM calls GROUP BY variant", "calls"),
     "variant_compare": sql(
-        "SELECT tag, " + ", ".join(f"count(*) FILTER (variant = '{v}') AS {v}_calls, count(*) FILTER (variant = '{v}' AND parse_ok) AS {v}_ok, round(coalesce(sum(cost_usd) FILTER (variant = '{v}'), 0), 6) AS {v}_cost" for v in ("combined", "split")) + " FROM costed GROUP BY tag",
+        "SELECT tag, " + ", ".join(f"count(*) FILTER (variant = '{v}') AS {v}_calls, count(*) FILTER (variant = '{v}' AND parse_ok) AS {v}_ok, CAST(coalesce(sum(terms) FILTER (variant = '{v}'), 0) AS BIGINT) AS {v}_terms, round(coalesce(sum(cost_usd) FILTER (variant = '{v}'), 0), 6) AS {v}_cost" for v in ("combined", "split")) + " FROM costed GROUP BY tag",
         "costed",
     ),
     "cache_hits": sql(
@@ -329,6 +360,14 @@ SQL: dict[str, str] = {
         ) GROUP BY winner""",
         "verdict_replies", more={"judged": JUDGED},
     ),
+    "judge_by_model": sql(
+        """SELECT model, count(*) AS judged, count(*) FILTER (overall <> 'tie' AND (overall = 'A') = (model = a)) AS wins, count(*) FILTER (overall = 'tie') AS ties, count(*) FILTER (overall IS NULL) AS unparsed FROM (
+          SELECT overall, a, unnest([a, b]) AS model FROM (
+            SELECT overall, CASE WHEN (chapter + pair) % 2 = 1 THEN y ELSE x END AS a, CASE WHEN (chapter + pair) % 2 = 1 THEN x ELSE y END AS b
+            FROM (SELECT *, ['large', 'large', 'medium'][pair + 1] AS x, ['medium', 'small', 'small'][pair + 1] AS y FROM judged))
+        ) GROUP BY model""",
+        "verdict_replies", more={"judged": JUDGED},
+    ),
     "cost_projection": sql(
         "SELECT model, batch, round(avg(c), 6) AS per_chapter, round(avg(c) * 1000000, 0) AS corpus FROM (SELECT model, batch, chapter, sum(cost_usd) AS c FROM costed GROUP BY model, batch, chapter) GROUP BY model, batch", "costed"
     ),
@@ -336,3 +375,10 @@ SQL: dict[str, str] = {
 
 # The gate gives the same rows whether replies come at once or over time.
 SQL["stream_gate"] = SQL["fail_closed_gate"]
+# A glossary that grows from nothing, in the order of chapters.
+SQL["stream_glossary"] = sql(
+    f"""SELECT slug, CAST(row_number() OVER (PARTITION BY slug ORDER BY chapter, pos) AS INT) AS token_id, korean, english, category, note, enforce
+      FROM (SELECT *, row_number() OVER (PARTITION BY slug, korean ORDER BY chapter, pos) AS k FROM ({GOOD_TERMS})) WHERE k = 1""",
+    "replies", more=TERMS,
+)
+SQL["stream_summaries"] = sql("SELECT slug, chapter, summary FROM mining WHERE mining_error = ''", "replies", more=REPLY_TABLES)

@@ -17,7 +17,7 @@ TERM = ["korean", "english", "category", "note", "enforce"]
 
 def joined(array: str, *fields: str, sep: str = ";") -> Column:
     """An array of structs (or strings) as text."""
-    one = (lambda t: F.concat_ws("|", *[t[f].cast("string") for f in fields])) if fields else (lambda t: t.cast("string"))
+    one = (lambda t: F.concat_ws("|", *[F.coalesce(t[f].cast("string"), F.lit("")) for f in fields])) if fields else (lambda t: t.cast("string"))
     return F.array_join(F.transform(array, one), sep)
 
 
@@ -79,11 +79,13 @@ def load_context(spark, d):
 def ingest_results(spark, d):
     requests = context.mining_requests(D.chapters(spark, d)).select("slug", "chapter")
     results = D.replies(spark, d).where("chapter % 6 <> 1").withColumn("failed", F.col("chapter") % 9 == 2)
-    return books.ingest_results(requests, results).groupBy("slug", "status").agg(F.count(F.lit(1)).alias("n"))
+    return books.ingest_results(requests, results).select("slug", "chapter", "status", F.md5("raw").alias("raw"))
 
 
 def token_map(spark, d):
-    ids = books.token_map(D.glossary(spark, d))
+    path = new_path(spark, "token-map")
+    books.write_token_map(D.glossary(spark, d), path)
+    ids = books.read_token_map(spark, path).withColumn("ids", F.map_from_entries(F.array_sort(F.map_entries("ids"))))
     return ids.select("slug", F.size("ids").alias("n"), F.array_join(F.transform(F.map_entries("ids"), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"])), ";").alias("ids"))
 
 
@@ -127,22 +129,22 @@ def parse_term_lines(spark, d):
 def parse_terms_block(spark, d):
     block = F.when(F.col("chapter") % 7 == 2, "none of note").when(F.col("chapter") % 7 == 3, F.concat(F.lit("NONE\n"), "block")).otherwise(F.col("block"))
     rows = D.term_lines(spark, d).select("slug", "chapter", parse.terms_block(block).alias("t"))
-    return rows.select("slug", "chapter", F.size("t").alias("n_terms"), F.size(F.filter("t", lambda t: t["error"].isNotNull())).alias("n_bad"))
+    return rows.select("slug", "chapter", joined("t", *TERM).alias("terms"), F.size(F.filter("t", lambda t: t["error"].isNotNull())).alias("n_bad"))
 
 
 def parse_translations(spark, d):
     rows = parse.parse_translations(D.replies(spark, d))
-    return rows.select("slug", "chapter", F.coalesce("parse_error", F.lit("")).alias("parse_error"), F.size("terms").alias("n_terms"))
+    return rows.select("slug", "chapter", F.coalesce("parse_error", F.lit("")).alias("parse_error"), F.md5("translation").alias("translation"), "chapter_summary", joined("terms", *TERM).alias("terms"))
 
 
 def parse_mining(spark, d):
     rows = parse.parse_mining(D.replies(spark, d))
-    return rows.select("slug", "chapter", F.coalesce("parse_error", F.lit("")).alias("parse_error"), "chapter_summary")
+    return rows.select("slug", "chapter", F.coalesce("parse_error", F.lit("")).alias("parse_error"), "chapter_summary", joined("terms", *TERM).alias("terms"))
 
 
 def parse_single_section(spark, d):
     rows = parse.parse_single_section(D.replies(spark, d), "translation")
-    return rows.select("slug", "chapter", F.length("body").alias("n_chars"), F.coalesce("parse_error", F.lit("")).alias("parse_error"))
+    return rows.select("slug", "chapter", F.md5("body").alias("body"), F.coalesce("parse_error", F.lit("")).alias("parse_error"))
 
 
 def _json_replies(spark, d):
@@ -164,13 +166,21 @@ def _json_replies(spark, d):
 
 def parse_json_replies(spark, d):
     rows = parse.json_reply(_json_replies(spark, d))
-    return rows.select("slug", "chapter", F.coalesce("parse_error", F.lit("")).alias("parse_error"), F.size("terms").alias("n_terms"), "chapter_summary")
+    return rows.select("slug", "chapter", F.coalesce("parse_error", F.lit("")).alias("parse_error"), F.md5("translation").alias("translation"), joined("terms", *TERM).alias("terms"), "chapter_summary")
 
 
-def parse_consolidated(spark, d):
+def _consolidated(spark, d):
     rows = D.term_lines(spark, d).groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("chapter", "block"))).alias("b"))
     raw = rows.select("slug", F.concat(F.lit("<glossary>\nNONE\n"), F.array_join("b.block", "\n"), F.lit("\n</glossary>")).alias("raw"))
-    return parse.parse_consolidated(raw)
+    return raw
+
+
+def parse_consolidated(spark, d):
+    return parse.parse_consolidated(_consolidated(spark, d))
+
+
+def consolidated_drops(spark, d):
+    return parse.consolidated_drops(_consolidated(spark, d))
 
 
 def parse_judge(spark, d):
@@ -251,7 +261,7 @@ def violations_by_term(spark, d):
 
 def adherence_by_repeat(spark, d):
     rows = checked(spark, d).withColumns({"experiment": F.col("slug"), "repeat": F.col("chapter") % 3})
-    return match.adherence_by_repeat(rows)
+    return match.adherence_by_repeat(rows).withColumn("missed", joined("missed", sep=", "))
 
 
 def markup_integrity(spark, d):
@@ -293,7 +303,14 @@ def untokenized_terms(spark, d):
 
 def defect_table(spark, d):
     rows = tokens.defect_table(pairs(spark, d), D.glossary(spark, d))
-    return rows.select("slug", "chapter", F.size("forgotten").alias("forgotten"), F.size("invalid").alias("invalid"), F.size("new").alias("new"), "needs_repair")
+    return rows.select("slug", "chapter", joined("forgotten", "korean", "token").alias("forgotten"), joined("invalid").alias("invalid"), joined("new", "korean", "english").alias("new"), "needs_repair")
+
+
+def defect_files(spark, d):
+    path = new_path(spark, "defects")
+    books.write_defects(tokens.defect_table(pairs(spark, d), D.glossary(spark, d)), path)
+    rows = books.read_defects(spark, path)
+    return rows.select("slug", "chapter", joined("forget").alias("forget"), joined("invalid").alias("invalid"), F.array_join(F.transform("new", lambda e: F.array_join(e, "|")), ";").alias("new"))
 
 
 def defect_totals(spark, d):
@@ -304,22 +321,19 @@ def repair_bounds(spark, d):
     return tokens.repair_bounds(repairs(spark, d)).select("slug", "chapter", "ratio", "in_bounds")
 
 
-def _repaired(spark, d):
-    bounded = store(tokens.repair_bounds(repairs(spark, d)), "bounded")
-    defects = store(tokens.defect_table(pairs(spark, d), D.glossary(spark, d)), "defects")
-    return bounded, defects
+def _bounded(spark, d):
+    return store(tokens.repair_bounds(repairs(spark, d)), "bounded")
 
 
 def repair_retry(spark, d):
-    bounded, defects = _repaired(spark, d)
-    sent = defects.where("needs_repair").select("slug", "chapter")
+    bounded, terms = _bounded(spark, d), store(D.glossary(spark, d), "glossary")
+    sent = tokens.defect_table(pairs(spark, d), terms).where("needs_repair").select("slug", "chapter")
     again = D.chapters(spark, d).withColumnRenamed("text", "source").join(bounded.select("slug", "chapter", F.col("repaired").alias("raw")), ["slug", "chapter"])
-    return tokens.repair_retry(sent, bounded, tokens.defect_table(again, D.glossary(spark, d)))
+    return tokens.repair_retry(sent, bounded, tokens.defect_table(again, terms))
 
 
 def choose_translation(spark, d):
-    bounded, _ = _repaired(spark, d)
-    return tokens.choose_translation(D.tokened(spark, d), bounded).select("slug", "chapter", F.md5("raw").alias("raw"), "repaired", "rejected")
+    return tokens.choose_translation(D.tokened(spark, d), _bounded(spark, d)).select("slug", "chapter", F.md5("raw").alias("raw"), "repaired", "rejected")
 
 
 def fail_closed_gate(spark, d):
@@ -327,13 +341,26 @@ def fail_closed_gate(spark, d):
     return rows.select("slug", "chapter", "status", joined("leaks").alias("leaks"), F.md5("body").alias("body"))
 
 
+def _finished(spark, d, chosen):
+    """The chapters' report over translations (slug, chapter, raw, rejected)."""
+    terms = store(D.glossary(spark, d), "glossary")
+    gated = store(tokens.fail_closed_gate(tokens.substitute(chosen, books.token_map(terms))).drop("raw"), "gated")
+    scored = match.check_adherence(D.chapters(spark, d), gated.select("slug", "chapter", F.col("body").alias("text")), terms)
+    return tokens.chapter_report(gated, scored, tokens.defect_table(pairs(spark, d), terms), chosen), terms
+
+
+def chapter_report(spark, d):
+    """Of replies without repairs, so that SQL can say the same."""
+    rows, _ = _finished(spark, d, D.tokened(spark, d).withColumn("rejected", F.col("chapter") % 6 == 1))
+    return rows.withColumns({"leaks": joined("leaks"), "violations": joined("violations")})
+
+
 def run_report(spark, d):
-    bounded, defects = _repaired(spark, d)
-    chosen = store(tokens.choose_translation(D.tokened(spark, d), bounded), "chosen")
-    gated = store(tokens.fail_closed_gate(tokens.substitute(chosen, books.token_map(D.glossary(spark, d)))), "gated")
-    scored = match.check_adherence(D.chapters(spark, d), gated.select("slug", "chapter", F.col("body").alias("text")), D.glossary(spark, d))
-    rows = tokens.run_report(gated, scored, chosen, defects)
-    return rows.withColumns({"withheld": joined("withheld"), "rejected": joined("rejected")})
+    chosen = store(tokens.choose_translation(D.tokened(spark, d), _bounded(spark, d)), "chosen")
+    rows, terms = _finished(spark, d, chosen)
+    folded = glossary.fold_back(terms, entity_rows(spark, d), term_rows(spark, d)).join(terms.select("slug", "korean"), ["slug", "korean"], "left_anti")
+    rows = tokens.run_report(rows, parse.parse_translations(D.replies(spark, d)), folded)
+    return rows.withColumns({c: joined(c) for c in ("withheld", "rejected", "new_entities_folded")})
 
 
 # ---------------------------------------------------------------- context and requests
@@ -453,6 +480,10 @@ def judge_tally(spark, d):
     return costs.judge_tally(_verdicts(spark, d))
 
 
+def judge_by_model(spark, d):
+    return costs.judge_by_model(_verdicts(spark, d))
+
+
 def cost_projection(spark, d):
     return costs.cost_projection(_costed(spark, d)).withColumns({"per_chapter": F.round("per_chapter", 6), "corpus": F.round("corpus", 0)})
 
@@ -461,16 +492,27 @@ def cost_projection(spark, d):
 
 
 def _stream(spark, d, rows):
-    """Replies as files that arrive one after the other, four of them by chapter number."""
+    """Replies as four files, one written after the other, by chapter number."""
     path = new_path(spark, "arrivals")
-    rows.select("slug", "chapter", "raw").repartitionByRange(4, "chapter").sortWithinPartitions("chapter").write.parquet(path)
+    rows = store(rows.select("slug", "chapter", "raw"), "replies")
+    last = rows.agg(F.max("chapter")).first()[0] or 0
+    for k in range(4):
+        rows.where(F.floor(4 * F.col("chapter") / (last + 1)) == k).coalesce(1).write.mode("append").parquet(path)
     return incremental.read_replies(spark, path, 2)
 
 
-def stream_glossary(spark, d):
+def _grown(spark, d):
     path = new_path(spark, "stream-glossary")
     incremental.grow_glossary(_stream(spark, d, D.replies(spark, d)), path, new_path(spark, "checkpoint")).awaitTermination()
-    return incremental.last_version(spark, path, incremental.GLOSSARY)
+    return path
+
+
+def stream_glossary(spark, d):
+    return incremental.grown_terms(spark, _grown(spark, d))
+
+
+def stream_summaries(spark, d):
+    return incremental.grown_summaries(spark, _grown(spark, d))
 
 
 def stream_gate(spark, d):
@@ -480,11 +522,11 @@ def stream_gate(spark, d):
 
 
 _NAMES = """slice_chapters short_novels validate_chapters load_glossary load_context ingest_results token_map call_log deliverable review_outputs
-extract_sections parse_term_lines parse_terms_block parse_translations parse_mining parse_single_section parse_json_replies parse_consolidated parse_judge validate_terms
+extract_sections parse_term_lines parse_terms_block parse_translations parse_mining parse_single_section parse_json_replies parse_consolidated consolidated_drops parse_judge validate_terms
 normalize_keys clean_terms merge_terms append_terms fold_new_entities fold_reported_terms fold_back glossary_stats glossary_growth
 terms_in_source check_adherence adherence_rollup run_consistency violations_by_term adherence_by_repeat markup_integrity
-apply_tokens invalid_tokens new_entities untokenized_terms defect_table defect_totals repair_bounds repair_retry choose_translation fail_closed_gate run_report
+apply_tokens invalid_tokens new_entities untokenized_terms defect_table defect_files defect_totals repair_bounds repair_retry choose_translation fail_closed_gate chapter_report run_report
 context_window last_k_summaries glossary_table placeholder_block user_message mining_requests consolidation_requests translation_requests repair_requests arc_requests token_estimate
-call_cost unpriced_calls cost_rollup parse_failure_rate variant_compare cache_hits retry_resolution judge_pairs judge_tally cost_projection stream_glossary stream_gate""".split()
+call_cost unpriced_calls cost_rollup parse_failure_rate variant_compare cache_hits retry_resolution judge_pairs judge_tally judge_by_model cost_projection stream_glossary stream_summaries stream_gate""".split()
 
 QUERIES = {name: globals()[name] for name in _NAMES}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chapterloom.functions.text import CATEGORIES, lines, rstrip, strip
@@ -57,32 +57,86 @@ def validate_terms(terms: DataFrame) -> DataFrame:
     return terms.withColumn("reason", F.when(blank("korean"), "blank korean").when(blank("english"), "blank english").when(~F.coalesce(F.col("category").isin(CATEGORIES), F.lit(False)), "unknown category"))
 
 
+def folder_of(file: Column) -> Column:
+    """The folder that a file lies in, which names its book; decoded, and without Spark's ``slug=``."""
+    decoded = lambda c: F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    folder = decoded(F.regexp_extract(file, r"([^/]+)/[^/]+$", 1))
+    return F.when(folder.startswith("slug="), decoded(F.substring(folder, F.lit(6), F.length(folder)))).otherwise(folder)
+
+
+def read_json_files(spark: SparkSession, path: str, schema: str, files: str = "*") -> DataFrame:
+    """(slug, v): one JSON file a book, in a folder of the book's name below path; v is null for a file that doesn't fit the schema."""
+    rows = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=files)
+    return rows.select(folder_of(F.col("_metadata.file_path")).alias("slug"), F.from_json("value", schema).alias("v"))
+
+
+def write_json_files(rows: DataFrame, path: str) -> None:
+    """rows (slug, v): one JSON file a book, in the folder slug=<book>."""
+    rows.select("slug", F.to_json("v").alias("value")).repartition("slug").write.partitionBy("slug").text(path)
+
+
 def write_glossary(glossary: DataFrame, path: str) -> None:
-    """One JSON line a book: (slug, terms in the order of their ids)."""
+    """A list of terms a book, in the order of their ids."""
     terms = F.array_sort(F.collect_list(F.struct("token_id", "korean", "english", "category", "note", "enforce")))
-    rows = glossary.groupBy("slug").agg(terms.alias("t"))
     bare = F.transform("t", lambda x: F.struct(*[x[c].alias(c) for c in ("korean", "english", "category", "note", "enforce")]))
-    rows.select("slug", bare.alias("terms")).write.json(path)
+    write_json_files(glossary.groupBy("slug").agg(terms.alias("t")).select("slug", bare.alias("v")), path)
+
 
+def read_glossary(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
+    """(slug, token_id, korean, english, category, note, enforce, reason) from files <slug>/<file> with a list of terms each.
 
-def read_glossary(spark: SparkSession, path: str) -> DataFrame:
-    """(slug, token_id, korean, english, category, note, enforce, reason); an absent note is empty, an absent enforce true."""
-    rows = spark.read.schema(f"slug string, terms {GLOSSARY_FILE}").json(path).select("slug", F.posexplode("terms").alias("p", "t"))
-    found = rows.select("slug", (F.col("p") + 1).alias("token_id"), "t.korean", "t.english", "t.category", F.coalesce("t.note", F.lit("")).alias("note"), F.coalesce("t.enforce", F.lit(True)).alias("enforce"))
-    return validate_terms(found)
+    An absent note is empty, an absent enforce true. A file that holds no such list is a row of its own with the reason.
+    """
+    rows = read_json_files(spark, path, GLOSSARY_FILE, files)
+    terms = rows.where("v is not null").select("slug", F.posexplode("v").alias("p", "t"))
+    found = terms.select("slug", (F.col("p") + 1).alias("token_id"), "t.korean", "t.english", "t.category", F.coalesce("t.note", F.lit("")).alias("note"), F.coalesce("t.enforce", F.lit(True)).alias("enforce"))
+    bad = rows.where("v is null").select("slug", F.lit("no list of terms").alias("reason"))
+    return validate_terms(found).unionByName(bad, allowMissingColumns=True)
 
 
 def write_summaries(summaries: DataFrame, path: str, arcs: DataFrame | None = None) -> None:
-    """One JSON line a book: (slug, arc_summary, chapter_summaries)."""
+    """An object a book: arc_summary and chapter_summaries."""
     rows = summaries.where("summary is not null").groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("chapter", "summary"))).alias("chapter_summaries"))
     rows = rows.withColumn("arc_summary", F.lit("")) if arcs is None else rows.join(arcs, "slug", "left")
-    rows.select("slug", "arc_summary", "chapter_summaries").write.json(path)
+    write_json_files(rows.select("slug", F.struct("arc_summary", "chapter_summaries").alias("v")), path)
+
+
+def read_context(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
+    """(slug, arc_summary, chapter, summary) from files <slug>/<file> with one object each; a chapter that is no number is null, and so is all of a faulty file."""
+    rows = read_json_files(spark, path, SUMMARY_FILE, files)
+    return rows.select("slug", F.coalesce("v.arc_summary", F.lit("")).alias("arc_summary"), F.explode_outer("v.chapter_summaries").alias("s")).select("slug", "arc_summary", F.col("s.chapter").try_cast("int").alias("chapter"), "s.summary")
 
 
-def read_context(spark: SparkSession, path: str) -> DataFrame:
-    """(slug, arc_summary, chapter, summary); a chapter that is no number is null."""
-    rows = spark.read.schema(f"slug string, {SUMMARY_FILE}").json(path)
-    return rows.select("slug", F.coalesce("arc_summary", F.lit("")).alias("arc_summary"), F.explode_outer("chapter_summaries").alias("s")).select("slug", "arc_summary", F.col("s.chapter").try_cast("int").alias("chapter"), "s.summary")
+def write_token_map(glossary: DataFrame, path: str) -> None:
+    """An object a book: id to rendering."""
+    write_json_files(token_map(glossary).select("slug", F.col("ids").alias("v")), path)
+
+
+def read_token_map(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
+    """(slug, ids) from files <slug>/<file> with an object each; ids that are no number are left out."""
+    rows = read_json_files(spark, path, "map<string,string>", files)
+    numbered = F.map_filter("v", lambda k, _: k.try_cast("int").isNotNull())
+    return rows.select("slug", F.transform_keys(numbered, lambda k, _: k.try_cast("int")).alias("ids"))
+
+
+DEFECT_FILE = "map<string,struct<forget:array<string>,invalid:array<string>,new:array<array<string>>>>"
+
+
+def write_defects(defects: DataFrame, path: str) -> None:
+    """An object a book: chNNN to what its chapter lacks, from a defect table."""
+    one = F.struct(
+        F.transform("forgotten", lambda t: t["korean"]).alias("forget"),
+        "invalid",
+        F.transform("new", lambda e: F.array(e["korean"], e["english"])).alias("new"),
+    )
+    rows = defects.select("slug", F.struct("chapter", one.alias("d")).alias("c")).groupBy("slug").agg(F.array_sort(F.collect_list("c")).alias("c"))
+    write_json_files(rows.select("slug", F.map_from_entries(F.transform("c", lambda x: F.struct(F.format_string("ch%03d", x["chapter"]), x["d"]))).alias("v")), path)
+
+
+def read_defects(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
+    """(slug, chapter, forget, invalid, new) from files <slug>/<file> with an object each."""
+    rows = read_json_files(spark, path, DEFECT_FILE, files).select("slug", F.explode("v").alias("name", "d"))
+    return rows.select("slug", F.regexp_extract("name", r"(\d+)$", 1).try_cast("int").alias("chapter"), "d.forget", "d.invalid", "d.new")
 
 
 def token_map(glossary: DataFrame) -> DataFrame:
@@ -107,12 +161,12 @@ def append_log(calls: DataFrame, path: str) -> None:
 
 
 def deliverable(gated: DataFrame) -> DataFrame:
-    """(name, text) of each book: per chapter its first source line, a blank line and the body, with two blank lines between chapters.
+    """(name, text) of each book: per chapter its first source line, a blank line, the stripped body and a line's end; two blank lines between chapters.
 
     gated: (slug, chapter, source, body, withheld).
     """
     head = F.element_at(F.concat(lines("source"), F.array(F.lit(""))), 1)
-    part = F.concat(strip(head), F.lit("\n\n"), F.when(F.col("withheld"), WITHHELD).otherwise(F.col("body")))
+    part = F.concat(head, F.lit("\n\n"), F.when(F.col("withheld"), WITHHELD).otherwise(strip("body")), F.lit("\n"))
     rows = gated.select("slug", "withheld", F.struct("chapter", part.alias("part")).alias("p"))
     books = rows.groupBy("slug").agg(F.array_sort(F.collect_list("p")).alias("parts"), F.max("withheld").alias("some"))
     return books.select(F.concat("slug", F.when(F.col("some"), "_INCOMPLETE").otherwise("")).alias("name"), F.array_join("parts.part", "\n\n\n").alias("text"))
@@ -126,7 +180,3 @@ def review_outputs(spark: SparkSession, path: str) -> DataFrame:
 def save_outputs(outputs: DataFrame, path: str) -> None:
     outputs.write.mode("append").partitionBy("experiment", "variant").parquet(path)
 
-
-def numbered(rows: DataFrame, *order: str) -> DataFrame:
-    """Adds token_id, counted within each book."""
-    return rows.withColumn("token_id", F.row_number().over(Window.partitionBy("slug").orderBy(*order)))

@@ -13,16 +13,18 @@ _folders: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where that is unset."""
-    app = spark.sparkContext.applicationId
-    if app not in _folders:
+    """A folder of our own below spark.checkpoint.dir. Where that is unset, a temporary folder in local mode; on a cluster it has to be set."""
+    context = spark.sparkContext
+    if context.applicationId not in _folders:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not context.master.split("[")[0] == "local":
+                raise ValueError("spark.checkpoint.dir has to name a folder that all machines share")
             own = tempfile.mkdtemp(prefix="chapterloom-")
             atexit.register(shutil.rmtree, own, ignore_errors=True)
             base = f"file://{own}"
-        _folders[app] = f"{base.rstrip('/')}/books-{uuid.uuid4().hex}"
-    return _folders[app]
+        _folders[context.applicationId] = f"{base.rstrip('/')}/chapterloom-{uuid.uuid4().hex}"
+    return _folders[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -30,7 +32,15 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet and reads it again."""
+    """Cuts the lineage: writes df as Parquet in the shared folder and reads it again."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes every table that store() has written for this application; call it when results are saved."""
+    path = _folders.pop(spark.sparkContext.applicationId, None)
+    if path:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -1,22 +1,28 @@
 """Real-time mode: chapters' replies arrive over time; glossaries grow append-only and every reply is gated.
 
-Both sinks work on micro-batches with the batch operators and are safe to repeat: a batch
-that is delivered again writes its own folder over. A version of the glossary is made from
-the one before its batch, and counts only once its folder is complete.
+The glossary's state is kept by book: which chapters and terms are known. A micro-batch costs what it
+brings, however long the history is, and a chapter that comes again adds nothing. The gate works on micro-batches
+with the batch operators; a batch that is delivered again writes its own folder over.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
-from chapterloom.operators.glossary import append_terms
-from chapterloom.operators.parse import parse_mining, reported_terms
+from chapterloom.operators.parse import parse_mining
 from chapterloom.operators.tokens import fail_closed_gate, substitute
 from chapterloom.sources.books import token_map
 
 REPLIES = "slug string, chapter int, raw string"
-GLOSSARY = "slug string, token_id int, korean string, english string, category string, note string, enforce boolean"
+GROWN = "slug string, chapter int, summary string, token_id int, korean string, english string, category string, note string, enforce boolean"
+_STATE = "size int, chapters array<int>, known array<string>"
+_TERM = ["korean", "english", "category", "note", "enforce"]
 
 
 def read_replies(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -24,35 +30,47 @@ def read_replies(spark: SparkSession, path: str, files_per_trigger: int = 1) ->
     return spark.readStream.schema(REPLIES).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+def _grow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """A book's new rows: one for each new chapter (with its summary), one for each new term."""
+    size, chapters, known = state.get if state.exists else (0, [], [])
+    chapters, known, rows = set(chapters), dict.fromkeys(known), []
+    arrived = pd.concat(list(frames)).sort_values(["chapter", "raw_order"], kind="stable")
+    for reply in arrived.itertuples(index=False):
+        if reply.chapter in chapters:
+            continue
+        chapters.add(reply.chapter)
+        rows.append((key[0], reply.chapter, reply.chapter_summary, None, *[None] * len(_TERM)))
+        for term in reply.terms:
+            if term["korean"] and term["english"] and term["korean"] not in known:
+                known[term["korean"]] = None
+                size += 1
+                rows.append((key[0], reply.chapter, None, size, *[term[c] for c in _TERM]))
+    state.update((size, sorted(chapters), list(known)))
+    frame = pd.DataFrame(rows, columns=["slug", "chapter", "summary", "token_id", *_TERM])
+    yield frame.astype({"token_id": "Int32", "enforce": "boolean"})
 
 
-def version(spark: SparkSession, path: str, batch: int) -> str | None:
-    """The folder of the newest complete version before a batch."""
-    for k in range(batch - 1, -2, -1):
-        folder = f"{path}/v{k}"
-        if _exists(spark, f"{folder}/_SUCCESS"):
-            return folder
-    return None
+def grow_glossary(replies: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Appends each new chapter's summary and new terms to the table under ``path``; what exists never changes.
 
+    A failed reply adds nothing, and its chapter may come again; of several good replies to a chapter the first counts,
+    in one batch the one whose text sorts first.
+    """
+    parsed = parse_mining(replies).where("parse_error is null and slug is not null and chapter is not null")
+    terms = F.transform("terms", lambda t: F.struct(*[t[c].alias(c) for c in _TERM]))
+    rows = parsed.select("slug", "chapter", F.col("raw").alias("raw_order"), "chapter_summary", terms.alias("terms"))
+    grown = rows.groupBy("slug").applyInPandasWithState(_grow, GROWN, _STATE, "append", "NoTimeout")
+    return grown.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-def current(spark: SparkSession, path: str, batch: int, schema: str) -> DataFrame:
-    folder = version(spark, path, batch)
-    return spark.read.schema(schema).parquet(folder) if folder else spark.createDataFrame([], schema)
 
+def grown_terms(spark: SparkSession, path: str) -> DataFrame:
+    """(slug, token_id, korean, english, category, note, enforce) of what a stream has written so far."""
+    return spark.read.schema(GROWN).parquet(path).where("token_id is not null").select("slug", "token_id", *_TERM)
 
-def grow_glossary(replies: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Appends each batch's new terms to the glossary under ``path``; what exists never changes, and failed replies add nothing."""
 
-    def step(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        now = current(spark, path, number, GLOSSARY)
-        terms = reported_terms(parse_mining(batch.dropDuplicates(["slug", "chapter"])))
-        append_terms(now, terms.where("korean <> '' and english <> ''")).write.mode("overwrite").parquet(f"{path}/v{number}")
-
-    return replies.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def grown_summaries(spark: SparkSession, path: str) -> DataFrame:
+    """(slug, chapter, summary) of the chapters that a stream has taken in, for context windows."""
+    return spark.read.schema(GROWN).parquet(path).where("token_id is null").select("slug", "chapter", "summary")
 
 
 def gate_replies(replies: DataFrame, glossary: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -64,10 +82,3 @@ def gate_replies(replies: DataFrame, glossary: DataFrame, path: str, checkpoint:
 
     return replies.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-
-def last_version(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The newest complete version of a table that a stream has written."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [s.getPath().getName() for s in hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)]
-    newest = max(int(n[1:]) for n in names if n.startswith("v"))
-    return current(spark, path, newest + 1, schema)

@@ -99,7 +99,7 @@ def test_repair_and_gate(spark):
     assert [chosen[k].repaired for k in (1, 2, 3)] == [True, False, False] and chosen[2].rejected
     subs = spark.createDataFrame([("b", 1, "fine", []), ("b", 2, "x [[G9]]", ["[[G9]]", "[[A]]", "[[G9]]"])], "slug string, chapter int, body string, leaked array<string>")
     gate = {r.chapter: (r.status, r.body) for r in tokens.fail_closed_gate(subs).collect()}
-    assert gate == {1: ("ok", "fine"), 2: ("needs_human", "[withheld: [[A]], [[G9]]]")}
+    assert gate == {1: ("ok", "fine"), 2: ("NEEDS_HUMAN", "[withheld: [[A]], [[G9]]]")}
     assert not any("[[" in b and s == "ok" for s, b in gate.values())
 
 
@@ -145,18 +145,27 @@ def test_slice_and_deliverable(spark):
     novels = spark.createDataFrame([("b", text), ("c", "no headers")], "slug string, text string")
     assert [tuple(r) for r in books.slice_chapters(novels).sort("chapter").collect()] == [("b", 1, "1화 시작\n가\n"), ("b", 2, "7화\n나 \n화살 8화\n9화살\n")]
     assert books.slice_chapters(novels, 3).count() == 0 and {r.slug for r in books.short_novels(novels, 1).collect()} == {"c"}
-    gated = spark.createDataFrame([("b", 1, "1화 \n가", "one", False), ("b", 2, "7화\n나", "two", True)], "slug string, chapter int, source string, body string, withheld boolean")
+    gated = spark.createDataFrame([("b", 1, "1화 \n가", " one\n", False), ("b", 2, "7화\n나", "two", True)], "slug string, chapter int, source string, body string, withheld boolean")
     r = books.deliverable(gated).first()
-    assert r.name == "b_INCOMPLETE" and r.text == f"1화\n\none\n\n\n7화\n\n{books.WITHHELD}"
+    assert r.name == "b_INCOMPLETE" and r.text == f"1화 \n\none\n\n\n\n7화\n\n{books.WITHHELD}\n"
 
 
 def test_files_round_trip(spark, tmp_path, terms):
     books.write_glossary(terms, f"{tmp_path}/g")
     assert sorted(tuple(r)[:7] for r in books.read_glossary(spark, f"{tmp_path}/g").collect()) == sorted(GLOSSARY)
-    (tmp_path / "h").mkdir()
-    (tmp_path / "h/x.json").write_text('{"slug": "b", "terms": [{"korean": "검", "english": "S", "category": "x"}]}')
-    r = books.read_glossary(spark, f"{tmp_path}/h").first()
-    assert (r.note, r.enforce, r.reason) == ("", True, "unknown category")
+    for slug, text in {"my book+1": '[{"korean": "검", "english": "S", "category": "x"}, {"korean": "활", "english": "Bow", "category": "item", "note": "n", "enforce": false}]', "bad": '{"korean": 1', "empty": "[]"}.items():
+        (tmp_path / "h" / slug).mkdir(parents=True)
+        (tmp_path / "h" / slug / "glossary.json").write_text(text)
+        (tmp_path / "h" / slug / "summaries.json").write_text('{"arc_summary": "so far", "chapter_summaries": [{"chapter": 1, "summary": "a"}, {"chapter": "2", "summary": "b"}, {"chapter": "x", "summary": "c"}]}' if slug != "bad" else "{")
+    got = sorted(tuple(r) for r in books.read_glossary(spark, f"{tmp_path}/h", "glossary.json").collect())
+    assert got == [("bad", None, None, None, None, None, None, "no list of terms"), ("my book+1", 1, "검", "S", "x", "", True, "unknown category"), ("my book+1", 2, "활", "Bow", "item", "n", False, None)]
+    got = {tuple(r) for r in books.read_context(spark, f"{tmp_path}/h", "summaries.json").where("slug <> 'empty'").collect()}
+    assert got == {("bad", "", None, None), ("my book+1", "so far", 1, "a"), ("my book+1", "so far", 2, "b"), ("my book+1", "so far", None, "c")}
+    books.write_token_map(terms, f"{tmp_path}/m")
+    assert {r.slug: r.ids for r in books.read_token_map(spark, f"{tmp_path}/m").collect()} == {"b": {1: "Aster", 2: "Aster Trading", 3: "Sword"}}
+    pairs = spark.createDataFrame([("a b", 7, "아스테르는", "[[G9]] [[NEW:활|Bow]]"), ("a b", 12, "", "")], "slug string, chapter int, source string, raw string")
+    books.write_defects(tokens.defect_table(pairs, terms.withColumn("slug", F.lit("a b"))), f"{tmp_path}/d")
+    assert sorted(tuple(r) for r in books.read_defects(spark, f"{tmp_path}/d").collect()) == [("a b", 7, ["아스테르"], ["[[G9]]"], [["활", "Bow"]]), ("a b", 12, [], [], [])]
     (tmp_path / "n").mkdir()
     (tmp_path / "n/book.txt").write_text("1화\n가\n")
     assert [tuple(r) for r in books.read_novels(spark, f"{tmp_path}/n").collect()] == [("book", "1화\n가\n")]
@@ -172,11 +181,45 @@ def test_stream_equals_batch(spark, tmp_path):
     path = f"{tmp_path}/out"
     stream = incremental.read_replies(spark, f"{tmp_path}/in/*")
     incremental.grow_glossary(stream, path, f"{tmp_path}/cp").awaitTermination()
-    got = sorted(tuple(r)[:4] for r in incremental.last_version(spark, path, incremental.GLOSSARY).collect())
+    got = sorted(tuple(r)[:4] for r in incremental.grown_terms(spark, path).collect())
     assert got == [("b", 1, "검", "Sword"), ("b", 2, "활", "Bow")]
+    assert sorted(r.chapter for r in incremental.grown_summaries(spark, path).collect()) == [1, 3]
+    # Later files go on where the state is; a chapter that failed may come again.
+    again = [("b", 2, reply(terms="창 | Spear | item")), ("b", 1, reply(terms="독 | Poison | item")), ("c", 1, reply(terms="검 | Blade | item")), ("c", None, reply(terms="x | y | item"))]
+    spark.createDataFrame(again, incremental.REPLIES).coalesce(1).write.parquet(f"{tmp_path}/in/3")
+    incremental.grow_glossary(incremental.read_replies(spark, f"{tmp_path}/in/*"), path, f"{tmp_path}/cp").awaitTermination()
+    got = sorted(tuple(r)[:4] for r in incremental.grown_terms(spark, path).collect())
+    assert got == [("b", 1, "검", "Sword"), ("b", 2, "활", "Bow"), ("b", 3, "창", "Spear"), ("c", 1, "검", "Blade")]
 
 
 def test_markup(spark):
     df = spark.createDataFrame([("b", 1, "@it[a] @b(3)@", "@it[x] @b(9)@"), ("b", 2, "@b<a>", None)], "slug string, chapter int, source string, translation string")
     assert [r.intact for r in match.markup_integrity(df).sort("chapter").collect()] == [True, False]
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_empty_tables_nulls_and_clashing_columns(spark, terms):
+    chapters = spark.createDataFrame([("b", 1, None, "k"), ("none", 2, "검", "k"), (None, 3, "검", "k"), ("b", 4, "", "k")], "slug string, chapter int, text string, present string")
+    got = match.with_present(chapters, terms)
+    assert got.columns == chapters.columns and {(r.chapter, len(r.present)) for r in got.collect()} == {(1, 0), (2, 0), (3, 0), (4, 0)}
+    assert match.with_present(chapters.limit(0), terms).count() == 0 and match.with_present(chapters, terms.limit(0)).count() == 4
+    pairs = spark.createDataFrame([("b", 1, None, None), ("b", 2, "검", None), ("b", 3, None, "[[G1]]")], "slug string, chapter int, source string, raw string")
+    got = {r.chapter: (len(r.forgotten), r.needs_repair) for r in tokens.defect_table(pairs, terms).collect()}
+    assert got[1] == (0, False) and got[3] == (0, False)
+    replies = spark.createDataFrame([("b", 1, None), ("b", 2, "")], "slug string, chapter int, raw string")
+    assert [r.parse_error for r in parse.parse_translations(replies).collect()] == ["no translation"] * 2
+    assert parse.parse_consolidated(replies).count() == 0 and {r.lines for r in parse.consolidated_drops(replies).collect()} <= {-1, 0, None}
+    assert tokens.run_report(tokens.chapter_report(*[_none(spark, x) for x in REPORTS]), _none(spark, "slug string, chapter int, parse_error string"), _none(spark, "slug string, token_id int, korean string")).count() == 0
+    assert costs.judge_by_model(_none(spark, "a string, b string, overall string")).count() == 0
+
+
+REPORTS = [
+    "slug string, chapter int, status string, leaks array<string>, leaked array<string>",
+    "slug string, chapter int, present int, violations array<struct<korean:string>>",
+    "slug string, chapter int, forgotten array<string>, invalid array<string>, new array<string>",
+    "slug string, chapter int, rejected boolean",
+]
+
+
+def _none(spark, schema):
+    return spark.createDataFrame([], schema)
