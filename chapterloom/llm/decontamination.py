@@ -3,14 +3,17 @@
 Each task cuts its documents into shards of bounded size and sorts all word suffixes of a
 shard (packed words first, then prefix doubling among ties). Every test suffix is
 binary-searched in every shard: the range of its window (its first words) gives all
-verbatim occurrences, and comparing on from there the longest match of each. A document's
-words lie in one shard, so nothing is shuffled. The benchmark is broadcast in blocks of
-bounded size; a task holds one block at a time.
+verbatim occurrences. From there the longest match is the one with a neighbour among the
+test suffixes, in the common order of a shard's hit documents and the items that hit them;
+its length comes from the ranks of prefix doubling, so repeated words take no longer. A document's
+words lie in one shard, so nothing is shuffled. The benchmark's suffixes are built in blocks of
+bounded size and broadcast; a worker holds one block at a time.
 
 Defined results: null texts have no words; an item without a word has no window; an item
 shorter than a window is one window; equal items all count; a null item_id is left out of
 the list of ids. Repeated rows get the same result each. With an empty benchmark nothing
-is hit.
+is hit. Of equally long matches the first in the document counts, then the item that sorts first
+by id (of blocks, the first).
 """
 
 from __future__ import annotations
@@ -34,33 +37,34 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Suffixes:
-    """The test suffixes of a block of items: distinct windows, and which suffixes begin with each."""
+    """The test suffixes of a block of items, as arrays: distinct windows, the items that hold each, and the items' words."""
 
     def __init__(self, items: list[tuple[int, str]], window: int):
-        self.window, self.names, known, grouped = window, [], {}, defaultdict(list)
-        self.items, lines = [], []
+        known: dict[bytes, int] = defaultdict(itertools.count().__next__)
+        self.window, self.items, lines = window, [], []
         for item_id, text in items:
             words = words_of(text)
-            if not words:
-                continue
-            ids = [known.setdefault(w, len(known)) for w in words]
-            self.items.append(str(item_id) if item_id is not None else None)
-            lines.append(ids)
-            for at in range(max(1, len(ids) - window + 1)):
-                grouped[tuple(ids[at : at + window])].append((len(lines) - 1, at))
+            if words:
+                self.items.append(str(item_id) if item_id is not None else None)
+                lines.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
         self.words = list(known)
-        self.depth = max(map(len, lines), default=0)
-        self.lengths = np.array([len(w) for w in grouped], np.int64)
-        self.windows = np.full((len(grouped), window), -1, np.int64)
-        for k, w in enumerate(grouped):
-            self.windows[k, : len(w)] = w
-        starts = [s for group in grouped.values() for s in group]
-        self.of_window = np.repeat(np.arange(len(grouped)), [len(g) for g in grouped.values()])
-        self.suffix_item = np.array([s[0] for s in starts], np.int64)
-        self.suffix_at = np.array([s[1] for s in starts], np.int64)
-        self.line_start = np.cumsum([0, *(len(x) + 1 for x in lines)])[:-1].astype(np.int64)
-        self.line_words = np.array([y for x in lines for y in (*x, -1)], np.int64)
-        self.first_suffix = np.searchsorted(self.of_window, np.arange(len(grouped) + 1))
+        self.line_length = np.array([len(x) for x in lines], np.int64)
+        self.line_start = np.cumsum(self.line_length) - self.line_length
+        self.line_words = np.concatenate(lines) if lines else np.empty(0, np.int32)
+        many = np.maximum(1, self.line_length - window + 1)
+        item = np.repeat(np.arange(len(lines)), many)
+        at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        length = np.minimum(window, self.line_length)[item]
+        windows = np.full((len(item), window), -1, np.int32)
+        for j in range(window):
+            there = j < length
+            windows[there, j] = self.line_words[(self.line_start[item] + at)[there] + j]
+        self.windows, which = np.unique(windows, axis=0, return_inverse=True)
+        self.lengths = (self.windows >= 0).sum(1)
+        #: window_items[first_item[w] : first_item[w + 1]] are the items that hold window w.
+        held = np.unique(which.reshape(-1).astype(np.int64) * max(1, len(lines)) + item)
+        self.window_items = held % max(1, len(lines))
+        self.first_item = np.searchsorted(held // max(1, len(lines)), np.arange(len(self.windows) + 1))
 
 
 class Shard:
@@ -145,57 +149,147 @@ class Shard:
         return sign
 
 
-def search(shard: Shard, test: Suffixes):
+class Ranks:
+    """Ranks of all runs of 1, 2, 4, ... symbols from each place of a sequence, until runs of ``longest`` are told apart."""
+
+    def __init__(self, symbols: np.ndarray, longest: int):
+        self.levels = [np.unique(symbols, return_inverse=True)[1].astype(np.int32)]
+        n = len(symbols)
+        while 1 << (len(self.levels) - 1) < longest and int(self.levels[-1].max(initial=-1)) < n - 1:
+            last, step = self.levels[-1].astype(np.int64), 1 << (len(self.levels) - 1)
+            key = last << 32
+            key[: max(0, n - step)] |= last[step:] + 1
+            self.levels.append(np.unique(key, return_inverse=True)[1].astype(np.int32))
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many symbols from a on equal those from b on."""
+        n, found = len(self.levels[0]), np.zeros(len(a), np.int64)
+        for k in range(len(self.levels) - 1, -1, -1):
+            x, y = a + found, b + found
+            same = (x < n) & (y < n)
+            same[same] = self.levels[k][x[same]] == self.levels[k][y[same]]
+            found += same.astype(np.int64) << k
+        return found
+
+
+def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... count of them, one run after the other."""
+    return np.arange(count.sum()) + np.repeat(start - np.cumsum(count) + count, count)
+
+
+def longest_from(shard: Shard, test: Suffixes, line: np.ndarray, at: np.ndarray, items: np.ndarray):
+    """For places where a whole window begins: document, place, length and item of the longest match of each document. items: those that hit."""
+    docs, words = np.unique(shard.doc[at]), shard.n_words
+    first = np.cumsum(words + 1) - words - 1
+    count = words[docs]
+    # The hit documents' words, then the items'; ends and words that the shard lacks equal nothing.
+    places = _spread(first[docs], count + 1)
+    own = np.append(shard.word[places], np.zeros(1, np.int64))
+    spans = _spread(test.line_start[items], test.line_length[items])
+    behind = np.repeat(np.arange(len(items)), test.line_length[items])
+    other = np.full(len(spans) + len(items), -1, np.int64)
+    there = np.arange(len(spans)) + behind
+    other[there] = line[spans]
+    symbols = np.append(own, other)
+    lone = np.flatnonzero(symbols <= 0)
+    symbols[lone] = -1 - np.arange(len(lone))
+    ranks = Ranks(symbols, int(test.line_length[items].max()))
+    order = np.argsort(ranks.levels[-1], kind="stable")
+    slot = np.empty(len(order), np.int64)
+    slot[order] = np.arange(len(order))
+    tests = np.zeros(len(symbols), bool)
+    tests[len(own) + there] = True
+    item_of = np.zeros(len(symbols), np.int64)
+    item_of[len(own) + there] = items[behind]
+    sorted_tests = order[tests[order]]
+    here = np.searchsorted(places, at)
+    after = np.cumsum(tests[order])[slot[here]]  # test suffixes that sort before
+    none = len(sorted_tests)
+    length = np.zeros(len(here), np.int64)
+    for neighbour in (after - 1, after):
+        ok = (neighbour >= 0) & (neighbour < none)
+        length[ok] = np.maximum(length[ok], ranks.common(here[ok], sorted_tests[neighbour[ok]]))
+    doc = shard.doc[at]
+    by = np.lexsort((at, -length, doc))
+    by = by[np.append(True, doc[by][1:] != doc[by][:-1])]
+    best, size, middle = here[by], length[by], after[by]
+    # The test suffixes with a match as long stand together; of their items the first counts.
+    low, high = np.zeros(len(by), np.int64), middle.copy()
+    while (open_ := np.flatnonzero(low < high)).size:
+        mid = (low[open_] + high[open_]) // 2
+        far = ranks.common(best[open_], sorted_tests[mid]) < size[open_]
+        low[open_[far]], high[open_[~far]] = mid[far] + 1, mid[~far]
+    left, low, high = low, middle.copy(), np.full(len(by), none)
+    while (open_ := np.flatnonzero(low < high)).size:
+        mid = (low[open_] + high[open_]) // 2
+        near = ranks.common(best[open_], sorted_tests[mid]) >= size[open_]
+        low[open_[near]], high[open_[~near]] = mid[near] + 1, mid[~near]
+    names = np.append(item_of[sorted_tests], len(test.items))
+    item = np.minimum.reduceat(names, np.stack([left, low], 1).ravel())[::2]
+    return doc[by], at[by], size, item
+
+
+def search(shard: Shard, test: Suffixes, step: int = 200_000):
     """In one shard: covered words, pairs of document and item, and each document's longest match (length, first word, item)."""
-    n, docs = len(shard.word), len(shard.n_words)
+    n, docs, items = len(shard.word), len(shard.n_words), max(1, len(test.items))
     covered, longest = np.zeros(n + 1, np.int64), np.zeros((docs, 3), np.int64)
     begins = np.cumsum(shard.n_words + 1) - shard.n_words - 1
+    found_pairs, whole = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     if not n or not len(test.windows):
         return covered[:n] > 0, np.empty((0, 2), np.int64), longest
     own = np.array([shard.ids.get(w, -1) for w in test.words] + [-1], np.int64)
-    lo, hi = shard.ranges(np.where(test.windows >= 0, own[test.windows], -1), test.lengths)
-    found = np.flatnonzero(hi > lo)
-    sizes = (hi - lo)[found]
-    window = np.repeat(found, sizes)
-    slot = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(lo[found], sizes)
-    at = shard.order[slot]
-    covered += np.bincount(at, minlength=n + 1) - np.bincount(at + test.lengths[window], minlength=n + 1)
-    pairs = np.unique(shard.doc[at] * len(test.windows) + window)
-    doc, window_of = pairs // len(test.windows), pairs % len(test.windows)
-    many = test.first_suffix[window_of + 1] - test.first_suffix[window_of]
-    suffix = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(test.first_suffix[window_of], many)
-    found_pairs = np.unique(np.stack([np.repeat(doc, many), test.suffix_item[suffix]], 1), axis=0)
-    line = own[test.line_words]
-    for k in range(0, len(at), 200_000):
-        a, w = at[k : k + 200_000], window[k : k + 200_000]
-        many = test.first_suffix[w + 1] - test.first_suffix[w]
-        suffix = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(test.first_suffix[w], many)
-        length = np.repeat(test.lengths[w], many)
-        start, item = np.repeat(a, many), test.suffix_item[suffix]
-        line_at = test.line_start[item] + test.suffix_at[suffix]
-        on = np.arange(len(start))
-        while on.size:
-            x, y = start[on] + length[on], line_at[on] + length[on]
-            on = on[(line[y] > 0) & (x < n) & (shard.word[np.minimum(x, n - 1)] == line[y])]
-            length[on] += 1
-        doc_of = shard.doc[start]
-        by = np.lexsort((item, start, -length, doc_of))
-        by = by[np.append(True, doc_of[by][1:] != doc_of[by][:-1])]
-        by = by[length[by] > longest[doc_of[by], 0]]
-        longest[doc_of[by]] = np.stack([length[by], start[by] - begins[doc_of[by]], item[by]], 1)
-    return np.cumsum(covered[:n]) > 0, found_pairs, longest
+    for k in range(0, len(test.windows), step):
+        lengths = test.lengths[k : k + step]
+        lo, hi = shard.ranges(own[test.windows[k : k + step]], lengths)
+        found = np.flatnonzero(hi > lo)
+        window = np.repeat(found, (hi - lo)[found])
+        at = shard.order[_spread(lo[found], (hi - lo)[found])]
+        covered += np.bincount(at, minlength=n + 1) - np.bincount(at + lengths[window], minlength=n + 1)
+        held = np.unique(shard.doc[at] * len(test.windows) + window + k)
+        doc, window_of = held // len(test.windows), held % len(test.windows)
+        many = test.first_item[window_of + 1] - test.first_item[window_of]
+        item = test.window_items[_spread(test.first_item[window_of], many)]
+        found_pairs.append(np.unique(np.repeat(doc, many) * items + item))
+        whole.append(at[lengths[window] == test.window])
+        # Short items: the whole item is the match.
+        for size in np.unique(lengths[window]).tolist():
+            if size < test.window:
+                some = lengths[window] == size
+                first_item = test.window_items[test.first_item[window[some] + k]]
+                by = np.lexsort((first_item, at[some]))[::-1]
+                place, who = at[some][by], first_item[by]
+                fresh = size > longest[shard.doc[place], 0]
+                place, who = place[fresh], who[fresh]
+                longest[shard.doc[place]] = np.stack([np.full(len(place), size), place - begins[shard.doc[place]], who], 1)
+                # Later rows win in an assignment; they come last place first, so the first stays.
+    pairs = np.unique(np.concatenate(found_pairs))
+    at = np.unique(np.concatenate(whole))
+    if len(at):
+        long = np.unique(pairs % items)
+        long = long[test.line_length[long] >= test.window]
+        doc, place, size, item = longest_from(shard, test, own[test.line_words], at, long)
+        longest[doc] = np.stack([size, place - begins[doc], item], 1)
+    return np.cumsum(covered[:n]) > 0, np.stack([pairs // items, pairs % items], 1), longest
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_chars: int) -> list:
-    """Broadcasts of the items, block_chars characters each at most but for one longer item; the driver holds one block."""
+    """Broadcasts of the items' suffixes, block_chars characters each at most but for one longer item; the driver holds one block."""
     context, out, rows, chars = benchmark.sparkSession.sparkContext, [], [], 0
-    for row in benchmark.select(id_col, text_col).where(F.col(text_col).isNotNull()).toLocalIterator():
+    for row in benchmark.select(id_col, text_col).where(F.col(text_col).isNotNull()).sort(id_col, text_col).toLocalIterator():
         if rows and chars + len(row[1]) > block_chars:
-            out.append(context.broadcast(rows))
+            out.append(context.broadcast(Suffixes(rows, window)))
             rows, chars = [], 0
         rows.append((row[0], row[1]))
         chars += len(row[1])
-    return [*out, context.broadcast(rows)] if rows else out
+    return [*out, context.broadcast(Suffixes(rows, window))] if rows else out
+
+
+def _blocks_in_turn(parts: list):
+    """The values of broadcasts, of which a worker keeps none but a single one."""
+    for part in parts:
+        yield part.value
+        if len(parts) > 1:
+            part.__dict__.pop("_value", None)  # else every block that was read stays in memory
 
 
 FIELDS = [
@@ -212,17 +306,13 @@ def _scan(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_
     parts = blocks(benchmark, id_col, "text", window, block_chars)
 
     def make():
-        one = Suffixes(parts[0].value, window) if len(parts) == 1 else None
-
         def find(texts):
-            depth = one.depth if one else max(window, 64)
-            shard = Shard(texts, depth)
+            shard = Shard(texts, window)
             hit = np.zeros(len(shard.word), bool)
             items: list[set] = [set() for _ in texts]
             longest = np.zeros((len(texts), 2), np.int64)
             best: list = [None] * len(texts)
-            for part in parts:
-                test = one or Suffixes(part.value, window)
+            for test in _blocks_in_turn(parts):
                 covered, pairs, far = search(shard, test)
                 hit |= covered
                 for d in np.flatnonzero(far[:, 0] > longest[:, 0]).tolist():
@@ -237,11 +327,11 @@ def _scan(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_
     return with_text_columns(docs, make, FIELDS, text_col, keep, shard_chars)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text", block_chars: int = 16_000_000, shard_chars: int = 2_000_000) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text", block_chars: int = 4_000_000, shard_chars: int = 2_000_000) -> DataFrame:
     """Adds n_words, n_hit (words in a window's occurrence), item_ids (items with an occurring window) and the longest verbatim match (longest_match words from word longest_at on, of longest_item) to every document."""
     return _scan(docs, benchmark, window, id_col, text_col, block_chars, shard_chars)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text", block_chars: int = 16_000_000, shard_chars: int = 2_000_000) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text", block_chars: int = 4_000_000, shard_chars: int = 2_000_000) -> DataFrame:
     """The documents, unchanged, in which no window occurs."""
     return _scan(packed(docs, text_col), benchmark, window, id_col, text_col, block_chars, shard_chars, lambda new: [n == 0 for n in new[1]]).select("row.*")

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from chapterloom.llm import decontamination as C
 
@@ -47,8 +48,8 @@ def test_shards_by_brute_force():
         window = random.choice([1, 2, 3, 5, 10])
         items = [x for x in items if words(x[1])]
         test = C.Suffixes(items, window)
-        shard = C.Shard(docs, test.depth)
-        hit, pairs, longest = C.search(shard, test)
+        shard = C.Shard(docs, window)
+        hit, pairs, longest = C.search(shard, test, random.choice([1, 2, 200_000]))
         n_hit = [int((hit & (shard.word > 0) & (shard.doc == d)).sum()) for d in range(len(docs))]
         ids = [sorted({test.items[i] for d, i in pairs.tolist() if d == k}) for k in range(len(docs))]
         got = list(zip(shard.n_words.tolist(), n_hit, ids, longest[:, 0].tolist()))
@@ -58,13 +59,34 @@ def test_shards_by_brute_force():
         assert got == brute(docs, items, window), (docs, items, window)
 
 
+def test_longest_match_is_the_first_of_the_first_item():
+    random.seed(12)
+    for _ in range(60):
+        doc = [random.choice("abc") for _ in range(40)]
+        items = [(i, " ".join(random.choice("abc") for _ in range(random.randint(3, 20)))) for i in range(4)]
+        test, shard = C.Suffixes(items, 3), C.Shard([" ".join(doc)], 3)
+        size, at, item = C.search(shard, test)[2][0].tolist()
+        inside = lambda a, n, i: f" {' '.join(doc[a : a + n])} " in f" {items[i][1]} "
+        best = max(((n, -a, -i) for a in range(40) for n in range(3, 41 - a) for i in range(4) if inside(a, n, i)), default=None)
+        assert best == ((size, -at, -item) if size else None)
+
+
+def test_one_word_repeated_takes_no_longer(spark):
+    began = time.process_time()
+    many, text = 20_000, "w " * 20_000
+    test, shard = C.Suffixes([(1, text), (2, "w " * 50)], 10), C.Shard([text, "x", "w " * 9], 10)
+    hit, pairs, longest = C.search(shard, test)
+    assert hit.sum() == many and pairs.tolist() == [[0, 0], [0, 1]] and longest.tolist() == [[many, 0, 0], [0, 0, 0], [0, 0, 0]]
+    assert time.process_time() - began < 5
+
+
 def test_blocks_edges_and_removal(spark):
     passage = "one two three four five six seven eight nine ten eleven"
     rows = [(1, f"x {passage.upper()} y", 5), (2, None, 6), (3, "", 7), (4, "clean text", 8), (4, "clean text", 8), (5, "shorty!", 9), (6, "w " * 60_000 + passage, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_hit int")
     bench = spark.createDataFrame([(10, passage), (9, passage), (None, "shorty"), (3, None), (4, " .")], "item_id long, text string")
     first = C.scan(docs, bench).where("doc_id in (1, 4)").sort("doc_id").collect()
-    assert [(r.longest_at, r.longest_item) for r in first] == [(1, "10"), (None, None), (None, None)]
+    assert [(r.longest_at, r.longest_item) for r in first] == [(1, "9"), (None, None), (None, None)]
     for size in (16_000_000, 40):  # one block, and a block for each item
         got = {r.doc_id: (r.n_words, r.n_hit, r.item_ids, r.longest_match) for r in C.scan(docs, bench, block_chars=size).collect()}
         assert got == {1: (13, 11, ["10", "9"], 11), 2: (0, 0, [], 0), 3: (0, 0, [], 0), 4: (2, 0, [], 0), 5: (1, 1, [], 1), 6: (60_011, 11, ["10", "9"], 11)}
