@@ -49,3 +49,14 @@ def test_operator_edges(spark):
     rows = L.scan(df).collect()
     assert len(rows) == 4 and [r.license for r in rows] == [None, None, "MIT", None]
     assert L.scan(df.limit(0)).count() == 0
+
+
+def test_whole_licences_wrapped_in_source_files():
+    matcher = L.Matcher()
+    for name in ("MIT-text", "BSD-3-Clause-text", "BSD-2-Clause-text", "ISC-text", "GPL-2.0-header", "Apache-2.0-header", "Zlib-text"):
+        for width, mark in ((70, " * "), (50, "# ")):
+            body = "\n".join(mark + x for x in textwrap.wrap(L.TEMPLATES[name], width))
+            text = f"/* some module\n{mark}Copyright (c) 2001 Someone\n{mark}\n{body}\n */\n" + "\n".join(f"int f{k}(void) {{ return {k}; }}" for k in range(60))
+            found = matcher.text(text)
+            assert name in found[4] and found[1] > 0.9, (name, width, found)
+    assert matcher.text("\n".join(textwrap.wrap("no licence at all, just words on many lines " * 40, 60)))[0] is None
