@@ -6,13 +6,17 @@ outliers don't move, and a text is rejected where its Mahalanobis distance is to
 
 The MCD is a Spark job: from two starting estimates, concentration steps alternate between
 a quantile of the distances and sums over the rows within it, all as partial aggregates
-over a narrow table, so a source with a third of all rows is no burden. The start that
+over a narrow table, so a source with a third of all rows is no burden. Quantiles come from counts in
+narrow classes, so they don't depend on the partitioning. The start that
 ends with the smaller determinant wins; one reweighting step follows.
 
+Every group, its language and all rows together get an estimate of their own. A group's is then drawn towards its
+language's, that towards the one of all rows, and that towards fixed deviations (PRIOR), each as if prior_rows more rows spoke
+for the latter: n / (n + prior_rows) is the weight of a group's own n rows. So there is no size at which the rule changes.
+
 Defined results: a null or empty text has no words and fails the base rule. Null and
-empty lang or source are one group each. A language's sources with fewer than min_rows
-texts share one estimate, languages with fewer share one too, and if even that has fewer,
-nothing is rejected by distance. Repeated rows count as often as they occur.
+empty lang or source are one group each. Where no text passes the base rules, no distance is known
+and nothing is rejected by it. Repeated rows count as often as they occur.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from itertools import count
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,6 +97,8 @@ VECTOR = [
     ("x_repeat", "sqrt(n_repeat_words / greatest(n_words, 1))", 0.15),
     ("x_upper", "sqrt(n_upper / greatest(word_chars, 1))", 0.005),
 ]
+#: Deviations that count where few rows are known.
+PRIOR = [0.1, 0.1, 0.3, 0.3, 0.05]
 D = len(VECTOR)
 PAIRS = [(i, j) for i in range(D) for j in range(i, D)]
 
@@ -132,25 +138,35 @@ def distance(mean: str = "mean", precision: str = "precision") -> Column:
     return F.expr(" + ".join(terms))
 
 
+def unpacked(values) -> np.ndarray:
+    """A symmetric matrix from its upper triangle."""
+    out = np.empty((D, D))
+    for k, (i, j) in enumerate(PAIRS):
+        out[i, j] = out[j, i] = values[k]
+    return out
+
+
 def solved(moments: pd.DataFrame, factor: float) -> pd.DataFrame:
-    """Mean, packed inverse and log-determinant from a frame of count, sums and sums of products."""
-    out = {"mean": [], "precision": [], "logdet": []}
+    """Mean, scatter, its inverse (both packed) and log-determinant from a frame of count, sums and sums of products."""
+    out = {"mean": [], "scatter": [], "precision": [], "logdet": []}
     for row in moments.itertuples(index=False):
-        n, s = row.n, np.array(row.sums, float)
-        mean, scatter = s / n, np.empty((D, D))
-        for k, (i, j) in enumerate(PAIRS):
-            scatter[i, j] = scatter[j, i] = row.products[k] / n - mean[i] * mean[j]
-        scatter *= factor
-        scatter += np.diag(np.maximum(0, np.array([v[2] ** 2 for v in VECTOR]) - np.diag(scatter)) + 1e-12)
+        mean = np.array(row.sums, float) / row.n
+        scatter = (unpacked(row.products) / row.n - np.outer(mean, mean)) * factor
+        least = np.square([v[2] for v in VECTOR])
+        scatter += np.diag(np.maximum(0.1 * least, least - np.diag(scatter)))  # so that few or dependent rows leave it regular
         inverse = np.linalg.inv(scatter)
         out["mean"].append(mean)
+        out["scatter"].append(np.array([scatter[p] for p in PAIRS]))
         out["precision"].append(np.array([inverse[p] for p in PAIRS]))
         out["logdet"].append(float(np.linalg.slogdet(scatter)[1]))
     return pd.DataFrame(out, index=moments.index)
 
 
+_DOUBLES = T.ArrayType(T.DoubleType())
+
+
 def _estimates(rows: DataFrame, keys: list[str], factor: float) -> DataFrame:
-    """One (mean, precision, logdet) for each group of rows, from partial sums."""
+    """One (n, mean, scatter, precision, logdet) for each group of rows, from partial sums."""
     x = [v[0] for v in VECTOR]
     sums = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
@@ -158,7 +174,7 @@ def _estimates(rows: DataFrame, keys: list[str], factor: float) -> DataFrame:
         F.array(*[F.sum(F.col(x[i]) * F.col(x[j])) for i, j in PAIRS]).alias("products"),
     )
     carried = [f for f in sums.schema.fields if f.name not in ("sums", "products")]
-    schema = T.StructType([*carried, T.StructField("mean", T.ArrayType(T.DoubleType())), T.StructField("precision", T.ArrayType(T.DoubleType())), T.StructField("logdet", T.DoubleType())])
+    schema = T.StructType([*carried, *[T.StructField(c, _DOUBLES) for c in ("mean", "scatter", "precision")], T.StructField("logdet", T.DoubleType())])
 
     def run(frames):
         for frame in frames:
@@ -175,43 +191,81 @@ def attach(rows: DataFrame, groups: DataFrame, on: list[str], n_groups: int) ->
     return rows.join(F.broadcast(groups) if n_groups <= BROADCAST_GROUPS else groups, on, "left")
 
 
-def pools(vectors: DataFrame, min_rows: int = 200) -> tuple[DataFrame, int]:
-    """(g_lang, g_source) -> pool: the source itself, its language's small sources, or small languages; and the number of groups."""
-    sizes = vectors.groupBy("g_lang", "g_source").agg(F.count(F.lit(1)).alias("n"))
-    small = sizes.where(F.col("n") < min_rows).groupBy("g_lang").agg(F.sum("n").alias("n_lang"))
-    found = sizes.join(small, "g_lang", "left").select(
-        "g_lang",
-        "g_source",
-        F.when(F.col("n") >= min_rows, F.concat(F.lit("s"), F.length("g_lang").cast("string"), F.lit(":"), "g_lang", F.lit(":"), "g_source"))
-        .when(F.col("n_lang") >= min_rows, F.concat(F.lit("l:"), "g_lang"))
-        .otherwise(F.lit("all"))
-        .alias("pool"),
-    )
-    found = store(found, "mcd-pools")
-    return found, found.count()
+def pools() -> Column:
+    """The three groups that a row is part of: all rows, its language, its language and source."""
+    source = F.concat(F.lit("s"), F.length("g_lang").cast("string"), F.lit(":"), F.col("g_lang"), F.lit(":"), F.col("g_source"))
+    return F.array(F.lit("all"), F.concat(F.lit("l:"), F.col("g_lang")), source)
+
+
+def quantile(rows: DataFrame, keys: list[str], kind: Column, share: float) -> DataFrame:
+    """(keys, kind): the class that holds the quantile, from the classes' sizes."""
+    sizes = rows.groupBy(*keys, kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy(*keys)
+    sizes = sizes.withColumns({"upto": F.sum("n").over(group.orderBy("kind")), "whole": F.sum("n").over(group)})
+    return sizes.where(F.col("upto") >= F.ceil(share * F.col("whole"))).groupBy(*keys).agg(F.min("kind").alias("kind"))
+
 
+#: Classes of a statistic for each unit, and of a squared distance for each doubling.
+FINE, FINE_D2 = 4096, 64
 
-def fit(vectors: DataFrame, groups: DataFrame, n_groups: int, share: float = 0.75, steps: int = 4, min_rows: int = 200) -> DataFrame:
-    """(g_lang, g_source, mean, precision) by the MCD over the rows of vectors (g_lang, g_source and the statistics)."""
+
+def distance_class() -> Column:
+    return F.ceil(F.log2(F.greatest(distance(), F.lit(1e-9))) * FINE_D2)
+
+
+def _middles(cells: DataFrame, value: Column) -> DataFrame:
+    """(pool, m): the medians of a value for each pool and statistic, from cells (pool, k, ...)."""
+    found = quantile(cells, ["pool", "k"], F.floor(value * FINE), 0.5).groupBy("pool").agg(F.array_sort(F.collect_list(F.struct("k", "kind"))).alias("m"))
+    return found.select("pool", F.transform("m", lambda v: v["kind"] / FINE).alias("m"))
+
+
+def fit(vectors: DataFrame, share: float = 0.75, steps: int = 4, prior_rows: int = 100) -> tuple[DataFrame, int]:
+    """(g_lang, g_source, mean, precision) by the MCD over the stored vectors that pass the base rules, and the number of groups."""
     x = [v[0] for v in VECTOR]
-    rows = attach(vectors, groups, ["g_lang", "g_source"], n_groups).select("pool", *x)
-    middle = rows.groupBy("pool").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(c, 0.5, 10_000).alias(c) for c in x]).where(F.col("n") >= min_rows)
-    apart = attach(rows, middle.select("pool", F.array(*x).alias("mean")), ["pool"], n_groups).where("mean is not null")
-    spread = apart.groupBy("pool").agg(F.first("mean").alias("mean"), *[F.percentile_approx(F.abs(F.col(c) - F.col("mean")[i]), 0.5, 10_000).alias(c) for i, c in enumerate(x)])
-    diagonal = F.array(*[1 / F.pow(F.greatest(1.4826 * F.col(x[i]), F.lit(VECTOR[i][2])), 2) if i == j else F.lit(0.0) for i, j in PAIRS])
-    starts = spread.select("pool", F.lit(0).alias("start"), "mean", diagonal.alias("precision"))
-    whole = _estimates(rows, ["pool"], 1.0).where(F.col("n") >= min_rows)
-    now = store(starts.unionByName(whole.select("pool", F.lit(1).alias("start"), "mean", "precision")), "mcd-start")
-    factor = consistency(share)
+    groups = store(vectors.select("g_lang", "g_source").distinct(), "mcd-groups")
+    n_groups = groups.count()
+    rows = vectors.where(~base_failed()).select(F.explode(pools()).alias("pool"), *x)
+    cells = rows.select("pool", F.posexplode(F.array(*x)).alias("k", "v"))
+    middle = store(_middles(cells, F.col("v")).withColumnRenamed("m", "mean"), "mcd-middle")
+    spread = _middles(attach(cells, middle, ["pool"], n_groups), F.abs(F.col("v") - F.col("mean")[F.col("k")]))
+    diagonal = F.array(*[1 / F.pow(F.greatest(1.4826 * F.col("m")[i], F.lit(VECTOR[i][2])), 2) if i == j else F.lit(0.0) for i, j in PAIRS])
+    starts = middle.join(spread, "pool").select("pool", F.lit(0).alias("start"), "mean", diagonal.alias("precision"))
+    whole = _estimates(rows, ["pool"], 1.0).select("pool", F.lit(1).alias("start"), "mean", "precision")
+    now = store(starts.unionByName(whole), "mcd-start")
     for step in range(steps):
-        measured = attach(rows, now, ["pool"], n_groups).where("mean is not null").withColumn("d2", distance())
-        limits = measured.groupBy("pool", "start").agg(F.percentile_approx("d2", share, 10_000).alias("limit"))
-        inner = attach(measured, store(limits, "mcd-limit"), ["pool", "start"], n_groups).where("d2 <= limit")
-        now = store(_estimates(inner, ["pool", "start"], factor).select("pool", "start", "mean", "precision", "logdet"), f"mcd-step{step}")
+        measured = attach(rows, now, ["pool"], n_groups).withColumn("d2", distance_class())
+        limits = store(quantile(measured, ["pool", "start"], F.col("d2"), share), "mcd-limit")
+        inner = attach(measured, limits, ["pool", "start"], n_groups).where("d2 <= kind")
+        now = store(_estimates(inner, ["pool", "start"], consistency(share)), f"mcd-step{step}")
     best = now.groupBy("pool").agg(F.min_by(F.struct("mean", "precision"), F.struct("logdet", "start")).alias("b")).select("pool", "b.*")
-    inner = attach(rows, store(best, "mcd-best"), ["pool"], n_groups).where("mean is not null").where(distance() <= chi2_quantile(0.975, D))
-    final = _estimates(inner, ["pool"], consistency(0.975)).select("pool", "mean", "precision")
-    return store(attach(groups, final, ["pool"], n_groups).drop("pool"), "mcd")
+    inner = attach(rows, store(best, "mcd-best"), ["pool"], n_groups).where(distance() <= chi2_quantile(0.975, D))
+    final = _estimates(inner, ["pool"], consistency(0.975)).select("pool", F.struct("mean", "scatter").alias("own"))
+    # A group's weight is its rows, not those within the cutoff.
+    final = store(final.join(rows.groupBy("pool").agg(F.count(F.lit(1)).alias("n")), "pool"), "mcd-final")
+    chains = groups.withColumn("pools", pools())
+    for k, name in enumerate("als"):
+        chains = chains.withColumn("pool", F.col("pools")[k]).join(final.select("pool", F.col("own").alias(name), F.col("n").alias(f"n_{name}")), "pool", "left")
+    parts = [c for name in "als" for c in (F.col(f"n_{name}").alias(f"n_{name}"), F.col(f"{name}.mean").alias(f"m_{name}"), F.col(f"{name}.scatter").alias(f"s_{name}"))]
+    chains = chains.select("g_lang", "g_source", *parts)
+
+    def run(frames):
+        for frame in frames:
+            means, inverses = [], []
+            for row in frame.to_dict("records"):
+                mean, scatter = None, np.diag(np.square(PRIOR))
+                for name in "als":
+                    if row[f"m_{name}"] is not None:
+                        weight = row[f"n_{name}"] / (row[f"n_{name}"] + prior_rows)
+                        own = np.array(row[f"m_{name}"])
+                        mean = own if mean is None else weight * own + (1 - weight) * mean
+                        scatter = weight * unpacked(row[f"s_{name}"]) + (1 - weight) * scatter
+                inverse = np.linalg.inv(scatter)
+                means.append(mean)
+                inverses.append(np.array([inverse[p] for p in PAIRS]))
+            yield frame[["g_lang", "g_source"]].assign(mean=means, precision=inverses)
+
+    schema = T.StructType([*groups.schema.fields, T.StructField("mean", _DOUBLES), T.StructField("precision", _DOUBLES)])
+    return store(chains.mapInPandas(run, schema), "mcd"), n_groups
 
 
 def with_groups(rows: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -228,21 +282,19 @@ def verdict(cutoff: float) -> Column:
 CUTOFF = 0.9999
 
 
-def judge(docs: DataFrame, cutoff: float = CUTOFF, share: float = 0.75, steps: int = 4, min_rows: int = 200) -> DataFrame:
+def judge(docs: DataFrame, cutoff: float = CUTOFF, share: float = 0.75, steps: int = 4, prior_rows: int = 100) -> DataFrame:
     """doc_id, COUNTS, base_failed, distance2 and kept for each row of docs (doc_id, text, lang, source)."""
     own = with_counts(docs.select("doc_id", "text", "lang", "source")).drop("text")
     vectors = store(with_groups(with_vector(own)), "mcd-vectors")
-    groups, n = pools(vectors, min_rows)
     # What fails a base rule is rejected anyway and doesn't shape the estimates.
-    estimates = fit(vectors.where(~base_failed()), groups, n, share, steps, min_rows)
+    estimates, n = fit(vectors, share, steps, prior_rows)
     limit = chi2_quantile(cutoff, D)
     return attach(vectors, estimates, ["g_lang", "g_source"], n).select("doc_id", *COUNTS, base_failed().alias("base_failed"), distance().alias("distance2"), verdict(limit).alias("kept"))
 
 
-def accepted(docs: DataFrame, cutoff: float = CUTOFF, share: float = 0.75, steps: int = 4, min_rows: int = 200) -> DataFrame:
+def accepted(docs: DataFrame, cutoff: float = CUTOFF, share: float = 0.75, steps: int = 4, prior_rows: int = 100) -> DataFrame:
     """The rows, unchanged, that the rules keep. Texts are read twice and, up to BROADCAST_GROUPS groups, not shuffled."""
     vectors = store(with_groups(with_vector(with_counts(docs.select("text", "lang", "source")).drop("text"))), "mcd-vectors")
-    groups, n = pools(vectors, min_rows)
-    estimates = fit(vectors.where(~base_failed()), groups, n, share, steps, min_rows)
+    estimates, n = fit(vectors, share, steps, prior_rows)
     measured = attach(with_vector(with_groups(with_counts(packed(docs, "text", "lang", "source")))), estimates, ["g_lang", "g_source"], n)
     return measured.where(verdict(chi2_quantile(cutoff, D))).select("row.*")

@@ -31,32 +31,50 @@ def vectors(frame):
 
 
 def brute_mcd(x, share=0.75, steps=4):
-    """The same concentration steps in numpy, with exact order statistics."""
+    """Mean and scatter by the same concentration steps in numpy; quantiles are rounded up to the edges of classes."""
     floor = np.array([v[2] for v in Q.VECTOR])
 
     def estimate(rows, factor):
         mean = rows.mean(0)
         scatter = np.cov(rows.T, bias=True) * factor
-        scatter += np.diag(np.maximum(0, floor**2 - np.diag(scatter)) + 1e-12)
-        return mean, np.linalg.inv(scatter), np.linalg.slogdet(scatter)[1]
+        scatter += np.diag(np.maximum(0.1 * floor**2, floor**2 - np.diag(scatter)))
+        return mean, scatter
 
-    def d2(mean, inverse):
-        return np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean)
+    def d2(mean, scatter):
+        return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(scatter), x - mean)
+
+    def kinds(d):
+        return np.ceil(np.log2(np.maximum(d, 1e-9)) * 64)
 
     def quantile(v, p):
         return np.sort(v)[max(0, int(np.ceil(p * len(v))) - 1)]
 
-    middle = np.array([quantile(c, 0.5) for c in x.T])
-    spread = np.array([quantile(np.abs(c - m), 0.5) for c, m in zip(x.T, middle)])
+    middle = np.array([np.floor(quantile(c, 0.5) * 4096) / 4096 for c in x.T])
+    spread = np.array([np.floor(quantile(np.abs(c - m), 0.5) * 4096) / 4096 for c, m in zip(x.T, middle)])
     best = None
-    for mean, inverse in ((middle, np.diag(1 / np.maximum(1.4826 * spread, floor) ** 2)), estimate(x, 1.0)[:2]):
+    for mean, scatter in ((middle, np.diag(np.maximum(1.4826 * spread, floor) ** 2)), estimate(x, 1.0)):
         for _ in range(steps):
-            d = d2(mean, inverse)
-            mean, inverse, logdet = estimate(x[d <= quantile(d, share)], Q.consistency(share))
+            d = kinds(d2(mean, scatter))
+            mean, scatter = estimate(x[d <= quantile(d, share)], Q.consistency(share))
+        logdet = np.linalg.slogdet(scatter)[1]
         if best is None or logdet < best[2]:
-            best = mean, inverse, logdet
-    mean, inverse, _ = estimate(x[d2(*best[:2]) <= Q.chi2_quantile(0.975, Q.D)], Q.consistency(0.975))
-    return d2(mean, inverse)
+            best = mean, scatter, logdet
+    return estimate(x[d2(*best[:2]) <= Q.chi2_quantile(0.975, Q.D)], Q.consistency(0.975))
+
+
+def brute_distances(good, prior_rows=100):
+    """The squared distance of each row, from the estimates of its source, its language and all rows."""
+    x, out = vectors(good), {}
+    for (lang, source), group in good.groupby([good.lang.fillna(""), good.source.fillna("")]):
+        mean, scatter = None, np.diag(np.square(Q.PRIOR))
+        for rows in (good.index >= 0, good.lang.fillna("") == lang, (good.lang.fillna("") == lang) & (good.source.fillna("") == source)):
+            own, own_scatter = brute_mcd(x[np.asarray(rows)])
+            w = rows.sum() / (rows.sum() + prior_rows)
+            mean = own if mean is None else w * own + (1 - w) * mean
+            scatter = w * own_scatter + (1 - w) * scatter
+        apart = vectors(group) - mean
+        out |= zip(group.doc_id, np.einsum("ij,jk,ik->i", apart, np.linalg.inv(scatter), apart))
+    return out
 
 
 def test_query_by_brute_force(spark):
@@ -68,16 +86,14 @@ def test_query_by_brute_force(spark):
     for k, name in enumerate(Q.COUNTS):
         frame[name] = counts[:, k]
     frame["failed"] = (frame.n_words < 50) | (100 * frame.n_repeat_words > 50 * frame.n_words)
-    # No source has 200 documents here, nor has a language but English; those share one estimate.
-    good = frame[~frame.failed]
-    pools = [good[good.lang == "en"], good[good.lang != "en"]] if (good.lang == "en").sum() >= 200 else [good]
     for r in frame.itertuples():
         own = got[r.doc_id]
         assert (own.n_words, own.word_chars, own.n_symbols, own.n_dup_lines, own.n_repeat_words) == tuple(counts[r.Index][:5]) and own.base_failed == r.failed
         assert not (r.failed and own.kept)
-    if len(pools) == 1 and len(good) >= 200:
-        for i, dist in zip(good.doc_id, brute_mcd(vectors(good))):
-            assert abs(got[i].distance2 - dist) < 1e-3 * max(1, dist)
+    limit = Q.chi2_quantile(Q.CUTOFF, Q.D)
+    good = frame[~frame.failed].reset_index(drop=True)
+    for i, dist in brute_distances(good).items():
+        assert abs(got[i].distance2 - dist) < 1e-6 * max(1, dist) and got[i].kept == (dist <= limit)
 
 
 def test_outliers_go_and_edges(spark):
@@ -93,7 +109,7 @@ def test_outliers_go_and_edges(spark):
     left = Q.accepted(docs)
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == list(range(300))
     few = docs.where("doc_id < 20")
-    assert Q.accepted(few).count() == 20  # too few to estimate anything
+    assert Q.accepted(few).count() == 20
     assert Q.accepted(docs.limit(0)).count() == 0 and Q.judge(docs.limit(0)).count() == 0
 
 
@@ -125,7 +141,7 @@ def test_estimate_by_brute_force(spark):
     pdf = Q.with_counts(frame).toPandas()
     good = pdf[(pdf.n_words >= 50) & (100 * pdf.n_repeat_words <= 50 * pdf.n_words)]
     assert len(good) > 300
-    for i, dist in zip(good.doc_id, brute_mcd(vectors(good))):
+    for i, dist in brute_distances(good.reset_index(drop=True)).items():
         assert abs(got[i] - dist) < 1e-6 * max(1, dist)
 
 
