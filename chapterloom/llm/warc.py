@@ -3,33 +3,33 @@
 Writing is one text sink whose line separator is the blank lines after a record. Pages
 with equal payloads are written once; later ones become revisit records.
 
-Reading: a task lists every place in a file that looks like a record's start, magic
-inside payloads included, with the offset where the record's successor would begin.
+Reading: files are split at blank lines before magic, wherever that stands, payloads included. A task tells for each
+such place the header's fields and how far its successor is; the offsets in the file are sums of the pieces' sizes.
 Pointer jumping from each file's start then doubles the verified stretch of the chain in
-every round, and only reachable candidates are records.
+every round, and only reachable candidates are records. Every byte is hashed once, with the piece that it is part of; a
+record whose payload holds such places is put together from its pieces after it was verified.
+
+Files may be of any size, as tasks share them, or gzipped (one task each).
 
 Defined results: a null html is an empty payload; a null url is written as an empty
 target, and control characters or blanks in it as %20. Pages that repeat an id with the
 same payload are all responses. A null page_id is a response only if no page with an id has its
-payload. A chain that leads to no candidate ends there; a file without a record at its
-start, or without content, has none.
+payload. A page_id that is no integer comes back as null. A chain that leads to no candidate ends there; a file without a record at its
+start, or without content, has none. A payload that ends with its file is what there is of it.
 """
 
 from __future__ import annotations
 
-import base64
-import hashlib
-import re
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chapterloom.llm.common import store
 
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
+#: What stands before every record but a file's first, up to the version's last digit; and the part of it that is the record's own.
+_SPLIT = "\r\n\r\nWARC/1."
+_MAGIC = "WARC/1."
 _ID = "urn:chapterloom:page:"
 
 #: Groups of equal payloads up to which they are broadcast.
@@ -69,77 +69,136 @@ def with_records(pages: DataFrame, date: str = "2000-01-01T00:00:00Z") -> DataFr
     return rows.select(F.concat(head, F.lit("\r\n\r\n" + _HTTP), F.when(again, "").otherwise(F.col("html"))).alias("record"))
 
 
-def write(pages: DataFrame, path: str, file_bytes: int = 8_000_000) -> None:
-    """Writes the archives: files of about file_bytes each, so that a reading task can hold one."""
-    total = pages.agg(F.sum(F.octet_length("html").cast("long") + 500)).first()[0] or 0
-    with_records(pages).repartition(max(1, -(-int(total) // file_bytes))).write.option("lineSep", "\r\n\r\n").text(path)
-
-
-def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each place that looks like a record: its span, its successor's offset, header fields and the payload's size and digest."""
-
-    def fields(head: bytes) -> dict[str, str]:
-        pairs = (line.partition(b":") for line in head.split(b"\r\n")[1:])
-        return {k.strip().lower().decode("latin-1"): v.strip().decode("utf-8", "replace") for k, _, v in pairs}
-
-    def run(batches):
-        names = ["file", "offset", "next", "record_id", "record_type", "refers_to", "stated_digest", "payload_start", "payload_bytes", "payload_digest"]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
-        for batch in batches:
-            for k in range(batch.num_rows):
-                file, view = batch.column(0)[k].as_py(), batch.column(1)[k].as_buffer()
-                data, rows = memoryview(view), []
-                for found in _MAGIC.finditer(data):
-                    end = _find(data, b"\r\n\r\n", found.end())
-                    head = fields(bytes(data[found.start() : end])) if end >= 0 else {}
-                    size = head.get("content-length", "")
-                    if not re.fullmatch(r"[0-9]{1,15}", size):
-                        continue
-                    start, stop = end + 4, end + 4 + int(size)
-                    body = start
-                    if head.get("content-type", "").startswith("application/http"):
-                        split = _find(data, b"\r\n\r\n", start, stop)
-                        body = split + 4 if split >= 0 else start
-                    payload = data[body : max(body, stop)]
-                    rows.append((file, found.start(), stop + 4, head.get("warc-record-id"), head.get("warc-type"), head.get("warc-refers-to"), head.get("warc-payload-digest"), body, len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()))
-                for lo in range(0, len(rows), 10_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[lo : lo + 10_000]), types)], names=names)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("path", "content")
-    return files.mapInArrow(run, "file string, offset long, next long, record_id string, record_type string, refers_to string, stated_digest string, payload_start long, payload_bytes long, payload_digest string")
-
-
-def _find(data: memoryview, what: bytes, start: int, stop: int | None = None, step: int = 65_536) -> int:
-    """Like bytes.find, on a view, without copying more than a step at a time."""
-    stop = len(data) if stop is None else min(stop, len(data))
-    while start < stop:
-        at = bytes(data[start : min(stop, start + step + len(what) - 1)]).find(what)
-        if at >= 0:
-            return start + at
-        start += step
-    return -1
+def write(pages: DataFrame, path: str) -> None:
+    """Writes the archives, a file for each partition of pages; nothing but equal payloads' names moves."""
+    with_records(pages).write.option("lineSep", "\r\n\r\n").text(path)
+
+
+def pieces(spark: SparkSession, path: str, files: str) -> DataFrame:
+    """(file, block, row, data): what stands between the places where files are split; (block, row) is a piece's order in its file."""
+    rows = spark.read.text(path, lineSep=_SPLIT, pathGlobFilter=files, recursiveFileLookup=True)
+    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), F.col("value").cast("binary").alias("data"))
+
+
+def _field(head: Column, name: str, value: str = "(.*?)") -> Column:
+    return F.nullif(F.regexp_extract(head, rf"(?im)^{name}:[ \t]*{value}[ \t]*$", 1), F.lit(""))
+
+
+def _behind(data: Column, n: Column) -> Column:
+    """The bytes after the first n."""
+    return F.substring(data, (n + 1).cast("int"), F.octet_length(data))
+
+
+def _payload(block: Column, is_http: Column) -> Column:
+    """A record's block without its HTTP head."""
+    head = F.octet_length(F.substring_index(block.cast("string"), "\r\n\r\n", 1))
+    return F.when(is_http & (head < F.octet_length(block)), _behind(block, head + 4)).otherwise(block)
+
+
+def described(found: DataFrame) -> DataFrame:
+    """Narrow rows of pieces: size, whether magic stands first, and of what may be a record its fields, its block's length and how much of it the piece holds (own), and the payload's size and digest if that is all."""
+    text = F.col("data").cast("string")
+    rows = found.withColumns({"size": F.octet_length("data").cast("long"), "marked": F.startswith(text, F.lit(_MAGIC))})
+    rows = rows.withColumn("bare", F.when(F.col("marked"), _behind(F.col("data"), F.lit(len(_MAGIC)))).otherwise(F.col("data")))
+    rows = rows.withColumn("head", F.substring_index(F.col("bare").cast("string"), "\r\n\r\n", 1))
+    rows = rows.withColumns({"head_bytes": F.octet_length("head").cast("long"), "rest": _behind(F.col("bare"), F.octet_length("head") + 4)})
+    rows = rows.withColumns({
+        "length": F.when(F.col("head").rlike(r"^[01]\r\n") & (F.col("head_bytes") < F.octet_length("bare")), _field(F.col("head"), "content-length", "([0-9]{1,15})").try_cast("long")),
+        "own": F.octet_length("rest").cast("long"),
+        "is_http": F.startswith(F.coalesce(_field(F.col("head"), "content-type"), F.lit("")), F.lit("application/http")),
+    })
+    whole = F.when(F.col("length") <= F.col("own"), _payload(F.substring(F.col("rest"), F.lit(1), F.col("length").cast("int")), F.col("is_http")))
+    rows = rows.withColumn("payload", whole)
+    return rows.select(
+        "file",
+        "block",
+        "row",
+        "size",
+        "marked",
+        "head_bytes",
+        "length",
+        "own",
+        "is_http",
+        _field(F.col("head"), "warc-record-id").alias("record_id"),
+        _field(F.col("head"), "warc-type").alias("record_type"),
+        _field(F.col("head"), "warc-refers-to").alias("refers_to"),
+        _field(F.col("head"), "warc-payload-digest").alias("stated_digest"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        base32_of_hex(F.sha1("payload")).alias("payload_digest"),
+    )
+
+
+def with_offsets(rows: DataFrame) -> DataFrame:
+    """Adds to described pieces k (how many stand before in the file) and offset (of a piece's magic), by sums within blocks and over blocks."""
+    blocks = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("n", "bytes")])
+    within = Window.partitionBy("file", "block").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    own = rows.withColumns({"i": F.count(F.lit(1)).over(within), "upto": F.coalesce(F.sum("size").over(within), F.lit(0))})
+    joined = own.join(blocks, ["file", "block"]).withColumn("k", F.col("n_before") + F.col("i"))
+    offset = F.when(F.col("k") == 0, 0).otherwise(F.col("bytes_before") + F.col("upto") + F.col("k") * len(_SPLIT) - len(_MAGIC))
+    return joined.withColumn("offset", offset.cast("long")).drop("i", "upto", "n_before", "bytes_before")
+
+
+def candidates(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
+    """Stored rows of all pieces: offset, and next, the successor's offset, for what looks like a record (else null), with described()'s columns."""
+    rows = with_offsets(store(described(pieces(spark, path, files)), "pieces"))
+    record = F.col("length").isNotNull() & (F.col("marked") == (F.col("k") == 0))
+    start = F.col("offset") + len(_MAGIC) + F.col("head_bytes") + 4
+    return store(rows.withColumns({"start": start, "next": F.when(record, start + F.col("length") + 4)}), "candidates")
 
 
 def reachable(chain: DataFrame, name: str = "reach") -> DataFrame:
-    """(file, offset) of the candidates that the chain from offset 0 reaches, by pointer jumping over (file, offset, next)."""
+    """(file, offset) of the candidates that the chain from offset 0 reaches, by pointer jumping over (file, offset, next).
+
+    Nothing is broadcast: the rows are as many as records.
+    """
     chain = chain.select("file", "offset", "next")
     reached = store(chain.where("offset = 0").select("file", "offset"), name)
     # A candidate whose successor is none ends its chain.
-    jump = store(chain.join(chain.select("file", F.col("offset").alias("next")), ["file", "next"], "left_semi").select("file", "offset", "next"), name)
+    jump = store(chain.join(chain.select("file", F.col("offset").alias("next")).hint("merge"), ["file", "next"], "left_semi").select("file", "offset", "next"), name)
     while True:
-        fresh = reached.join(jump, ["file", "offset"]).select("file", F.col("next").alias("offset")).join(reached, ["file", "offset"], "left_anti")
+        fresh = reached.join(jump.hint("merge"), ["file", "offset"]).select("file", F.col("next").alias("offset")).join(reached.hint("merge"), ["file", "offset"], "left_anti")
         fresh = store(fresh, name)
         if fresh.isEmpty():
             return reached
         reached = store(reached.union(fresh), name)
         then = jump.select("file", F.col("offset").alias("next"), F.col("next").alias("far"))
-        jump = store(jump.join(then, ["file", "next"]).select("file", "offset", F.col("far").alias("next")), name)
-
-
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the archives: those candidates that the boundary chain of their file reaches."""
-    found = store(candidates(spark, path), "candidates")
-    return found.join(reachable(found), ["file", "offset"], "left_semi")
+        jump = store(jump.join(then.hint("merge"), ["file", "next"]).select("file", "offset", F.col("far").alias("next")), name)
+
+
+def put_together(found: DataFrame, records: DataFrame, spark: SparkSession, path: str, files: str) -> DataFrame:
+    """(file, offset, payload_bytes, payload_digest) of the records (stored) whose block goes on in later pieces."""
+    long = store(records.where("length > own").select("file", "offset", "start", "length", "is_http"), "long")
+    if long.isEmpty():
+        return long.select("file", "offset", F.lit(None).cast("long").alias("payload_bytes"), F.lit(None).cast("string").alias("payload_digest"))
+    # The pieces of a long record are those from its own up to the next record of the chain.
+    order = Window.partitionBy("file").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, 0)
+    some = found.select("file", "block", "row", "offset").join(long.select("file").distinct(), "file", "left_semi")
+    own = some.join(records.select("file", "offset", F.col("offset").alias("record")).hint("merge"), ["file", "offset"], "left")
+    placed = own.withColumn("record", F.last("record", True).over(order)).where("record is not null")
+    placed = placed.join(long.withColumnRenamed("offset", "record"), ["file", "record"]).where("offset = record or offset < start + length")
+    parts = store(placed.select("file", "block", "row", "offset", "record", "length", "is_http", (F.col("start") - F.col("offset")).alias("skip")), "parts")
+    text = F.col("data").cast("string")
+    head = F.col("skip") - F.when(F.startswith(text, F.lit(_MAGIC)), 0).otherwise(len(_MAGIC))
+    part = F.when(F.col("offset") == F.col("record"), _behind(F.col("data"), head).cast("string")).otherwise(F.concat(F.lit(_SPLIT), text))
+    rows = pieces(spark, path, files).join(parts, ["file", "block", "row"]).groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("offset", part.alias("part")))).alias("p"), F.first("length").alias("length"), F.first("is_http").alias("is_http"))
+    block = F.substring(F.array_join("p.part", "").cast("binary"), F.lit(1), F.col("length").cast("int"))
+    rows = rows.withColumn("payload", _payload(block, F.col("is_http")))
+    return rows.select("file", F.col("record").alias("offset"), F.octet_length("payload").cast("long").alias("payload_bytes"), base32_of_hex(F.sha1("payload")).alias("payload_digest"))
+
+
+def read(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
+    """The records of the archives below path (files: a glob of names): those candidates that the boundary chain of their file reaches.
+
+    (file, offset, next, record_id, record_type, refers_to, stated_digest, payload_bytes, payload_digest).
+    """
+    found = candidates(spark, path, files)
+    kept = found.where("next is not null")
+    records = store(kept.join(reachable(kept).hint("merge"), ["file", "offset"], "left_semi"), "records")
+    rest = put_together(found, records, spark, path, files).select("file", "offset", F.col("payload_bytes").alias("n"), F.col("payload_digest").alias("d"))
+    names = ["file", "offset", "next", "record_id", "record_type", "refers_to", "stated_digest"]
+    return records.join(rest.hint("merge"), ["file", "offset"], "left").select(*names, F.coalesce("n", "payload_bytes").alias("payload_bytes"), F.coalesce("d", "payload_digest").alias("payload_digest"))
 
 
 def page_of(column: str) -> Column:
@@ -151,5 +210,5 @@ def resolved(records: DataFrame) -> DataFrame:
     rows = records.select(page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.when(F.col("record_type") == "revisit", page_of("refers_to")).alias("refers_to"), F.regexp_replace("stated_digest", "^sha1:", "").alias("d"))
     first = rows.where("record_type = 'response' and page_id is not null").select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("n"), F.col("payload_digest").alias("d"))
     wanted = rows.where("refers_to is not null").select("refers_to").distinct()
-    first = first.join(wanted, "refers_to", "left_semi").groupBy("refers_to", "d").agg(F.first("n").alias("n"))
-    return rows.join(first, ["refers_to", "d"], "left").select("page_id", F.coalesce("n", "payload_bytes").alias("payload_bytes"), F.when(F.col("n").isNotNull(), F.col("d")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", "refers_to")
+    first = first.join(wanted.hint("merge"), "refers_to", "left_semi").groupBy("refers_to", "d").agg(F.first("n").alias("n"))
+    return rows.join(first.hint("merge"), ["refers_to", "d"], "left").select("page_id", F.coalesce("n", "payload_bytes").alias("payload_bytes"), F.when(F.col("n").isNotNull(), F.col("d")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", "refers_to")

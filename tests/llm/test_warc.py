@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 
 from chapterloom.llm import warc
@@ -11,11 +12,12 @@ def digest(text):
 
 
 def test_round_trip(spark, tmp_path):
-    html = [(1, "é" * 3000), (2, "same"), (3, "same"), (4, None), (5, ""), (6, MAGIC), (7, MAGIC), (8, "\r\n\r\n"), (9, "x" * 200_000), (10, "same")]
+    html = [(1, "é" * 3000), (2, "same"), (3, "same"), (4, None), (5, ""), (6, MAGIC), (7, MAGIC), (8, "\r\n\r\n"), (9, "x" * 200_000), (11, "WARC/1.0\r\nContent-Length: 0\r\n\r\n"), (12, "a\r\n\r\n" * 50), (13, f"{MAGIC}{MAGIC} end"), (10, "same")]
     pages = spark.createDataFrame([(i, None if i == 2 else f"http://a b/\r\n{i}", h, "n") for i, h in html] + [(2, "u", "same", "n"), (None, "v", "lonely", "n")], "page_id long, url string, html string, sha string")
-    for size in (8_000_000, 60_000):  # one file, and several
-        path = f"{tmp_path}/w{size}"
-        warc.write(pages, path, size)
+    for n, split in ((1, "128m"), (3, "128m"), (2, "999b")):  # one file, several, and many tasks a file
+        path = f"{tmp_path}/w{n}{split}"
+        warc.write(pages.repartition(n), path)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
         got = sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.resolved(warc.read(spark, path)).collect()), key=str)
         first = {}
         for i, h in html:
@@ -24,7 +26,8 @@ def test_round_trip(spark, tmp_path):
         want += [(2, 4, digest("same"), "response", None), (None, 6, digest("lonely"), "response", None)]
         assert got == sorted(want, key=str)
         # Magic inside payloads is a candidate, but not in the chain.
-        assert warc.candidates(spark, path).where("record_id like '%666%'").count() == 1
+        assert warc.candidates(spark, path).where("next is not null and record_id like '%666%'").count() == 3
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
         assert warc.read(spark, path).where("record_id like '%666%'").count() == 0
 
 
@@ -36,6 +39,21 @@ def test_pointer_jumping(spark):
     assert warc.reachable(chain.limit(0)).count() == 0
 
 
+def test_names_gzip_and_broken_files(spark, tmp_path):
+    record = b"WARC/1.0\r\nContent-Length: %d\r\nWARC-Record-ID: <%d>\r\n\r\n%s\r\n\r\n"
+    whole = b"".join(record % (len(x), k, x) for k, x in enumerate([b"one", b"", b"\xff\x00two", b"\r\n\r\nWARC/1.0 three"]))
+    for name, data in {"a.warc": whole, "b.warc.gz": gzip.compress(whole[:70]) + gzip.compress(whole[70:]), "c.warc": b"junk" + whole, "d.warc": b"", "e.warc": whole[:-10], "f.other": whole, "g.warc": record % (99, 7, b"cut")}.items():
+        (tmp_path / name).write_bytes(data)
+    rows = warc.read(spark, str(tmp_path), "*.warc*").collect()
+    got = sorted((r.file.rpartition("/")[2], r.record_id, r.payload_bytes, r.payload_digest) for r in rows)
+    sha = lambda x: base64.b32encode(hashlib.sha1(x).digest()).decode()
+    full = [("<0>", b"one"), ("<1>", b""), ("<2>", b"\xff\x00two"), ("<3>", b"\r\n\r\nWARC/1.0 three")]
+    want = [(f, i, len(x), sha(x)) for f in ("a.warc", "b.warc.gz") for i, x in full]
+    want += [("e.warc", i, len(x), sha(x)) for i, x in [*full[:3], ("<3>", b"\r\n\r\nWARC/1.0")]]
+    want.append(("g.warc", "<7>", 7, sha(b"cut\r\n\r\n")))
+    assert got == sorted(want)
+
+
 def test_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write(pages, f"{tmp_path}/none")
