@@ -1,7 +1,8 @@
 """Finding glossary terms in chapters and scoring translations by them.
 
 A book's glossary (some hundred terms) is one array a book that joins each chapter's row, so
-chapter texts are neither copied for each term nor exploded. Terms of Hangul alone are found by intersecting them with the
+chapter texts are neither copied for each term nor exploded. Up to BROADCAST_TERMS terms these arrays are broadcast and
+chapters stay where they are; beyond, both are shuffled by book. Terms of Hangul alone are found by intersecting them with the
 beginnings of the text's Hangul runs; only other terms (with blanks, Latin letters, ...) search the text.
 """
 
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chapterloom.functions.text import adherent, hangul_runs, is_run, let, occurs, standing, word_list
+from chapterloom.sources.scratch import store
 
 
 def book_terms(glossary: DataFrame) -> DataFrame:
@@ -19,24 +21,36 @@ def book_terms(glossary: DataFrame) -> DataFrame:
     return glossary.groupBy("slug").agg(F.array_sort(F.collect_list(term)).alias("terms"), F.count(F.lit(1)).alias("n_terms"))
 
 
-def found_keys(terms: Column, text: Column) -> Column:
-    """The distinct keys of a book's terms that stand in a text on their own."""
-    keys = F.array_distinct(F.transform(terms, lambda t: t["korean"]))
-    own = let(hangul_runs(text), lambda runs: standing(F.filter(keys, is_run), runs))
-    other = F.filter(keys, lambda k: ~is_run(k) & occurs(k, text))
+#: Terms of all books up to which they are broadcast, at some 100 bytes each.
+BROADCAST_TERMS = 500_000
+
+
+def with_books(rows: DataFrame, books: DataFrame) -> DataFrame:
+    """rows joined with books (slug, terms, n_terms, ...), adding run_keys and other_keys for found_keys(). The books are stored and counted."""
+    keys = F.array_distinct(F.transform("terms", lambda t: t["korean"]))
+    books = store(books.withColumns({"run_keys": F.filter(keys, is_run), "other_keys": F.filter(keys, lambda k: ~is_run(k))}), "books")
+    n = books.agg(F.sum("n_terms")).first()[0] or 0
+    return rows.join(F.broadcast(books) if n <= BROADCAST_TERMS else books, "slug", "left")
+
+
+def found_keys(text: Column) -> Column:
+    """The distinct keys of the joined book's terms that stand in a text on their own."""
+    own = let(hangul_runs(text), lambda runs: standing(F.col("run_keys"), runs))
+    other = F.filter("other_keys", lambda k: occurs(k, text))
     return F.coalesce(F.concat(own, other), F.array().cast("array<string>"))
 
 
 def with_present(chapters: DataFrame, glossary: DataFrame) -> DataFrame:
     """Adds present: the terms that occur in the chapter's text, none for a book without a glossary or a chapter without text."""
-    joined = chapters.join(book_terms(glossary), "slug", "left")
-    present = let(found_keys(F.col("terms"), F.col("text")), lambda keys: F.filter("terms", lambda t: F.array_contains(keys, t["korean"])))
-    return joined.withColumn("present", F.coalesce(present, F.array())).drop("terms", "n_terms")
+    joined = with_books(chapters, book_terms(glossary))
+    present = let(found_keys(F.col("text")), lambda keys: F.filter("terms", lambda t: F.array_contains(keys, t["korean"])))
+    return joined.withColumn("present", F.coalesce(present, F.array())).drop("terms", "n_terms", "run_keys", "other_keys")
 
 
 def terms_in_source(chapters: DataFrame, glossary: DataFrame) -> DataFrame:
     """(slug, chapter, token_id, korean, english, category, note, enforce) of each occurring term."""
-    return with_present(chapters, glossary).select("slug", "chapter", F.inline("present"))
+    # inline() would have Spark compute the array once more for a filter on its size.
+    return with_present(chapters, glossary).select("slug", "chapter", F.inline_outer("present")).where("token_id is not null")
 
 
 def check_adherence(chapters: DataFrame, translations: DataFrame, glossary: DataFrame) -> DataFrame:
@@ -78,7 +92,7 @@ def run_consistency(chapters: DataFrame, translations: DataFrame, glossary: Data
 
 def violations_by_term(checked: DataFrame, top: int | None = None) -> DataFrame:
     """(slug, korean, english, times, chapters): the terms most often missed; ``top`` keeps so many of the whole."""
-    rows = checked.select("slug", "chapter", F.explode("violations").alias("t")).select("slug", "chapter", "t.korean", "t.english")
+    rows = checked.select("slug", "chapter", F.explode_outer("violations").alias("t")).where("t is not null").select("slug", "chapter", "t.korean", "t.english")
     found = rows.groupBy("slug", "korean", "english").agg(F.count(F.lit(1)).alias("times"), F.array_sort(F.collect_set("chapter")).alias("chapters"))
     return found if top is None else found.orderBy(F.col("times").desc(), "slug", "korean").limit(top)
 

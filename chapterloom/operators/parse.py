@@ -77,7 +77,7 @@ def parse_consolidated(replies: DataFrame) -> DataFrame:
     """(slug, pos, korean, english, category, note, enforce): a consolidated glossary's valid lines; faulty ones are dropped."""
     kept = F.filter(_bare_lines(section("raw", "glossary")), lambda x: F.contains(x, F.lit("|")))
     good = F.filter(F.transform(kept, term_line), lambda t: t["error"].isNull())
-    rows = replies.select("slug", F.posexplode(good).alias("pos", "t"))
+    rows = replies.select("slug", F.posexplode_outer(good).alias("pos", "t")).where("pos is not null")
     return rows.select("slug", "pos", *[F.col(f"t.{c}") for c in ("korean", "english", "category", "note", "enforce")])
 
 
@@ -139,5 +139,6 @@ def parse_judge(replies: DataFrame) -> DataFrame:
 
 def reported_terms(parsed: DataFrame) -> DataFrame:
     """(slug, chapter, pos, korean, english, category, note, enforce) of the replies that parsed."""
-    rows = parsed.where("parse_error is null").select("slug", "chapter", F.posexplode("terms").alias("pos", "t"))
+    # A reply that didn't parse has no terms. An outer explode, as Spark computes the array once more to filter by its size otherwise.
+    rows = parsed.select("slug", "chapter", F.posexplode_outer("terms").alias("pos", "t")).where("pos is not null")
     return rows.select("slug", "chapter", "pos", *[F.col(f"t.{c}") for c in ("korean", "english", "category", "note", "enforce")])

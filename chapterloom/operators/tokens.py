@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chapterloom.functions import text as X
-from chapterloom.operators.match import book_terms, found_keys, percent
+from chapterloom.operators.match import book_terms, found_keys, percent, with_books
 
 
 def substitute(replies: DataFrame, ids: DataFrame, col: str = "raw") -> DataFrame:
@@ -34,7 +34,7 @@ def _invalid(c, n):
 
 def new_entities(replies: DataFrame, col: str = "raw") -> DataFrame:
     """(slug, chapter, pos, korean, english) of each self-reported entity."""
-    rows = replies.select("slug", "chapter", F.posexplode(X.new_entities(F.col(col))).alias("pos", "e"))
+    rows = replies.select("slug", "chapter", F.posexplode_outer(X.new_entities(F.col(col))).alias("pos", "e")).where("pos is not null")
     return rows.select("slug", "chapter", "pos", "e.korean", "e.english")
 
 
@@ -55,20 +55,19 @@ def _forgotten(terms, source, raw):
     hidden = lambda t: F.exists(t["over"], lambda o: F.contains(source, o))
     alone = lambda t, keys: F.when(hidden(t), F.contains(source, t["korean"]) & X.occurs(t["korean"], masked(t))).otherwise(F.array_contains(keys, t["korean"]))
     wanted = X.let(X.token_ids(raw), lambda ids: F.filter(terms, lambda t: t["enforce"] & ~F.coalesce(F.array_contains(ids, t["token_id"]), F.lit(False))))
-    missed = X.let(found_keys(terms, source), lambda keys: F.filter(wanted, lambda t: alone(t, keys)))
+    missed = X.let(found_keys(source), lambda keys: F.filter(wanted, lambda t: alone(t, keys)))
     return F.transform(missed, lambda t: F.struct(t["korean"].alias("korean"), F.concat(F.lit("[[G"), t["token_id"].cast("string"), F.lit("]]")).alias("token")))
 
 
 def untokenized_terms(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
     """pairs (slug, chapter, source, raw): adds forgotten, the enforced terms that occur in the source on their own but whose token is not in the reply."""
-    rows = pairs.join(masked_terms(glossary), "slug", "left")
-    return rows.withColumn("forgotten", F.coalesce(_forgotten(F.col("terms"), F.col("source"), F.col("raw")), F.array())).drop("terms", "n_terms")
+    rows = with_books(pairs, masked_terms(glossary))
+    return rows.withColumn("forgotten", F.coalesce(_forgotten(F.col("terms"), F.col("source"), F.col("raw")), F.array())).drop("terms", "n_terms", "run_keys", "other_keys")
 
 
 def defect_table(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
     """(slug, chapter, forgotten, invalid, new, needs_repair); new entities alone need no repair, nor does a null source or reply."""
-    rows = pairs.join(masked_terms(glossary), "slug", "left")
-    rows = rows.select(
+    rows = with_books(pairs, masked_terms(glossary)).select(
         "slug",
         "chapter",
         F.coalesce(_forgotten(F.col("terms"), F.col("source"), F.col("raw")), F.array()).alias("forgotten"),

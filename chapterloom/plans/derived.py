@@ -37,7 +37,7 @@ def chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def found_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(slug, chapter, pos, term): the terms of each chapter in order."""
     words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{13,}"), F.lit(0))
-    return documents(spark, sf_dir).select("slug", "chapter", F.posexplode(words).alias("pos", "word")).select("slug", "chapter", "pos", F.substring("word", 1, 6).alias("term"))
+    return documents(spark, sf_dir).select("slug", "chapter", F.posexplode_outer(words).alias("pos", "word")).where("pos is not null").select("slug", "chapter", "pos", F.substring("word", 1, 6).alias("term"))
 
 
 def letter(c: str, at: int, n: int) -> Column:

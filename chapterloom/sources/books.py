@@ -31,7 +31,7 @@ def slice_chapters(novels: DataFrame, n: int | None = None, header: str = HEADER
     rows = novels.select("slug", bodies.alias("bodies"))
     if n is not None:
         rows = rows.where(F.size("bodies") >= n).withColumn("bodies", F.slice("bodies", 1, n))
-    return rows.select("slug", F.posexplode("bodies").alias("p", "body")).select("slug", (F.col("p") + 1).alias("chapter"), F.concat(rstrip("body"), F.lit("\n")).alias("text"))
+    return rows.select("slug", F.posexplode_outer("bodies").alias("p", "body")).where("p is not null").select("slug", (F.col("p") + 1).alias("chapter"), F.concat(rstrip("body"), F.lit("\n")).alias("text"))
 
 
 def short_novels(novels: DataFrame, n: int, header: str = HEADER) -> DataFrame:
