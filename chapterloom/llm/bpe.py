@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chapterloom.llm.common import with_text_columns, without
+from chapterloom.llm.common import with_text_columns
 
 LEAF_CHARS = 2048
 _CUT = re.compile(r"\S(?=[ \n])")
@@ -29,7 +29,7 @@ _built: dict = {}
 
 
 def read_ranks(path: str, limit_bytes: int = 64_000_000) -> dict[bytes, int]:
-    """The vocabulary file's ranks. It goes to all tasks, so its size is bounded."""
+    """The vocabulary file's ranks. It goes to all tasks, so a file beyond limit_bytes raises rather than fill them."""
     with open(path, "rb") as file:
         data = file.read(limit_bytes + 1)
     if len(data) > limit_bytes:
@@ -97,34 +97,45 @@ def decode_tree(ids: list[int], decode, leaf: int = LEAF_CHARS) -> bytes:
     return decode_tree(ids[:mid], decode, leaf) + decode_tree(ids[mid:], decode, leaf)
 
 
-def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", leaf: int = LEAF_CHARS) -> DataFrame:
-    """Adds the array of ids to every row. The ranks (a vocabulary file, bounded by read_ranks) are broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+def _coded(rows: DataFrame, ranks_path: str, pattern: str, column: str, steps, fields: list[T.StructField], leaf: int) -> DataFrame:
+    """Adds fields by steps(encoding) -> function from a list of the column's values to a list for each field. The ranks are broadcast."""
+    shared = rows.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    return with_text_columns(rows, lambda: steps(_encoding(shared, pattern)), fields, column)
+
 
-    def make():
-        encode = _encoding(shared, pattern).encode_ordinary
-        return lambda texts: [[encode_tree(x, encode, leaf) if x else [] for x in texts]]
+def _encoded(encoding, leaf: int):
+    return lambda texts: [encode_tree(x, encoding.encode_ordinary, leaf) if x else [] for x in texts]
 
-    return with_text_columns(docs, make, [T.StructField(ids_col, T.ArrayType(T.IntegerType()))], text_col)
+
+def _decoded(encoding, leaf: int):
+    return lambda ids: [decode_tree(x, encoding.decode_bytes, leaf) if x else b"" for x in ids]
+
+
+def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", leaf: int = LEAF_CHARS) -> DataFrame:
+    """Adds the array of ids to every row. The ranks (a vocabulary file, bounded by read_ranks) are broadcast."""
+    fields = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
+    return _coded(docs, ranks_path, pattern, text_col, lambda e: lambda texts: [_encoded(e, leaf)(texts)], fields, leaf)
 
 
 def decode_ids(tokens: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", out_col: str = "decoded", leaf: int = LEAF_CHARS) -> DataFrame:
     """Adds the bytes that the ids stand for (binary: ids may cut a character)."""
-    import pyarrow as pa
+    return _coded(tokens, ranks_path, pattern, ids_col, lambda e: lambda ids: [_decoded(e, leaf)(ids)], [T.StructField(out_col, T.BinaryType())], leaf)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", out_col: str = "decoded", leaf: int = LEAF_CHARS) -> DataFrame:
+    """Adds the ids and the bytes that they decode to, in one pass."""
+    fields = [T.StructField(ids_col, T.ArrayType(T.IntegerType())), T.StructField(out_col, T.BinaryType())]
+
+    def steps(encoding):
+        encode, decode = _encoded(encoding, leaf), _decoded(encoding, leaf)
 
-    shared = tokens.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    base = without(tokens, [out_col])
+        def both(texts):
+            ids = encode(texts)
+            return [ids, decode(ids)]
 
-    def run(batches):
-        decode = _encoding(shared, pattern).decode_bytes
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids_col))
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                found = [decode_tree(x, decode, leaf) if x else b"" for x in column.slice(lo, 256).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=[*part.schema.names, out_col])
+        return both
 
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(out_col, T.BinaryType())]))
+    return _coded(docs, ranks_path, pattern, text_col, steps, fields, leaf)
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -1,19 +1,16 @@
-"""Helpers shared by the text operators: text columns in tasks, scratch tables, held-out splits."""
+"""Helpers shared by the text operators: text columns in tasks, held-out splits; scratch tables are the library's."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-_scratch: dict[str, str] = {}
+from chapterloom.sources.scratch import drop_scratch, new_path, scratch_dir, store
+
+__all__ = ["drop_scratch", "id_hash", "in_batches", "most_frequent", "new_path", "packed", "runs", "scratch_dir", "store", "with_text_columns", "without"]
 
 
 def id_hash(column: str = "doc_id") -> Column:
@@ -21,35 +18,6 @@ def id_hash(column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A folder that driver and executors share: spark.checkpoint.dir, or where that is unset a folder of our own."""
-    app = spark.sparkContext.applicationId
-    if app not in _scratch:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            own = tempfile.mkdtemp(prefix="chapterloom-")
-            atexit.register(shutil.rmtree, own, ignore_errors=True)
-            base = f"file://{own}"
-        _scratch[app] = f"{base.rstrip('/')}/chapterloom-{uuid.uuid4().hex}"
-    return _scratch[app]
-
-
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: writes df as Parquet in the shared folder and reads it again."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_scratch(spark: SparkSession) -> None:
-    """Deletes every table that store() has written for this application; call it when results are saved."""
-    path = _scratch.pop(spark.sparkContext.applicationId, None)
-    if path:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def most_frequent(counts: DataFrame, limit: int, column: str = "times") -> DataFrame:
     """The rows of a stored table with the largest counts, limit rows at most.
 
@@ -78,7 +46,22 @@ def packed(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
 
 
-def with_text_columns(docs: DataFrame, make, fields: list[T.StructField], text_col: str = "text", keep=None, chunk_chars: int = 1_000_000) -> DataFrame:
+#: Bytes of an Arrow batch that goes to a Python worker; Spark's own default is thirty-two times as much, held on both sides by every task.
+BATCH_BYTES = "2m"
+
+
+def in_batches(df: DataFrame, run, schema) -> DataFrame:
+    """mapInArrow with batches of bounded size, by the session's setting; a task gives the memory it no longer uses back at its end."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+    def tidy(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def with_text_columns(docs: DataFrame, make, fields: list[T.StructField], text_col: str = "text", keep=None, chunk_chars: int = 500_000) -> DataFrame:
     """Adds columns that are computed from the text column in Arrow batches.
 
     make() runs once for each task and gives a function from a list of texts (None for
@@ -104,7 +87,7 @@ def with_text_columns(docs: DataFrame, make, fields: list[T.StructField], text_c
                 if out.num_rows:
                     yield out
 
-    return base.mapInArrow(run, schema)
+    return in_batches(base, run, schema)
 
 
 def runs(texts: list, chunk_chars: int):

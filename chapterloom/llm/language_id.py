@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chapterloom.llm.common import packed, with_text_columns
+from chapterloom.llm.common import in_batches, packed, with_text_columns
 
 #: The label of texts that have no letter.
 UNKNOWN = "und"
@@ -85,7 +85,7 @@ def count_grams(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
         yield from flush()
 
     used = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null and text <> ''")
-    return used.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return in_batches(used, run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def _add(held: dict, lang: str, folded: list) -> int:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chapterloom.llm.common import most_frequent, runs, store, with_text_columns
+from chapterloom.llm.common import in_batches, most_frequent, runs, store, with_text_columns
 from chapterloom.llm.words import word_hashes
 
 ORDER = 5
@@ -98,7 +98,7 @@ def _counted(docs: DataFrame, keys_of, text_col: str) -> DataFrame:
                     yield from tally.batches()
         yield from tally.batches()
 
-    return docs.select(text_col).mapInArrow(run, "key long, times long").groupBy("key").agg(F.sum("times").alias("times"))
+    return in_batches(docs.select(text_col), run, "key long, times long").groupBy("key").agg(F.sum("times").alias("times"))
 
 
 def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chapterloom.llm import bpe, chat_format, decontamination, language_id, licenses, ppm, quality_rules, rule_ensemble, signature_join, warc
-from chapterloom.llm.common import id_hash, scratch_dir, store
+from chapterloom.llm.common import id_hash, new_path, store
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -66,7 +64,7 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{scratch_dir(spark)}/archives-{uuid.uuid4().hex}"
+    path = new_path(spark, "archives")
     warc.write(read(spark, sf_dir, "pages"), path)
     return warc.resolved(warc.read(spark, path))
 
@@ -78,8 +76,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer()
-    encoded = bpe.encode_texts(read(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern)
-    return bpe.digests(bpe.decode_ids(encoded.select("doc_id", "ids"), path, pattern))
+    return bpe.digests(bpe.round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

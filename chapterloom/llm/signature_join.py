@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chapterloom.llm.common import most_frequent, packed, runs, store
+from chapterloom.llm.common import in_batches, most_frequent, packed, runs, store
 from chapterloom.llm.words import mix, word_hashes
 
 #: Bits of a token bitmap.
@@ -77,7 +77,7 @@ def node_of(tokens: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True) if len(tokens) else None
 
 
-def _per_text(docs: DataFrame, make, schema: str, chunk_chars: int = 1_000_000) -> DataFrame:
+def _per_text(docs: DataFrame, make, schema: str, chunk_chars: int = 500_000) -> DataFrame:
     """docs has an id and a text. make() gives a function from ids and texts to record batches."""
 
     def run(batches):
@@ -87,7 +87,7 @@ def _per_text(docs: DataFrame, make, schema: str, chunk_chars: int = 1_000_000)
             for lo, hi in runs(texts, chunk_chars):
                 yield from function(ids[lo:hi], texts[lo:hi])
 
-    return docs.mapInArrow(run, schema)
+    return in_batches(docs, run, schema)
 
 
 # ---------------------------------------------------------------- sets and keys
@@ -420,7 +420,7 @@ def shared_key_pairs(rows: DataFrame, percent: int, limit: int | None) -> DataFr
         if held is not None and held.num_rows:
             yield from out(held)
 
-    return rows.mapInArrow(run, "key long, part long, a long, b long, m long, n long, more boolean")
+    return in_batches(rows, run, "key long, part long, a long, b long, m long, n long, more boolean")
 
 
 def sliced(batches, rows: int = 64):
@@ -458,7 +458,7 @@ def narrowed(pairs: DataFrame, sets: DataFrame, percent: int, bucket_tokens: int
             tokens = [np.frombuffer(x, np.uint64) for x in batch.column("tokens").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("bucket"), batch.column("rep"), pa.array([len(x) for x in tokens], pa.int64()), pa.array([wide_bitmap(x).tobytes() for x in tokens], pa.binary())], names=["bucket", "rep", "n", "bits"])
 
-    wide = with_sets(wanted, sets, "rep").select("bucket", "rep", "tokens").mapInArrow(widen, "bucket long, rep long, n long, bits binary")
+    wide = in_batches(with_sets(wanted, sets, "rep").select("bucket", "rep", "tokens"), widen, "bucket long, rep long, n long, bits binary")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         n = dict(zip(right.column("rep").to_pylist(), right.column("n").to_pylist()))
@@ -486,7 +486,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = with_sets(pairs, sets, "a").select("a", "b", F.col("tokens").alias("x"))
     right = with_sets(pairs, sets, "b").select("a", "b", F.col("tokens").alias("y"))
-    return left.join(right, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return in_batches(left.join(right, ["a", "b"]).select("a", "b", "x", "y"), run, "a long, b long")
 
 
 def with_sets(rows: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -520,7 +520,7 @@ def round_members(known: DataFrame, j: int, chunk_tokens: int, chunk_rows: int)
     they are few.
     """
     groups = known.groupBy("part").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("rows"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    groups = store(groups.select("part", F.ceil(F.greatest(F.col("total") / chunk_tokens, F.col("rows") / chunk_rows)).alias("chunks")), "parts")
+    groups = store(groups.select("part", F.ceil(F.greatest(F.col("total") / chunk_tokens, F.col("rows") / (chunk_rows // 4))).alias("chunks")), "parts")
     if groups.count() <= BROADCAST_IDS:
         chosen = known.join(F.broadcast(groups), "part")
     else:

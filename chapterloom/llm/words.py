@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes that are taken at once.
-PIECE = 2_000_000
+PIECE = 250_000
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
