@@ -32,8 +32,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, checked by decoding."""
     path, pattern = tokenizer()
-    encoded = bpe.encode_texts(docs.select("doc_id", "text"), path, pattern)
-    return bpe.digests(bpe.decode_ids(encoded.select("doc_id", "ids"), path, pattern))
+    return bpe.digests(bpe.round_trip(docs.select("doc_id", "text"), path, pattern))
 
 
 STAGES = [
