@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chapterloom.llm import bpe, chat_format, decontamination, language_id, licenses, ppm, quality_rules, rule_ensemble, signature_join, warc
+from chapterloom.llm import bpe, chat_format, decontamination, filter_audit, language_id, lexical_search, licenses, ppm, quality_rules, rule_ensemble, signature_join, url_rules, warc
 from chapterloom.llm.common import id_hash, new_path, store
 
 
@@ -87,11 +87,26 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.score(statistics, ensemble).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_ngram_jaccard_join, op4_chat_formatting, op5_lm_scoring, op6_warc, op7_license_scan, op8_byte_bpe, op9_quality_rules, op10_quality_classifier)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.failures(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")))
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(read(spark, sf_dir, "pages"), url_rules.rules_table(spark))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_ngram_jaccard_join, op4_chat_formatting, op5_lm_scoring, op6_warc, op7_license_scan, op8_byte_bpe, op9_quality_rules, op10_quality_classifier, op11_filter_audit, op12_url_filters, op13_ranked_search)}
 
 SQL: dict[str, str] = {
     "op4_chat_formatting": chat_format.SQL,
     "op7_license_scan": licenses.sql(),
+    "op11_filter_audit": filter_audit.SQL,
+    "op12_url_filters": url_rules.sql(),
+    "op13_ranked_search": lexical_search.SQL,
     "op6_warc": """
 WITH d AS (
   SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS x FROM pages
