@@ -6,8 +6,9 @@ with equal payloads are written once; later ones become revisit records.
 Reading: files are split at blank lines before magic, wherever that stands, payloads included. A task tells for each
 such place the header's fields and how far its successor is; the offsets in the file are sums of the pieces' sizes.
 Pointer jumping from each file's start then doubles the verified stretch of the chain in
-every round, and only reachable candidates are records. Every byte is hashed once, with the piece that it is part of; a
-record whose payload holds such places is put together from its pieces after it was verified.
+every round, and only reachable candidates are records. A record whose payload holds such places is put together from its
+pieces after it was verified. For that the files are read again, and pieces are known by their digest, never by their place in a
+scan: how files are split may differ from one scan to the next.
 
 Files may be of any size, as tasks share them, or gzipped (one task each).
 
@@ -96,7 +97,7 @@ def _payload(block: Column, is_http: Column) -> Column:
 
 
 def described(found: DataFrame) -> DataFrame:
-    """Narrow rows of pieces: size, whether magic stands first, and of what may be a record its fields, its block's length and how much of it the piece holds (own), and the payload's size and digest if that is all."""
+    """Narrow rows of pieces: size, digest (sha), whether magic stands first, and of what may be a record its fields, its block's length and how much of it the piece holds (own), and the payload's size and digest if that is all."""
     text = F.col("data").cast("string")
     rows = found.withColumns({"size": F.octet_length("data").cast("long"), "marked": F.startswith(text, F.lit(_MAGIC))})
     rows = rows.withColumn("bare", F.when(F.col("marked"), _behind(F.col("data"), F.lit(len(_MAGIC)))).otherwise(F.col("data")))
@@ -119,6 +120,7 @@ def described(found: DataFrame) -> DataFrame:
         "length",
         "own",
         "is_http",
+        F.unhex(F.sha1("data")).alias("sha"),
         _field(F.col("head"), "warc-record-id").alias("record_id"),
         _field(F.col("head"), "warc-type").alias("record_type"),
         _field(F.col("head"), "warc-refers-to").alias("refers_to"),
@@ -174,15 +176,18 @@ def put_together(found: DataFrame, records: DataFrame, spark: SparkSession, path
         return long.select("file", "offset", F.lit(None).cast("long").alias("payload_bytes"), F.lit(None).cast("string").alias("payload_digest"))
     # The pieces of a long record are those from its own up to the next record of the chain.
     order = Window.partitionBy("file").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, 0)
-    some = found.select("file", "block", "row", "offset").join(long.select("file").distinct(), "file", "left_semi")
+    some = found.select("file", "block", "row", "offset", "size", "sha").join(long.select("file").distinct(), "file", "left_semi")
     own = some.join(records.select("file", "offset", F.col("offset").alias("record")).hint("merge"), ["file", "offset"], "left")
     placed = own.withColumn("record", F.last("record", True).over(order)).where("record is not null")
     placed = placed.join(long.withColumnRenamed("offset", "record"), ["file", "record"]).where("offset = record or offset < start + length")
-    parts = store(placed.select("file", "block", "row", "offset", "record", "length", "is_http", (F.col("start") - F.col("offset")).alias("skip")), "parts")
+    parts = store(placed.select("file", "offset", "record", "length", "is_http", "size", "sha", (F.col("start") - F.col("offset")).alias("skip")), "parts")
+    # Equal pieces are one: a digest's first bytes are as good as any.
+    again = pieces(spark, path, files).select("file", F.octet_length("data").cast("long").alias("size"), "data").join(parts.select("file").distinct(), "file", "left_semi").withColumn("sha", F.unhex(F.sha1("data")))
+    again = again.join(parts.select("size", "sha").distinct().hint("merge"), ["size", "sha"], "left_semi").groupBy("size", "sha").agg(F.first("data").alias("data"))
     text = F.col("data").cast("string")
     head = F.col("skip") - F.when(F.startswith(text, F.lit(_MAGIC)), 0).otherwise(len(_MAGIC))
     part = F.when(F.col("offset") == F.col("record"), _behind(F.col("data"), head).cast("string")).otherwise(F.concat(F.lit(_SPLIT), text))
-    rows = pieces(spark, path, files).join(parts, ["file", "block", "row"]).groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("offset", part.alias("part")))).alias("p"), F.first("length").alias("length"), F.first("is_http").alias("is_http"))
+    rows = parts.join(again.hint("merge"), ["size", "sha"]).groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("offset", part.alias("part")))).alias("p"), F.first("length").alias("length"), F.first("is_http").alias("is_http"))
     block = F.substring(F.array_join("p.part", "").cast("binary"), F.lit(1), F.col("length").cast("int"))
     rows = rows.withColumn("payload", _payload(block, F.col("is_http")))
     return rows.select("file", F.col("record").alias("offset"), F.octet_length("payload").cast("long").alias("payload_bytes"), base32_of_hex(F.sha1("payload")).alias("payload_digest"))

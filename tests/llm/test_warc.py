@@ -58,3 +58,16 @@ def test_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write(pages, f"{tmp_path}/none")
     assert warc.resolved(warc.read(spark, f"{tmp_path}/none")).count() == 0
+
+
+def test_files_split_differently_by_two_scans(spark, tmp_path):
+    pages = [(k, f"http://x/{k}", f"{MAGIC}{'y' * 700 * k}{MAGIC} {k}") for k in range(1, 9)] + [(9, "http://x/9", MAGIC * 3)]
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(1), f"{tmp_path}/one")
+    records = warc.read(spark, f"{tmp_path}/one")
+    want = sorted((k, len(h), digest(h)) for k, _, h in pages)
+    try:
+        for split in ("128m", "8k", "1k"):  # the plan is lazy: its second scan takes the setting of the action
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            assert sorted((r.page_id, r.payload_bytes, r.payload_digest) for r in warc.resolved(records).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
