@@ -1,8 +1,9 @@
 """Words of many texts at once, as 64-bit hashes, by array operations alone.
 
 A word is a run of bytes other than blanks (0x20, 0x09-0x0D) of the text in UTF-8, with A-Z lower-cased.
-Its hash is the mixed polynomial of its bytes, taken from running sums over a piece of the texts;
-it depends on the word only. Pieces are cut between words, so memory follows PIECE or the longest word.
+Its hash sums a mixed number for each byte and its place in the word, taken from running sums over a piece of the texts;
+it depends on the word only. Places are mixed in, not multiplied by: no polynomial, as words like Thue and Morse's are roots of many
+of those modulo 2**64. Pieces are cut between words, so memory follows PIECE or the longest word.
 """
 
 from __future__ import annotations
@@ -14,22 +15,6 @@ PIECE = 250_000
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
-_FACTOR = 0x9E3779B97F4A7C15
-
-
-class _Powers:
-    """Powers of a factor modulo 2**64, as many as were asked for."""
-
-    def __init__(self, factor: int):
-        self.factor, self.known = factor, np.ones(1, np.uint64)
-
-    def __call__(self, n: int) -> np.ndarray:
-        while len(self.known) < n:
-            self.known = np.append(self.known, self.known * np.uint64(pow(self.factor, len(self.known), 1 << 64)))
-        return self.known[:n]
-
-
-_forth, _back = _Powers(_FACTOR), _Powers(pow(_FACTOR, -1, 1 << 64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -66,9 +51,11 @@ def word_hashes(texts: list[str | None], piece: int = PIECE) -> tuple[np.ndarray
         if not len(edge):
             continue
         start, end = edge[::2], edge[1::2]
-        sums = np.cumsum((_LOWER[own] + np.uint64(1)) * _forth(len(own)))
+        own, start, end, lo = own[start[0] :], start - start[0], end - start[0], lo + int(start[0])
+        place = np.arange(len(own)) - np.repeat(start, np.diff(np.append(start, len(own))))
+        sums = np.cumsum(mix(_LOWER[own] + np.uint64(1) + (place.astype(np.uint64) << np.uint64(9))))
         before = np.where(start > 0, sums[start - 1], np.uint64(0))
-        hashes.append(mix((sums[end - 1] - before) * _back(len(own))[start]))
+        hashes.append(mix(sums[end - 1] - before))
         starts.append(start + lo)
     flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
     at = np.concatenate(starts) if starts else np.empty(0, np.int64)

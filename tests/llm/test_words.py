@@ -15,3 +15,13 @@ def test_words_by_brute_force():
         seen = dict(zip([w for x in words for w in x], hashes.tolist()))
         assert [seen[w] for x in words for w in x] == hashes.tolist() and len(set(seen.values())) == len(seen)
     assert word_hashes([])[1].tolist() == []
+
+
+def test_thue_morse_words_differ():
+    # Roots of polynomials modulo 2**64: such a word and its complement had one hash, whatever the factor.
+    words = []
+    for n in (1024, 2048, 4096):
+        morse = [bin(i).count("1") % 2 for i in range(n)]
+        words += ["".join("ab"[b] for b in morse), "".join("ba"[b] for b in morse)]
+    assert len(set(word_hashes(words)[0].tolist())) == 6
+    assert len(set(word_hashes([" ".join(words)])[0].tolist())) == 6
