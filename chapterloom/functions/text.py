@@ -76,43 +76,6 @@ def occurs(key: Column, source: Column) -> Column:
     return F.contains(source, key) & F.regexp_like(source, pattern)
 
 
-def hangul_runs(c: Column | str) -> Column:
-    """The distinct runs of Hangul syllables of a text."""
-    return F.array_distinct(F.regexp_extract_all(col(c), F.lit("[가-힣]+"), F.lit(0)))
-
-
-def is_run(key: Column) -> Column:
-    """Whether a term is Hangul syllables only."""
-    return key.rlike(r"\A[가-힣]+\z")
-
-
-def standing(keys: Column, runs: Column) -> Column:
-    """Those of distinct keys (each a run of Hangul) that stand in a text on their own, from the text's runs.
-
-    Such a key begins a run, and what is left of the run is nothing or begins with a particle: the same as occurs(),
-    by one look-up of all runs' beginnings.
-    """
-    longest = F.greatest(F.coalesce(F.array_max(F.transform(keys, F.length)), F.lit(1)), F.lit(1))
-    beginnings = let(longest, lambda n: F.flatten(F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), F.least(F.length(r), n)), lambda k: F.substring(r, F.lit(1), k)))))
-    particle = "^(?:" + "|".join(PARTICLES) + ")"
-
-    def stands(key):
-        return F.exists(runs, lambda r: F.startswith(r, key) & ((F.length(r) == F.length(key)) | F.substring(r, F.length(key) + 1, F.length(r)).rlike(particle)))
-
-    return F.filter(F.array_intersect(keys, beginnings), stands)
-
-
-def word_list(c: Column) -> Column:
-    """Lower-case words of 0-9, a-z and hyphens."""
-    return F.filter(F.array_distinct(F.split(F.lower(c), r"[^0-9a-z\-]+")), lambda w: w != "")
-
-
-def adherent(english: Column, lower_text: Column, words: Column) -> Column:
-    """Whether a rendering stands in a text, or all its content words do."""
-    wanted = F.array_except(word_list(english), F.array(*map(F.lit, STOP_WORDS)))
-    return F.contains(lower_text, F.lower(english)) | ((F.size(wanted) > 0) & (F.size(F.array_except(wanted, words)) == 0))
-
-
 def token_ids(c: Column) -> Column:
     """The ids of all numbered tokens in order; null for one that fits no INT."""
     return F.transform(F.regexp_extract_all(c, F.lit(TOKEN), F.lit(1)), lambda x: x.try_cast("int"))

@@ -2,8 +2,10 @@
 
 A book's glossary (some hundred terms) is one array a book that joins each chapter's row, so
 chapter texts are neither copied for each term nor exploded. Up to BROADCAST_TERMS terms these arrays are broadcast and
-chapters stay where they are; beyond, both are shuffled by book. Terms of Hangul alone are found by intersecting them with the
-beginnings of the text's Hangul runs; only other terms (with blanks, Latin letters, ...) search the text.
+chapters stay where they are; beyond, both are shuffled by book. A text is searched once for all terms (see finder).
+
+Chapters may carry ``size``: then only terms with ids up to it count, as when the glossary was still growing. Defined results: a null
+text, or a book without a glossary, has no terms; terms with one spelling are all found; ids are numbered from 1 without gaps.
 """
 
 from __future__ import annotations
@@ -11,14 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chapterloom.functions.text import adherent, hangul_runs, is_run, let, occurs, standing, word_list
+from chapterloom.operators.finder import checked_column, present_column
 from chapterloom.sources.scratch import store
 
+_TERM = ["token_id", "korean", "english", "category", "note", "enforce"]
+
 
 def book_terms(glossary: DataFrame) -> DataFrame:
     """(slug, terms, n_terms): each book's terms in the order of their ids."""
-    term = F.struct("token_id", "korean", "english", "category", "note", "enforce")
-    return glossary.groupBy("slug").agg(F.array_sort(F.collect_list(term)).alias("terms"), F.count(F.lit(1)).alias("n_terms"))
+    return glossary.groupBy("slug").agg(F.array_sort(F.collect_list(F.struct(*_TERM))).alias("terms"), F.count(F.lit(1)).alias("n_terms"))
 
 
 #: Terms of all books up to which they are broadcast, at some 100 bytes each.
@@ -26,25 +29,27 @@ BROADCAST_TERMS = 500_000
 
 
 def with_books(rows: DataFrame, books: DataFrame) -> DataFrame:
-    """rows joined with books (slug, terms, n_terms, ...), adding run_keys and other_keys for found_keys(). The books are stored and counted."""
-    keys = F.array_distinct(F.transform("terms", lambda t: t["korean"]))
-    books = store(books.withColumns({"run_keys": F.filter(keys, is_run), "other_keys": F.filter(keys, lambda k: ~is_run(k))}), "books")
+    """rows joined with books (slug, terms, n_terms), adding the terms' spellings (keys), lower-cased renderings (lows) and whether they are enforced. The books are stored and counted."""
+    each = {"keys": lambda t: t["korean"], "lows": lambda t: F.lower(t["english"]), "enforced": lambda t: t["enforce"]}
+    books = store(books.withColumns({c: F.transform("terms", f) for c, f in each.items()}), "books")
     n = books.agg(F.sum("n_terms")).first()[0] or 0
     return rows.join(F.broadcast(books) if n <= BROADCAST_TERMS else books, "slug", "left")
 
 
-def found_keys(text: Column) -> Column:
-    """The distinct keys of the joined book's terms that stand in a text on their own."""
-    own = let(hangul_runs(text), lambda runs: standing(F.col("run_keys"), runs))
-    other = F.filter("other_keys", lambda k: occurs(k, text))
-    return F.coalesce(F.concat(own, other), F.array().cast("array<string>"))
+def size_of(rows: DataFrame) -> Column:
+    """How many of its book's terms a row may see: its column ``size``, else all."""
+    return F.col("size").cast("int") if "size" in rows.columns else F.lit(2**31 - 1)
+
+
+def picked(places: Column | str, terms: str = "terms") -> Column:
+    """The terms at these places."""
+    return F.coalesce(F.transform(places, lambda p: F.element_at(terms, p + 1)), F.array())
 
 
 def with_present(chapters: DataFrame, glossary: DataFrame) -> DataFrame:
     """Adds present: the terms that occur in the chapter's text, none for a book without a glossary or a chapter without text."""
-    joined = with_books(chapters, book_terms(glossary))
-    present = let(found_keys(F.col("text")), lambda keys: F.filter("terms", lambda t: F.array_contains(keys, t["korean"])))
-    return joined.withColumn("present", F.coalesce(present, F.array())).drop("terms", "n_terms", "run_keys", "other_keys")
+    joined = with_books(chapters, book_terms(glossary)).withColumn("places", present_column()("slug", "keys", "text", size_of(chapters)))
+    return joined.withColumn("present", picked("places")).drop("terms", "n_terms", "keys", "lows", "enforced", "places")
 
 
 def terms_in_source(chapters: DataFrame, glossary: DataFrame) -> DataFrame:
@@ -58,13 +63,19 @@ def check_adherence(chapters: DataFrame, translations: DataFrame, glossary: Data
 
     A chapter without a translation is missing and has null counts.
     """
-    source = with_present(chapters.select("slug", "chapter", "text"), glossary).drop("text")
-    rows = source.join(translations.select("slug", "chapter", F.col("text").alias("translation")), ["slug", "chapter"], "left")
-    read = F.struct(F.lower("translation").alias("low"), word_list(F.col("translation")).alias("words"))
-    wrong = let(read, lambda r: F.filter("present", lambda t: ~adherent(t["english"], r["low"], r["words"])))
+    size = size_of(chapters)
+    low = F.lower("text")
+    rows = chapters.select("slug", "chapter", "text", size.alias("size")).join(translations.select("slug", "chapter", low.alias("translation")), ["slug", "chapter"], "left")
+    found = checked_column()("slug", "keys", "lows", "text", "translation", "size")
+    rows = with_books(rows, book_terms(glossary)).withColumn("found", found)
     there = F.col("translation").isNotNull()
-    rows = rows.withColumn("violations", F.when(there, wrong))
-    return rows.select("slug", "chapter", F.when(there, F.size("present")).alias("present"), "violations", (~there).alias("missing"))
+    return rows.select(
+        "slug",
+        "chapter",
+        F.when(there, F.coalesce(F.size("found.present"), F.lit(0))).alias("present"),
+        F.when(there, picked("found.wrong")).alias("violations"),
+        (~there).alias("missing"),
+    )
 
 
 def percent(ok: str, present: str):

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chapterloom.functions import text as X
-from chapterloom.operators.match import book_terms, found_keys, percent, with_books
+from chapterloom.operators.finder import forgotten_column
+from chapterloom.operators.match import book_terms, percent, picked, size_of, with_books
 
 
 def substitute(replies: DataFrame, ids: DataFrame, col: str = "raw") -> DataFrame:
@@ -38,40 +39,30 @@ def new_entities(replies: DataFrame, col: str = "raw") -> DataFrame:
     return rows.select("slug", "chapter", "pos", "e.korean", "e.english")
 
 
-def masked_terms(glossary: DataFrame) -> DataFrame:
-    """(slug, terms, n_terms) where each term has over: the book's longer terms that contain it, in order.
-
-    This looks at glossaries only, once a book, never at chapters.
-    """
-    books = book_terms(glossary)
-    over = lambda t: F.transform(F.filter("terms", lambda o: (o["korean"] != t["korean"]) & F.contains(o["korean"], t["korean"])), lambda o: o["korean"])
-    with_over = F.transform("terms", lambda t: F.struct(t["token_id"].alias("token_id"), t["korean"].alias("korean"), t["enforce"].alias("enforce"), over(t).alias("over")))
-    return books.select("slug", with_over.alias("terms"), "n_terms")
-
-
-def _forgotten(terms, source, raw):
-    masked = lambda t: F.aggregate(t["over"], source, lambda acc, o: F.replace(acc, o, F.lit("")))
-    # Only where a longer term hides a term is the text searched; else the keys found once are looked up.
-    hidden = lambda t: F.exists(t["over"], lambda o: F.contains(source, o))
-    alone = lambda t, keys: F.when(hidden(t), F.contains(source, t["korean"]) & X.occurs(t["korean"], masked(t))).otherwise(F.array_contains(keys, t["korean"]))
-    wanted = X.let(X.token_ids(raw), lambda ids: F.filter(terms, lambda t: t["enforce"] & ~F.coalesce(F.array_contains(ids, t["token_id"]), F.lit(False))))
-    missed = X.let(found_keys(source), lambda keys: F.filter(wanted, lambda t: alone(t, keys)))
-    return F.transform(missed, lambda t: F.struct(t["korean"].alias("korean"), F.concat(F.lit("[[G"), t["token_id"].cast("string"), F.lit("]]")).alias("token")))
+def _with_forgotten(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
+    """pairs with their books, and forgotten. Only enforced terms whose token isn't in the reply are looked for."""
+    rows = with_books(pairs, book_terms(glossary)).withColumn("size", size_of(pairs)).withColumn("ids", F.regexp_extract_all("raw", F.lit(X.TOKEN), F.lit(1)))
+    rows = rows.withColumn("places", forgotten_column()("slug", "keys", "enforced", "ids", "source", "size"))
+    missed = F.transform(picked("places"), lambda t: F.struct(t["korean"].alias("korean"), F.concat(F.lit("[[G"), t["token_id"].cast("string"), F.lit("]]")).alias("token")))
+    return rows.withColumn("forgotten", missed)
 
 
 def untokenized_terms(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
-    """pairs (slug, chapter, source, raw): adds forgotten, the enforced terms that occur in the source on their own but whose token is not in the reply."""
-    rows = with_books(pairs, masked_terms(glossary))
-    return rows.withColumn("forgotten", F.coalesce(_forgotten(F.col("terms"), F.col("source"), F.col("raw")), F.array())).drop("terms", "n_terms", "run_keys", "other_keys")
+    """pairs (slug, chapter, source, raw): adds forgotten, the enforced terms that occur in the source on their own but whose token is not in the reply.
+
+    A term that longer terms contain counts where it stands after those are cut out. Pairs may carry ``size`` (see match).
+    """
+    return _with_forgotten(pairs, glossary).select(*[f"`{c}`" for c in pairs.columns if c != "forgotten"], "forgotten")
 
 
 def defect_table(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
     """(slug, chapter, forgotten, invalid, new, needs_repair); new entities alone need no repair, nor does a null source or reply."""
-    rows = with_books(pairs, masked_terms(glossary)).select(
+    rows = _with_forgotten(pairs, glossary)
+    rows = rows.select(
         "slug",
         "chapter",
-        F.coalesce(_forgotten(F.col("terms"), F.col("source"), F.col("raw")), F.array()).alias("forgotten"),
-        _invalid(F.col("raw"), F.coalesce("n_terms", F.lit(0))).alias("invalid"),
+        "forgotten",
+        _invalid(F.col("raw"), F.least(F.coalesce("n_terms", F.lit(0)), "size")).alias("invalid"),
         F.coalesce(X.new_entities(F.col("raw")), F.array()).alias("new"),
     )
     return rows.withColumn("needs_repair", (F.size("forgotten") > 0) | (F.size("invalid") > 0))

@@ -141,14 +141,14 @@ def test_equal_texts_as_difflib_has_them():
             assert tokens.ratio_of(x, x, junk) == difflib.SequenceMatcher(None, x, x, junk).ratio(), (x, junk)
 
 
-def test_matching_by_runs(spark):
+def test_matching_by_automaton(spark):
     import random
 
     random.seed(5)
     alphabet = ["가", "검", "은", "는", "이라", "에서", "강", "도", " ", "a", ".", "\n", "힣"]
     texts = ["".join(random.choices(alphabet, k=random.choice([0, 1, 5, 40]))) for _ in range(150)]
     keys = list(dict.fromkeys("".join(random.choices(alphabet, k=random.choice([1, 2, 3, 5]))) for _ in range(120)))
-    keys = [k for k in keys if k.strip()] + [r"\E검", "검.", "[강"]
+    keys = [k for k in keys if k.strip()] + [r"\E검", "검.", "[강", "검", "은 ", "가은"]  # one key twice
     chapters = spark.createDataFrame([("b", i, t) for i, t in enumerate(texts)], "slug string, chapter int, text string")
     terms = spark.createDataFrame([("b", i + 1, k, "x", "item", "", True) for i, k in enumerate(keys)], "slug string, token_id int, korean string, english string, category string, note string, enforce boolean")
     got = {r.chapter: [t.korean for t in r.present] for r in match.with_present(chapters, terms).collect()}
@@ -157,3 +157,34 @@ def test_matching_by_runs(spark):
     rows = terms.collect()
     got = {r.chapter: [t.korean for t in r.forgotten] for r in tokens.untokenized_terms(pairs, terms).collect()}
     assert got == {i: forgotten(t, "", rows) for i, t in enumerate(texts)}
+    # As when the glossary held its first 40 terms.
+    sized = pairs.selectExpr("*", "40 as size")
+    got = {r.chapter: [t.korean for t in r.forgotten] for r in tokens.untokenized_terms(sized, terms).collect()}
+    assert got == {i: forgotten(t, "", rows[:40]) for i, t in enumerate(texts)}
+    got = {r.chapter: [t.korean for t in r.present] for r in match.with_present(chapters.selectExpr("*", "40 as size"), terms).collect()}
+    assert got == {i: [k for k in keys[:40] if occurs(k, t)] for i, t in enumerate(texts)}
+
+
+def test_adherence_of_renderings(spark):
+    cases = [("Sword Saint", "the sword saints came"), ("Saint of Swords", "swords and a saint"), ("Han", "his hand"), ("The Of", "nothing here"), ("Iron Gate", "the iron door"), ("Café Noir", "caf noir"), ("", "x"), ("Han", None)]
+    chapters = spark.createDataFrame([(f"b{i}", 1, "검이 있다") for i in range(len(cases))] + [(None, 1, "검"), ("b0", 2, None)], "slug string, chapter int, text string")
+    said = spark.createDataFrame([(f"b{i}", 1, t) for i, (_, t) in enumerate(cases)], "slug string, chapter int, text string")
+    terms = spark.createDataFrame([(f"b{i}", 1, "검", e, "item", "", True) for i, (e, _) in enumerate(cases)], "slug string, token_id int, korean string, english string, category string, note string, enforce boolean")
+    got = {(r.slug, r.chapter): (r.missing, r.violations and [v.english for v in r.violations]) for r in match.check_adherence(chapters, said, terms).collect()}
+    want = {(f"b{i}", 1): (t is None, None if t is None else [] if adherent(e, t) else [e]) for i, (e, t) in enumerate(cases)}
+    assert {k: (m, v or (None if v is None else [])) for k, (m, v) in got.items()} == want | {(None, 1): (True, None), ("b0", 2): (True, None)}
+
+
+def test_cost_of_many_terms():
+    import time
+
+    from chapterloom.operators.finder import Finder
+
+    text = "검은 성 a 마을로 b 강에서 가는 " * 200
+    few, many = (Finder([f"{w} {i}{c}" for i in range(n // 10) for w, c in zip("검성마강가abcde", "은는에로가도만xyz")]) for n in (10, 1000))
+    few.standing(text), many.standing(text)
+
+    def least(f):
+        return min((lambda t: (f.standing(text), time.perf_counter() - t)[1])(time.perf_counter()) for _ in range(20))
+
+    assert least(many) < 2 * least(few)

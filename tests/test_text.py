@@ -25,13 +25,6 @@ def test_occurs_at_hangul_boundaries(spark):
         assert r.x == r.want, (r.k, r.s)
 
 
-def test_adherent(spark):
-    cases = [("Sword Saint", "the sword saints came", True), ("Saint of Swords", "swords and a saint", True), ("Han", "his hand", True), ("The Of", "nothing here", False), ("Iron Gate", "the iron door", False), ("Café Noir", "caf noir", True)]
-    df = spark.createDataFrame(cases, "e string, t string, want boolean")
-    got = df.select("e", "want", X.adherent(F.col("e"), F.lower("t"), X.word_list(F.col("t"))).alias("x")).collect()
-    assert [(r.e, r.x) for r in got] == [(r.e, r.want) for r in got]
-
-
 def test_normalize_key(spark):
     for k, want in (("데스 나이트 (데스나이트)", "데스나이트"), ("검수림（劍樹林）", "검수림"), ("(전부)", "")):
         assert one(spark, X.normalize_key("k"), k=k) == want
