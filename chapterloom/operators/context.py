@@ -93,13 +93,33 @@ def consolidation_requests(glossary: DataFrame, prompt: str = "CONSOLIDATE") ->
     return glossary_table(glossary).select("slug", text.alias("prompt"))
 
 
-def translation_requests(chapters: DataFrame, summaries: DataFrame, glossary: DataFrame, prompt: str = "TRANSLATE", max_tokens: int = 16_000, last: int | None = None) -> DataFrame:
-    """(slug, chapter, request): instructions, the glossary block where the book has one, and the message with earlier summaries.
+def with_arc(rows: DataFrame, arcs: DataFrame | None, every: int = 5) -> DataFrame:
+    """Adds arc to rows (slug, chapter, ...): the story as of the last due chapter before the row's, null before the first.
+
+    arcs: (slug, chapter, arc) of due chapters, those whose number ``every`` divides; other rows are left out. A null or blank arc is a
+    reply that failed: the one before it stays. Of several arcs of a chapter the least counts. Each arc is repeated for the
+    due chapters up to its successor, so rows meet theirs by an equi-join, and only due chapters are ever sorted by book.
+    """
+    rows = rows.drop("arc")
+    if arcs is None:
+        return rows.withColumn("arc", F.lit(None).cast("string"))
+    due = F.expr(f"(chapter - 1) div {int(every)}").cast("long")
+    rows = rows.withColumn("due", due)
+    ends = rows.groupBy("slug").agg(F.max("due").alias("end"))
+    told = arcs.where((F.col("chapter") % every == 0) & (strip("arc") != "")).groupBy("slug", F.expr(f"chapter div {int(every)}").cast("long").alias("at")).agg(F.min("arc").alias("arc"))
+    told = told.withColumn("next", F.lead("at").over(Window.partitionBy("slug").orderBy("at"))).join(ends, "slug")
+    upto = F.greatest("at", F.coalesce(F.col("next") - 1, "end"))
+    told = told.select("slug", "arc", F.explode(F.sequence("at", upto)).alias("due"))
+    return rows.join(told, ["slug", "due"], "left").drop("due")
+
+
+def translation_requests(chapters: DataFrame, summaries: DataFrame, glossary: DataFrame, prompt: str = "TRANSLATE", max_tokens: int = 16_000, last: int | None = None, arcs: DataFrame | None = None, every: int = 5) -> DataFrame:
+    """(slug, chapter, request): instructions, the glossary block where the book has one, and the message with the story so far and earlier summaries.
 
     last: that many available summaries; otherwise the window of 20 chapter numbers. Texts are joined after the windows.
     """
     prior = context_window(summaries) if last is None else last_k_summaries(summaries, last)
-    rows = chapters.join(prior, ["slug", "chapter"], "left").join(placeholder_block(glossary), "slug", "left").withColumn("arc", F.lit(""))
+    rows = with_arc(chapters.join(prior, ["slug", "chapter"], "left"), arcs, every).join(placeholder_block(glossary), "slug", "left")
     rows = user_message(rows).where("message is not null")
     return rows.select("slug", "chapter", request(_id("translate"), [F.lit(prompt), F.col("block")], F.col("message"), max_tokens).alias("request"))
 
@@ -119,15 +139,29 @@ def repair_requests(defects: DataFrame, pairs: DataFrame, glossary: DataFrame, p
     return rows.select("slug", "chapter", request(_id("repair"), [F.lit(prompt), F.when(F.size("invalid") > 0, F.col("block"))], message, max_tokens).alias("request"))
 
 
-def arc_requests(summaries: DataFrame, every: int = 5, prompt: str = "ARC") -> DataFrame:
-    """(slug, chapter, n_summaries, message): at every so many chapters but the last, all summaries so far. Only due chapters gather them."""
-    ends = summaries.groupBy("slug").agg(F.max("chapter").alias("end"))
-    due = summaries.select("slug", "chapter").join(ends, "slug").where((F.col("chapter") % every == 0) & (F.col("chapter") < F.col("end"))).drop("end")
-    known = summaries.where("summary is not null").select("slug", F.col("chapter").alias("c"), "summary")
-    rows = due.join(known, (due.slug == known.slug) & (known.c <= due.chapter)).select(due.slug, "chapter", F.struct("c", "summary").alias("s"))
-    grouped = rows.groupBy("slug", "chapter").agg(F.array_sort(F.collect_list("s")).alias("s"))
-    line = lambda s: F.concat(F.lit("Ch."), s["c"].cast("string"), F.lit(": "), s["summary"])
-    return grouped.select("slug", "chapter", F.size("s").alias("n_summaries"), F.concat(F.lit(prompt + "\n\n"), F.array_join(F.transform("s", line), "\n")).alias("message"))
+#: The tags of an arc request, and what stands for the story before there is one.
+STORY, RECENT, NO_STORY = "current_story_so_far", "recent_chapter_summaries", "(empty)"
+
+
+def arc_requests(summaries: DataFrame, every: int = 5, prompt: str = "ARC", arcs: DataFrame | None = None) -> DataFrame:
+    """(slug, chapter, n_summaries, message): at every so many chapters but the last, the current arc and all summaries so far.
+
+    Summaries are put together once for the chapters up to each due one, and a due chapter takes the texts of the blocks up to its own: rows are
+    as many as due chapters. A due chapter without a summary before it asks nothing; chapters without a number count nowhere.
+    """
+    rows = summaries.select("slug", "chapter", "summary").where("chapter is not null")
+    ends = rows.groupBy("slug").agg(F.max("chapter").alias("end"))
+    block = F.ceil(F.col("chapter") / every).alias("block")
+    line = lambda s: F.concat(F.lit("Ch."), s["chapter"].cast("string"), F.lit(": "), s["summary"])
+    known = rows.where("summary is not null").groupBy("slug", block).agg(F.array_sort(F.collect_list(F.struct("chapter", "summary"))).alias("s"))
+    known = known.select("slug", "block", F.size("s").alias("n"), F.array_join(F.transform("s", line), "\n").alias("lines"))
+    due = rows.where(F.col("chapter") % every == 0).select("slug", "chapter", block).distinct().join(ends, "slug").where("chapter < end").drop("end")
+    upto = Window.partitionBy("slug").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    both = known.join(due, ["slug", "block"], "full").select("slug", "chapter", F.coalesce(F.sum("n").over(upto), F.lit(0)).cast("int").alias("n_summaries"), F.collect_list("lines").over(upto).alias("lines"))
+    found = with_arc(both.where("chapter is not null and n_summaries > 0"), arcs, every)
+    tagged = lambda tag, c: F.concat(F.lit(f"<{tag}>\n"), c, F.lit(f"\n</{tag}>"))
+    message = F.concat_ws("\n\n", F.lit(prompt), tagged(STORY, F.coalesce(strip("arc"), F.lit(NO_STORY))), tagged(RECENT, F.array_join("lines", "\n")))
+    return found.select("slug", "chapter", "n_summaries", message.alias("message"))
 
 
 def token_estimate(rows: DataFrame, col: str = "text") -> DataFrame:

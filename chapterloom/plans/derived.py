@@ -134,6 +134,12 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("slug", "chapter", F.when(n % 5 != 3, F.concat(F.lit("Chapter "), n.cast("string"), F.lit(" in short."))).alias("summary"))
 
 
+def arcs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(slug, chapter, arc): the story as retold after every fifth chapter; null where that failed."""
+    n = F.col("chapter")
+    return documents(spark, sf_dir).where(n % 5 == 0).select("slug", "chapter", F.when(n % 3 != 0, F.concat(F.lit(" The story up to "), n.cast("string"), F.lit(". "))).alias("arc"))
+
+
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(tag, model, slug, chapter, batch, four token counts, parse_ok, terms, variant, seq) of every order line."""
     q = F.col("l_quantity").cast("long")

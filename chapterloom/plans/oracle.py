@@ -123,6 +123,10 @@ def window_of(width: int) -> str:
       FROM summaries s LEFT JOIN summaries p ON p.slug = s.slug AND p.chapter BETWEEN s.chapter - {width} AND s.chapter - 1 AND p.chapter >= 1 AND p.summary IS NOT NULL GROUP BY s.slug, s.chapter"""
 
 
+# The story as of the last due chapter before that of c.
+ARC = "(SELECT arg_max(x.arc, x.chapter) FROM arcs x WHERE x.slug = c.slug AND x.chapter < c.chapter AND x.arc IS NOT NULL)"
+
+
 def message(arc: str, text: str = "c.text") -> str:
     body = strip(text)
     return f"""CASE WHEN {body} <> '' THEN {arc} || CASE WHEN w.lines <> '' THEN '<previous_chapter_summaries>' || chr(10) || w.lines || chr(10) || '</previous_chapter_summaries>' || chr(10) || chr(10) ELSE '' END
@@ -310,8 +314,8 @@ SQL: dict[str, str] = {
         f"SELECT slug, 'CONSOLIDATE' || chr(10) || chr(10) || '# Draft glossary (' || count(*) || ' entries)' || chr(10) || chr(10) || string_agg({TABLE_LINE}, chr(10) ORDER BY token_id) || chr(10) AS prompt FROM glossary GROUP BY slug", "glossary"
     ),
     "translation_requests": sql(
-        "SELECT slug, chapter, 'translate:' || slug || ':' || chapter AS custom_id, CAST(16000 AS INT) AS max_tokens, md5(m) AS user_digest, md5(coalesce(block, '')) AS block_digest FROM (SELECT c.slug, c.chapter, " + message("''") + " AS m FROM chapters c JOIN w USING (slug, chapter)) LEFT JOIN block USING (slug) WHERE m IS NOT NULL",
-        "chapters", "summaries", "glossary", more={"w": window_of(20), "block": BLOCK},
+        "SELECT slug, chapter, 'translate:' || slug || ':' || chapter AS custom_id, CAST(16000 AS INT) AS max_tokens, md5(m) AS user_digest, md5(coalesce(block, '')) AS block_digest FROM (SELECT c.slug, c.chapter, " + message(f"coalesce('<story_so_far>' || chr(10) || trim({ARC}) || chr(10) || '</story_so_far>' || chr(10) || chr(10), '')") + " AS m FROM chapters c JOIN w USING (slug, chapter)) LEFT JOIN block USING (slug) WHERE m IS NOT NULL",
+        "chapters", "summaries", "glossary", "arcs", more={"w": window_of(20), "block": BLOCK},
     ),
     "repair_requests": sql(
         """SELECT d.slug, d.chapter, 'repair:' || d.slug || ':' || d.chapter AS custom_id, CAST(16000 AS INT) AS max_tokens,
@@ -324,11 +328,13 @@ SQL: dict[str, str] = {
         "tokened", "chapters", "book", more={**defects(), "block": BLOCK},
     ),
     "arc_requests": sql(
-        """SELECT a.slug, a.chapter, CAST(count(*) AS INT) AS n_summaries, md5('ARC' || chr(10) || chr(10) || string_agg('Ch.' || b.chapter || ': ' || b.summary, chr(10) ORDER BY b.chapter)) AS digest
-          FROM summaries a JOIN summaries b ON a.slug = b.slug AND b.chapter <= a.chapter AND b.summary IS NOT NULL
-          WHERE a.chapter % 5 = 0 AND a.chapter < (SELECT max(c.chapter) FROM summaries c WHERE c.slug = a.slug) GROUP BY a.slug, a.chapter""",
-        "summaries",
-    ),
+        f"""SELECT slug, chapter, n_summaries, md5('ARC' || chr(10) || chr(10) || '<current_story_so_far>' || chr(10) || coalesce(trim({ARC}), '(empty)') || chr(10) || '</current_story_so_far>' || chr(10) || chr(10)
+            || '<recent_chapter_summaries>' || chr(10) || lines || chr(10) || '</recent_chapter_summaries>') AS digest
+          FROM (SELECT a.slug, a.chapter, CAST(count(*) AS INT) AS n_summaries, string_agg('Ch.' || b.chapter || ': ' || b.summary, chr(10) ORDER BY b.chapter) AS lines
+            FROM summaries a JOIN summaries b ON a.slug = b.slug AND b.chapter <= a.chapter AND b.summary IS NOT NULL
+            WHERE a.chapter % 5 = 0 AND a.chapter < (SELECT max(z.chapter) FROM summaries z WHERE z.slug = a.slug) GROUP BY a.slug, a.chapter) c""",
+        "summaries", "arcs",
+    ),
     "token_estimate": sql("SELECT slug, chapter, h + (length(text) - h) // 4 AS estimate FROM (SELECT *, length(regexp_replace(text, '[^가-힣]', '', 'g')) AS h FROM chapters)", "chapters"),
     "call_cost": sql("SELECT tag, model, chapter, seq, batch, round(cost_usd, 6) AS cost_usd FROM costed", "costed"),
     "unpriced_calls": sql("SELECT tag, model, chapter, seq FROM calls WHERE model NOT IN (SELECT model FROM pricing)", "costed"),

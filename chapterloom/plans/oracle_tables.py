@@ -50,6 +50,7 @@ CTES = {
       || CASE WHEN chapter % 31 = 9 THEN chr(10) || '<chapter_summary></chapter_summary>' ELSE chr(10) || '<chapter_summary>' || chr(10) || ' Chapter ' || chapter || ' in short. ' || chr(10) || '</chapter_summary>' END AS raw
       FROM tokened LEFT JOIN term_lines USING (slug, chapter)""",
     "summaries": "SELECT slug, chapter, CASE WHEN chapter % 5 <> 3 THEN 'Chapter ' || chapter || ' in short.' END AS summary FROM docs",
+    "arcs": "SELECT slug, chapter, CASE WHEN chapter % 3 <> 0 THEN ' The story up to ' || chapter || '. ' END AS arc FROM docs WHERE chapter % 5 = 0",
     "calls": """SELECT ['mine', 'translate', 'repair', 'judge'][l_linenumber % 4 + 1] AS tag,
       CASE WHEN l_partkey % 50 = 0 THEN 'unknown' ELSE ['large', 'medium', 'small'][l_suppkey % 3 + 1] END AS model,
       'run' || (l_orderkey % 100) AS slug, l_orderkey AS chapter, l_returnflag = 'R' AS batch,
@@ -78,7 +79,7 @@ CTES = {
 
 _NEEDS = {
     "chapters": ["docs"], "found_terms": ["docs"], "glossary": ["found_terms"], "mined": ["found_terms"], "tokened": ["docs"], "term_lines": ["mined"],
-    "replies": ["tokened", "term_lines"], "summaries": ["docs"], "costed": ["calls", "pricing"], "novels": ["chapters"], "book": ["glossary"],
+    "replies": ["tokened", "term_lines"], "summaries": ["docs"], "arcs": ["docs"], "costed": ["calls", "pricing"], "novels": ["chapters"], "book": ["glossary"],
     "present": ["chapters", "glossary"], "scored": ["present", "docs"],
 }
 

@@ -402,7 +402,7 @@ def consolidation_requests(spark, d):
 
 
 def translation_requests(spark, d):
-    return context.translation_requests(D.chapters(spark, d), D.summaries(spark, d), D.glossary(spark, d)).select("slug", "chapter", *_request_parts())
+    return context.translation_requests(D.chapters(spark, d), D.summaries(spark, d), D.glossary(spark, d), arcs=D.arcs(spark, d)).select("slug", "chapter", *_request_parts())
 
 
 def repair_requests(spark, d):
@@ -411,7 +411,7 @@ def repair_requests(spark, d):
 
 
 def arc_requests(spark, d):
-    rows = context.arc_requests(D.summaries(spark, d))
+    rows = context.arc_requests(D.summaries(spark, d), arcs=D.arcs(spark, d))
     return rows.select("slug", "chapter", "n_summaries", F.md5("message").alias("digest"))
 
 

@@ -110,7 +110,32 @@ def test_windows_differ_with_gaps(spark):
     by_count = {r.chapter: [s.chapter for s in r.prior] for r in context.last_k_summaries(df, 2).collect()}
     assert by_number == {1: [], 2: [1], 3: [1], 4: [1, 3], 5: [3], 30: [], 31: [30]}
     assert by_count == {1: [], 2: [1], 3: [1], 4: [1, 3], 5: [1, 3], 30: [3, 5], 31: [5, 30]}
-    assert [r.chapter for r in context.arc_requests(df).collect()] == [5, 30] or {r.chapter for r in context.arc_requests(df).collect()} == {5, 30}
+    assert {(r.chapter, r.n_summaries) for r in context.arc_requests(df).collect()} == {(5, 3), (30, 4)}
+
+
+def test_arcs_are_carried_on(spark):
+    arcs = [("b", 5, " one "), ("b", 10, None), ("b", 15, " "), ("b", 20, "two"), ("b", 20, "zwei"), ("b", 22, "not due"), (None, 5, "x")]
+    arcs = spark.createDataFrame(arcs, "slug string, chapter int, arc string")
+    rows = spark.createDataFrame([("b", c, "old") for c in (0, 1, 5, 6, 10, 11, 20, 21, 22, 23, 60)] + [("c", 9, "old"), (None, 9, "old")], "slug string, chapter int, arc string")
+    got = {(r.slug, r.chapter): r.arc for r in context.with_arc(rows, arcs).collect()}
+    want = dict.fromkeys([(r.slug, r.chapter) for r in rows.collect()]) | {("b", c): " one " for c in (6, 10, 11, 20)} | {("b", c): "two" for c in (21, 22, 23, 60)}
+    assert got == want
+    assert {r.arc for r in context.with_arc(rows, arcs.limit(0)).collect()} == {None} and context.with_arc(rows.limit(0), arcs).count() == 0
+
+
+def test_arc_requests_of_a_long_book(spark):
+    n, every = 5000, 50
+    told = {c: f"s{c}" for c in range(1, n + 1) if c % 7 and not 100 < c <= 200}
+    arc = {c: f"arc {c}" for c in range(every, n, every) if c % 3}
+    summaries = spark.createDataFrame([("b", c, told.get(c)) for c in range(1, n + 1)] + [("short", 50, None), ("short", 51, "x"), ("b", None, "no number")], "slug string, chapter int, summary string")
+    arcs = spark.createDataFrame([("b", c, arc.get(c)) for c in range(every, n, every)], "slug string, chapter int, arc string")
+    rows = context.arc_requests(summaries, every, "P", arcs).collect()
+    assert sorted(r.chapter for r in rows) == list(range(every, n, every))
+    for r in rows:
+        lines = [f"Ch.{c}: {s}" for c, s in told.items() if c <= r.chapter]
+        story = next((arc[c] for c in range(r.chapter - every, 0, -every) if c in arc), "(empty)")
+        assert r.n_summaries == len(lines)
+        assert r.message == f"P\n\n<current_story_so_far>\n{story}\n</current_story_so_far>\n\n<recent_chapter_summaries>\n" + "\n".join(lines) + "\n</recent_chapter_summaries>"
 
 
 def test_messages(spark, terms):
