@@ -14,8 +14,10 @@ from chapterloom.operators.match import book_terms, percent, picked, size_of, wi
 
 
 def substitute(replies: DataFrame, ids: DataFrame, col: str = "raw") -> DataFrame:
-    """Adds body (tokens replaced by their renderings) and leaked (whatever is still in brackets); ids: (slug, ids MAP)."""
+    """Adds body (tokens replaced by their renderings) and leaked (whatever is still in brackets); ids: (slug, ids MAP). Replies may carry ``size``: larger ids aren't known then."""
     rows = replies.join(ids, "slug", "left")
+    if "size" in replies.columns:
+        rows = rows.withColumn("ids", F.map_filter("ids", lambda k, _: k <= F.col("size")))
     empty = F.create_map().cast("map<int,string>")
     rows = rows.withColumn("body", X.apply_tokens(F.col(col), F.coalesce("ids", empty))).drop("ids")
     return rows.withColumn("leaked", X.leaked(F.col("body")))

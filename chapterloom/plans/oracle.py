@@ -151,6 +151,13 @@ LAST_THREE = """SELECT s.slug, s.chapter, coalesce(string_agg(p.chapter, ';' ORD
   FROM summaries s LEFT JOIN LATERAL (SELECT q.chapter, row_number() OVER (ORDER BY q.chapter DESC) AS k FROM summaries q WHERE q.slug = s.slug AND q.chapter < s.chapter AND q.summary IS NOT NULL) p ON true
   GROUP BY s.slug, s.chapter"""
 
+# Which of the terms that stand in a chapter its gated text has.
+JUDGED_TERMS = {
+    "said": "SELECT slug, chapter, lower(body) AS low, list_distinct(regexp_split_to_array(lower(body), '[^0-9a-z-]+')) AS words FROM gate",
+    "judged_terms": """SELECT p.slug, p.chapter, p.token_id, p.korean, contains(low, lower(p.english)) OR (len(p.wanted) > 0 AND len(list_filter(p.wanted, lambda w: NOT list_contains(words, w))) = 0) AS ok
+      FROM (SELECT *, list_filter(list_distinct(regexp_split_to_array(lower(english), '[^0-9a-z-]+')), lambda w: w NOT IN ('', 'the', 'of', 'a', 'an', 'and', 's')) AS wanted FROM present) p JOIN said USING (slug, chapter)""",
+}
+
 SQL: dict[str, str] = {
     "slice_chapters": sql(
         rf"""SELECT slug, CAST(row_number() OVER (PARTITION BY slug ORDER BY k) AS INT) AS chapter, length(body) AS n_chars, md5(body) AS digest FROM (
@@ -284,10 +291,7 @@ SQL: dict[str, str] = {
           FROM gate g JOIN defect d USING (slug, chapter) LEFT JOIN (SELECT slug, chapter, count(*) AS n, string_agg(korean, ';' ORDER BY token_id) FILTER (NOT ok) AS v FROM judged_terms GROUP BY slug, chapter) USING (slug, chapter)""",
         "tokened", "chapters", "book", "present",
         more={
-            **substituted("tokened"), **defects(),
-            "said": "SELECT slug, chapter, lower(body) AS low, list_distinct(regexp_split_to_array(lower(body), '[^0-9a-z-]+')) AS words FROM gate",
-            "judged_terms": """SELECT p.slug, p.chapter, p.token_id, p.korean, contains(low, lower(p.english)) OR (len(p.wanted) > 0 AND len(list_filter(p.wanted, lambda w: NOT list_contains(words, w))) = 0) AS ok
-              FROM (SELECT *, list_filter(list_distinct(regexp_split_to_array(lower(english), '[^0-9a-z-]+')), lambda w: w NOT IN ('', 'the', 'of', 'a', 'an', 'and', 's')) AS wanted FROM present) p JOIN said USING (slug, chapter)""",
+            **substituted("tokened"), **defects(), **JUDGED_TERMS,
         },
     ),
     "defect_totals": sql(
@@ -379,8 +383,40 @@ SQL: dict[str, str] = {
     ),
 }
 
-# The gate gives the same rows whether replies come at once or over time.
-SQL["stream_gate"] = SQL["fail_closed_gate"]
+# The real-time loop: o numbers a book's chapters, ok has the replies that parse, grown the terms in order of appearance.
+LOOP = {
+    **TERMS,
+    "num": "SELECT slug, chapter, CAST(row_number() OVER (PARTITION BY slug ORDER BY chapter) AS INT) AS o FROM docs",
+    "ok": "SELECT slug, o, summary, translation FROM mining JOIN num USING (slug, chapter) WHERE mining_error = '' AND coalesce(translation, '') <> ''",
+    "grown": """SELECT slug, o, CAST(row_number() OVER (PARTITION BY slug ORDER BY o, pos) AS INT) AS token_id, korean, english, category, note, enforce FROM (
+      SELECT t.*, n.o, row_number() OVER (PARTITION BY t.slug, korean ORDER BY n.o, pos) AS k FROM terms t JOIN num n USING (slug, chapter) JOIN ok ON ok.slug = t.slug AND ok.o = n.o) WHERE k = 1""",
+    "sizes": "SELECT n.slug, n.o, CAST(count(g.token_id) AS INT) AS size FROM num n LEFT JOIN grown g ON g.slug = n.slug AND g.o < n.o GROUP BY n.slug, n.o",
+    "src": "SELECT slug, chapter, text FROM chapters",
+}
+_STORY = "(SELECT arg_max(x.o, x.o) FROM num x WHERE x.slug = c.slug AND x.o < c.o AND x.o % 5 = 0 AND x.chapter % 3 <> 0)"
+SQL["stream_requests"] = sql(
+    "SELECT slug, o AS chapter, size, md5(m) AS digest FROM (SELECT c.slug, c.o, c.size, " + message(f"coalesce('<story_so_far>' || chr(10) || 'The story up to ' || {_STORY} || '.' || chr(10) || '</story_so_far>' || chr(10) || chr(10), '')") + """ AS m
+      FROM (SELECT s.*, z.o, z.size FROM src s JOIN num USING (slug, chapter) JOIN sizes z USING (slug, o)) c
+      JOIN (SELECT n.slug, n.o, coalesce((SELECT string_agg('Ch.' || y.o || ': ' || y.summary, chr(10) ORDER BY y.o) FROM (SELECT k.o, k.summary FROM ok k WHERE k.slug = n.slug AND k.o < n.o ORDER BY k.o DESC LIMIT 3) y), '') AS lines FROM num n) w USING (slug, o)) WHERE m IS NOT NULL""",
+    "replies", "chapters", more=LOOP,
+)
+# Each chapter is a book of its own with the terms that its request showed, so that the tables of chapter_report do.
+_AS_BOOKS = {
+    "tokened": "SELECT slug || '#' || o AS slug, o AS chapter, translation AS raw FROM ok",
+    "chapters": "SELECT slug || '#' || n.o AS slug, n.o AS chapter, src.text FROM src JOIN num n USING (slug, chapter)",
+    "glossary": "SELECT k.slug || '#' || k.o AS slug, g.token_id, g.korean, g.english, g.category, g.note, g.enforce FROM ok k JOIN grown g ON g.slug = k.slug AND g.o < k.o",
+    "book": CTES["book"],
+    "present": CTES["present"],
+}
+SQL["stream_gate"] = sql(
+    "SELECT * FROM (WITH " + ", ".join(f"{n} AS ({q})" for n, q in {**_AS_BOOKS, **substituted("tokened"), **defects(), **JUDGED_TERMS}.items()) + """
+      SELECT split_part(g.slug, '#', 1) AS slug, g.chapter, z.size, CASE WHEN len(leaked) > 0 THEN 'NEEDS_HUMAN' ELSE 'ok' END AS status, l AS leaks,
+        md5(CASE WHEN len(leaked) > 0 THEN '[withheld: ' || replace(l, ';', ', ') || ']' ELSE body END) AS body, d.forgotten, d.invalid, d.new,
+        CASE WHEN len(leaked) = 0 THEN CAST(coalesce(n, 0) AS INT) END AS present, CASE WHEN len(leaked) = 0 THEN coalesce(v, '') END AS violations
+      FROM (SELECT *, array_to_string(list_sort(list_distinct(leaked)), ';') AS l FROM gate) g JOIN defect d USING (slug, chapter) JOIN sizes z ON z.slug = split_part(g.slug, '#', 1) AND z.o = g.chapter
+      LEFT JOIN (SELECT slug, chapter, count(*) AS n, string_agg(korean, ';' ORDER BY token_id) FILTER (NOT ok) AS v FROM judged_terms GROUP BY slug, chapter) USING (slug, chapter))""",
+    "replies", "chapters", more=LOOP,
+)
 # A glossary that grows from nothing, in the order of chapters.
 SQL["stream_glossary"] = sql(
     f"""SELECT slug, CAST(row_number() OVER (PARTITION BY slug ORDER BY chapter, pos) AS INT) AS token_id, korean, english, category, note, enforce

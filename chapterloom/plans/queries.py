@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chapterloom.operators import context, costs, glossary, match, parse, tokens
@@ -10,7 +10,7 @@ from chapterloom.functions.text import normalize_key
 from chapterloom.plans import derived as D
 from chapterloom.sources import books
 from chapterloom.sources.scratch import new_path, store
-from chapterloom.streaming import incremental
+from chapterloom.streaming import incremental, loop
 
 TERM = ["korean", "english", "category", "note", "enforce"]
 
@@ -515,10 +515,42 @@ def stream_summaries(spark, d):
     return incremental.grown_summaries(spark, _grown(spark, d))
 
 
+def _loop_events(spark, d):
+    """A book's chapters numbered from 1, and the loop's events: replies, arcs after every fifth (some fail), and replies that come once more."""
+    place = Window.partitionBy("slug").orderBy("chapter")
+    numbers = D.documents(spark, d).select("slug", "chapter", F.row_number().over(place).alias("o"))
+    own = D.replies(spark, d).join(numbers, ["slug", "chapter"])
+    replies = own.select("slug", F.col("o").alias("chapter"), F.lit(0).cast("long").alias("seq"), F.lit("reply").alias("kind"), "raw")
+    told = F.concat(F.lit("<arc_summary>The story up to "), F.col("o").cast("string"), F.lit(".</arc_summary>"))
+    arcs = numbers.where("o % 5 = 0").select("slug", F.col("o").alias("chapter"), F.lit(0).cast("long").alias("seq"), F.lit("arc").alias("kind"), F.when(F.col("chapter") % 3 == 0, "no tags").otherwise(told).alias("raw"))
+    again = replies.where("chapter % 7 = 1").withColumn("seq", F.lit(1).cast("long"))
+    chapters = D.chapters(spark, d).join(numbers, ["slug", "chapter"]).select("slug", F.col("o").alias("chapter"), "text")
+    return chapters, replies, arcs, again
+
+
+def _looped(spark, d):
+    """(path of the loop's rows, chapters): three batches, each started anew; replies that repeat come a batch late."""
+    events, rows = new_path(spark, "events"), new_path(spark, "loop")
+    chapters, replies, arcs, again = _loop_events(spark, d)
+    part = (F.col("chapter") - 1) % 30 / 10  # of every thirty chapters ten come with each batch, so many wait for those before them
+    whole = store(replies.withColumn("part", F.floor(part)).unionByName(arcs.withColumn("part", F.floor(part))).unionByName(again.withColumn("part", F.least(F.floor(part) + 1, F.lit(2)))), "events")
+    checkpoint = new_path(spark, "checkpoint")
+    for k in range(3):
+        whole.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(events)
+        loop.run_loop(loop.read_events(spark, events), rows, checkpoint, attempts=1).awaitTermination()
+    return rows, chapters
+
+
+def stream_requests(spark, d):
+    path, chapters = _looped(spark, d)
+    return loop.requests(spark, path, chapters).select("slug", "chapter", "size", F.md5("message").alias("digest"))
+
+
 def stream_gate(spark, d):
-    path = new_path(spark, "stream-gate")
-    incremental.gate_replies(_stream(spark, d, D.tokened(spark, d)), D.glossary(spark, d), path, new_path(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(path).select("slug", "chapter", "status", joined("leaks").alias("leaks"), F.md5("body").alias("body"))
+    path, chapters = _looped(spark, d)
+    out = new_path(spark, "stream-gate")
+    loop.gate_loop(spark, path, store(chapters, "chapters"), out, new_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(out).select("slug", "chapter", "size", "status", joined("leaks").alias("leaks"), F.md5("body").alias("body"), "forgotten", "invalid", "new", "present", joined("violations").alias("violations"))
 
 
 _NAMES = """slice_chapters short_novels validate_chapters load_glossary load_context ingest_results token_map call_log deliverable review_outputs
@@ -527,6 +559,6 @@ normalize_keys clean_terms merge_terms append_terms fold_new_entities fold_repor
 terms_in_source check_adherence adherence_rollup run_consistency violations_by_term adherence_by_repeat markup_integrity
 apply_tokens invalid_tokens new_entities untokenized_terms defect_table defect_files defect_totals repair_bounds repair_retry choose_translation fail_closed_gate chapter_report run_report
 context_window last_k_summaries glossary_table placeholder_block user_message mining_requests consolidation_requests translation_requests repair_requests arc_requests token_estimate
-call_cost unpriced_calls cost_rollup parse_failure_rate variant_compare cache_hits retry_resolution judge_pairs judge_tally judge_by_model cost_projection stream_glossary stream_summaries stream_gate""".split()
+call_cost unpriced_calls cost_rollup parse_failure_rate variant_compare cache_hits retry_resolution judge_pairs judge_tally judge_by_model cost_projection stream_glossary stream_summaries stream_requests stream_gate""".split()
 
 QUERIES = {name: globals()[name] for name in _NAMES}

@@ -1,8 +1,8 @@
-"""Real-time mode: chapters' replies arrive over time; glossaries grow append-only and every reply is gated.
+"""Mining over time: replies arrive in any order, and glossaries grow append-only.
 
-The glossary's state is kept by book: which chapters and terms are known. A micro-batch costs what it
-brings, however long the history is, and a chapter that comes again adds nothing. The gate works on micro-batches
-with the batch operators; a batch that is delivered again writes its own folder over.
+State is one value a book, the known chapters and terms, read and written whole with each batch that has the book; a chapter
+that comes again adds nothing. The loop that translates in order, with state that costs what an event brings, and the
+gate are in loop.
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState
 
 from chapterloom.operators.parse import parse_mining
-from chapterloom.operators.tokens import fail_closed_gate, substitute
-from chapterloom.sources.books import token_map
 
 REPLIES = "slug string, chapter int, raw string"
 GROWN = "slug string, chapter int, summary string, token_id int, korean string, english string, category string, note string, enforce boolean"
@@ -71,14 +69,3 @@ def grown_terms(spark: SparkSession, path: str) -> DataFrame:
 def grown_summaries(spark: SparkSession, path: str) -> DataFrame:
     """(slug, chapter, summary) of the chapters that a stream has taken in, for context windows."""
     return spark.read.schema(GROWN).parquet(path).where("token_id is null").select("slug", "chapter", "summary")
-
-
-def gate_replies(replies: DataFrame, glossary: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Gates every reply as it arrives, with the batch operators; one folder a batch, written over if the batch comes again."""
-    ids = token_map(glossary)
-
-    def step(batch: DataFrame, number: int) -> None:
-        fail_closed_gate(substitute(batch.dropDuplicates(["slug", "chapter"]), ids)).write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    return replies.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
