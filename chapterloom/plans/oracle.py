@@ -168,7 +168,7 @@ SQL: dict[str, str] = {
         "novels",
     ),
     "short_novels": sql(
-        r"SELECT slug, count(*) FILTER (regexp_matches(line, '^\d+화(\s|$)')) AS found FROM (SELECT slug, unnest(string_split(text, chr(10))) AS line FROM novels) GROUP BY slug HAVING found < 40", "novels"
+        r"SELECT slug, count(*) FILTER (regexp_matches(line, '^\d+화(\s|$)')) AS found FROM (SELECT slug, unnest(string_split(text, chr(10))) AS line FROM novels) GROUP BY slug HAVING found < 45", "novels"
     ),
     "validate_chapters": sql(f"SELECT slug, chapter, CASE WHEN chapter % 7 = 0 OR {strip('text')} = '' THEN 'blank' ELSE 'ok' END AS status FROM chapters", "chapters"),
     "load_glossary": sql("SELECT *, '' AS reason FROM glossary", "glossary"),
@@ -394,6 +394,16 @@ LOOP = {
     "src": "SELECT slug, chapter, text FROM chapters",
 }
 _STORY = "(SELECT arg_max(x.o, x.o) FROM num x WHERE x.slug = c.slug AND x.o < c.o AND x.o % 5 = 0 AND x.chapter % 3 <> 0)"
+SQL["glossary_files"] = f"SELECT *, '' AS reason FROM ({SQL['fold_back']})"
+SQL["deliverable_files"] = f"SELECT replace(name, '_INCOMPLETE', '') AS slug, contains(name, '_INCOMPLETE') AS incomplete, n_chars, digest FROM ({SQL['deliverable']})"
+SQL["report_files"] = f"""SELECT *, coalesce((SELECT count(*) FILTER (p.parse_error = '') FROM ({SQL['parse_translations']}) p WHERE p.slug = r.slug), 0) AS parse_ok FROM (
+  SELECT slug, CASE WHEN bool_or(status <> 'ok') THEN 'NEEDS_HUMAN' ELSE 'OK' END AS status, count(*) AS chapters, CAST(coalesce(sum(present), 0) AS BIGINT) AS present,
+    CAST(coalesce(sum(present - CASE WHEN violations = '' THEN 0 ELSE len(string_split(violations, ';')) END), 0) AS BIGINT) AS ok, CAST(sum(n_leaks) AS BIGINT) AS leaks,
+    coalesce(string_agg(chapter, ';' ORDER BY chapter) FILTER (status <> 'ok'), '') AS withheld, coalesce(string_agg(chapter, ';' ORDER BY chapter) FILTER (rejected), '') AS rejected,
+    CAST(sum(forgotten) AS BIGINT) AS forgotten, CAST(sum(invalid) AS BIGINT) AS invalid, CAST(sum(new) AS BIGINT) AS new,
+    md5(string_agg(chapter || '|' || leaks || '|' || coalesce(violations, ''), '/' ORDER BY chapter)) AS per_chapter
+  FROM ({SQL['chapter_report']}) GROUP BY slug) r"""
+SQL["slice_files"] = SQL["slice_chapters"]
 SQL["stream_requests"] = sql(
     "SELECT slug, o AS chapter, size, md5(m) AS digest FROM (SELECT c.slug, c.o, c.size, " + message(f"coalesce('<story_so_far>' || chr(10) || 'The story up to ' || {_STORY} || '.' || chr(10) || '</story_so_far>' || chr(10) || chr(10), '')") + """ AS m
       FROM (SELECT s.*, z.o, z.size FROM src s JOIN num USING (slug, chapter) JOIN sizes z USING (slug, o)) c

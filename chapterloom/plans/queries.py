@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chapterloom.operators import context, costs, glossary, match, parse, tokens
 from chapterloom.functions.text import normalize_key
 from chapterloom.plans import derived as D
-from chapterloom.sources import books
+from chapterloom.sources import books, files, novels
 from chapterloom.sources.scratch import new_path, store
 from chapterloom.streaming import incremental, loop
 
@@ -49,14 +49,23 @@ def repairs(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- sources and sinks
 
+#: Novels with fewer headers than this are short: about half of those at the smaller sizes.
+SHORT = 45
+
 
 def slice_chapters(spark, d):
     rows = books.slice_chapters(D.novels(spark, d))
     return rows.select("slug", "chapter", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
 
 
+def slice_files(spark, d):
+    path = new_path(spark, "novels")
+    D.novels(spark, d).repartition("slug").write.partitionBy("slug").option("lineSep", "\n").text(path)
+    return novels.slice_files(spark, path).select("slug", "chapter", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+
+
 def short_novels(spark, d):
-    return books.short_novels(D.novels(spark, d), 40).withColumn("found", F.col("found").cast("long"))
+    return books.short_novels(D.novels(spark, d), SHORT).withColumn("found", F.col("found").cast("long"))
 
 
 def validate_chapters(spark, d):
@@ -102,6 +111,22 @@ def deliverable(spark, d):
     return books.deliverable(rows).select("name", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
 
 
+def deliverable_files(spark, d):
+    path = new_path(spark, "books")
+    rows = pairs(spark, d).select("slug", "chapter", "source", F.col("raw").alias("body"), (F.col("chapter") % 50 == 7).alias("withheld"))
+    files.write_deliverables(books.deliverable(rows), path)
+    return files.read_deliverables(spark, path).select("slug", "incomplete", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+
+
+def glossary_files(spark, d):
+    """Each book's file is replaced at the end of a run, by the glossary read from it and what was folded back."""
+    path = new_path(spark, "books")
+    files.replace_glossaries(D.glossary(spark, d), path)
+    before = files.current_glossaries(spark, path).where("reason is null").select("slug", "token_id", *TERM)
+    files.replace_glossaries(glossary.fold_back(before, entity_rows(spark, d), term_rows(spark, d)), path)
+    return files.current_glossaries(spark, path).select("slug", "token_id", *TERM, F.coalesce("reason", F.lit("")).alias("reason"))
+
+
 def review_outputs(spark, d):
     path = new_path(spark, "review")
     rows = D.documents(spark, d).select(F.lit("u4").alias("experiment"), F.concat(F.lit("m"), (F.col("chapter") % 3).cast("string")).alias("variant"), "slug", "chapter", F.when(F.col("chapter") % 8 == 0, " ").otherwise(F.col("text")).alias("text"))
@@ -355,6 +380,18 @@ def chapter_report(spark, d):
     return rows.withColumns({"leaks": joined("leaks"), "violations": joined("violations")})
 
 
+def report_files(spark, d):
+    """Reports of replies without repairs, written and read again."""
+    path = new_path(spark, "books")
+    rows, terms = _finished(spark, d, D.tokened(spark, d).withColumn("rejected", F.col("chapter") % 6 == 1))
+    rows = store(rows, "chapters")
+    files.write_reports(tokens.run_report(rows, parse.parse_translations(D.replies(spark, d)), terms.limit(0)), rows, path)
+    schema = "slug string, status string, chapters long, parse_ok long, present long, ok long, leaks long, withheld array<int>, rejected array<int>, forgotten long, invalid long, new long, per_chapter array<struct<chapter:int,leaks:array<string>,violations:array<string>>>"
+    found = files.read_reports(spark, path, schema)
+    each = F.transform("per_chapter", lambda c: F.concat_ws("|", c["chapter"].cast("string"), F.array_join(c["leaks"], ";"), F.array_join(F.coalesce(c["violations"], F.array()), ";")))
+    return found.select("slug", "status", "chapters", "parse_ok", "present", "ok", "leaks", joined("withheld").alias("withheld"), joined("rejected").alias("rejected"), "forgotten", "invalid", "new", F.md5(F.array_join(each, "/")).alias("per_chapter"))
+
+
 def run_report(spark, d):
     chosen = store(tokens.choose_translation(D.tokened(spark, d), _bounded(spark, d)), "chosen")
     rows, terms = _finished(spark, d, chosen)
@@ -553,11 +590,11 @@ def stream_gate(spark, d):
     return spark.read.parquet(out).select("slug", "chapter", "size", "status", joined("leaks").alias("leaks"), F.md5("body").alias("body"), "forgotten", "invalid", "new", "present", joined("violations").alias("violations"))
 
 
-_NAMES = """slice_chapters short_novels validate_chapters load_glossary load_context ingest_results token_map call_log deliverable review_outputs
+_NAMES = """slice_chapters slice_files short_novels validate_chapters load_glossary load_context ingest_results token_map call_log deliverable deliverable_files glossary_files review_outputs
 extract_sections parse_term_lines parse_terms_block parse_translations parse_mining parse_single_section parse_json_replies parse_consolidated consolidated_drops parse_judge validate_terms
 normalize_keys clean_terms merge_terms append_terms fold_new_entities fold_reported_terms fold_back glossary_stats glossary_growth
 terms_in_source check_adherence adherence_rollup run_consistency violations_by_term adherence_by_repeat markup_integrity
-apply_tokens invalid_tokens new_entities untokenized_terms defect_table defect_files defect_totals repair_bounds repair_retry choose_translation fail_closed_gate chapter_report run_report
+apply_tokens invalid_tokens new_entities untokenized_terms defect_table defect_files defect_totals repair_bounds repair_retry choose_translation fail_closed_gate chapter_report report_files run_report
 context_window last_k_summaries glossary_table placeholder_block user_message mining_requests consolidation_requests translation_requests repair_requests arc_requests token_estimate
 call_cost unpriced_calls cost_rollup parse_failure_rate variant_compare cache_hits retry_resolution judge_pairs judge_tally judge_by_model cost_projection stream_glossary stream_summaries stream_requests stream_gate""".split()
 

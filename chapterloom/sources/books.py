@@ -163,13 +163,17 @@ def append_log(calls: DataFrame, path: str) -> None:
 def deliverable(gated: DataFrame) -> DataFrame:
     """(name, text) of each book: per chapter its first source line, a blank line, the stripped body and a line's end; two blank lines between chapters.
 
-    gated: (slug, chapter, source, body, withheld).
+    gated: (slug, chapter, source, body, withheld), and leaks if a withheld chapter's marker is to name them.
     """
+    if "leaks" in gated.columns:
+        marker = F.concat(F.lit("[chapter "), F.col("chapter").cast("string"), F.lit(" withheld, a human has to see it: "), F.array_join("leaks", ", "), F.lit("]"))
+    else:
+        marker = F.lit(WITHHELD)
     head = F.element_at(F.concat(lines("source"), F.array(F.lit(""))), 1)
-    part = F.concat(head, F.lit("\n\n"), F.when(F.col("withheld"), WITHHELD).otherwise(strip("body")), F.lit("\n"))
+    part = F.concat(head, F.lit("\n\n"), F.when(F.col("withheld"), marker).otherwise(strip("body")), F.lit("\n"))
     rows = gated.select("slug", "withheld", F.struct("chapter", part.alias("part")).alias("p"))
     books = rows.groupBy("slug").agg(F.array_sort(F.collect_list("p")).alias("parts"), F.max("withheld").alias("some"))
-    return books.select(F.concat("slug", F.when(F.col("some"), "_INCOMPLETE").otherwise("")).alias("name"), F.array_join("parts.part", "\n\n\n").alias("text"))
+    return books.select(F.concat("slug", F.when(F.col("some"), "_INCOMPLETE").otherwise("")).alias("name"), F.array_join("parts.part", "\n\n\n").alias("text"), "slug", F.size("parts").alias("chapters"), F.col("some").alias("incomplete"))
 
 
 def review_outputs(spark: SparkSession, path: str) -> DataFrame:
