@@ -31,6 +31,13 @@ def cost_rollup(costed: DataFrame, keys: list[str] = ["tag", "model", "batch"])
     return costed.cube(*keys).agg(F.count(F.lit(1)).alias("calls"), F.sum("cost_usd").alias("cost_usd"))
 
 
+def cost_windows(costed: DataFrame, every: str = "1 day") -> DataFrame:
+    """(start, tag, model, calls, hits, cost_usd) by windows of the calls' time ts; hits: calls that read from the cache. Calls without a time have none. Also for streams."""
+    rows = costed.where("ts is not null").groupBy(F.window("ts", every).alias("w"), "tag", "model")
+    sums = rows.agg(F.count(F.lit(1)).alias("calls"), F.count_if(F.col("cache_read_tokens") > 0).alias("hits"), F.sum("cost_usd").alias("cost_usd"))
+    return sums.select(F.col("w.start").alias("start"), "tag", "model", "calls", "hits", "cost_usd")
+
+
 def parse_failure_rate(calls: DataFrame, by: str = "variant") -> DataFrame:
     return calls.groupBy(by).agg(F.count(F.lit(1)).alias("runs"), F.count_if(~F.col("parse_ok")).alias("failures")).withColumn("rate", F.col("failures") / F.col("runs"))
 

@@ -18,35 +18,44 @@ def clean_terms(terms: DataFrame) -> DataFrame:
     return terms.withColumns({"fixed": fixed, "english": F.when(fixed, first).otherwise(F.col("english")), "enforce": fixed | F.col("enforce")})
 
 
-def merge_terms(mined: DataFrame) -> DataFrame:
-    """(slug, token_id, korean, english, category, note, enforce): one term for each book and normalised key.
+def term_votes(mined: DataFrame) -> DataFrame:
+    """(slug, key, english, votes, first, plain) of mined terms (slug, chapter, pos, korean, english, category, note): how often a key has a rendering, its earliest row, and whether a row is spelled as the key.
 
-    The rendering with most votes wins, of equal ones the earliest by (chapter, pos); category and
-    note come from its earliest row. Counting is by (slug, key, english) first, so that a
-    term in very many chapters is summed before it meets its rivals.
+    Sums of such rows, by summed_votes(), are those of all their terms.
     """
     at = F.struct("chapter", "pos")
-    rows = mined.withColumn("key", normalize_key("korean"))
-    votes = rows.groupBy("slug", "key", "english").agg(
+    return mined.withColumn("key", normalize_key("korean")).groupBy("slug", "key", "english").agg(
         F.count(F.lit(1)).alias("votes"),
         F.min(F.struct(at.alias("at"), "category", "note", "korean")).alias("first"),
         F.max(F.col("korean") == F.col("key")).alias("plain"),
     )
+
+
+def summed_votes(votes: DataFrame) -> DataFrame:
+    """One row for each (slug, key, english) from term_votes() of disjoint rows."""
+    return votes.groupBy("slug", "key", "english").agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("plain").alias("plain"))
+
+
+def winners(votes: DataFrame) -> DataFrame:
+    """(slug, key, at, korean, english, category, note, enforce): the rendering of each key with most votes, of equal ones the earliest; at is the key's first place."""
     best = votes.groupBy("slug", "key").agg(
         F.min(F.struct((-F.col("votes")).alias("v"), F.col("first.at").alias("at"), "english", F.col("first.category").alias("category"), F.col("first.note").alias("note"))).alias("w"),
         F.min("first").alias("first"),
         F.max("plain").alias("plain"),
     )
-    order = Window.partitionBy("slug").orderBy("first.at")
-    return best.select(
-        "slug",
-        F.row_number().over(order).alias("token_id"),
-        F.when(F.col("plain"), F.col("key")).otherwise(F.col("first.korean")).alias("korean"),
-        "w.english",
-        "w.category",
-        "w.note",
-        F.lit(True).alias("enforce"),
-    )
+    korean = F.when(F.col("plain"), F.col("key")).otherwise(F.col("first.korean"))
+    return best.select("slug", "key", F.col("first.at").alias("at"), korean.alias("korean"), "w.english", "w.category", "w.note", F.lit(True).alias("enforce"))
+
+
+def merge_terms(mined: DataFrame) -> DataFrame:
+    """(slug, token_id, korean, english, category, note, enforce): one term for each book and normalised key.
+
+    The rendering with most votes wins, of equal ones the earliest by (chapter, pos); category and
+    note come from its earliest row. Counting is by (slug, key, english) first, so that a
+    term in very many chapters is summed before it meets its rivals.
+    """
+    place = F.row_number().over(Window.partitionBy("slug").orderBy("at"))
+    return winners(term_votes(mined)).select("slug", place.alias("token_id"), *TERM)
 
 
 def append_terms(glossary: DataFrame, new: DataFrame, order: list[str] = ["chapter", "pos"]) -> DataFrame:

@@ -157,6 +157,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_partkey") % 9 != 0, F.col("l_linenumber") % 5).otherwise(0).cast("long").alias("terms"),
         F.element_at(F.array(F.lit("combined"), F.lit("split")), (F.col("l_partkey") % 2 + 1).cast("int")).alias("variant"),
         F.col("l_linenumber").alias("seq"),
+        F.timestamp_seconds(F.unix_timestamp("l_shipdate") + F.col("l_orderkey") % 86_400).alias("ts"),
     )
 
 

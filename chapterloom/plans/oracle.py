@@ -403,6 +403,13 @@ SQL["report_files"] = f"""SELECT *, coalesce((SELECT count(*) FILTER (p.parse_er
     CAST(sum(forgotten) AS BIGINT) AS forgotten, CAST(sum(invalid) AS BIGINT) AS invalid, CAST(sum(new) AS BIGINT) AS new,
     md5(string_agg(chapter || '|' || leaks || '|' || coalesce(violations, ''), '/' ORDER BY chapter)) AS per_chapter
   FROM ({SQL['chapter_report']}) GROUP BY slug) r"""
+_WINDOWS = "SELECT called // 604800 * 604800 AS start, tag, model, count(*) AS calls, count(*) FILTER (cache_read_tokens > 0) AS hits, round(sum({0}), {1}) AS cost_usd FROM {2} GROUP BY ALL"
+SQL["cost_windows"] = sql(_WINDOWS.format("cost_usd", 6, "costed"), "costed")
+SQL["stream_costs"] = sql(
+    _WINDOWS.format("round(cost_usd, 6)", 4, "kept"), "costed",
+    more={"kept": "SELECT * FROM (SELECT *, min(called) OVER () AS low, max(called) OVER () AS high FROM costed) WHERE NOT (4 * (called - low) < high - low + 1 AND chapter % 97 = 0)"},
+)
+SQL["maintained_terms"] = SQL["merge_terms"]
 SQL["slice_files"] = SQL["slice_chapters"]
 SQL["stream_requests"] = sql(
     "SELECT slug, o AS chapter, size, md5(m) AS digest FROM (SELECT c.slug, c.o, c.size, " + message(f"coalesce('<story_so_far>' || chr(10) || 'The story up to ' || {_STORY} || '.' || chr(10) || '</story_so_far>' || chr(10) || chr(10), '')") + """ AS m

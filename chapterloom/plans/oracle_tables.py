@@ -57,7 +57,7 @@ CTES = {
       CAST(l_quantity AS BIGINT) * 200 + 100 AS input_tokens, CAST(l_quantity AS BIGINT) * 90 AS output_tokens,
       CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_quantity AS BIGINT) * 1000 ELSE 0 END AS cache_read_tokens,
       CASE WHEN l_linenumber = 1 THEN CAST(l_quantity AS BIGINT) * 1000 ELSE 0 END AS cache_write_tokens,
-      l_partkey % 9 <> 0 AS parse_ok, CASE WHEN l_partkey % 9 <> 0 THEN l_linenumber % 5 ELSE 0 END AS terms, ['combined', 'split'][l_partkey % 2 + 1] AS variant, l_linenumber AS seq
+      l_partkey % 9 <> 0 AS parse_ok, CASE WHEN l_partkey % 9 <> 0 THEN l_linenumber % 5 ELSE 0 END AS terms, ['combined', 'split'][l_partkey % 2 + 1] AS variant, l_linenumber AS seq, CAST(epoch(l_shipdate) AS BIGINT) + l_orderkey % 86400 AS called
       FROM lineitem""",
     "pricing": "SELECT * FROM (VALUES ('large', 5.0::DOUBLE, 25.0::DOUBLE), ('medium', 3.0, 15.0), ('small', 1.0, 5.0)) AS v(model, input_price, output_price)",
     "costed": """SELECT c.*, ((input_tokens + 0.1::DOUBLE * cache_read_tokens + 1.25::DOUBLE * cache_write_tokens) * input_price / 1e6 + output_tokens * output_price / 1e6) * CASE WHEN batch THEN 0.5::DOUBLE ELSE 1 END AS cost_usd

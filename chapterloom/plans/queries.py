@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chapterloom.operators import context, costs, glossary, match, parse, tokens
+from chapterloom.operators import context, costs, glossary, match, parse, tokens, votes
 from chapterloom.functions.text import normalize_key
 from chapterloom.plans import derived as D
 from chapterloom.sources import books, files, novels
 from chapterloom.sources.scratch import new_path, store
-from chapterloom.streaming import incremental, loop
+from chapterloom.streaming import calls, incremental, loop
 
 TERM = ["korean", "english", "category", "note", "enforce"]
 
@@ -235,6 +235,16 @@ def merge_terms(spark, d):
     return glossary.merge_terms(glossary.clean_terms(D.mined(spark, d)))
 
 
+def maintained_terms(spark, d):
+    """Chapters come in three parts by number; the second part is counted again, and all of it once more under another name."""
+    path, rows = new_path(spark, "votes"), store(glossary.clean_terms(D.mined(spark, d)), "mined")
+    last = rows.agg(F.max("chapter")).first()[0] or 0
+    part = F.floor(3 * F.col("chapter") / (last + 1))
+    for name, of in (("0", part == 0), ("1", part == 1), ("1", part == 1), ("2", part >= 1)):
+        votes.add_increment(rows.where(of), path, name)
+    return votes.current_terms(spark, path)
+
+
 def append_terms(spark, d):
     return glossary.append_terms(D.glossary(spark, d), D.mined(spark, d))
 
@@ -590,12 +600,35 @@ def stream_gate(spark, d):
     return spark.read.parquet(out).select("slug", "chapter", "size", "status", joined("leaks").alias("leaks"), F.md5("body").alias("body"), "forgotten", "invalid", "new", "present", joined("violations").alias("violations"))
 
 
+def cost_windows(spark, d):
+    rows = costs.cost_windows(_costed(spark, d), "7 days")
+    return rows.select(F.unix_timestamp("start").alias("start"), "tag", "model", "calls", "hits", F.round("cost_usd", 6).alias("cost_usd"))
+
+
+def stream_costs(spark, d):
+    """The log comes in four parts by time. Every fifth call's record comes again with the next part, and some of the first part's come
+    with the last one only: they are late."""
+    rows = books.call_log(_costed(spark, d).withColumn("call_id", F.concat_ws("-", "chapter", "seq"))).drop("batch")
+    at = F.unix_timestamp(F.to_timestamp("ts"))
+    rows = store(rows.withColumn("at", at), "calls")
+    low, high = rows.agg(F.min("at"), F.max("at")).first()
+    part = F.floor(4 * (F.col("at") - F.lit(low or 0)) / F.lit((high or 0) - (low or 0) + 1)).cast("int")
+    part = F.when((part == 0) & (F.col("chapter") % 97 == 0), 3).otherwise(part)
+    log, out, checkpoint = new_path(spark, "log"), new_path(spark, "cost-windows"), new_path(spark, "checkpoint")
+    for k in range(4):
+        again = (part == k - 1) & (F.col("chapter") % 5 == 0)
+        rows.where((part == k) | again).drop("at").write.mode("append").partitionBy("tag").json(log)
+        calls.log_costs(calls.read_log(spark, log), out, checkpoint, "7 days").awaitTermination()
+    found = calls.windows_so_far(spark, out)
+    return found.select(F.unix_timestamp("start").alias("start"), "tag", "model", "calls", "hits", F.round("cost_usd", 4).alias("cost_usd"))
+
+
 _NAMES = """slice_chapters slice_files short_novels validate_chapters load_glossary load_context ingest_results token_map call_log deliverable deliverable_files glossary_files review_outputs
 extract_sections parse_term_lines parse_terms_block parse_translations parse_mining parse_single_section parse_json_replies parse_consolidated consolidated_drops parse_judge validate_terms
-normalize_keys clean_terms merge_terms append_terms fold_new_entities fold_reported_terms fold_back glossary_stats glossary_growth
+normalize_keys clean_terms merge_terms maintained_terms append_terms fold_new_entities fold_reported_terms fold_back glossary_stats glossary_growth
 terms_in_source check_adherence adherence_rollup run_consistency violations_by_term adherence_by_repeat markup_integrity
 apply_tokens invalid_tokens new_entities untokenized_terms defect_table defect_files defect_totals repair_bounds repair_retry choose_translation fail_closed_gate chapter_report report_files run_report
 context_window last_k_summaries glossary_table placeholder_block user_message mining_requests consolidation_requests translation_requests repair_requests arc_requests token_estimate
-call_cost unpriced_calls cost_rollup parse_failure_rate variant_compare cache_hits retry_resolution judge_pairs judge_tally judge_by_model cost_projection stream_glossary stream_summaries stream_requests stream_gate""".split()
+call_cost unpriced_calls cost_rollup parse_failure_rate variant_compare cache_hits retry_resolution judge_pairs judge_tally judge_by_model cost_projection cost_windows stream_costs stream_glossary stream_summaries stream_requests stream_gate""".split()
 
 QUERIES = {name: globals()[name] for name in _NAMES}

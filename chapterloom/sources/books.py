@@ -152,8 +152,9 @@ def ingest_results(requests: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def call_log(calls: DataFrame) -> DataFrame:
-    """Log records: cost rounded to 6 places."""
-    return calls.withColumn("cost_usd", F.round("cost_usd", 6))
+    """Log records: cost rounded to 6 places, and ts, if there is one, in seconds. All other columns go along."""
+    rows = calls.withColumn("cost_usd", F.round("cost_usd", 6))
+    return rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")) if "ts" in calls.columns else rows
 
 
 def append_log(calls: DataFrame, path: str) -> None:
