@@ -158,6 +158,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(F.array(F.lit("combined"), F.lit("split")), (F.col("l_partkey") % 2 + 1).cast("int")).alias("variant"),
         F.col("l_linenumber").alias("seq"),
         F.timestamp_seconds(F.unix_timestamp("l_shipdate") + F.col("l_orderkey") % 86_400).alias("ts"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.unix_timestamp("l_shipdate")).alias("call_id"),
     )
 
 

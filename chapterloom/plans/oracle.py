@@ -406,7 +406,7 @@ SQL["report_files"] = f"""SELECT *, coalesce((SELECT count(*) FILTER (p.parse_er
 _WINDOWS = "SELECT called // 604800 * 604800 AS start, tag, model, count(*) AS calls, count(*) FILTER (cache_read_tokens > 0) AS hits, round(sum({0}), {1}) AS cost_usd FROM {2} GROUP BY ALL"
 SQL["cost_windows"] = sql(_WINDOWS.format("cost_usd", 6, "costed"), "costed")
 SQL["stream_costs"] = sql(
-    _WINDOWS.format("round(cost_usd, 6)", 4, "kept"), "costed",
+    _WINDOWS.format("round(cost_usd, 6)", 6, "kept"), "costed",
     more={"kept": "SELECT * FROM (SELECT *, min(called) OVER () AS low, max(called) OVER () AS high FROM costed) WHERE NOT (4 * (called - low) < high - low + 1 AND chapter % 97 = 0)"},
 )
 SQL["maintained_terms"] = SQL["merge_terms"]

@@ -608,7 +608,7 @@ def cost_windows(spark, d):
 def stream_costs(spark, d):
     """The log comes in four parts by time. Every fifth call's record comes again with the next part, and some of the first part's come
     with the last one only: they are late."""
-    rows = books.call_log(_costed(spark, d).withColumn("call_id", F.concat_ws("-", "chapter", "seq"))).drop("batch")
+    rows = books.call_log(_costed(spark, d)).drop("batch")
     at = F.unix_timestamp(F.to_timestamp("ts"))
     rows = store(rows.withColumn("at", at), "calls")
     low, high = rows.agg(F.min("at"), F.max("at")).first()
@@ -620,7 +620,7 @@ def stream_costs(spark, d):
         rows.where((part == k) | again).drop("at").write.mode("append").partitionBy("tag").json(log)
         calls.log_costs(calls.read_log(spark, log), out, checkpoint, "7 days").awaitTermination()
     found = calls.windows_so_far(spark, out)
-    return found.select(F.unix_timestamp("start").alias("start"), "tag", "model", "calls", "hits", F.round("cost_usd", 4).alias("cost_usd"))
+    return found.select(F.unix_timestamp("start").alias("start"), "tag", "model", "calls", "hits", F.round("cost_usd", 6).alias("cost_usd"))
 
 
 _NAMES = """slice_chapters slice_files short_novels validate_chapters load_glossary load_context ingest_results token_map call_log deliverable deliverable_files glossary_files review_outputs
