@@ -35,12 +35,23 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: writes df as Parquet in the shared folder and reads it again."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def discard(stored: DataFrame) -> None:
+    """Deletes a table that store() gave, when all that was made from it is stored itself."""
+    _delete(stored.sparkSession, stored._stored_at)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Deletes every table that store() has written for this application; call it when results are saved."""
     path = _folders.pop(spark.sparkContext.applicationId, None)
     if path:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+        _delete(spark, path)
