@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from chapterloom.llm.common import in_batches, most_frequent, packed, runs, store
 from chapterloom.llm.words import mix, word_hashes
+from chapterloom.sources.scratch import discard
 
 #: Bits of a token bitmap.
 BITS = 1024
@@ -543,13 +544,19 @@ def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int =
     keys = nodes.select("rep", F.explode("prefix").alias("key"))
     common = keys.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
     keys = store(keys.join(common, "key", "left_semi"), "keys")
+    # What later steps need of the wide tables is narrow; the wide ones go.
+    wide = described, nodes
+    described, nodes = store(described.where("n is not null").select("doc_id", "n", "node"), "texts"), store(nodes.select("rep", "doc_id"), "names")
+    for table in wide:
+        discard(table)
     firsts = store(keys.groupBy("rep").agg(F.count(F.lit(1)).alias("firsts")), "firsts")
     names = [f"h{j}" for j in range(rounds)]
     wanted = store(nodes.select("rep", "doc_id").join(firsts, "rep", "left_semi"), "wanted")
     sets = store(full_sets(by_id(docs, wanted.select("doc_id"), "left_semi"), words, rounds), "sets")
     repeated = repeated_ids(described)
     if sets.count() > wanted.count():  # an id came with several texts, or with the same one again
-        sets = store(sets.join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "sets")
+        every, sets = sets, store(sets.join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "sets")
+        discard(every)
 
     comps = None
     if repeated is not None:  # an id's texts are one node
