@@ -8,8 +8,8 @@ t / (2 - t) and (2 - t) / t times its own, so units outside all bounds are dropp
 their word count, and an index from pairs to templates finds the few others to compare.
 
 A template that neither a line nor the whole text resembles is also compared with every run of
-consecutive lines, as licences are often wrapped; its best run, the first of equal ones, counts as a unit by the
-number of its first line. A run can only reach the threshold where the whole text has t / (2 - t) of the template's pairs.
+consecutive lines, as licences are often wrapped; its best run, of equal ones that which begins last, counts as a unit
+by the number of its first line. A run can only reach the threshold where the whole text has t / (2 - t) of the template's pairs.
 
 Defined results: null and empty texts, and units of fewer than two words, match nothing.
 Of equal Dice the template that sorts first wins, then the first unit. Repeated rows match alike.
@@ -17,11 +17,15 @@ Of equal Dice the template that sorts first wins, then the first unit. Repeated
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
+from bisect import insort
 from collections import Counter, defaultdict
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chapterloom.llm.common import with_text_columns
@@ -103,45 +107,64 @@ class Matcher:
         return found
 
     def wrapped(self, lines: list[list[bytes]], whole: list[bytes], done: set[str]) -> list[tuple[float, str, int]]:
-        """(Dice, template, first line) of the best run of lines of each template that isn't done yet."""
+        """(Dice, template, first line) of the best run of lines of each template that isn't done yet.
+
+        One pass a template: a window begins at each word in turn and reaches as far as its distinct pairs stay within the
+        template's bound. Only the places where pairs occur first in it are kept, so repeating texts cost no more than others.
+        """
         if sum(map(bool, lines)) < 2:
             return []
-        hits = Counter(name for p in {p for p in zip(whole, whole[1:]) if p in self.index} for name in self.index[p])
-        found, follow, first = [], [], None
-        for words in reversed(lines):
-            follow.append(first)
-            first = words[0] if words else first
-        follow.reverse()
-        for name, n in hits.items():
-            size = self.sizes[name]
-            if name in done or n < size / self.bound - 1e-9:
-                continue
-            best = (0.0, 0)
-            for lo in range(len(lines)):
-                # A run that is best begins with a line that shares a pair, by itself or with the next word.
-                if not lines[lo] or not any(name in self.index.get(p, ()) for p in zip(lines[lo], [*lines[lo][1:], follow[lo]])):
+        code: dict[tuple[bytes, bytes], int] = {}
+        flat = [code.setdefault(p, len(code)) for p in zip(whole, whole[1:])]
+        hits = Counter(name for p in code if p in self.index for name in self.index[p])
+        wanted = [name for name, n in hits.items() if name not in done and n >= self.sizes[name] / self.bound - 1e-9]
+        if not wanted:
+            return []
+        n, seen = len(flat), {}
+        before, after = [-1] * n, [n] * n
+        for i, c in enumerate(flat):
+            j = seen.get(c, -1)
+            before[i] = j
+            if j >= 0:
+                after[j] = i
+            seen[c] = i
+        #: The line of a pair is that of its second word.
+        ends = np.repeat(np.arange(1, len(lines) + 1), [len(x) for x in lines])[1:]
+        starts = [(at - len(x), at, k) for (k, x), at in zip(enumerate(lines, 1), itertools.accumulate(map(len, lines))) if x]
+        codes, found = np.array(flat), []
+        for name in wanted:
+            size, cap = self.sizes[name], math.floor(self.sizes[name] * self.bound + 1e-9)
+            of_template = np.array([name in self.index.get(p, ()) for p in code])
+            shares = of_template[codes]
+            upto, share = np.append(0, np.cumsum(shares)), shares.tolist()
+            best, firsts, shared, at, end = (self.threshold, 0), [], 0, 0, 0
+            for lo, hi, k in starts:
+                # A best run begins with a line that shares a pair, by itself or with the next word: without the line it were as good.
+                if lo >= n or upto[min(hi, n)] == upto[lo]:
+                    continue
+                while at < lo:
+                    if at < end:
+                        firsts.pop(0)
+                        if after[at] < end:
+                            insort(firsts, after[at])
+                        else:
+                            shared -= share[at]
+                    at += 1
+                end = max(end, lo)
+                while end < n and (before[end] >= lo or len(firsts) < cap):
+                    if before[end] < lo:
+                        firsts.append(end)
+                        shared += share[end]
+                    end += 1
+                if 2 * shared / (size + shared) < best[0]:
                     continue
-                own, shared, last, since, end = set(), 0, None, set(), None
-                for hi in range(lo, len(lines)):
-                    words, before = lines[hi], len(own)
-                    for w in words:
-                        if last is not None and (last, w) not in own:
-                            own.add((last, w))
-                            shared += name in self.index.get((last, w), ())
-                        last = w
-                    if len(own) > size * self.bound + 1e-9:
-                        break
-                    if own and 2 * shared / (size + len(own)) > best[0]:
-                        best = 2 * shared / (size + len(own)), lo + 1
-                    # Lines that repeat all of the run are a run of their own, so that a text that repeats itself takes no quadratic time.
-                    if len(own) > before:
-                        since, end = set(), None
-                    elif words:
-                        since |= pairs(words if end is None else [end, *words])
-                        end = last
-                        if own and len(since) == len(own):
-                            break
-            if best[0] >= self.threshold:
+                first = np.array(firsts)
+                line = ends[first]
+                last = np.append(line[1:] != line[:-1], True) & ((end == n) | (line < ends[min(end, n - 1)]))
+                dice = 2 * np.cumsum(shares[first])[last] / (size + np.arange(1, len(first) + 1)[last])
+                if len(dice) and dice.max() >= best[0]:
+                    best = float(dice.max()), k
+            if best[1]:
                 found.append((best[0], name, best[1]))
         return found
 
@@ -172,13 +195,21 @@ FIELDS = [
 ]
 
 
+def read_templates(spark: SparkSession, path: str, limit_chars: int = 8_000_000) -> dict[str, str]:
+    """Whole licence texts as templates: a file each, named by the file without its ending; all together go to every task, so more than limit_chars raise."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("name"), "value")
+    if (files.agg(F.sum(F.length("value"))).first()[0] or 0) > limit_chars:
+        raise ValueError(f"templates of more than {limit_chars} characters")
+    return {re.sub(r"\.(txt|md)$", "", r.name): r.value for r in files.collect()}
+
+
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = 0.8, text_col: str = "text") -> DataFrame:
     """Adds license, dice, unit, n_units and licenses to every row."""
     return with_text_columns(docs, lambda: (lambda m: lambda texts: list(map(list, zip(*map(m.text, texts)))))(Matcher(templates, threshold)), FIELDS, text_col)
 
 
 def sql(templates: dict[str, str] = TEMPLATES, threshold: float = 0.8) -> str:
-    """The scan of documents in DuckDB's SQL, without bounds or index; licenses joined by commas."""
+    """The scan of documents in DuckDB's SQL, without index; licenses joined by commas. Runs of lines are all tried where the whole text has the pairs for one."""
     values = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in item)) for item in sorted(templates.items()))
     words = lambda c: f"list_transform(regexp_extract_all(translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+'), lambda w: CASE WHEN w = 'licence' THEN 'license' ELSE w END)"
     grams = "CASE WHEN len(w) < 2 THEN [] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END"
@@ -193,9 +224,35 @@ u AS (
     )
   )
 ),
-m AS (
+units AS (
   SELECT * FROM (SELECT doc_id, unit, name, 2.0::DOUBLE * len(list_intersect(u.g, t.g)) / (len(u.g) + len(t.g)) AS dice FROM u, t WHERE len(u.g) > 0) WHERE dice >= {threshold}
 ),
+open AS (
+  SELECT doc_id, name, t.g AS tg FROM u, t
+  WHERE unit = 0 AND len(list_intersect(u.g, t.g)) >= len(t.g) * {threshold / (2 - threshold)} - 1e-9 AND (doc_id, name) NOT IN (SELECT (doc_id, name) FROM units)
+),
+long AS (
+  SELECT doc_id, list(k ORDER BY k) AS ks, list(w ORDER BY k) AS ws FROM (
+    SELECT doc_id, k, {words("body")} AS w FROM (
+      SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS k, unnest(string_split(text, chr(10))) AS body
+      FROM documents WHERE doc_id IN (SELECT doc_id FROM open)
+    )
+  ) WHERE len(w) > 0 GROUP BY doc_id
+),
+runs AS (
+  SELECT doc_id, name, tg, k, {grams} AS g FROM (
+    SELECT doc_id, name, tg, ks[lo] AS k, flatten(ws[lo:hi]) AS w FROM (
+      SELECT *, unnest(range(lo, len(ks) + 1)) AS hi FROM (SELECT *, unnest(range(1, len(ks) + 1)) AS lo FROM open JOIN long USING (doc_id) WHERE len(ks) > 1)
+    )
+  )
+),
+m AS (
+  SELECT doc_id, unit, name, dice FROM units
+  UNION ALL
+  SELECT doc_id, arg_max(k, (dice, k)), name, max(dice) FROM (
+    SELECT doc_id, k, name, 2.0::DOUBLE * len(list_intersect(g, tg)) / (len(g) + len(tg)) AS dice FROM runs WHERE len(g) > 0
+  ) WHERE dice >= {threshold} GROUP BY doc_id, name
+),
 best AS (
   SELECT doc_id, arg_min(name, (-dice, name, unit)) AS license, max(dice) AS dice, arg_min(unit, (-dice, name, unit)) AS unit,
     count(DISTINCT unit) AS n_units, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
