@@ -80,16 +80,32 @@ def with_text_columns(docs: DataFrame, make, fields: list[T.StructField], text_c
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             for lo, hi in runs(texts, chunk_chars):
                 new = function(texts[lo:hi])
-                arrays = [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(new, arrow)]
-                out = pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns), *arrays], names=[*batch.schema.names, *arrow.names])
-                if keep is not None:
-                    out = out.filter(pa.array(keep(new), pa.bool_()))
-                if out.num_rows:
-                    yield out
+                kept = pa.array(keep(new), pa.bool_()) if keep is not None else None
+                for a, b in pieces(new, hi - lo):
+                    arrays = [x[a:b] if isinstance(x, pa.Array) else pa.array(x[a:b], f.type) for x, f in zip(new, arrow)]
+                    out = pa.RecordBatch.from_arrays([*(c.slice(lo + a, b - a) for c in batch.columns), *arrays], names=[*batch.schema.names, *arrow.names])
+                    if kept is not None:
+                        out = out.filter(kept[a:b])
+                    if out.num_rows:
+                        yield out
 
     return in_batches(base, run, schema)
 
 
+def pieces(columns: list, n: int, most: int = 100_000):
+    """Spans of n rows whose lists hold about most elements together, one row at least."""
+    lists = [x for x in columns if isinstance(x, list) and any(isinstance(y, list) for y in x)]
+    lo = total = 0
+    for i in range(n) if lists else ():
+        size = sum(len(x[i] or ()) for x in lists)
+        if i > lo and total + size > most:
+            yield lo, i
+            lo, total = i, 0
+        total += size
+    if lo < n:
+        yield lo, n
+
+
 def runs(texts: list, chunk_chars: int):
     """Spans (lo, hi) of consecutive texts with about chunk_chars characters each, at least one text each."""
     lo = total = 0

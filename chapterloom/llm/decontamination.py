@@ -61,10 +61,18 @@ class Suffixes:
             windows[there, j] = self.line_words[(self.line_start[item] + at)[there] + j]
         self.windows, which = np.unique(windows, axis=0, return_inverse=True)
         self.lengths = (self.windows >= 0).sum(1)
-        #: window_items[first_item[w] : first_item[w + 1]] are the items that hold window w.
         held = np.unique(which.reshape(-1).astype(np.int64) * max(1, len(lines)) + item)
-        self.window_items = held % max(1, len(lines))
-        self.first_item = np.searchsorted(held // max(1, len(lines)), np.arange(len(self.windows) + 1))
+        first = np.searchsorted(held // max(1, len(lines)), np.arange(len(self.windows) + 1))
+        lists: dict[bytes, int] = {}
+        window_items = (held % max(1, len(lines))).astype(np.int32)
+        #: Windows that the same items hold are of one class, so that a text with a passage of many items needs no row for each.
+        self.class_of = np.array([lists.setdefault(window_items[a:b].tobytes(), len(lists)) for a, b in itertools.pairwise(first.tolist())], np.int64)
+        self.classes = [np.frombuffer(x, np.int32) for x in lists]
+        self.least_item = np.array([x[0] for x in self.classes], np.int64)
+
+    def items_in(self, classes: list[int]) -> np.ndarray:
+        """The items, by number, of some classes."""
+        return np.unique(np.concatenate([self.classes[c] for c in classes])) if classes else np.empty(0, np.int32)
 
 
 class Shard:
@@ -230,8 +238,8 @@ def longest_from(shard: Shard, test: Suffixes, line: np.ndarray, at: np.ndarray,
 
 
 def search(shard: Shard, test: Suffixes, step: int = 200_000):
-    """In one shard: covered words, pairs of document and item, and each document's longest match (length, first word, item)."""
-    n, docs, items = len(shard.word), len(shard.n_words), max(1, len(test.items))
+    """In one shard: covered words, pairs of document and class of items, and each document's longest match (length, first word, item)."""
+    n, docs, classes = len(shard.word), len(shard.n_words), max(1, len(test.classes))
     covered, longest = np.zeros(n + 1, np.int64), np.zeros((docs, 3), np.int64)
     begins = np.cumsum(shard.n_words + 1) - shard.n_words - 1
     found_pairs, whole = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -247,15 +255,13 @@ def search(shard: Shard, test: Suffixes, step: int = 200_000):
         covered += np.bincount(at, minlength=n + 1) - np.bincount(at + lengths[window], minlength=n + 1)
         held = np.unique(shard.doc[at] * len(test.windows) + window + k)
         doc, window_of = held // len(test.windows), held % len(test.windows)
-        many = test.first_item[window_of + 1] - test.first_item[window_of]
-        item = test.window_items[_spread(test.first_item[window_of], many)]
-        found_pairs.append(np.unique(np.repeat(doc, many) * items + item))
+        found_pairs.append(np.unique(doc * classes + test.class_of[window_of]))
         whole.append(at[lengths[window] == test.window])
         # Short items: the whole item is the match.
         for size in np.unique(lengths[window]).tolist():
             if size < test.window:
                 some = lengths[window] == size
-                first_item = test.window_items[test.first_item[window[some] + k]]
+                first_item = test.least_item[test.class_of[window[some] + k]]
                 by = np.lexsort((first_item, at[some]))[::-1]
                 place, who = at[some][by], first_item[by]
                 fresh = size > longest[shard.doc[place], 0]
@@ -265,11 +271,11 @@ def search(shard: Shard, test: Suffixes, step: int = 200_000):
     pairs = np.unique(np.concatenate(found_pairs))
     at = np.unique(np.concatenate(whole))
     if len(at):
-        long = np.unique(pairs % items)
+        long = test.items_in(np.unique(pairs % classes).tolist())
         long = long[test.line_length[long] >= test.window]
         doc, place, size, item = longest_from(shard, test, own[test.line_words], at, long)
         longest[doc] = np.stack([size, place - begins[doc], item], 1)
-    return np.cumsum(covered[:n]) > 0, np.stack([pairs // items, pairs % items], 1), longest
+    return np.cumsum(covered[:n]) > 0, np.stack([pairs // classes, pairs % classes], 1), longest
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_chars: int) -> list:
@@ -309,7 +315,8 @@ def _scan(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_
         def find(texts):
             shard = Shard(texts, window)
             hit = np.zeros(len(shard.word), bool)
-            items: list[set] = [set() for _ in texts]
+            items: list[list] = [[] for _ in texts]
+            merged: dict[tuple, list] = {(): []}
             longest = np.zeros((len(texts), 2), np.int64)
             best: list = [None] * len(texts)
             for test in _blocks_in_turn(parts):
@@ -317,10 +324,20 @@ def _scan(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_
                 hit |= covered
                 for d in np.flatnonzero(far[:, 0] > longest[:, 0]).tolist():
                     longest[d], best[d] = far[d, :2], test.items[far[d, 2]]
-                for d, i in pairs.tolist():
-                    items[d].add(test.items[i])
+                # Texts with the same classes share one list of ids.
+                lists: dict[tuple, list] = {}
+                for d, rows in itertools.groupby(pairs.tolist(), lambda x: x[0]):
+                    own = tuple(c for _, c in rows)
+                    if own not in lists:
+                        lists[own] = sorted({test.items[i] for i in test.items_in(list(own)).tolist()} - {None})
+                    items[d].append(lists[own])
             n_hit = np.bincount(shard.doc[hit & (shard.word > 0)], minlength=len(texts))
-            return [shard.n_words, n_hit, [sorted(x for x in s if x is not None) for s in items], longest[:, 0], [a if n else None for n, a in longest.tolist()], best]
+            for d, own in enumerate(items):
+                key = tuple(map(id, own))
+                if key not in merged:
+                    merged[key] = own[0] if len(own) == 1 else sorted(set().union(*own))
+                items[d] = merged[key]
+            return [shard.n_words, n_hit, items, longest[:, 0], [a if n else None for n, a in longest.tolist()], best]
 
         return find
 

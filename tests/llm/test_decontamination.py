@@ -51,7 +51,7 @@ def test_shards_by_brute_force():
         shard = C.Shard(docs, window)
         hit, pairs, longest = C.search(shard, test, random.choice([1, 2, 200_000]))
         n_hit = [int((hit & (shard.word > 0) & (shard.doc == d)).sum()) for d in range(len(docs))]
-        ids = [sorted({test.items[i] for d, i in pairs.tolist() if d == k}) for k in range(len(docs))]
+        ids = [sorted({test.items[i] for i in test.items_in([c for d, c in pairs.tolist() if d == k])}) for k in range(len(docs))]
         got = list(zip(shard.n_words.tolist(), n_hit, ids, longest[:, 0].tolist()))
         for text, (size, at, item) in zip(docs, longest.tolist()):
             found, other = words(text)[at : at + size], words(items[item][1]) if items else []
@@ -76,7 +76,7 @@ def test_one_word_repeated_takes_no_longer(spark):
     many, text = 20_000, "w " * 20_000
     test, shard = C.Suffixes([(1, text), (2, "w " * 50)], 10), C.Shard([text, "x", "w " * 9], 10)
     hit, pairs, longest = C.search(shard, test)
-    assert hit.sum() == many and pairs.tolist() == [[0, 0], [0, 1]] and longest.tolist() == [[many, 0, 0], [0, 0, 0], [0, 0, 0]]
+    assert hit.sum() == many and [test.items_in([c]).tolist() for _, c in pairs.tolist()] == [[0, 1]] and longest.tolist() == [[many, 0, 0], [0, 0, 0], [0, 0, 0]]
     assert time.process_time() - began < 5
 
 
@@ -93,3 +93,17 @@ def test_blocks_edges_and_removal(spark):
         kept = C.clean(docs, bench, block_chars=size)
         assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 4]
     assert C.clean(docs, bench.limit(0)).count() == 7 and C.scan(docs.limit(0), bench).count() == 0
+
+
+def test_equal_texts_with_equal_items_make_no_pairs(spark):
+    passage = "one two three four five six seven eight nine ten"
+    test, shard = C.Suffixes([(i, passage) for i in range(3000)], 10), C.Shard([passage] * 3000, 10)
+    hit, pairs, _ = C.search(shard, test)
+    assert hit.sum() == 30_000 and len(pairs) == 3000
+    docs = spark.range(60).selectExpr("id AS doc_id", f"'{passage}' AS text").coalesce(1)
+    bench = spark.range(5000).selectExpr("id AS item_id", f"concat('{passage}', if(id % 5 = 0, ' w', '')) AS text")
+    want = sorted(map(str, range(5000)))
+    for size in (4_000_000, 60_000):
+        rows = C.scan(docs, bench, block_chars=size).collect()
+        assert len(rows) == 60 and all(r.item_ids == want and r.n_hit == 10 for r in rows)
+    assert C.clean(docs, bench).count() == 0
