@@ -6,10 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 _folders: dict[str, str] = {}
+_stored: list[str] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -37,6 +39,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored._stored_at = path
+    _stored.append(path)
     return stored
 
 
@@ -50,6 +53,16 @@ def discard(stored: DataFrame) -> None:
     _delete(stored.sparkSession, stored._stored_at)
 
 
+def store_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Stores what make() gives, then deletes every other table that store() has written meanwhile."""
+    first = len(_stored)
+    made = store(make(), name)
+    for path in _stored[first:-1]:
+        _delete(spark, path)
+    del _stored[first:-1]
+    return made
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Deletes every table that store() has written for this application; call it when results are saved."""
     path = _folders.pop(spark.sparkContext.applicationId, None)
