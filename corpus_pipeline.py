@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from chapterloom.llm import bpe, decontamination, language_id, quality_rules, signature_join
-from chapterloom.llm.common import store
 from chapterloom.llm.queries import held_out, read, tokenizer
+from chapterloom.sources.scratch import discard, store_alone
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +50,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to the documents; each result is written and read again."""
+    """Applies the stages to the documents; each result is written and read again. Tables of a stage go when its result is stored, results when their successor is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = store(stage(spark, docs, sf_dir), f"stage{k}")
+        kept = store_alone(spark, partial(stage, spark, docs, sf_dir), f"stage{k}")
+        if k:
+            discard(docs)
+        docs = kept
     return docs
