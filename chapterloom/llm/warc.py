@@ -206,6 +206,23 @@ def read(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
     return records.join(rest.hint("merge"), ["file", "offset"], "left").select(*names, F.coalesce("n", "payload_bytes").alias("payload_bytes"), F.coalesce("d", "payload_digest").alias("payload_digest"))
 
 
+def chain_ends(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
+    """(file, bytes, verified_end, beyond, complete): how far the boundary chain of each file that has content goes.
+
+    bytes: of the content, decompressed; verified_end: where the last reachable record ends by its own length, 0 without one; beyond: what
+    looks like a record behind that; complete: the chain ends with the file. A wrong Content-Length, junk or a cut shows here.
+    """
+    found = candidates(spark, path, files)
+    kept = found.where("next is not null")
+    ends = kept.join(reachable(kept).hint("merge"), ["file", "offset"], "left_semi").groupBy("file").agg(F.max("next").alias("end"))
+    rows = found.join(ends.hint("merge"), "file", "left").withColumn("end", F.coalesce("end", F.lit(0).cast("long")))
+    rows = rows.groupBy("file", F.col("end").alias("verified_end")).agg(
+        (F.sum("size") + (F.count(F.lit(1)) - 1) * len(_SPLIT)).alias("bytes"),
+        F.count_if(F.col("next").isNotNull() & (F.col("offset") >= F.col("end"))).alias("beyond"),
+    )
+    return rows.select("file", "bytes", "verified_end", "beyond", (F.col("verified_end") == F.col("bytes")).alias("complete"))
+
+
 def page_of(column: str) -> Column:
     return F.regexp_extract(column, f"^<{_ID}([0-9-]+)>$", 1).try_cast("long")
 

@@ -71,3 +71,24 @@ def test_files_split_differently_by_two_scans(spark, tmp_path):
             assert sorted((r.page_id, r.payload_bytes, r.payload_digest) for r in warc.resolved(records).collect()) == want
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_chains_that_end_early_are_told(spark, tmp_path):
+    record = b"WARC/1.0\r\nContent-Length: %d\r\nWARC-Record-ID: <%d>\r\n\r\n%s\r\n\r\n"
+    one, two, three = (record % (len(x), k, x) for k, x in enumerate([b"one", b"\r\n\r\nWARC/1.0 two", b"three"]))
+    wrong = record % (9, 1, b"two")
+    data = {"good": one + two + three, "wrong": one + wrong + two + three, "junk": b"junk" + one, "cut": (one + two)[:-6], "tail": one + b"more", "empty": b"", "none": b"some text"}
+    for name, body in data.items():
+        (tmp_path / name).write_bytes(body)
+    (tmp_path / "z.gz").write_bytes(gzip.compress(data["good"]))
+    got = {r.file.rpartition("/")[2]: (r.bytes, r.verified_end, r.beyond, r.complete) for r in warc.chain_ends(spark, str(tmp_path)).collect()}
+    size = {k: len(x) for k, x in data.items()}
+    assert got == {
+        "good": (size["good"], size["good"], 0, True),
+        "z.gz": (size["good"], size["good"], 0, True),
+        "wrong": (size["wrong"], len(one + wrong) + 6, 1, False),
+        "junk": (size["junk"], 0, 0, False),
+        "cut": (size["cut"], len(one + two), 0, False),
+        "tail": (size["tail"], len(one), 0, False),
+        "none": (size["none"], 0, 0, False),
+    }
