@@ -3,7 +3,8 @@
 A text's set holds its distinct word shingles (64-bit hashes). Two texts link where
 100 * |intersection| >= percent * |union|; the result is each text's component.
 
-1. Equal sets collapse to one node.
+1. Equal sets collapse to one node. Sets are told apart by 128 bits of their digests; a node's name has 64 bits, of
+   which other ones are taken where sets would get the same name.
 2. A link needs a shared shingle among both sets' first ones in one global order
    (prefix filter). Shingles that many texts share come last in that order, which only
    affects speed. Representatives without a shared prefix shingle have no link, and the
@@ -27,10 +28,11 @@ equal set, else null. Texts of one doc_id count as linked with each other, empty
 from __future__ import annotations
 
 import hashlib
+import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chapterloom.llm.common import in_batches, most_frequent, packed, runs, store
@@ -73,9 +75,59 @@ class Shingler:
         return out
 
 
-def node_of(tokens: np.ndarray) -> int | None:
-    """What names a set: 64 bits of its digest; null for an empty one."""
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True) if len(tokens) else None
+#: Names that a set can get.
+NAMES = 64
+
+
+def digest_of(tokens: np.ndarray) -> tuple[int | None, int | None]:
+    """A set's digest as two signed 64-bit numbers; nulls for an empty set."""
+    return struct.unpack("<qq", hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()) if len(tokens) else (None, None)
+
+
+class Naming:
+    """Names of sets: the low half of the digest, or where that is taken, the halves combined in the next of NAMES - 1 ways.
+
+    taken: names that several sets would have had, so none has them; expected are n * n / 2**65 of n sets. bits: of a name, fewer in tests only.
+    """
+
+    def __init__(self, taken: frozenset[int] = frozenset(), bits: int = 64):
+        self.taken, self.mask = taken, -1 if bits == 64 else (1 << bits) - 1
+
+    def __call__(self, tokens: np.ndarray) -> int | None:
+        low, high = digest_of(tokens)
+        if low is None:
+            return None
+        whole = high & (1 << 64) - 1
+        for k in range(NAMES):
+            name = low
+            if k:
+                turned = (whole << k - 1 | whole >> 65 - k) & (1 << 64) - 1
+                name ^= turned - (1 << 64) if turned >> 63 else turned
+            if name & self.mask not in self.taken:
+                return name & self.mask
+        raise ValueError("all names of a set are taken")
+
+    def column(self, low: str = "low", high: str = "high") -> Column:
+        """The same name from columns with a digest's halves."""
+        ways = [F.col(low)]
+        if self.taken:
+            turned = [F.shiftleft(high, k - 1).bitwiseOR(F.shiftrightunsigned(high, 65 - k)) for k in range(1, NAMES)]
+            ways += [F.col(low).bitwiseXOR(x) for x in turned]
+        ways = [x.bitwiseAND(F.lit(self.mask)) for x in ways]
+        return F.coalesce(*[F.when(~x.isin(*self.taken), x) for x in ways]) if self.taken else ways[0]
+
+
+def named_sets(described: DataFrame, bits: int = 64) -> tuple[DataFrame, Naming]:
+    """The stored rows of describe() with the column node, and the naming under which no two sets share a node."""
+    taken: frozenset[int] = frozenset()
+    while True:
+        naming = Naming(taken, bits)
+        rows = described.withColumn("node", naming.column())
+        halves = rows.where("n > 0").groupBy("node").agg(*[f(c).alias(f"{c}{k}") for c in ("low", "high") for k, f in enumerate((F.min, F.max))])
+        clashes = frozenset(r.node for r in halves.where("low0 <> low1 or high0 <> high1").select("node").toLocalIterator())
+        if not clashes:
+            return rows, naming
+        taken |= clashes
 
 
 def _per_text(docs: DataFrame, make, schema: str, chunk_chars: int = 500_000) -> DataFrame:
@@ -95,11 +147,11 @@ def _per_text(docs: DataFrame, make, schema: str, chunk_chars: int = 500_000) ->
 
 
 def describe(docs: DataFrame, words: int, repeated: int = 3) -> DataFrame:
-    """A row (doc_id, n, node) for each text, and rows (token, times) for tokens that several texts of a chunk share."""
+    """A row (doc_id, n, low, high) for each text, the halves of its set's digest, and rows (token, times) for tokens that several texts of a chunk share."""
 
     def make():
         shingles = Shingler(words)
-        names, types = ["doc_id", "n", "node", "token", "times"], [pa.int64()] * 5
+        names, types = ["doc_id", "n", "low", "high", "token", "times"], [pa.int64()] * 6
 
         def rows(*columns):
             m = max(len(c) for c in columns if c is not None)
@@ -107,15 +159,16 @@ def describe(docs: DataFrame, words: int, repeated: int = 3) -> DataFrame:
 
         def one(ids, texts):
             sets = shingles(texts)
-            yield rows(ids, [len(x) for x in sets], [node_of(x) for x in sets], None, None)
+            low, high = zip(*map(digest_of, sets))
+            yield rows(ids, [len(x) for x in sets], low, high, None, None)
             token, times = np.unique(np.concatenate(sets), return_counts=True)
             often = times >= repeated
             if often.any():
-                yield rows(None, None, None, token[often].view(np.int64), times[often])
+                yield rows(None, None, None, None, token[often].view(np.int64), times[often])
 
         return one
 
-    return _per_text(docs, make, "doc_id long, n long, node long, token long, times long")
+    return _per_text(docs, make, "doc_id long, n long, low long, high long, token long, times long")
 
 
 def frequent(described: DataFrame, least: int = 48, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +185,7 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def prefixes(docs: DataFrame, words: int, percent: int, heavy) -> DataFrame:
+def prefixes(docs: DataFrame, words: int, percent: int, heavy, naming: Naming) -> DataFrame:
     """(doc_id, n, node, prefix) with each text's first tokens in the global order: rare ones by hash, then frequent ones by count."""
 
     def make():
@@ -141,7 +194,7 @@ def prefixes(docs: DataFrame, words: int, percent: int, heavy) -> DataFrame:
         def one(ids, texts):
             rows, seen = [], set()
             for i, x in zip(ids, shingles(texts)):
-                node = node_of(x)
+                node = naming(x)
                 if i is None or node is None or (node, i) in seen:
                     continue
                 seen.add((node, i))
@@ -176,7 +229,7 @@ def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(marks, axis=1, bitorder="little").view(np.uint64)
 
 
-def full_sets(docs: DataFrame, words: int, functions: int) -> DataFrame:
+def full_sets(docs: DataFrame, words: int, functions: int, naming: Naming) -> DataFrame:
     """(rep, n, extra, bits, tokens, h0, h1, ...): whole sets with bitmaps, the tokens that share a bit, and minimum hashes."""
     names = [f"h{j}" for j in range(functions)]
 
@@ -185,7 +238,7 @@ def full_sets(docs: DataFrame, words: int, functions: int) -> DataFrame:
         seeds = [mix(np.array([j + 1], np.uint64))[0] for j in range(functions)]
 
         def one(ids, texts):
-            found = [(node_of(x), x) for x in shingles(texts) if len(x)]
+            found = [(naming(x), x) for x in shingles(texts) if len(x)]
             for lo in range(0, len(found), 128):
                 reps, sets = zip(*found[lo : lo + 128])
                 marks, n = bitmaps(sets), np.array([len(x) for x in sets])
@@ -532,13 +585,14 @@ def round_members(known: DataFrame, j: int, chunk_tokens: int, chunk_rows: int)
     return chosen.select("rep", "comp", "part", F.pmod(F.xxhash64("rep", F.lit(j)), F.col("chunks")).alias("chunk"))
 
 
-def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int = 3, chunk_tokens: int = 1_000_000, chunk_rows: int = 4096, key_pairs: int = 256) -> DataFrame:
+def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int = 3, chunk_tokens: int = 1_000_000, chunk_rows: int = 4096, key_pairs: int = 256, name_bits: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
     described = store(describe(docs, words), "described")
+    named_rows, naming = named_sets(described, name_bits)
     heavy = spark.sparkContext.broadcast(frequent(described))
-    firsts = prefixes(docs, words, percent, heavy).groupBy(F.col("node").alias("rep")).agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    firsts = prefixes(docs, words, percent, heavy, naming).groupBy(F.col("node").alias("rep")).agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     nodes = store(firsts, "nodes")
     heavy.destroy()
     keys = nodes.select("rep", F.explode("prefix").alias("key"))
@@ -546,13 +600,13 @@ def components(docs: DataFrame, words: int = 5, percent: int = 75, rounds: int =
     keys = store(keys.join(common, "key", "left_semi"), "keys")
     # What later steps need of the wide tables is narrow; the wide ones go.
     wide = described, nodes
-    described, nodes = store(described.where("n is not null").select("doc_id", "n", "node"), "texts"), store(nodes.select("rep", "doc_id"), "names")
+    described, nodes = store(named_rows.where("n is not null").select("doc_id", "n", "node"), "texts"), store(nodes.select("rep", "doc_id"), "names")
     for table in wide:
         discard(table)
     firsts = store(keys.groupBy("rep").agg(F.count(F.lit(1)).alias("firsts")), "firsts")
     names = [f"h{j}" for j in range(rounds)]
     wanted = store(nodes.select("rep", "doc_id").join(firsts, "rep", "left_semi"), "wanted")
-    sets = store(full_sets(by_id(docs, wanted.select("doc_id"), "left_semi"), words, rounds), "sets")
+    sets = store(full_sets(by_id(docs, wanted.select("doc_id"), "left_semi"), words, rounds, naming), "sets")
     repeated = repeated_ids(described)
     if sets.count() > wanted.count():  # an id came with several texts, or with the same one again
         every, sets = sets, store(sets.join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "sets")

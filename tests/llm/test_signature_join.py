@@ -82,6 +82,24 @@ def test_parts_without_broadcast(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_sets_with_the_same_name_get_other_names(spark):
+    rows = noisy(9, 160)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    described = S.describe(df, 5)
+    named, naming = S.named_sets(described.cache(), 11)
+    assert naming.taken  # 2,048 names are too few for these sets
+    sets = {x.tobytes(): naming(x) for x in S.Shingler(5)([t for _, t in rows]) if len(x)}
+    assert len(set(sets.values())) == len(sets)
+    by_column = {r.node for r in named.where("n > 0").select("node").distinct().collect()}
+    assert by_column == set(sets.values())
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in S.components(df, name_bits=11).collect()}
+    assert got == brute(rows)
+    # Whole names, one of them taken: both ways of naming agree.
+    whole, row = S.Naming(), S.Shingler(5)([rows[0][1]])[0]
+    other = S.Naming(frozenset([whole(row)]))
+    assert other(row) != whole(row) and {r.n for r in named.where("doc_id = 0").select(other.column().alias("n")).collect()} == {other(row)}
+
+
 def test_tree_loses_no_link():
     random.seed(2)
     universe = np.unique(np.random.default_rng(1).integers(0, 2**63, 4000).astype(np.uint64))
