@@ -23,9 +23,10 @@ _STATE = "size int, chapters array<int>, known array<string>"
 _TERM = ["korean", "english", "category", "note", "enforce"]
 
 
-def read_replies(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """The stream of replies (slug, chapter, raw) from Parquet files, in the order in which they appear."""
-    return spark.readStream.schema(REPLIES).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def read_replies(spark: SparkSession, path: str, files_per_trigger: int | None = 1) -> DataFrame:
+    """The stream of replies (slug, chapter, raw) from Parquet files, in the order in which they appear; without a number of files, a batch takes all that are there."""
+    reader = spark.readStream.schema(REPLIES)
+    return (reader if files_per_trigger is None else reader.option("maxFilesPerTrigger", files_per_trigger)).parquet(path)
 
 
 def _grow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

@@ -169,9 +169,10 @@ def _state_in_rocksdb(spark: SparkSession):
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def read_events(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """The stream of events from Parquet files, in the order in which they appear."""
-    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def read_events(spark: SparkSession, path: str, files_per_trigger: int | None = 1) -> DataFrame:
+    """The stream of events from Parquet files, in the order in which they appear; without a number of files, a batch takes all that are there."""
+    reader = spark.readStream.schema(EVENTS)
+    return (reader if files_per_trigger is None else reader.option("maxFilesPerTrigger", files_per_trigger)).parquet(path)
 
 
 def parsed_events(events: DataFrame) -> DataFrame:
