@@ -21,17 +21,21 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from chapterloom.sources.books import GLOSSARY_FILE, validate_terms
 
 SCHEMA = "path string, content string"
 _STAGING = "_staging-"
-#: Files that a reading task gets.
+#: Files that a reading task gets, and bytes of them, at most (a larger file has a task of its own).
 FILES_A_TASK = 500
+BYTES_A_TASK = 32_000_000
+#: Bytes of files that go to Spark as one batch, at most (or one file).
+BYTES_A_BATCH = 2_000_000
 
 
 def _opened(root: str) -> tuple[fs.FileSystem, str]:
@@ -48,25 +52,26 @@ class Staged(WriterCommitMessage):
     files: list[tuple[str, str]]
 
 
-class _Writer(DataSourceWriter):
+class _Writer(DataSourceArrowWriter):
     def __init__(self, root: str):
         self.root, self.staging = root, f"{_STAGING}{uuid.uuid4().hex}"
         system, path = _opened(root)
         system.create_dir(f"{path}/{self.staging}")
 
-    def write(self, iterator: Iterator) -> Staged:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
         system, root = _opened(self.root)
         folder, done = f"{root}/{self.staging}/{uuid.uuid4().hex}", []
         system.create_dir(folder, recursive=False)  # a task that is late, after the job was given up, finds no staging folder
-        for k, row in enumerate(iterator):
-            path, content = row["path"], row["content"]
-            if path is None or content is None:
+        rows = (row for batch in iterator for row in zip(batch.column("path"), batch.column("content")))
+        for k, (name, content) in enumerate(rows):
+            path = name.as_py()
+            if path is None or not content.is_valid:
                 raise ValueError("a file needs a path and a content")
             parts = path.split("/")
             if not all(parts) or "." in parts or ".." in parts or parts[0].startswith(_STAGING):
                 raise ValueError(f"not a path below the root: {path!r}")
             with system.open_output_stream(f"{folder}/{k}") as out:
-                out.write(content.encode("utf-8", "surrogatepass"))
+                out.write(content.as_buffer())  # UTF-8 as it is in the batch
             done.append((f"{folder}/{k}", path))
         return Staged(done)
 
@@ -100,16 +105,36 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[Files]:
         system, root = _opened(self.root)
         found = system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
-        names = sorted(i.path[len(root.rstrip("/")) + 1 :] for i in found if i.type == fs.FileType.File)
-        depth = self.glob.count("/")
-        names = [n for n in names if not n.startswith(_STAGING) and n.count("/") == depth and all(map(fnmatch.fnmatchcase, n.split("/"), self.glob.split("/")))]
-        return [Files(names[k : k + FILES_A_TASK]) for k in range(0, len(names), FILES_A_TASK)] or [Files([])]
-
-    def read(self, partition: Files) -> Iterator[tuple[str, str]]:
+        sizes = {i.path[len(root.rstrip("/")) + 1 :]: i.size or 0 for i in found if i.type == fs.FileType.File}
+        depth, tasks, held = self.glob.count("/"), [], 0
+        for n in sorted(sizes):
+            if n.startswith(_STAGING) or n.count("/") != depth or not all(map(fnmatch.fnmatchcase, n.split("/"), self.glob.split("/"))):
+                continue
+            if not tasks or len(tasks[-1].names) == FILES_A_TASK or held + sizes[n] > BYTES_A_TASK:
+                tasks.append(Files([]))
+                held = 0
+            tasks[-1].names.append(n)
+            held += sizes[n]
+        return tasks or [Files([])]
+
+    def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         system, root = _opened(self.root)
+        names, texts, held = [], [], 0
         for name in partition.names:
             with system.open_input_stream(f"{root}/{name}") as source:
-                yield name, source.read().decode("utf-8", "replace")
+                data = source.read()
+            if held and held + len(data) > BYTES_A_BATCH:
+                yield _batch(names, texts)
+                names, texts, held = [], [], 0
+            names.append(name)
+            texts.append(data.decode("utf-8", "replace"))
+            held += len(data)
+        if names:
+            yield _batch(names, texts)
+
+
+def _batch(names: list[str], texts: list[str]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["path", "content"])
 
 
 class BookFiles(DataSource):
