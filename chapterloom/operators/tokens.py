@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from bisect import bisect_left
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -75,9 +76,80 @@ def defect_totals(defects: DataFrame) -> DataFrame:
     return defects.rollup("slug").agg(F.sum(F.size("forgotten")).alias("forgotten"), F.sum(F.size("invalid")).alias("invalid"), F.sum(F.size("new")).alias("new"), F.count_if("needs_repair").alias("need_repair"))
 
 
+def _extended(a: str, b: str, i: int, j: int, k: int, alo: int, ahi: int, blo: int, bhi: int) -> tuple[int, int, int]:
+    """The match with the equal characters at its ends, frequent ones too."""
+    while i > alo and j > blo and a[i - 1] == b[j - 1]:
+        i, j, k = i - 1, j - 1, k + 1
+    while i + k < ahi and j + k < bhi and a[i + k] == b[j + k]:
+        k += 1
+    return i, j, k
+
+
+def _longest(a: str, b: str, where: dict[str, list[int]], seeds: list[int], alo: int, ahi: int, blo: int, bhi: int) -> tuple[int, int, int]:
+    """difflib's find_longest_match where nothing is junk. Only seeds, the places of a whose character ``where`` has, are visited, and of the places in b those within the range."""
+    besti, bestj, bestsize = alo, blo, 0
+    sizes: dict[int, int] = {}
+    last = -2
+    for at in range(bisect_left(seeds, alo), bisect_left(seeds, ahi)):
+        i = seeds[at]
+        get = sizes.get if i == last + 1 else {}.get
+        last, sizes = i, {}
+        places = where[a[i]]
+        for p in range(bisect_left(places, blo) if blo else 0, len(places)):
+            j = places[p]
+            if j >= bhi:
+                break
+            k = sizes[j] = get(j - 1, 0) + 1
+            if k > bestsize:
+                besti, bestj, bestsize = i - k + 1, j - k + 1, k
+    return _extended(a, b, besti, bestj, bestsize, alo, ahi, blo, bhi)
+
+
+#: Longest run of seeds for which substrings are looked up; slices of that length are held for every seed of a range.
+SHORT_RUN = 64
+
+
+def _run_ends(seeds: list[int]) -> list[int]:
+    """For each seed, where the run of consecutive ones that it is in ends."""
+    ends = list(seeds)
+    for at in range(len(seeds) - 1, -1, -1):
+        ends[at] = ends[at + 1] if at + 1 < len(seeds) and seeds[at + 1] == seeds[at] + 1 else seeds[at] + 1
+    return ends
+
+
+def _longest_by_lookup(a: str, b: str, seeds: list[int], ends: list[int], others: list[int], alo: int, ahi: int, blo: int, bhi: int) -> tuple[int, int, int]:
+    """As _longest(), for short runs of seeds: whether the range of b has a longer substring is looked up for each seed, so pairs of places are never visited. others: the seeds of b."""
+    besti, bestj, bestsize = alo, blo, 0
+    at, last = bisect_left(seeds, alo), bisect_left(seeds, ahi)
+    while at < last:
+        size = bestsize + 1
+        known = {b[j : j + size] for j in others[bisect_left(others, blo) : bisect_left(others, bhi - bestsize)]}
+        at = next((n for n in range(at, last) if min(ends[n], ahi) - seeds[n] >= size and a[seeds[n] : seeds[n] + size] in known), last)
+        if at < last:
+            besti, end = seeds[at], min(ends[at], ahi)
+            while besti + size < end and b.find(a[besti : besti + size + 1], blo, bhi) >= 0:
+                size += 1
+            bestj, bestsize, at = b.find(a[besti : besti + size], blo, bhi), size, at + 1
+    return _extended(a, b, besti, bestj, bestsize, alo, ahi, blo, bhi)
+
+
 def ratio_of(x: str, y: str, autojunk: bool = True) -> float:
-    """difflib's ratio; equal texts need no comparison."""
-    return 1.0 if x == y else difflib.SequenceMatcher(None, x, y, autojunk).ratio()
+    """difflib's ratio, from the same matching blocks; equal texts need no comparison."""
+    if x == y:
+        return 1.0
+    where = difflib.SequenceMatcher(None, x, y, autojunk).b2j
+    seeds = [i for i, c in enumerate(x) if c in where]
+    ends = _run_ends(seeds)
+    short = all(end - i <= SHORT_RUN for i, end in zip(seeds, ends))
+    others = [j for j, c in enumerate(y) if c in where] if short else []
+    found, ranges = 0, [(0, len(x), 0, len(y))]
+    while ranges:
+        alo, ahi, blo, bhi = ranges.pop()
+        i, j, k = _longest_by_lookup(x, y, seeds, ends, others, alo, ahi, blo, bhi) if short else _longest(x, y, where, seeds, alo, ahi, blo, bhi)
+        found += k
+        parts = ((alo, i, blo, j), (i + k, ahi, j + k, bhi)) if k else ()
+        ranges += [p for p in parts if p[0] < p[1] and p[2] < p[3]]
+    return 2.0 * found / (len(x) + len(y))
 
 
 def similarity(autojunk: bool = True):

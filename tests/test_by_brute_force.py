@@ -188,3 +188,22 @@ def test_cost_of_many_terms():
         return min((lambda t: (f.standing(text), time.perf_counter() - t)[1])(time.perf_counter()) for _ in range(20))
 
     assert least(many) < 2 * least(few)
+
+
+def test_ratios_are_difflibs_and_take_no_pairs_of_places():
+    import random
+    import time
+
+    random.seed(6)
+    for _ in range(300):
+        letters = random.choice(["ab", "abcdefgh ", "abcdefghijklmnopqrstuvwxyz      eeeaa가나"])
+        x = "".join(random.choices(letters, k=random.randrange(random.choice([4, 80, 700]))))
+        y = random.choice([x[::-1], x[len(x) // 2 :] + x[: len(x) // 3], "".join(random.choice(letters) if random.random() < 0.2 else c for c in x)])
+        for junk in (True, False):
+            assert tokens.ratio_of(x, y, junk) == difflib.SequenceMatcher(None, x, y, junk).ratio(), (x, y, junk)
+    # 60 characters, each just rare enough for autojunk to keep it, among frequent ones: 25 million pairs of equal places.
+    rare = [chr(0x4E00 + n) for n in range(60)]
+    text = "".join(random.choice(rare) if random.random() < 0.5 else random.choice("abcd") for _ in range(80_000))
+    began = time.process_time()
+    assert 0 < tokens.ratio_of(text, text[::-1]) < 0.7
+    assert time.process_time() - began < 10
