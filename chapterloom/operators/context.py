@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chapterloom.functions.text import strip
+from chapterloom.sources.scratch import store
 
 FIXED_HEAD = "## Fixed tokens\nWrite the token for each of these terms.\n\nkorean | token"
 OTHER_HEAD = "## Other names\nWrite [[NEW:term|rendering]] for every other name."
@@ -113,15 +114,29 @@ def with_arc(rows: DataFrame, arcs: DataFrame | None, every: int = 5) -> DataFra
     return rows.join(told, ["slug", "due"], "left").drop("due")
 
 
+#: Glossaries' blocks are broadcast up to this many characters in all.
+BROADCAST_BLOCKS = 100_000_000
+
+
+def with_blocks(rows: DataFrame, glossary: DataFrame) -> DataFrame:
+    """Adds block, null for a book without a glossary. Blocks are stored and their characters counted, and up to BROADCAST_BLOCKS rows stay where they are."""
+    blocks = store(placeholder_block(glossary), "blocks")
+    n = blocks.agg(F.sum(F.length("block"))).first()[0] or 0
+    return rows.join(F.broadcast(blocks) if n <= BROADCAST_BLOCKS else blocks, "slug", "left")
+
+
 def translation_requests(chapters: DataFrame, summaries: DataFrame, glossary: DataFrame, prompt: str = "TRANSLATE", max_tokens: int = 16_000, last: int | None = None, arcs: DataFrame | None = None, every: int = 5) -> DataFrame:
     """(slug, chapter, request): instructions, the glossary block where the book has one, and the message with the story so far and earlier summaries.
 
-    last: that many available summaries; otherwise the window of 20 chapter numbers. Texts are joined after the windows.
+    last: that many available summaries; otherwise the window of 20 chapter numbers. Arcs and summaries are put together on chapters' numbers alone;
+    texts are joined afterwards, shuffled once and never sorted: they are probed against the hash table of a task's numbers.
     """
+    key = ["slug", "chapter"]
     prior = context_window(summaries) if last is None else last_k_summaries(summaries, last)
-    rows = with_arc(chapters.join(prior, ["slug", "chapter"], "left"), arcs, every).join(placeholder_block(glossary), "slug", "left")
-    rows = user_message(rows).where("message is not null")
-    return rows.select("slug", "chapter", request(_id("translate"), [F.lit(prompt), F.col("block")], F.col("message"), max_tokens).alias("request"))
+    context = with_arc(chapters.select(*key).distinct(), arcs, every).join(prior, key, "left")
+    rows = chapters.drop("arc", "prior").join(context.hint("shuffle_hash"), key, "left")
+    rows = user_message(with_blocks(rows, glossary)).where("message is not null")
+    return rows.select(*key, request(_id("translate"), [F.lit(prompt), F.col("block")], F.col("message"), max_tokens).alias("request"))
 
 
 def repair_requests(defects: DataFrame, pairs: DataFrame, glossary: DataFrame, prompt: str = "REPAIR", max_tokens: int = 16_000) -> DataFrame:

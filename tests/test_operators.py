@@ -138,6 +138,36 @@ def test_arc_requests_of_a_long_book(spark):
         assert r.message == f"P\n\n<current_story_so_far>\n{story}\n</current_story_so_far>\n\n<recent_chapter_summaries>\n" + "\n".join(lines) + "\n</recent_chapter_summaries>"
 
 
+def test_requests_shuffle_texts_once(spark, terms, monkeypatch):
+    rows = [("b", c, f"text {c}") for c in (1, 2, 2, 6, 7, 40)] + [("c", 3, "no glossary"), (None, 3, "no book"), ("b", None, "no number"), ("b", 8, " ")]
+    chapters = spark.createDataFrame(rows, "slug string, chapter int, text string")
+    summaries = spark.createDataFrame([("b", c, f"s{c}") for c in range(1, 30)], "slug string, chapter int, summary string")
+    arcs = spark.createDataFrame([("b", 5, "one")], "slug string, chapter int, arc string")
+    set_to = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in set_to}
+    try:
+        for k, v in set_to.items():
+            spark.conf.set(k, v)
+        made = context.translation_requests(chapters, summaries, terms, arcs=arcs)
+        plan = made._jdf.queryExecution().executedPlan().toString().split("\n")
+        deep = [len(x) - len(x.lstrip(" :+-*0123456789()")) for x in plan]
+        at = next(n for n, x in enumerate(plan) if "Scan" in x and "text#" in x)
+        above, depth = [], len(plan[at])
+        for n in range(at, -1, -1):
+            if plan[n].strip() and plan[n].lstrip(" :+-").startswith(("+-", "Exchange", "Sort", "*", "Project", "Filter", "BroadcastHashJoin", "ShuffledHashJoin", "SortMergeJoin", "Scan")) and deep[n] < depth:
+                above.append(plan[n].lstrip(" :+-*0123456789()").split(" ")[0])
+                depth = deep[n]
+        assert above.count("Exchange") == 1 and "Sort" not in above and "SortMergeJoin" not in above, above
+        got = sorted(map(tuple, made.collect()), key=str)
+        monkeypatch.setattr(context, "BROADCAST_BLOCKS", -1)
+        assert sorted(map(tuple, context.translation_requests(chapters, summaries, terms, arcs=arcs).collect()), key=str) == got
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    told = {(r[0], r[1]): r[2] for r in got}
+    assert len(got) == 9 and "story_so_far" in told["b", 6] and "story_so_far" not in told["b", 2] and "Ch.5: s5" in told["b", 6] and "Glossary" not in told["c", 3]
+
+
 def test_messages(spark, terms):
     df = spark.createDataFrame([("b", 1, " text ", " arc ", [(1, "x")]), ("b", 2, "t", "", []), ("b", 3, " \n", "a", [])], "slug string, chapter int, text string, arc string, prior array<struct<chapter:int,summary:string>>")
     got = [r.message for r in context.user_message(df).sort("chapter").collect()]
