@@ -1,7 +1,7 @@
 """Slicing novels' files into chapters where the files are split over tasks.
 
-A file is read by lines, in as many tasks as it has splits; headers are counted within splits and over splits, so that every
-line knows its chapter, and a chapter's lines are put together. All of it works on one stored scan: how files are split changes no row.
+A file is read by lines, in as many tasks as it has splits; a task puts the lines between headers together and counts headers, which are then
+counted over splits, so that every piece knows its chapter. All of it works on one stored scan: how files are split changes no row.
 
 Defined results: as slice_chapters(), which takes whole texts. A file of its own is a novel, also where two have one name; an empty
 file, or one without a header, has no chapter. A header is a line on its own: patterns don't see the lines around it.
@@ -9,6 +9,11 @@ file, or one without a header, has no chapter. A header is a line on its own: pa
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,25 +37,56 @@ def read_lines(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
     return rows.select("file", "block", "row", F.posexplode_outer(F.split("value", r"\R", -1)).alias("sub", "line"))
 
 
-def placed_lines(lines: DataFrame, header: str = HEADER) -> DataFrame:
-    """Stored lines with chapter (0 before the first header) and found, the file's headers."""
-    lines = store(lines.withColumn("head", F.col("line").rlike(rf"^(?:{header})").cast("int")), "lines")
-    blocks = lines.groupBy("file", "block").agg(F.sum("head").alias("heads"))
+_PIECE = "file string, block long, seq long, upto int, whole boolean, text string"
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines (file, block, head, line) in order as pieces, which begin at headers, blocks and batches: upto counts the block's headers so far, whole pieces are chapters."""
+    last, upto, seq = None, 0, 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        file, block, head = batch.column("file"), batch.column("block"), batch.column("head").to_numpy(zero_copy_only=False).astype(bool)
+        key, number = file.dictionary_encode().indices.to_numpy(), block.to_numpy()
+        new = np.r_[True, (key[1:] != key[:-1]) | (number[1:] != number[:-1])]  # another block than the line before
+        at = np.flatnonzero(head | new)
+        count = np.cumsum(head)
+        opened = np.maximum.accumulate(np.where(new, np.arange(n), 0))[at]
+        heads = count[at] - np.where(opened > 0, count[opened - 1], 0)
+        first = file[0].as_py(), block[0].as_py()
+        heads[opened == 0] += upto if first == last else 0
+        ends = np.r_[at[1:], n]
+        whole = head[at] & np.r_[~new[at[1:]], False]
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[at, n], pa.int32()), batch.column("line")), "\n")
+        yield pa.RecordBatch.from_arrays([file.take(pa.array(at)), block.take(pa.array(at)), pa.array(seq + np.arange(len(ends))), pa.array(heads.astype("int32")), pa.array(whole), text], ["file", "block", "seq", "upto", "whole", "text"])
+        last, upto, seq = (file[n - 1].as_py(), block[n - 1].as_py()), int(heads[-1]), seq + len(ends)
+
+
+#: Rows of splits that are broadcast; some 150 bytes each.
+BROADCAST_SPLITS = 500_000
+
+
+def placed_pieces(lines: DataFrame, header: str = HEADER) -> DataFrame:
+    """Lines of a scan, put together to stored pieces with chapter (0 before the first header) and found, the file's headers. Texts are neither sorted nor shuffled."""
+    lines = lines.select("file", "block", F.col("line").rlike(rf"^(?:{header})").alias("head"), "line")
+    pieces = store(lines.mapInArrow(_pieces, _PIECE), "pieces")
+    blocks = pieces.groupBy("file", "block").agg(F.max("upto").alias("heads"))
     whole = Window.partitionBy("file")
     earlier = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("file", "block", F.coalesce(F.sum("heads").over(earlier), F.lit(0)).alias("before"), F.sum("heads").over(whole).alias("found"))
-    within = Window.partitionBy("file", "block").orderBy("row", "sub").rowsBetween(Window.unboundedPreceding, 0)
-    rows = lines.withColumn("upto", F.sum("head").over(within)).join(blocks, ["file", "block"])
-    return rows.select("file", "block", "row", "sub", "line", (F.col("before") + F.col("upto")).cast("int").alias("chapter"), "found")
+    blocks = store(blocks.select("file", "block", F.coalesce(F.sum("heads").over(earlier), F.lit(0)).alias("before"), F.sum("heads").over(whole).alias("found")), "blocks")
+    rows = pieces.join(F.broadcast(blocks) if blocks.count() <= BROADCAST_SPLITS else blocks, ["file", "block"])
+    return rows.select("file", "block", "seq", "whole", "text", (F.col("before") + F.col("upto")).cast("int").alias("chapter"), "found")
 
 
 def slice_files(spark: SparkSession, path: str, n: int | None = None, header: str = HEADER, files: str = "*") -> DataFrame:
-    """(slug, chapter, text) of the novels below path. n keeps the first n chapters, and drops novels with fewer."""
-    rows = placed_lines(read_lines(spark, path, files), header).where("chapter > 0")
+    """(slug, chapter, text) of the novels below path. n keeps the first n chapters, and drops novels with fewer. Only chapters at the ends of splits and batches are shuffled."""
+    rows = placed_pieces(read_lines(spark, path, files), header).where("chapter > 0")
     if n is not None:
         rows = rows.where((F.col("found") >= n) & (F.col("chapter") <= n))
-    rows = rows.groupBy("file", "chapter").agg(F.array_sort(F.collect_list(F.struct("block", "row", "sub", "line"))).alias("lines"))
-    return rows.select(slug_of(F.col("file")).alias("slug"), "chapter", F.concat(rstrip(F.array_join("lines.line", "\n")), F.lit("\n")).alias("text"))
+    parts = rows.where("not whole").groupBy("file", "chapter").agg(F.array_sort(F.collect_list(F.struct("block", "seq", "text"))).alias("parts"))
+    rows = rows.where("whole").select("file", "chapter", "text").unionByName(parts.select("file", "chapter", F.array_join("parts.text", "\n").alias("text")))
+    return rows.select(slug_of(F.col("file")).alias("slug"), "chapter", F.concat(rstrip("text"), F.lit("\n")).alias("text"))
 
 
 def short_files(spark: SparkSession, path: str, n: int, header: str = HEADER, files: str = "*") -> DataFrame:

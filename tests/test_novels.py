@@ -32,3 +32,22 @@ def test_one_chapter_over_many_splits(spark, tmp_path):
     (tmp_path / "big.txt").write_text("front\n1화\n" + "가나다라\n" * 20_000 + "2화\nend\n")
     rows = novels.slice_files(spark, str(tmp_path)).collect()
     assert {(r.slug, r.chapter, len(r.text)) for r in rows} == {("big", 1, 3 + 5 * 20_000), ("big", 2, 7)}
+
+
+def test_whole_chapters_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    texts = {f"n{k}": "front\n" + "".join(f"{c}화\n가나 {c}\n\n다\n" for c in range(k * 9)) for k in range(4)} | {"x": "no header\n"}
+    for name, text in texts.items():
+        (tmp_path / "in" / f"{name}.txt").write_text(text)
+    want = sorted(map(tuple, books.slice_chapters(spark.createDataFrame(list(texts.items()), "slug string, text string")).collect()))
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    try:
+        for size in ("1", "3", "10000"):
+            spark.conf.set(batch, size)
+            rows = novels.slice_files(spark, f"{tmp_path}/in")
+            assert sorted(map(tuple, rows.collect())) == want and len(want) == 54, size
+    finally:
+        spark.conf.set(batch, before)
+    plan = novels.slice_files(spark, f"{tmp_path}/in")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and "Window" not in plan and "NOT whole#" in plan
