@@ -4,20 +4,25 @@ from __future__ import annotations
 
 import difflib
 from bisect import bisect_left
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chapterloom.functions import text as X
-from chapterloom.operators.finder import forgotten_column
+from chapterloom.operators.finder import checked_column, forgotten_column
 from chapterloom.operators.match import book_terms, percent, picked, size_of, with_books
 
 
 def substitute(replies: DataFrame, ids: DataFrame, col: str = "raw") -> DataFrame:
     """Adds body (tokens replaced by their renderings) and leaked (whatever is still in brackets); ids: (slug, ids MAP). Replies may carry ``size``: larger ids aren't known then."""
-    rows = replies.join(ids, "slug", "left")
-    if "size" in replies.columns:
+    return _with_body(replies.join(ids, "slug", "left"), col)
+
+
+def _with_body(rows: DataFrame, col: str = "raw") -> DataFrame:
+    """substitute() for rows that have their book's ids."""
+    if "size" in rows.columns:
         rows = rows.withColumn("ids", F.map_filter("ids", lambda k, _: k <= F.col("size")))
     empty = F.create_map().cast("map<int,string>")
     rows = rows.withColumn("body", X.apply_tokens(F.col(col), F.coalesce("ids", empty))).drop("ids")
@@ -42,10 +47,15 @@ def new_entities(replies: DataFrame, col: str = "raw") -> DataFrame:
     return rows.select("slug", "chapter", "pos", "e.korean", "e.english")
 
 
+def _with_places(rows: DataFrame, col: str = "raw") -> DataFrame:
+    """rows that have their books: adds places, where forgotten terms are among the book's. Only enforced terms whose token isn't in the reply are looked for."""
+    rows = rows.withColumn("size", size_of(rows)).withColumn("ids", F.regexp_extract_all(col, F.lit(X.TOKEN), F.lit(1)))
+    return rows.withColumn("places", forgotten_column()("slug", "keys", "enforced", "ids", "source", "size"))
+
+
 def _with_forgotten(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
-    """pairs with their books, and forgotten. Only enforced terms whose token isn't in the reply are looked for."""
-    rows = with_books(pairs, book_terms(glossary)).withColumn("size", size_of(pairs)).withColumn("ids", F.regexp_extract_all("raw", F.lit(X.TOKEN), F.lit(1)))
-    rows = rows.withColumn("places", forgotten_column()("slug", "keys", "enforced", "ids", "source", "size"))
+    """pairs with their books, and forgotten."""
+    rows = _with_places(with_books(pairs, book_terms(glossary)))
     missed = F.transform(picked("places"), lambda t: F.struct(t["korean"].alias("korean"), F.concat(F.lit("[[G"), t["token_id"].cast("string"), F.lit("]]")).alias("token")))
     return rows.withColumn("forgotten", missed)
 
@@ -219,6 +229,38 @@ def chapter_report(gated: DataFrame, checked: DataFrame, defects: DataFrame, cho
     )
 
 
+def finish(rows: DataFrame, glossary: DataFrame, texts: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """Gate, adherence and defects at once, for rows (slug, chapter, source, raw, sent, rejected): chapter_report's columns, then size, where rows have it, and the gated body.
+
+    raw is the chosen translation, sent the reply before its repair; ``size`` as in match. All of a chapter is in one row: texts are never shuffled to meet each
+    other, and once to meet their book's terms, where those are too many to be broadcast. texts: makes the row's texts after that, from less.
+    """
+    numbers = F.map_from_entries(F.transform("terms", lambda t: F.struct(t["token_id"].cast("int"), t["english"])))
+    rows = texts(with_books(rows, book_terms(glossary).withColumn("ids", numbers)))
+    sized = [c for c in ("size",) if c in rows.columns]
+    rows = fail_closed_gate(_with_body(rows))
+    rows = rows.withColumn("found", checked_column()("slug", "keys", "lows", "source", F.lower("body"), size_of(rows)))
+    rows = _with_places(rows, "sent")
+    ok, none, known = F.col("status") == "ok", F.lit(0), F.col("slug").isNotNull() & F.col("chapter").isNotNull()
+    n_known = lambda c: F.coalesce(F.when(known, c), none)
+    wrong = F.transform("found.wrong", lambda p: F.element_at("keys", p + 1))
+    return rows.select(
+        "slug",
+        "chapter",
+        "status",
+        "leaks",
+        F.size("leaked").alias("n_leaks"),
+        n_known(F.size("places")).alias("forgotten"),
+        n_known(F.size(_invalid(F.col("sent"), F.least(F.coalesce("n_terms", none), "size")))).alias("invalid"),
+        n_known(F.size(X.new_entities(F.col("sent")))).alias("new"),
+        (F.coalesce("rejected", F.lit(False)) & known).alias("rejected"),
+        F.when(ok, n_known(F.size("found.present"))).alias("present"),
+        F.when(ok, F.coalesce(F.when(known, wrong), F.array().cast("array<string>"))).alias("violations"),
+        *sized,
+        "body",
+    )
+
+
 def run_report(chapters: DataFrame, parsed: DataFrame, folded: DataFrame) -> DataFrame:
     """One row a book from chapter_report's rows: its status, chapters and how many replies parsed, adherence over what was not withheld, leaks, withheld and rejected chapters, defects before repair, and the terms that fold-back added.
 

@@ -22,19 +22,17 @@ seqs go by text. Null texts fail. A book's first chapter is 1; it needs no state
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from chapterloom.functions.text import filled, section
 from chapterloom.operators.context import user_message
-from chapterloom.operators.match import check_adherence
 from chapterloom.operators.parse import parse_translations
-from chapterloom.operators.tokens import chapter_report, defect_table, fail_closed_gate, substitute
-from chapterloom.sources.books import token_map
+from chapterloom.operators.tokens import finish
 
 EVENTS = "slug string, chapter int, seq long, kind string, raw string"
 _TERM = ["korean", "english", "category", "note", "enforce"]
@@ -140,7 +138,8 @@ class Loop(StatefulProcessor):
             if r.chapter <= self.done and not (r.kind == "arc" and r.chapter == self.done and self.waits) or (r.kind, r.chapter, r.seq) in seen:
                 continue
             seen.add((r.kind, r.chapter, r.seq))
-            self.here.setdefault((r.kind, r.chapter), []).append((r.seq, r.good, r.body, r.summary, [_fields(t, _TERM) for t in r.terms or []]))
+            body = r.text[r.begin - 1 : r.begin - 1 + r.length] if r.good else None
+            self.here.setdefault((r.kind, r.chapter), []).append((r.seq, r.good, body, r.summary, [_fields(t, _TERM) for t in r.terms or []]))
         yield from self._advance()
         for (kind, chapter), events in self.here.items():
             if chapter < self.done or chapter == self.done and not (kind == "arc" and self.waits):
@@ -159,14 +158,16 @@ class Loop(StatefulProcessor):
 
 @contextmanager
 def _state_in_rocksdb(spark: SparkSession):
-    """Maps and lists of state need this store; the session's own setting comes back when the query has started."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKS)
+    """Maps and lists of state need this store, and a task's store would take 4 MB of disk for its manifest ahead, however little it holds; the session's own settings come back when the query has started."""
+    own = {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
+    before = {name: spark.conf.get(name, None) for name in own}
+    for name, value in own.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def read_events(spark: SparkSession, path: str, files_per_trigger: int | None = 1) -> DataFrame:
@@ -176,14 +177,15 @@ def read_events(spark: SparkSession, path: str, files_per_trigger: int | None =
 
 
 def parsed_events(events: DataFrame) -> DataFrame:
-    """(slug, chapter, seq, kind, good, body, summary, terms, text) of the events that count."""
+    """(slug, chapter, seq, kind, good, begin, length, summary, terms, text) of the events that count; a good one's body is so many characters of its text, which is shuffled once, not twice."""
     rows = events.where("slug is not null and chapter >= 1").withColumn("kind", F.when(F.col("kind") == "arc", "arc").otherwise("reply"))
     rows = parse_translations(rows).withColumn("told", filled(section("raw", ARC_TAG)))
     arc = F.col("kind") == "arc"
     good = F.when(arc, F.col("told").isNotNull()).otherwise(F.col("parse_error").isNull())
     terms = F.transform("terms", lambda t: F.struct(*[t[c].alias(c) for c in _TERM]))
+    body = F.when(arc, F.col("told")).otherwise(F.col("translation"))
     return rows.select(
-        "slug", "chapter", "seq", "kind", good.alias("good"), F.when(arc, F.col("told")).otherwise(F.col("translation")).alias("body"),
+        "slug", "chapter", "seq", "kind", good.alias("good"), F.position(body, F.col("raw")).alias("begin"), F.length(body).alias("length"),
         F.col("chapter_summary").alias("summary"), F.when(good & ~arc, terms).alias("terms"), F.col("raw").alias("text"),
     )
 
@@ -193,7 +195,7 @@ def run_loop(events: DataFrame, path: str, checkpoint: str, window: int = 3, arc
     spark = events.sparkSession
     rows = parsed_events(events).groupBy("slug").transformWithState(Loop(window, arc_every, attempts), ROWS, "Append", "None")
     with _state_in_rocksdb(spark):
-        return rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        return rows.writeStream.format("parquet").option("path", path).option("compression", "zstd").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def loop_rows(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -213,24 +215,26 @@ def requests(spark: SparkSession, path: str, chapters: DataFrame) -> DataFrame:
     return user_message(rows).where("message is not null").select("slug", "chapter", "size", "message")
 
 
-def judged(replies: DataFrame, terms: DataFrame, chapters: DataFrame) -> DataFrame:
-    """chapter_report's rows and the gated body, for the loop's replies (slug, chapter, size, raw) against chapters (slug, chapter, text)."""
-    rows = replies.select("slug", "chapter", "size", "raw")
-    gated = fail_closed_gate(substitute(rows, token_map(terms)))
-    sources = rows.join(chapters.select("slug", "chapter", F.col("text").alias("source")), ["slug", "chapter"], "left")
-    checked = check_adherence(sources.withColumnRenamed("source", "text"), gated.select("slug", "chapter", F.col("body").alias("text")), terms)
-    report = chapter_report(gated, checked, defect_table(sources, terms), rows.withColumn("rejected", F.lit(False)))
-    return report.drop("rejected").join(gated.select("slug", "chapter", "size", "body"), ["slug", "chapter"])
+def judged(replies: DataFrame, terms: DataFrame, chapters: DataFrame, source: Callable[[Column], Column] = lambda text: text) -> DataFrame:
+    """chapter_report's rows and the gated body, for the loop's replies (slug, chapter, size, raw) against chapters (slug, chapter, text); source makes a chapter's text of that column, once it has been shuffled.
 
+    Both are dealt by book, so where spark.sql.requireAllClusterKeysForCoPartition is off they meet each other and their book's terms in one shuffle.
+    """
+    sources = chapters.select("slug", "chapter", F.col("text").alias("own")).repartition("slug")
+    rows = replies.select("slug", "chapter", "size", "raw").repartition("slug").join(sources, ["slug", "chapter"], "left")
+    texts = lambda r: r.withColumns({"source": source(F.col("own")), "sent": F.col("raw"), "rejected": F.lit(False)})
+    return finish(rows, terms, texts).drop("rejected")
 
-def gate_loop(spark: SparkSession, path: str, chapters: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Judges the loop's replies as they come. A reply's terms were written before it, or with it."""
+
+def gate_loop(spark: SparkSession, path: str, chapters: DataFrame, out: str, checkpoint: str, source: Callable[[Column], Column] = lambda text: text) -> StreamingQuery:
+    """Judges the loop's replies as they come; source as in judged(). A reply's terms were written before it, or with it."""
 
     def step(batch: DataFrame, number: int) -> None:
+        batch.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")  # the stream's own session
         replies = batch.where("kind = 'reply'")
         # Ids are given once, so a later look at the table shows no less than an earlier one.
         terms = loop_terms(batch.sparkSession, path).join(replies.select("slug").distinct(), "slug", "left_semi")
-        judged(replies, terms, chapters).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        judged(replies, terms, chapters, source).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/batch={number}")
 
     rows = spark.readStream.schema(ROWS).parquet(path)
     return rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
