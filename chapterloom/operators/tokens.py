@@ -243,6 +243,7 @@ def finish(rows: DataFrame, glossary: DataFrame, texts: Callable[[DataFrame], Da
     rows = _with_places(rows, "sent")
     ok, none, known = F.col("status") == "ok", F.lit(0), F.col("slug").isNotNull() & F.col("chapter").isNotNull()
     n_known = lambda c: F.coalesce(F.when(known, c), none)
+    there = known & F.col("body").isNotNull()
     wrong = F.transform("found.wrong", lambda p: F.element_at("keys", p + 1))
     return rows.select(
         "slug",
@@ -254,8 +255,8 @@ def finish(rows: DataFrame, glossary: DataFrame, texts: Callable[[DataFrame], Da
         n_known(F.size(_invalid(F.col("sent"), F.least(F.coalesce("n_terms", none), "size")))).alias("invalid"),
         n_known(F.size(X.new_entities(F.col("sent")))).alias("new"),
         (F.coalesce("rejected", F.lit(False)) & known).alias("rejected"),
-        F.when(ok, n_known(F.size("found.present"))).alias("present"),
-        F.when(ok, F.coalesce(F.when(known, wrong), F.array().cast("array<string>"))).alias("violations"),
+        F.when(ok, F.coalesce(F.when(there, F.size("found.present")), none)).alias("present"),
+        F.when(ok, F.coalesce(F.when(there, wrong), F.array().cast("array<string>"))).alias("violations"),
         *sized,
         "body",
     )

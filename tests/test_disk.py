@@ -4,9 +4,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from chapterloom.operators import match
+from chapterloom.operators import match, tokens
 from chapterloom.plans import derived as D
 from chapterloom.plans import queries as Q
+from chapterloom.sources.books import token_map
 from chapterloom.streaming import loop
 
 DATA = "/root/testdata/sf0.001"
@@ -64,3 +65,26 @@ def test_loop_leaves_its_rows_alone(spark, monkeypatch):
     left = {name for name, path in paths.items() if os.path.exists(path.removeprefix("file://"))}
     assert left == {"loop"} and loop.loop_rows(spark, rows, "reply").join(chapters, ["slug", "chapter"], "left_semi").count() > 50
     assert not {"body", "translation"} & set(loop.parsed_events(spark.createDataFrame([], loop.EVENTS)).columns)
+
+
+def test_reports_shuffle_documents_once_at_most(spark, monkeypatch):
+    before = held(spark, LARGE)
+    try:
+        assert shuffles(Q._finished(spark, DATA, repaired=True)[0]) == 0
+        monkeypatch.setattr(match, "BROADCAST_TERMS", -1)
+        rows = Q._finished(spark, DATA, repaired=True)[0]
+        assert shuffles(rows) == 2 and rows.count() == D.documents(spark, DATA).count()  # documents, terms
+    finally:
+        held(spark, before)
+
+
+def test_one_row_says_what_the_operators_say(spark):
+    terms = spark.createDataFrame([("b", 1, "검", "Sword", "item", "", True), ("b", 2, "검은", "Black", "other", "", False)], "slug string, token_id int, korean string, english string, category string, note string, enforce boolean")
+    data = [("b", 1, "검은 검", "a [[G1]]", "a [[G7]] [[NEW:독|Poison]]", True), ("b", 2, "검은", "black [[G9]]", "[[G2]]", None), ("b", 3, None, "x", "[[G1]]", False), ("b", 4, "검", None, None, False), ("c", 1, "검", "[[G1]]", "y", True), ("b", None, "검", "z", "[[G8]]", True), (None, 1, "검", "[[G1]]", "[[NEW:독]]", True)]
+    rows = spark.createDataFrame(data, "slug string, chapter int, source string, raw string, sent string, rejected boolean")
+    gated = tokens.fail_closed_gate(tokens.substitute(rows.drop("sent", "source"), token_map(terms)))
+    scored = match.check_adherence(rows.select("slug", "chapter", F.col("source").alias("text")), gated.select("slug", "chapter", F.col("body").alias("text")), terms)
+    defects = tokens.defect_table(rows.select("slug", "chapter", "source", F.col("sent").alias("raw")), terms)
+    want = tokens.chapter_report(gated, scored, defects, rows)
+    got = tokens.finish(rows, terms)
+    assert got.columns == [*want.columns, "body"] and sorted(map(repr, got.drop("body").collect())) == sorted(map(repr, want.collect()))
